@@ -1,0 +1,82 @@
+"""The catalog's entry points as lazy plans over tables."""
+
+from pyspark.sql import functions as F
+
+from ..functions import dates as D
+from ..functions import text as S
+from ..operators import dedupe, filters, incremental, joins, ranking
+
+
+def catalog_rows(raw, rule="pattern"):
+    """Raw metadata rows to catalog rows, with their class."""
+    day = F.col("Date MMDDYY")
+    in_press = filters.classify("Article Category", rule) == "in_press"
+    year, issue = D.year_of_date(day), D.normalize_issue("Issue Number")
+    return raw.select(
+        "Title",
+        S.clean_authors("Authors").alias("Authors"),
+        S.page_label(in_press, day, F.col("Page Numbers")).alias("Pages"),
+        S.access_label("Access Status").alias("Access"),
+        S.doi_url("DOI").alias("URL"),
+        "Abstract",
+        D.pub_date(day).alias("PubDate"),
+        year.alias("Year"),
+        D.normalize_volume("Volume").alias("Volume"),
+        issue.alias("Issue"),
+        D.issue_key(year, issue).alias("IssueKey"),
+        F.col("Graphical Abstract").alias("GA_Link"),
+        F.col("Article Category").alias("Category"),
+        S.asset_path("Graphical Abstract", year, issue).alias("GA_Path"),
+        filters.classify("Article Category", rule).alias("class"),
+        *[c for c in ("ingest_seq",) if c in raw.columns],
+    )
+
+
+def changed_files(listing, state):
+    """Work list of a daily run, oldest file first."""
+    return incremental.detect_changes(listing, state)
+
+
+def ingest_batch(catalog, raw, keys="all"):
+    """New catalog, in-press view and change counts of one metadata batch."""
+    rows = catalog_rows(raw)
+    research = rows.filter("class = 'research'").drop("class")
+    return {
+        "catalog": dedupe.replace_issue(catalog, research, keys=keys),
+        "in_press": rows.filter("class = 'in_press'").drop("class"),
+        "changes": dedupe.diff_counts(
+            research.withColumn("IssueKey", D.canonical_issue_key("IssueKey")),
+            catalog.withColumn("IssueKey", D.canonical_issue_key("IssueKey")).join(
+                research.select(D.canonical_issue_key("IssueKey").alias("_k")).distinct(),
+                F.col("IssueKey") == F.col("_k"), "left_semi",
+            ),
+            group=("IssueKey",),
+        ),
+    }
+
+
+def dated(catalog, host=None, strict=False, out="IssueDate"):
+    return catalog.withColumn(out, D.issue_date("IssueKey", "URL", host=host, strict=strict))
+
+
+def recent_view(catalog, as_of, months=6, host=None):
+    """Recent articles, newest first, publication text filled in."""
+    rows = filters.recent(dated(catalog, host, strict=True), "IssueDate", as_of, months)
+    return ranking.by_date(ranking.fill_pub_date(rows, "PubDate", "IssueDate"), "IssueDate", "ingest_seq")
+
+
+def most_cited_view(catalog, citations, as_of, days=730, n=None, host=None):
+    """Articles of the last days with their citation counts, most cited first."""
+    rows = filters.recent_days(dated(catalog, host), "IssueDate", as_of, days)
+    rows = joins.attach_metric(rows.withColumn("DOI", S.extract_doi("URL")), citations, "DOI", "Title")
+    if n is None:
+        return rows.orderBy(F.desc("citations"), "ingest_seq")
+    return ranking.top_articles(rows, "citations", "Abstract", n, "ingest_seq")
+
+
+def most_downloaded_view(usage, details, metric="Total Downloads", n=6):
+    """Usage report to the top articles: rank, fill details, clean, cut."""
+    ranked = ranking.usage_ranking(usage, "DOI", metric, [F.col("Month"), F.col("`Item Title`")], 20)
+    blank = ranked.withColumns({c: F.lit(None).cast("string") for c in ("Authors", "Abstract")})
+    filled = joins.update_by_key(blank, details, "DOI", ["Authors", "Abstract"], ["DOI"])
+    return ranking.two_step_top(filled, metric, "Authors", "Abstract", [F.col("DOI")], 20, n)
