@@ -188,3 +188,13 @@ def shift_months(moment, months):
 
 def shift_days(moment, days):
     return moment + dt.timedelta(days=days)
+
+
+def moment_like(df, column, moment):
+    """A literal of the column's own timestamp type, so that the comparison
+    needs no cast of the column and reaches the scan."""
+    if isinstance(column, str) and column in df.columns:
+        kind = df.schema[column].dataType.simpleString()
+        if kind == "timestamp_ntz":
+            return F.lit(moment.isoformat(sep=" ")).cast(kind)
+    return F.lit(moment)

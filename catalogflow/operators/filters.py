@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import shift_days, shift_months
+from ..functions.dates import moment_like, shift_days, shift_months
 from ..functions.nulls import NO_ABSTRACT, col, differs, is_missing, matches
 from ..functions.text import OPEN_LABEL, strip
 
@@ -52,13 +52,13 @@ def drop_column_titles(df, title, pattern=COLUMN_TITLES):
 
 
 def recent(df, date, as_of, months=6):
-    return df.filter(col(date) >= F.lit(shift_months(as_of, -months)))
+    return df.filter(col(date) >= moment_like(df, date, shift_months(as_of, -months)))
 
 
 def recent_days(df, date, as_of, days=730):
     if days is None:
         return df.filter(col(date).isNotNull())
-    return df.filter(col(date) >= F.lit(shift_days(as_of, -days)))
+    return df.filter(col(date) >= moment_like(df, date, shift_days(as_of, -days)))
 
 
 def is_full_access(date, as_of, months=12):
@@ -88,7 +88,7 @@ def pending(df, metric, order, n=3):
 
 
 def retention(df, ts, as_of, days=7):
-    return df.filter(col(ts) >= F.lit(shift_days(as_of, -days)))
+    return df.filter(col(ts) >= moment_like(df, ts, shift_days(as_of, -days)))
 
 
 def require_columns(df, columns):

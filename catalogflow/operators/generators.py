@@ -13,11 +13,12 @@ MASK = 0xFFFFFFFF
 SCALE = 4294967296.0
 
 
-def _issue_columns(df, base):
+def _issue_columns(anchors, anchor, days, base):
+    df = anchors.select(*[c for c in anchors.columns if c != anchor], F.explode(days).alias("month"))
     year, number = F.year("month"), F.month("month")
     volume = volume_of_year(year)
     return df.select(
-        "month",
+        *df.columns,
         year.alias("year"),
         volume.alias("volume"),
         number.alias("issue"),
@@ -30,13 +31,13 @@ def issue_calendar(as_of, months, base, anchor="as_of"):
     start = F.trunc(F.col(anchor), "MM")
     step = F.expr("INTERVAL -1 MONTH")
     days = F.sequence(start, F.add_months(start, 1 - months), step)
-    return _issue_columns(as_of.select(F.explode(days).alias("month")), base)
+    return _issue_columns(as_of, anchor, days, base)
 
 
 def issue_calendar_since(as_of, start, base, anchor="as_of"):
     """All issues from a fixed first month to the anchor month."""
     days = F.sequence(F.lit(start).cast("date"), F.trunc(F.col(anchor), "MM"), F.expr("INTERVAL 1 MONTH"))
-    return _issue_columns(as_of.select(F.explode(days).alias("month")), base)
+    return _issue_columns(as_of, anchor, days, base)
 
 
 def issue_index(latest, start_year=2003, base=""):
