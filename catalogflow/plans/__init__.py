@@ -3,7 +3,7 @@
 
 def _load():
     from . import registry
-    from . import catalog_queries, scalar_queries  # noqa: F401
+    from . import catalog_queries, document_queries, scalar_queries  # noqa: F401
 
     return registry
 
