@@ -42,5 +42,5 @@ def parse_payloads(df, column, kind="entry", out="citations"):
 
 
 def explode_articles(df, column, mode="permissive"):
-    rows = df.withColumn("_a", F.explode(json_articles(column, mode)))
+    rows = df.withColumn("_a", F.explode_outer(json_articles(column, mode))).filter("_a is not null")
     return rows.select(*[c for c in df.columns if c != column], "_a.Title", "_a.Authors")

@@ -17,15 +17,21 @@ OPEN_LABEL = "Open Access content"
 MEMBER_LABEL = "Subscribed content"
 SHARE_LINK_ID = r"/d/([^/]+)/"
 LONG_DATE = "MMMM d, yyyy"
+# white space by the Unicode rules, the plain blank first
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c):
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Trim all Unicode white space; looks at the ends of the text only."""
+    return F.btrim(col(c), F.lit(WHITE_SPACE))
 
 
 def squeeze(c):
     """Trim and turn each run of white space into one blank."""
-    return strip(F.regexp_replace(col(c), r"(?U)\s+", " "))
+    return strip(F.regexp_replace(col(c), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def normalize_doi(c):
@@ -77,6 +83,11 @@ def clean_title(c):
     return F.lower(squeeze(F.replace(F.coalesce(col(c), F.lit("")), F.lit('"'), F.lit(""))))
 
 
+def has_clean_title(c):
+    """Whether ``clean_title`` leaves anything, without computing it."""
+    return F.btrim(F.coalesce(col(c), F.lit("")), F.lit(WHITE_SPACE + '"')) != ""
+
+
 @F.pandas_udf(T.StringType())
 def decompose(s: pd.Series) -> pd.Series:
     """Compatibility decomposition; Spark has no built-in for it."""
@@ -90,7 +101,7 @@ def normalize_string(c):
 
 
 def flatten_text(c):
-    return strip(F.translate(col(c), "\n\r", " "))
+    return strip(F.replace(F.replace(col(c), F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit("")))
 
 
 def clean_query_title(c):

@@ -336,7 +336,7 @@ def extract_section(df, doc, pages, heading, footer=None):
         ),
         " ",
     )
-    entries = df.select(doc, F.posexplode(F.split(joined, mark)).alias("pos", "entry"))
+    entries = df.select(doc, F.posexplode_outer(F.split(joined, mark)).alias("pos", "entry"))
     entries = entries.withColumn("entry", strip("entry")).filter("entry <> ''")
     if footer:
         entries = entries.filter(~F.contains(F.col("entry"), F.lit(footer)))
@@ -359,7 +359,7 @@ def extract_section_simple(df, doc, page, heading, footer=FOOTER):
     stops = F.transform(rest, lambda x: x.rlike(footer))
     stop = F.array_position(stops, F.lit(True)).cast("int")
     body = F.when(stop > 0, F.slice(rest, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(rest)
-    entries = df.select(doc, F.posexplode(body).alias("pos", "line"))
+    entries = df.select(doc, F.posexplode_outer(body).alias("pos", "line"))
     split = r"(?s)^(.*?)\.\s+(.*)$"
     return entries.filter(F.col("line").rlike(split)).select(
         doc, "pos",
@@ -371,7 +371,7 @@ def extract_section_simple(df, doc, page, heading, footer=FOOTER):
 def extract_references(df, doc, text):
     """Citation entries of a text: authors, title and publication info."""
     found = F.regexp_extract_all(col(text), F.lit(REFERENCE), F.lit(0))
-    hits = df.select(doc, F.posexplode(found).alias("pos", "hit"))
+    hits = df.select(doc, F.posexplode_outer(found).alias("pos", "hit")).filter("hit is not null")
     g = [None] + [strip(F.regexp_extract("hit", REFERENCE, i)) for i in range(1, 7)]
     journal = F.concat(g[4], F.lit(", "), g[3])
     cut = F.locate(". ", journal)

@@ -13,12 +13,13 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.nulls import col
-from ..functions.text import clean_title, strip, strip_quotes
+from ..functions.text import clean_title, has_clean_title, squeeze, strip_quotes
+from ..session import spread
 
 THRESHOLD = 0.90
 MIN_SCORE = 30.0
 BUCKET = 16  # width of a position bucket in the join key
-BLOCK = 2000  # rows of one side in one search block
+BLOCK = 1000  # rows of one side in one search block
 
 
 # --- fuzzy anti join -------------------------------------------------------
@@ -56,80 +57,83 @@ def _segment_size(length, threshold):
     return F.greatest(F.floor(length / (edits + 1)).cast("int"), F.lit(1))
 
 
-def _title_table(df, title):
-    keys = df.select(clean_title(title).alias("title")).filter("title <> ''").distinct()
-    return keys.select("title", F.md5("title").alias("id"), F.length("title").alias("len"))
-
-
 def _item_segments(items, threshold):
     q = F.col("q")
-    la = F.col("len")
+    la = F.col("la")
     low, high = _length_band(la, threshold)
-    sized = items.withColumn("q", _segment_size(la, threshold)).withColumn("n", F.floor(la / q).cast("int"))
+    sized = items.select(F.col("title").alias("a"), F.length("title").alias("la"))
+    sized = sized.withColumn("q", _segment_size(la, threshold)).withColumn("n", F.floor(la / q).cast("int"))
     segments = F.transform(
         F.sequence(F.lit(0), F.col("n") - 1),
-        lambda i: F.struct((i * q).alias("p"), F.substr("title", i * q + 1, q).alias("gram")),
+        lambda i: F.struct((i * q).alias("p"), F.substr("a", i * q + 1, q).alias("gram")),
     )
     rows = sized.select(
-        F.col("id").alias("item"), la.alias("la"), "q", "n",
-        (la - low).alias("back"), (high - la).alias("ahead"), F.explode(segments).alias("s"),
+        "a", "la", "q", "n", (la - low).alias("back"), (high - la).alias("ahead"), F.explode_outer(segments).alias("s")
     )
     first = F.greatest(F.floor((F.col("s.p") - F.col("back")) / BUCKET), F.lit(0))
     last = F.floor((F.col("s.p") + F.col("ahead")) / BUCKET)
-    return rows.select("item", "la", "q", "n", "s.p", "s.gram", F.explode(F.sequence(first, last)).alias("bucket"))
+    return rows.select("a", "la", "q", "n", "s.p", "s.gram", F.explode_outer(F.sequence(first, last)).alias("bucket"))
 
 
 def _title_grams(titles, threshold):
-    lb = F.col("len")
+    lb = F.col("lb")
     low, high = _length_band(lb, threshold)
     sizes = F.array_distinct(F.transform(F.sequence(low, high), lambda x: _segment_size(x, threshold)))
-    sized = titles.select("title", F.col("id").alias("other"), lb.alias("lb"), F.explode(sizes).alias("q"))
+    sized = titles.select(F.col("title").alias("b"), F.length("title").alias("lb"))
+    sized = sized.select("b", "lb", F.explode_outer(sizes).alias("q"))
     grams = F.transform(
         F.sequence(F.lit(0), F.col("lb") - F.col("q")),
-        lambda p: F.struct(p.alias("at"), F.substr("title", p + 1, F.col("q")).alias("gram")),
+        lambda p: F.struct(p.alias("at"), F.substr("b", p + 1, F.col("q")).alias("gram")),
     )
-    rows = sized.filter("lb >= q").select("other", "lb", "q", F.explode(grams).alias("g"))
-    return rows.select("other", "lb", "q", "g.at", "g.gram", F.floor(F.col("g.at") / BUCKET).alias("bucket"))
+    rows = sized.filter("lb >= q").select("b", "lb", "q", F.explode_outer(grams).alias("g"))
+    return rows.select("b", "lb", "q", "g.at", "g.gram", F.floor(F.col("g.at") / BUCKET).alias("bucket"))
+
+
+def _near_lengths(items, titles, threshold):
+    """Titles of a length that some item can match (one row per length)."""
+    low, high = _length_band(F.col("len"), threshold)
+    lengths = items.select(F.length("title").alias("len")).distinct()
+    wanted = lengths.select(F.explode(F.sequence(low, high)).alias("len")).distinct()
+    return titles.join(wanted, F.length("title") == F.col("len"), "left_semi")
 
 
 def candidate_pairs(items, titles, threshold=THRESHOLD):
-    """Id pairs that may reach the threshold; no reaching pair is missed."""
+    """Title pairs (a, b) that may reach the threshold; none of those is missed.
+
+    Both tables hold distinct, non-empty titles in a column ``title``.
+    """
     p, q = _edit_bounds(threshold)
-    low, high = _length_band(F.col("len"), threshold)
-    lengths = items.select("len").distinct().select(F.explode(F.sequence(low, high)).alias("len")).distinct()
-    near = titles.join(lengths, "len", "left_semi")
     la, lb, n = F.col("la"), F.col("lb"), F.col("n")
     half = F.ceil((la + lb) * F.lit(p) / F.lit(2 * q) - F.lit(1e-9))  # least M
     shift = F.col("at") - F.col("p")
     low, high = _length_band(la, threshold)
-    joined = _item_segments(items, threshold).join(_title_grams(near, threshold), ["q", "gram", "bucket"])
+    grams = _title_grams(spread(titles, "title"), threshold)
+    joined = _item_segments(items, threshold).join(grams, ["q", "gram", "bucket"])
     close = joined.filter(lb.between(low, high) & shift.between(half - la, lb - half))
-    hits = close.groupBy("item", "other", "la", "lb", "n").agg(F.size(F.collect_set("p")).alias("hits"))
-    return hits.filter(F.col("hits") >= F.greatest(n - _max_edits(la, lb, threshold), F.lit(1))).select(
-        "item", "other"
-    )
+    # a segment found twice counts twice, which only lets more pairs through
+    hits = close.groupBy("a", "b", "la", "lb", "n").agg(F.count(F.lit(1)).alias("hits"))
+    return hits.filter(F.col("hits") >= F.greatest(n - _max_edits(la, lb, threshold), F.lit(1))).select("a", "b")
+
 
+def _reaching(threshold):
+    def keep(batches):
+        for pdf in batches:
+            yield pdf[[_reaches(a, b, threshold) for a, b in zip(pdf["a"], pdf["b"])]][["a"]]
 
-def _reaches(threshold):
-    @F.pandas_udf("boolean")
-    def check(a: pd.Series, b: pd.Series) -> pd.Series:
-        def one(x, y):
-            m = SequenceMatcher(None, x, y)
-            return m.quick_ratio() >= threshold and m.ratio() >= threshold
+    return keep
 
-        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="bool")
 
-    return check
+def _reaches(a, b, threshold):
+    m = SequenceMatcher(None, a, b)
+    return m.quick_ratio() >= threshold and m.ratio() >= threshold
 
 
 def similar_titles(items, titles, threshold=THRESHOLD):
     """Item titles with at least one title at or above the threshold."""
-    pairs = candidate_pairs(items, titles, threshold)
-    texts = (
-        pairs.join(items.select(F.col("id").alias("item"), F.col("title").alias("a")), "item")
-        .join(titles.select(F.col("id").alias("other"), F.col("title").alias("b")), "other")
-    )
-    return texts.filter(_reaches(threshold)(F.col("a"), F.col("b"))).select(F.col("a").alias("title")).distinct()
+    pairs = spread(candidate_pairs(items, titles, threshold), "a", "b")
+    # not a filter: the planner would move that below the pair aggregation
+    hits = pairs.mapInPandas(_reaching(threshold), "a string")
+    return hits.select(F.col("a").alias("title")).distinct()
 
 
 def exclude_issued(items, issued, title, issued_title="Title", threshold=THRESHOLD):
@@ -137,12 +141,13 @@ def exclude_issued(items, issued, title, issued_title="Title", threshold=THRESHO
 
     Items with an empty title go too; the quote marks of kept titles go.
     """
-    issued_keys = _title_table(issued, issued_title)
-    item_keys = _title_table(items, title)
-    open_keys = item_keys.join(issued_keys.select("title"), "title", "left_anti")
-    similar = similar_titles(open_keys, issued_keys, threshold)
-    keep = open_keys.select("title").join(similar, "title", "left_anti").select(F.col("title").alias("_key"))
-    kept = items.withColumn("_t", clean_title(title)).join(keep, F.col("_t") == F.col("_key"), "left_semi")
+    known = issued.filter(has_clean_title(issued_title)).select(clean_title(issued_title).alias("title")).distinct()
+    keyed = items.filter(has_clean_title(title)).withColumn("_t", clean_title(title))
+    open_items = keyed.join(known.withColumnRenamed("title", "_k"), F.col("_t") == F.col("_k"), "left_anti")
+    open_titles = open_items.select(F.col("_t").alias("title")).distinct()
+    all_titles = keyed.select(F.col("_t").alias("title")).distinct()
+    similar = similar_titles(open_titles, _near_lengths(all_titles, known, threshold), threshold)
+    kept = open_items.join(similar.withColumnRenamed("title", "_k"), F.col("_t") == F.col("_k"), "left_anti")
     return kept.drop("_t").withColumn(title, strip_quotes(title))
 
 
@@ -150,28 +155,32 @@ def exclude_issued(items, issued, title, issued_title="Title", threshold=THRESHO
 
 
 def sorted_tokens(c):
-    words = F.filter(F.split(strip(c), r"(?U)\s+"), lambda w: w != "")
+    words = F.filter(F.split(squeeze(c), " "), lambda w: w != "")
     return F.array_join(F.array_sort(words), " ")
 
 
+def _positions(text):
+    """Bit mask of the places of each character."""
+    masks = {}
+    for i, ch in enumerate(text):
+        masks[ch] = masks.get(ch, 0) | (1 << i)
+    return masks
+
+
 def _common_subsequence(masks, width, text):
     """Length of the longest common subsequence by bit-parallel addition."""
-    full = (1 << width) - 1
-    row = full
-    for ch in text:
-        hit = row & masks.get(ch, 0)
+    full = row = (1 << width) - 1
+    for mask in [masks[ch] for ch in text if ch in masks]:
+        hit = row & mask
         row = ((row + hit) | (row - hit)) & full
     return width - row.bit_count()
 
 
-def token_ratio(a, b):
+def token_ratio(a, b, masks=None):
     """100 * 2 * LCS / (la + lb) of two token-sorted strings."""
     if not a and not b:
         return 100.0
-    masks = {}
-    for i, ch in enumerate(a):
-        masks[ch] = masks.get(ch, 0) | (1 << i)
-    return 200.0 * _common_subsequence(masks, len(a), b) / (len(a) + len(b))
+    return 200.0 * _common_subsequence(masks or _positions(a), len(a), b) / (len(a) + len(b))
 
 
 def _letter_counts(texts, width=64):
@@ -192,11 +201,11 @@ def _search_block(min_score):
             for group, text, mine in zip(items["grp"], items["sorted"], _letter_counts(items["sorted"])):
                 total = np.maximum(sizes + len(text), 1)
                 bound = 200.0 * np.minimum(counts, mine).sum(axis=1) / total
-                best = None
+                best, masks = None, _positions(text)
                 for j in np.argsort(-bound, kind="stable"):
                     if bound[j] < (best[0] if best else min_score):
                         break
-                    score = token_ratio(text, texts[j])
+                    score = token_ratio(text, texts[j], masks)
                     if score >= min_score and (
                         best is None or score > best[0] or (score == best[0] and names[j] < best[1])
                     ):
@@ -224,33 +233,40 @@ def best_match(items, candidates, group, item_name, candidate_name, min_score=MI
     """
     wanted = items.select(F.col(group).alias("grp"), sorted_tokens(item_name).alias("sorted"))
     wanted = wanted.filter("grp is not null and sorted is not null").distinct()
+    size = F.length("sorted")
+    # a length ratio beyond ``factor`` cannot reach the least score; the sizes
+    # of all items bound the candidates before their tokens are sorted
+    factor = (200.0 - min_score) / min_score
+    longest, shortest = wanted.agg(F.max(size)).scalar(), wanted.agg(F.min(size)).scalar()
+    plain_size = F.length(squeeze(candidate_name))
     offered = (
-        candidates.select(
+        candidates.filter(
+            F.col(candidate_group or group).isNotNull()
+            & (plain_size <= longest * factor + 1e-6) & (plain_size * factor + 1e-6 >= shortest)
+        )
+        .select(
             F.col(candidate_group or group).alias("grp"),
             sorted_tokens(candidate_name).alias("sorted"),
             F.col(candidate_name).alias("name"),
         )
-        .filter("grp is not null and sorted is not null")
         .groupBy("grp", "sorted")
         .agg(F.min("name").alias("name"))
     )
-    equal = wanted.join(offered, ["grp", "sorted"]).select("grp", "sorted", F.lit(100.0).alias("score"), "name")
-    rest = wanted.join(offered.select("grp", "sorted"), ["grp", "sorted"], "left_anti")
+    looked_up = wanted.join(offered, ["grp", "sorted"], "left")
+    equal = looked_up.filter("name is not null").select("grp", "sorted", F.lit(100.0).alias("score"), "name")
+    rest = looked_up.filter("name is null").select("grp", "sorted")
 
-    size = F.length("sorted")
-    spread = (200.0 - min_score) / min_score
     reach = rest.groupBy("grp").agg(
         F.max(size).alias("longest"), F.min(size).alias("shortest"),
         F.ceil(F.count(F.lit(1)) / block).alias("n_i"),
     )
-    # a length ratio beyond ``spread`` cannot reach the least score
     useful = offered.join(reach, "grp").filter(
-        (size <= F.col("longest") * spread + 1e-6) & (size * spread + 1e-6 >= F.col("shortest"))
+        (size <= F.col("longest") * factor + 1e-6) & (size * factor + 1e-6 >= F.col("shortest"))
     ).select("grp", "sorted", "name")
-    cand_blocks = useful.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / block).alias("n_j"))
+    cand_blocks = useful.groupBy("grp").agg(F.ceil(F.count("name") / block).alias("n_j"))
     counts = reach.select("grp", "n_i").join(cand_blocks, "grp")
-    left = _blocks(rest, "i", "j", counts).select("grp", "i", "j", "sorted")
-    right = _blocks(useful, "j", "i", counts).select("grp", "i", "j", "sorted", "name")
+    left = spread(_blocks(rest, "i", "j", counts).select("grp", "i", "j", "sorted"), "grp", "i", "j")
+    right = spread(_blocks(useful, "j", "i", counts).select("grp", "i", "j", "sorted", "name"), "grp", "i", "j")
     group_type = items.schema[group].dataType.simpleString()
     scored = (
         left.groupBy("grp", "i", "j")

@@ -39,3 +39,12 @@ def scratch_path(spark, label):
     if not base:
         base = tempfile.mkdtemp(prefix="catalogflow-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df, *columns):
+    """Hash-partition for CPU-bound Python work on few bytes.
+
+    An explicit number of partitions is not coalesced by the adaptive planner.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *columns)

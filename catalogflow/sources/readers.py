@@ -95,7 +95,7 @@ def read_numbered_lines(spark, path):
 
 def number_lines(df, doc, text, line="line"):
     lines = F.split(F.col(text), "\n")
-    return df.select(doc, F.posexplode(lines).alias("line_no", line)).withColumn(
+    return df.select(doc, F.posexplode_outer(lines).alias("line_no", line)).withColumn(
         "line_no", F.col("line_no").cast("bigint")
     )
 
