@@ -115,8 +115,11 @@ def _parse(html):
 
 
 def _extract(pages, rule, fields, url="url", html="html"):
-    """Run ``rule(page) -> rows`` over a page table, batch by batch."""
-    schema = f"{url} string, pos int, " + ", ".join(f"`{f}` string" for f in fields)
+    """Run ``rule(page) -> rows`` over a page table, batch by batch.
+
+    Rows carry the page's link as ``page_url`` and their place on it as ``pos``.
+    """
+    schema = "page_url string, pos int, " + ", ".join(f"`{f}` string" for f in fields)
 
     def run(batches):
         for pdf in batches:
@@ -125,7 +128,7 @@ def _extract(pages, rule, fields, url="url", html="html"):
                 for u, h in zip(pdf[url], pdf[html])
                 for i, row in enumerate(rule(_parse(h)))
             ]
-            yield pd.DataFrame(rows, columns=[url, "pos", *fields])
+            yield pd.DataFrame(rows, columns=["page_url", "pos", *fields])
 
     return pages.select(url, html).mapInPandas(run, schema)
 
@@ -218,7 +221,7 @@ def extract_fast_track(pages, base="", prefix=DATE_PREFIX, list_id="fasttrackIte
             )
 
     rows = _extract(pages, rule, ["Title", "Date", "Link", "Access Status"])
-    return rows.drop("url", "pos").distinct()
+    return rows.drop("page_url", "pos").distinct()
 
 
 def extract_journals(pages):

@@ -44,7 +44,7 @@ UNESCAPE = "replace(replace({0}, '&quot;', '\"'), '&amp;', '&')"
 
 
 @query(f"""
-select url, trim({UNESCAPE.format("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}) as "Title", 'A. Writer' as "Authors",
+select url as page_url, trim({UNESCAPE.format("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}) as "Title", 'A. Writer' as "Authors",
   'pp. ' || page_id as "Pages", 'Open Access content' as "Access", 'https://base.example/p' || page_id as "URL"
 from pages
 """)
@@ -61,7 +61,7 @@ def toc_extract(spark, folder):
 
 
 @query(f"""
-select url, regexp_extract(html, '<html lang="(..)"', 1) || '; Ann Other' as "Authors",
+select url as page_url, regexp_extract(html, '<html lang="(..)"', 1) || '; Ann Other' as "Authors",
   md5(replace(trim({UNESCAPE.format("regexp_replace(regexp_extract(html, '(?s)<article>.*</article>', 0), '\\s*<[^>]*>\\s*', '', 'g')")}),
     chr(10), ' ')) as abstract
 from pages
@@ -73,11 +73,11 @@ def article_extract(spark, folder):
         F.regexp_extract("html", "(?s)<article>.*</article>", 0), F.lit("</div>"),
     )
     pages = table(spark, folder, "pages").select("url", body.alias("html"))
-    return extraction.extract_article(pages).select("url", "Authors", F.md5("Abstract").alias("abstract"))
+    return extraction.extract_article(pages).select("page_url", "Authors", F.md5("Abstract").alias("abstract"))
 
 
 @query(f"""
-select url, trim({UNESCAPE.format("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}) as "Title",
+select url as page_url, trim({UNESCAPE.format("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}) as "Title",
   trim({UNESCAPE.format("regexp_extract(html, '<title>(.*?)</title>', 1)")}) as "Authors",
   array_to_string(list_transform(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1),
     lambda x: trim({UNESCAPE.format("x")})), ' | ') as "Affiliations", 'N/A' as "Abstract"
@@ -104,7 +104,7 @@ def fast_track_extract(spark, folder):
 
 
 @query(f"""
-select url, {UNESCAPE.format("l[2]")} as "Journal Title", 'House of ' || {UNESCAPE.format("l[2]")} as "Publisher Name",
+select url as page_url, {UNESCAPE.format("l[2]")} as "Journal Title", 'House of ' || {UNESCAPE.format("l[2]")} as "Publisher Name",
   {UNESCAPE.format("l[1]")} as "Link to Journal"
 from (select url, unnest(list_zip(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1),
   regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2))) as l from pages)
@@ -116,7 +116,7 @@ def journal_extract(spark, folder):
 
 
 @query("""
-select url, lpad(cast(page_id as varchar), 8, '0') as "Print ISSN",
+select url as page_url, lpad(cast(page_id as varchar), 8, '0') as "Print ISSN",
   case when page_id % 2 = 0 then lpad(cast(page_id as varchar), 4, '0') || '9999 (Online)' else 'N/A' end as "Online ISSN",
   'Volume 3, Number ' || page_id as "Latest Issue" from pages
 """)

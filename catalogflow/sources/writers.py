@@ -50,11 +50,12 @@ def overwrite_partitions(spark, df, path, partition):
     )
 
 
-def write_documents(df, group, pos, fragment, path):
+def write_documents(df, group, pos, fragment, path, files=None):
     """One folder per group holding its fragments in order.
 
     Rows are range-partitioned by group and position, so a large group spans
     several files; files in name order, lines in file order, are the document.
     """
-    ordered = df.select(group, pos, fragment).repartitionByRange(group, pos).sortWithinPartitions(group, pos)
+    keys = [group, pos] if files is None else [files, group, pos]
+    ordered = df.select(group, pos, fragment).repartitionByRange(*keys).sortWithinPartitions(group, pos)
     ordered.select(group, fragment).write.mode("overwrite").partitionBy(group).text(path)
