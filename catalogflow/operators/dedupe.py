@@ -89,6 +89,20 @@ def replace_issue(catalog, batch, issue_key="IssueKey", unique=("Title", "URL"),
     return dedupe_last(merged, list(unique), ["_gen", seq]).drop("_gen")
 
 
+def catalog_from_batches(log, issue_key="IssueKey", unique=("Title", "URL"), seq="ingest_seq", gen="gen"):
+    """Catalog that results from upserting logged batches one after another.
+
+    Equal to repeated ``replace_issue``, without rewriting the catalog for each
+    batch: a row stands if it is the last of its unique key in the whole log
+    and no later batch holds its issue.
+    """
+    keyed = log.withColumn("_key", canonical_issue_key(issue_key))
+    newest = keyed.groupBy(F.col("_key").alias("_k")).agg(F.max(gen).alias("_newest"))
+    last = dedupe_last(keyed, list(unique), [gen, seq])
+    standing = last.join(newest, (F.col("_key") == F.col("_k")) & (F.col(gen) == F.col("_newest")), "left_semi")
+    return standing.drop("_key")
+
+
 def replace_report(catalog, batch, result, issue_key="IssueKey", seq="ingest_seq", keys="all"):
     """One row: rows kept from the catalog, batch rows, rows of the result."""
     kept = except_issues(catalog, batch_keys(batch, issue_key, keys, seq), issue_key)

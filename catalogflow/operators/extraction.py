@@ -10,9 +10,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.nulls import SENTINEL, col
-from ..functions.text import strip
+from ..functions.text import clean_author_links, strip
+from .ordered import running_sum
 
 # fixed values: page vocabulary
+PAGE_LINES = 1_000_000  # positions reserved for the lines of one page
 VOID_TAGS = {"br", "img", "hr", "meta", "link", "input"}
 DATE_PREFIX = "Appeared or available online:"
 HEADING_WORDS = ("Article", "Original", "Columns")
@@ -193,8 +195,6 @@ def extract_article(pages, style="label"):
 
     rows = _extract(pages, rule, ["Authors", "Abstract"])
     if style == "label":
-        from ..functions.text import clean_author_links
-
         cleaned = F.when(F.col("Authors") == SENTINEL, F.col("Authors")).otherwise(clean_author_links("Authors"))
         rows = rows.withColumn("Authors", cleaned)
     return rows
@@ -308,10 +308,29 @@ def extract_links(pages, container="nav", item="a"):
 # --- section text ----------------------------------------------------------
 
 
-def document_text(lines, doc, page, text):
-    """Pages of a document in order, as one array row per document."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(page).alias("p"), F.col(text).alias("t"))))
-    return lines.groupBy(doc).agg(F.transform(ordered, lambda x: x["t"]).alias("pages"))
+def _after_heading(page, heading):
+    """Text behind the heading; the whole page where it has none."""
+    head = F.lit(heading)
+    return F.when(F.contains(page, head), F.substr(page, F.locate(heading, page) + len(heading))).otherwise(page)
+
+
+def _ends_entry(line):
+    return line.rlike(r"\.\z") | F.contains(line, F.lit(", and "))
+
+
+def _split_entries(entries, columns, footer):
+    """Title and authors at the first full stop; incomplete entries go."""
+    entries = entries.withColumn("entry", strip("entry")).filter("entry <> ''")
+    if footer:
+        entries = entries.filter(~F.contains(F.col("entry"), F.lit(footer)))
+    cut = F.locate(". ", F.col("entry"))
+    out = entries.select(
+        *columns,
+        strip(F.substr("entry", F.lit(1), cut - 1)).alias("Title"),
+        strip(F.substr("entry", cut + 2)).alias("Authors"),
+        cut.alias("_cut"),
+    )
+    return out.filter("_cut > 0 and Title <> '' and Authors <> ''").drop("_cut")
 
 
 def extract_section(df, doc, pages, heading, footer=None):
@@ -319,38 +338,43 @@ def extract_section(df, doc, pages, heading, footer=None):
 
     ``pages`` is an array of page texts. Wrapped lines are joined until one
     ends with a full stop or holds ``, and ``; lines without letters are
-    skipped, and entries naming ``footer`` are dropped.
+    skipped, and entries naming ``footer`` are dropped. All work stays inside
+    the row.
     """
-    head = F.lit(heading)
-    start = F.array_position(F.transform(F.col(pages), lambda p: F.contains(p, head)), F.lit(True))
+    start = F.array_position(F.transform(F.col(pages), lambda p: F.contains(p, F.lit(heading))), F.lit(True))
     tail = F.when(start > 0, F.slice(F.col(pages), start.cast("int"), F.size(pages)))
-    after = F.transform(
-        tail,
-        lambda p: F.when(F.contains(p, head), F.substr(p, F.locate(heading, p) + len(heading))).otherwise(p),
-    )
+    after = F.transform(tail, lambda p: _after_heading(p, heading))
     lines = F.flatten(F.transform(after, lambda p: F.split(p, "\n")))
     texts = F.filter(lines, lambda x: x.rlike("[A-Za-z]"))
     mark = "\u0001"
-    joined = F.array_join(
-        F.transform(
-            texts,
-            lambda x: F.when(x.rlike(r"\.\z") | F.contains(x, F.lit(", and ")), F.concat(strip(x), F.lit(mark)))
-            .otherwise(strip(x)),
-        ),
-        " ",
+    marked = F.transform(
+        texts, lambda x: F.when(_ends_entry(x), F.concat(strip(x), F.lit(mark))).otherwise(strip(x))
     )
-    entries = df.select(doc, F.posexplode_outer(F.split(joined, mark)).alias("pos", "entry"))
-    entries = entries.withColumn("entry", strip("entry")).filter("entry <> ''")
-    if footer:
-        entries = entries.filter(~F.contains(F.col("entry"), F.lit(footer)))
-    cut = F.locate(". ", F.col("entry"))
-    out = entries.select(
-        doc, "pos",
-        strip(F.substr("entry", F.lit(1), cut - 1)).alias("Title"),
-        strip(F.substr("entry", cut + 2)).alias("Authors"),
-        cut.alias("_cut"),
+    parts = F.split(F.array_join(marked, " "), mark)
+    # outer: the planner then adds no filter that evaluates the array again
+    entries = df.select(doc, F.posexplode_outer(parts).alias("pos", "entry"))
+    return _split_entries(entries, [doc, "pos"], footer)
+
+
+def extract_section_pages(df, doc, page, text, heading, footer=None):
+    """The same for one row per page, for documents of any number of pages.
+
+    Lines get a position by page and line; the entry number is the running
+    count of ending lines, so no document is gathered into one row.
+    """
+    first = df.filter(F.contains(F.col(text), F.lit(heading))).groupBy(F.col(doc).alias("_doc")).agg(
+        F.min(page).alias("_first")
     )
-    return out.filter("_cut > 0 and Title <> '' and Authors <> ''").drop("_cut")
+    inside = df.join(first, (F.col(doc) == F.col("_doc")) & (F.col(page) >= F.col("_first")))
+    lines = inside.select(doc, page, F.posexplode_outer(F.split(_after_heading(F.col(text), heading), "\n")).alias("_n", "_line"))
+    lines = lines.filter(F.col("_line").rlike("[A-Za-z]")).select(
+        doc, (F.col(page).cast("bigint") * PAGE_LINES + F.col("_n")).alias("_pos"), strip("_line").alias("_text"),
+        _ends_entry(F.col("_line")).cast("bigint").alias("_end"),
+    )
+    numbered = running_sum(lines, [doc], "_pos", "_end", "pos", span=PAGE_LINES)
+    ordered = F.array_sort(F.collect_list(F.struct("_pos", "_text")))
+    entries = numbered.groupBy(doc, "pos").agg(F.array_join(F.transform(ordered, lambda x: x["_text"]), " ").alias("entry"))
+    return _split_entries(entries, [doc, "pos"], footer)
 
 
 def extract_section_simple(df, doc, page, heading, footer=FOOTER):

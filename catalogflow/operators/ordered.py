@@ -4,56 +4,59 @@ A plain window over a group puts the whole group into one task. These helpers
 cut each group into spans of the integer position, run the window inside a
 span, and add what the earlier spans contribute (a table with one row per
 span). With a unique position no task sees more than ``span`` rows of a group.
+
+The group is held in one struct column: it is never null, so the window and
+the join with the span table share one hash partitioning of the rows.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 SPAN = 100_000
-_B = "_span"
+_G, _B = "_grp", "_span"
+_KEYS = [_G, _B]
 
 
-def _with_span(df, pos, span):
-    return df.withColumn(_B, F.floor(F.col(pos) / F.lit(span)))
+def _with_span(df, group, pos, span):
+    return df.withColumns({_G: F.struct(*group), _B: F.floor(F.col(pos) / F.lit(span))})
 
 
-def _carry(summary, group, value, fn, out):
-    """Combine ``value`` over all earlier spans of the group."""
-    w = Window.partitionBy(*group).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(*group, _B, fn(F.col(value)).over(w).alias(out))
+def _carried(spans, summary, value, fn, local, out, combine):
+    """Join what all earlier spans of the group contribute to each row."""
+    earlier = Window.partitionBy(_G).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*_KEYS, fn(F.col(value)).over(earlier).alias("_before"))
+    joined = spans.withColumn("_local", local).join(carry, _KEYS, "left")
+    return joined.withColumn(out, combine(F.col("_local"), F.col("_before"))).drop(*_KEYS, "_local", "_before")
 
 
-def _attach(df, carry, group):
-    keys = [*group, _B]
-    left, right = df.alias("_l"), carry.alias("_r")
-    on = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys]
-    extra = [F.col(f"_r.{c}") for c in carry.columns if c not in keys]
-    return left.join(right, on, "left").select("_l.*", *extra)
+def _plus(local, before):
+    return local + F.coalesce(before, F.lit(0))
 
 
 def running_index(df, group, pos, out="pos", tie=(), span=SPAN):
     """Gapless 1-based row number by ``pos`` inside each group."""
-    group = list(group)
-    spans = _with_span(df, pos, span)
-    counts = spans.groupBy(*group, _B).agg(F.count(F.lit(1)).alias("_n"))
-    carry = _carry(counts, group, "_n", F.sum, "_before")
-    w = Window.partitionBy(*group, _B).orderBy(pos, *tie)
-    local = spans.withColumn("_local", F.row_number().over(w))
-    joined = _attach(local, carry, group)
-    return joined.withColumn(out, F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))).drop(
-        _B, "_local", "_before"
-    )
+    spans = _with_span(df, group, pos, span)
+    counts = spans.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    local = F.row_number().over(Window.partitionBy(*_KEYS).orderBy(pos, *tie))
+    return _carried(spans, counts, "_n", F.sum, local, out, _plus)
+
+
+def running_sum(df, group, pos, value, out, span=SPAN):
+    """Sum of ``value`` over all rows of the group before this one."""
+    spans = _with_span(df, group, pos, span)
+    sums = spans.groupBy(*_KEYS).agg(F.sum(value).alias("_n"))
+    before = Window.partitionBy(*_KEYS).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
+    local = F.coalesce(F.sum(value).over(before), F.lit(0))
+    return _carried(spans, sums, "_n", F.sum, local, out, _plus)
 
 
 def fill_down(df, group, pos, value, out, span=SPAN):
     """Last non-null ``value`` at or before each row of the group."""
-    group = list(group)
-    spans = _with_span(df, pos, span)
-    last_of_span = spans.groupBy(*group, _B).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(pos))).alias("_v")
+    spans = _with_span(df, group, pos, span)
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(pos)))
+    last_of_span = spans.groupBy(*_KEYS).agg(last.alias("_v"))
+    so_far = Window.partitionBy(*_KEYS).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    local = F.last(value, ignorenulls=True).over(so_far)
+    return _carried(
+        spans, last_of_span, "_v", lambda c: F.last(c, ignorenulls=True), local, out, lambda a, b: F.coalesce(a, b)
     )
-    carry = _carry(last_of_span, group, "_v", lambda c: F.last(c, ignorenulls=True), "_before")
-    w = Window.partitionBy(*group, _B).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    local = spans.withColumn("_local", F.last(value, ignorenulls=True).over(w))
-    joined = _attach(local, carry, group)
-    return joined.withColumn(out, F.coalesce("_local", "_before")).drop(_B, "_local", "_before")

@@ -133,10 +133,10 @@ def issue_header(issue_key, url):
 def assemble(df, group, pos, fragment, span=None, out="html"):
     """Fragments of a group in order, joined to documents.
 
-    Without ``span`` a group becomes one document (small groups, such as one
-    issue). With ``span`` it becomes numbered parts of at most ``span``
+    With ``span`` a document comes in numbered parts of at most ``span``
     positions each, so that a group of any size stays spread out; the parts in
-    order are the document.
+    order are the document. Without it each group becomes one text: only for
+    groups that are small by construction, such as the issues of a year.
     """
     group = list(group)
     keyed = df if span is None else df.withColumn("part", F.floor(F.col(pos) / F.lit(span)))
@@ -145,9 +145,16 @@ def assemble(df, group, pos, fragment, span=None, out="html"):
     return keyed.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["f"]), "").alias(out))
 
 
-def issue_pages(fragments, group, header, out="html", footer=""):
-    """Head, assembled fragments and foot of each issue page."""
-    return fragments.withColumn(out, F.concat(col(header), F.col(out), F.lit(footer)))
+def issue_pages(df, group, pos, fragment, header, footer="", span=5000, out="html"):
+    """Issue pages in parts: the head opens the first part, the foot ends the last."""
+    parts = assemble(df, [group], pos, fragment, span, "_body")
+    ends = df.groupBy(F.col(group).alias("_g")).agg(
+        F.floor(F.min(pos) / span).alias("_first"), F.floor(F.max(pos) / span).alias("_last")
+    )
+    joined = parts.join(ends, F.col(group) == F.col("_g"))
+    head = F.when(F.col("part") == F.col("_first"), col(header)).otherwise("")
+    foot = F.when(F.col("part") == F.col("_last"), F.lit(footer)).otherwise("")
+    return joined.select(group, "part", F.concat(head, F.col("_body"), foot).alias(out))
 
 
 def index_fragment(label, url, flag):

@@ -169,7 +169,11 @@ def summary_lines(lines, markers=ZH, span=SPAN):
 
 
 def summary_message(lines, markers=ZH, span=SPAN):
-    """The report of each log as one text (its lines are one run's lists)."""
-    rows = summary_lines(lines, markers, span)
-    ordered = F.array_sort(F.collect_list(F.struct("part", "line_no", "item")))
-    return rows.groupBy("file").agg(F.array_join(F.transform(ordered, lambda x: x["item"]), "\n").alias("message"))
+    """The report as texts: one per file, part and span of log lines.
+
+    Joined in that order they are the message of the run.
+    """
+    rows = summary_lines(lines, markers, span).withColumn("chunk", F.floor(F.col("line_no") / span))
+    ordered = F.array_sort(F.collect_list(F.struct("line_no", "item")))
+    text = F.array_join(F.transform(ordered, lambda x: x["item"]), "\n")
+    return rows.groupBy("file", "part", "chunk").agg(text.alias("message"))

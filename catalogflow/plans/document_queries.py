@@ -302,26 +302,25 @@ def issue_index_pages(spark, folder):
 
 
 @query("""
-with g as (select strftime(o_orderdate, '%Y%m') as k, o_orderkey, '<article class="entry"><h3>Order ' || o_orderkey
-    || '</h3><div class="authors">Authors: ' || o_custkey || '</div></article>' as f from orders)
-select k as issue_key, md5('<header><h1>Issue ' || k[5:6] || ' - Year ' || k[1:4] || '</h1><p><a href="https://base.example/'
-  || k[1:4] || '/000000' || (cast(k[1:4] as int) - 1934) || '/000000' || k[5:6] || '">View Full Issue</a></p></header>'
-  || string_agg(f, '' order by o_orderkey) || '<footer></footer>') as html
-from g group by k
+with g as (select strftime(o_orderdate, '%Y%m') as k, o_orderkey // 5000 as part, o_orderkey, '<article class="entry"><h3>Order '
+    || o_orderkey || '</h3><div class="authors">Authors: ' || o_custkey || '</div></article>' as f from orders),
+p as (select k, part, string_agg(f, '' order by o_orderkey) as body from g group by k, part)
+select k as issue_key, part, md5(case when part = min(part) over (partition by k) then '<header><h1>Issue ' || k[5:6]
+  || ' - Year ' || k[1:4] || '</h1><p><a href="https://base.example/' || k[1:4] || '/000000' || (cast(k[1:4] as int) - 1934)
+  || '/000000' || k[5:6] || '">View Full Issue</a></p></header>' else '' end || body
+  || case when part = max(part) over (partition by k) then '<footer></footer>' else '' end) as html
+from p
 """)
 def issue_page_render(spark, folder):
     orders = table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("issue_key"),
         F.concat(F.lit("Order "), F.col("o_orderkey")).alias("title"),
     )
-    # an issue of any size: assembled in parts of the position, joined per issue
     rows = orders.withColumn("fragment", rendering.minimal_fragment("title", "o_custkey"))
-    docs = rendering.assemble(rows, ["issue_key"], "o_orderkey", "fragment")
     link = S.issue_url(F.lit("https://doi.org/x"), "issue_key", "/content/", "https://base.example")
     header = rendering.issue_header("issue_key", link)
-    return rendering.issue_pages(docs, "issue_key", header, footer="<footer></footer>").select(
-        "issue_key", F.md5("html").alias("html")
-    )
+    pages = rendering.issue_pages(rows, "issue_key", "o_orderkey", "fragment", header, "<footer></footer>", span=5000)
+    return pages.withColumn("html", F.md5("html"))
 
 
 # --- audits ----------------------------------------------------------------
@@ -529,8 +528,8 @@ def stream_upsert(spark, folder):
         F.concat(F.lit("Order of "), "o_orderpriority").alias("Title"), F.col("o_custkey").alias("URL"),
         F.date_format("o_orderdate", "yyyyMM").alias("IssueKey"), F.col("o_orderkey").alias("ingest_seq"),
     )
-    last = ingest.stream_upsert(rows, f"{base}/catalog", f"{base}/checkpoint")
-    return spark.read.parquet(last).select("Title", "URL", "ingest_seq")
+    log = ingest.stream_upsert(rows, f"{base}/catalog", f"{base}/checkpoint")
+    return ingest.upserted(spark, log, rows.schema).select("Title", "URL", "ingest_seq")
 
 
 @query("select user_id, event_type from events group by 1, 2")
@@ -549,7 +548,7 @@ def stream_reupload(spark, folder):
     rows = _stream(spark, folder, "events").select(
         F.concat(F.lit("batch_"), "user_id", F.lit(".xlsx")).alias("filename"), F.floor("value").alias("size_bytes"), "ts"
     )
-    return spark.read.parquet(ingest.stream_reuploads(rows, base, f"{base}/checkpoint"))
+    return ingest.logged_sizes(spark, ingest.stream_reuploads(rows, base, f"{base}/checkpoint"))
 
 
 

@@ -23,6 +23,7 @@ def read_catalog_csv(spark, path, schema=schemas.CATALOG, null_value=None):
     reader = (
         spark.read.option("header", True).option("multiLine", True)
         .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+        .option("enforceSchema", False)  # every file must have the same header
     )
     if null_value is not None:
         reader = reader.option("nullValue", null_value)

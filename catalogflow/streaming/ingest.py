@@ -1,8 +1,9 @@
 """Continuous ingestion with Structured Streaming and ``availableNow`` runs."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.dedupe import replace_issue
+from ..operators.dedupe import catalog_from_batches
 from ..operators.incremental import detect_changes, last_state
 from ..operators.joins import skip_seen
 
@@ -23,55 +24,63 @@ def _table(spark, path, schema):
         raise
 
 
-def version_path(base, batch_id):
-    return f"{base.rstrip('/')}/snapshot={batch_id:08d}"
+def _batch_path(base, batch_id):
+    # one folder per batch: a repeated attempt replaces its own rows only
+    return f"{base.rstrip('/')}/gen={batch_id:08d}"
 
 
-def stream_upsert(batches, base, checkpoint, issue_key="IssueKey", unique=("Title", "URL"), seq="ingest_seq"):
-    """Upsert each arriving batch; every batch writes a new catalog version.
+def stream_upsert(batches, base, checkpoint):
+    """Log each arriving batch; ``upserted`` gives the catalog at any time.
 
-    Version ``n`` reads version ``n - 1`` only, so a repeated batch gives the
-    same version again. Returns the path of the last version.
+    A batch writes its own rows only, however large the catalog is.
     """
-    spark, schema = batches.sparkSession, batches.schema
-    done = []
 
-    def upsert(batch, batch_id):
-        before = _table(spark, version_path(base, batch_id - 1), schema)
-        after = replace_issue(before, batch, issue_key, unique, seq)
-        after.write.mode("overwrite").parquet(version_path(base, batch_id))
-        done.append(batch_id)
+    def log(batch, batch_id):
+        batch.write.mode("overwrite").parquet(_batch_path(base, batch_id))
 
-    _run(batches.writeStream.foreachBatch(upsert), checkpoint)
-    return version_path(base, max(done)) if done else None
+    _run(batches.writeStream.foreachBatch(log), checkpoint)
+    return base
+
+
+def upserted(spark, base, schema, issue_key="IssueKey", unique=("Title", "URL"), seq="ingest_seq"):
+    """The catalog after all logged batches."""
+    log = _table(spark, base, _with_gen(schema))
+    return catalog_from_batches(log, issue_key, unique, seq).drop("gen")
+
+
+def _with_gen(schema):
+    if isinstance(schema, str):
+        return f"{schema}, gen bigint"
+    return T.StructType([*schema.fields, T.StructField("gen", T.LongType(), True)])
 
 
 def stream_reuploads(manifest, base, checkpoint):
     """Detect new and re-uploaded files from a stream of manifest rows.
 
     Needed because the file source takes a path it has seen as done. Manifest
-    rows ``(filename, size_bytes, ts)`` are compared with the state of the
-    previous batch. Writes ``changes/`` and a state version per batch.
+    rows ``(filename, size_bytes, ts)`` are compared with the last size logged
+    by earlier batches. Writes ``changes/`` and ``sizes/``, one folder per batch.
     """
     spark = manifest.sparkSession
-    state_schema = "filename string, size_bytes bigint"
-    done = []
 
     def compare(batch, batch_id):
-        state = _table(spark, version_path(f"{base}/state", batch_id - 1), state_schema)
         current = batch.groupBy("filename").agg(F.max(F.struct("ts", "size_bytes")).alias("_m")).select(
             "filename", F.col("_m.size_bytes").alias("size_bytes"), F.col("_m.ts").alias("ts")
         )
-        changes = detect_changes(current, state)
-        changes.write.mode("overwrite").parquet(f"{base}/changes/batch={batch_id:08d}")
-        entries = state.withColumn("line_no", F.lit(0)).unionByName(
-            current.select("filename", "size_bytes", F.lit(1).alias("line_no"))
-        )
-        last_state(entries).write.mode("overwrite").parquet(version_path(f"{base}/state", batch_id))
-        done.append(batch_id)
+        changes = detect_changes(current, logged_sizes(spark, base, batch_id))
+        changes.write.mode("overwrite").parquet(_batch_path(f"{base}/changes", batch_id))
+        current.select("filename", "size_bytes").write.mode("overwrite").parquet(_batch_path(f"{base}/sizes", batch_id))
 
     _run(manifest.writeStream.foreachBatch(compare), checkpoint)
-    return version_path(f"{base}/state", max(done)) if done else None
+    return base
+
+
+def logged_sizes(spark, base, before=None):
+    """Last logged size per file, of all batches or those before one."""
+    sizes = _table(spark, f"{base}/sizes", "filename string, size_bytes bigint, gen bigint")
+    if before is not None:
+        sizes = sizes.filter(F.col("gen") < before)
+    return last_state(sizes, order="gen")
 
 
 def stream_distinct(rows, keys, path, checkpoint):
@@ -88,11 +97,11 @@ def stream_skip_seen(rows, key, seen_path, path, checkpoint):
 
     def forward(batch, batch_id):
         # a repeated attempt of a batch sees earlier batches only
-        seen = _table(spark, seen_path, f"key {kind}, batch bigint").filter(F.col("batch") < batch_id)
-        target = f"{path}/batch={batch_id:08d}"
+        seen = _table(spark, seen_path, f"key {kind}, gen bigint").filter(F.col("gen") < batch_id)
+        target = _batch_path(path, batch_id)
         skip_seen(batch, seen, key).write.mode("overwrite").parquet(target)
         written = spark.read.schema(batch.schema).parquet(target).select(F.col(key).alias("key")).distinct()
-        written.write.mode("overwrite").parquet(f"{seen_path}/batch={batch_id:08d}")
+        written.write.mode("overwrite").parquet(_batch_path(seen_path, batch_id))
 
     _run(rows.writeStream.foreachBatch(forward), checkpoint)
     return path

@@ -70,11 +70,14 @@ def test_section_is_stitched_across_pages(spark, rows):
         (2, 1, "nothing. here."),
     ]
     df = spark.createDataFrame(text, "doc int, page int, text string")
-    docs = X.document_text(df, "doc", "page", "text")
-    got = rows(X.extract_section(docs, "doc", "pages", "In-Press Articles", footer="THE FOOTER"), "doc", "Title", "Authors")
-    assert got == sorted([
+    want = sorted([
         (1, "Deep maps of forests", "Ann Lee and Bob, and Cid"), (1, "Second title", "Dan."), (1, "Wrapped over a page", "Eve."),
     ])
+    by_page = X.extract_section_pages(df, "doc", "page", "text", "In-Press Articles", footer="THE FOOTER")
+    assert rows(by_page, "doc", "Title", "Authors") == want
+    docs = spark.createDataFrame([(1, [t for d, _, t in text if d == 1]), (2, ["nothing. here."])], "doc int, pages array<string>")
+    in_row = X.extract_section(docs, "doc", "pages", "In-Press Articles", footer="THE FOOTER")
+    assert rows(in_row, "doc", "Title", "Authors") == want
 
 
 def test_section_simple(spark, rows):

@@ -121,20 +121,20 @@ SCHEMA = "Title string, URL string, IssueKey string, ingest_seq bigint"
 def test_stream_upsert_equals_batch_upserts(spark, tmp_path, rows):
     source = str(tmp_path / "in")
     stream = batches(spark, source, [[("A", "u", "202601", 1), ("B", "u", "202602", 2)], [("C", "u", "202602", 3)]], SCHEMA)
-    last = ingest.stream_upsert(stream, str(tmp_path / "cat"), str(tmp_path / "cp"))
-    assert rows(spark.read.parquet(last), "Title") == [("A",), ("C",)]
+    log = ingest.stream_upsert(stream, str(tmp_path / "cat"), str(tmp_path / "cp"))
+    assert rows(ingest.upserted(spark, log, SCHEMA), "Title") == [("A",), ("C",)]
     spark.createDataFrame([("A", "u", "202603", 4)], SCHEMA).coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema(SCHEMA).parquet(source)
-    last = ingest.stream_upsert(stream, str(tmp_path / "cat"), str(tmp_path / "cp"))
-    assert rows(spark.read.parquet(last), "Title", "IssueKey") == [("A", "202603"), ("C", "202602")]
+    log = ingest.stream_upsert(stream, str(tmp_path / "cat"), str(tmp_path / "cp"))
+    assert rows(ingest.upserted(spark, log, SCHEMA), "Title", "IssueKey") == [("A", "202603"), ("C", "202602")]
 
 
 def test_stream_sees_a_reupload_under_the_same_name(spark, tmp_path, rows):
     schema = "filename string, size_bytes bigint, ts timestamp"
     day = dt.datetime(2026, 3, 1)
     stream = batches(spark, str(tmp_path / "m"), [[("a.xlsx", 10, day), ("b.xlsx", 5, day)], [("a.xlsx", 12, day + dt.timedelta(1))]], schema)
-    state = ingest.stream_reuploads(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert rows(spark.read.parquet(state)) == [("a.xlsx", 12), ("b.xlsx", 5)]
+    base = ingest.stream_reuploads(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert rows(ingest.logged_sizes(spark, base)) == [("a.xlsx", 12), ("b.xlsx", 5)]
     changes = spark.read.parquet(str(tmp_path / "out" / "changes"))
     assert rows(changes, "filename", "change") == [("a.xlsx", "changed"), ("a.xlsx", "new"), ("b.xlsx", "new")]
 

@@ -72,5 +72,6 @@ def test_a_later_empty_list_does_not_hide_the_last_full_one(spark, rows):
 
 
 def test_message(spark):
-    text = runlog.summary_message(lines(spark, a=LOG)).first().message.split("\n")
+    parts = runlog.summary_message(lines(spark, a=LOG), span=1000).orderBy("part", "chunk").collect()
+    text = "\n".join(p.message for p in parts).split("\n")
     assert text[0].startswith("26-04_April") and "processed 1" in text and text[-1] == "commit committed, push pushed"

@@ -107,6 +107,24 @@ def test_replace_issue(spark, rows):
     assert rows(dedupe.append_dedupe(old, batch), "Title") == [("A",), ("B",), ("C",), ("D",), ("E",)]
 
 
+def test_logged_batches_equal_repeated_upserts(spark, rows):
+    import random
+
+    rng = random.Random(2)
+    batches, seq = [], 0
+    for gen in range(5):
+        batch = []
+        for _ in range(rng.randint(1, 6)):
+            seq += 1
+            batch.append((rng.choice("ABCD"), rng.choice(["u", "v", None]), rng.choice(["202601", "202602.0", "2026.002", "202603", None]), seq))
+        batches.append(batch)
+    catalog = frame(spark, [], CATALOG)
+    for batch in batches:
+        catalog = frame(spark, dedupe.replace_issue(catalog, frame(spark, batch, CATALOG)).collect(), CATALOG)
+    log = frame(spark, [(*r, g) for g, b in enumerate(batches) for r in b], CATALOG + ", gen bigint")
+    assert rows(dedupe.catalog_from_batches(log).drop("gen")) == rows(catalog)
+
+
 def test_diff_is_null_safe(spark, rows):
     new = frame(spark, [("a", None), ("b", "u"), ("b", "u")], "Title string, URL string")
     old = frame(spark, [("a", None), ("c", "u")], "Title string, URL string")
@@ -140,7 +158,9 @@ def test_ordered_columns_match_windows(spark, rows):
     want = df.withColumn("n", F.row_number().over(w)).withColumn("f", F.last("v", ignorenulls=True).over(w))
     got = ordered.running_index(df, ["g"], "s", "n", span=100)
     got = ordered.fill_down(got, ["g"], "s", "v", "f", span=100)
-    assert rows(got, "s", "g", "v", "n", "f") == rows(want, "s", "g", "v", "n", "f")
+    got = ordered.running_sum(got, ["g"], "s", "n", "t", span=100)
+    want = want.withColumn("t", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    assert rows(got, "s", "g", "v", "n", "f", "t") == rows(want, "s", "g", "v", "n", "f", "t")
 
 
 def sequential_draws(seed, n):
