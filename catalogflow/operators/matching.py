@@ -93,8 +93,8 @@ def _near_lengths(items, titles, threshold):
     """Titles of a length that some item can match (one row per length)."""
     low, high = _length_band(F.col("len"), threshold)
     lengths = items.select(F.length("title").alias("len")).distinct()
-    wanted = lengths.select(F.explode(F.sequence(low, high)).alias("len")).distinct()
-    return titles.join(wanted, F.length("title") == F.col("len"), "left_semi")
+    wanted = lengths.select(F.explode(F.sequence(low, high)).alias("_near")).distinct()
+    return titles.join(wanted, F.col("len") == F.col("_near"), "left_semi").select("title")
 
 
 def candidate_pairs(items, titles, threshold=THRESHOLD):
@@ -141,9 +141,13 @@ def exclude_issued(items, issued, title, issued_title="Title", threshold=THRESHO
 
     Items with an empty title go too; the quote marks of kept titles go.
     """
-    known = issued.filter(has_clean_title(issued_title)).select(clean_title(issued_title).alias("title")).distinct()
+    known = issued.filter(has_clean_title(issued_title)).select(clean_title(issued_title).alias("title"))
+    # the length is an aggregate used by both joins below, so that they share
+    # one shuffle of the issued titles
+    known = known.groupBy("title").agg(F.max(F.length("title")).alias("len"))
     keyed = items.filter(has_clean_title(title)).withColumn("_t", clean_title(title))
-    open_items = keyed.join(known.withColumnRenamed("title", "_k"), F.col("_t") == F.col("_k"), "left_anti")
+    open_items = keyed.alias("i").join(known.alias("k"), (F.col("i._t") == F.col("k.title")) & (
+        F.length("i._t") == F.col("k.len")), "left_anti")
     open_titles = open_items.select(F.col("_t").alias("title")).distinct()
     all_titles = keyed.select(F.col("_t").alias("title")).distinct()
     similar = similar_titles(open_titles, _near_lengths(all_titles, known, threshold), threshold)
@@ -227,22 +231,21 @@ def best_match(items, candidates, group, item_name, candidate_name, min_score=MI
                candidate_group=None):
     """Best candidate per item inside its group, if it scores high enough.
 
-    Adds ``match`` and ``score``; ties go to the smallest name. Equal token
-    strings are matched by key; the rest is searched in blocks of bounded size,
+    Adds ``match`` and ``score``; ties go to the smallest name. Both sides are
+    reduced to distinct token strings and searched in blocks of bounded size,
     so that a large group spreads over many tasks.
     """
-    wanted = items.select(F.col(group).alias("grp"), sorted_tokens(item_name).alias("sorted"))
-    wanted = wanted.filter("grp is not null and sorted is not null").distinct()
-    size = F.length("sorted")
+    wanted = items.filter(F.col(group).isNotNull() & F.col(item_name).isNotNull())
+    wanted = wanted.select(F.col(group).alias("grp"), sorted_tokens(item_name).alias("sorted")).distinct()
     # a length ratio beyond ``factor`` cannot reach the least score; the sizes
     # of all items bound the candidates before their tokens are sorted
     factor = (200.0 - min_score) / min_score
-    longest, shortest = wanted.agg(F.max(size)).scalar(), wanted.agg(F.min(size)).scalar()
-    plain_size = F.length(squeeze(candidate_name))
+    size, plain = F.length("sorted"), F.length(squeeze(candidate_name))
+    limits = wanted.agg(F.struct(F.min(size).alias("low"), F.max(size).alias("high")).alias("s")).scalar()
     offered = (
         candidates.filter(
             F.col(candidate_group or group).isNotNull()
-            & (plain_size <= longest * factor + 1e-6) & (plain_size * factor + 1e-6 >= shortest)
+            & (plain <= limits["high"] * factor + 1e-6) & (plain * factor + 1e-6 >= limits["low"])
         )
         .select(
             F.col(candidate_group or group).alias("grp"),
@@ -252,21 +255,12 @@ def best_match(items, candidates, group, item_name, candidate_name, min_score=MI
         .groupBy("grp", "sorted")
         .agg(F.min("name").alias("name"))
     )
-    looked_up = wanted.join(offered, ["grp", "sorted"], "left")
-    equal = looked_up.filter("name is not null").select("grp", "sorted", F.lit(100.0).alias("score"), "name")
-    rest = looked_up.filter("name is null").select("grp", "sorted")
-
-    reach = rest.groupBy("grp").agg(
-        F.max(size).alias("longest"), F.min(size).alias("shortest"),
-        F.ceil(F.count(F.lit(1)) / block).alias("n_i"),
+    blocks = F.ceil(F.count("sorted") / block)
+    counts = wanted.groupBy("grp").agg(blocks.alias("n_i")).join(
+        offered.groupBy("grp").agg(blocks.alias("n_j")), "grp"
     )
-    useful = offered.join(reach, "grp").filter(
-        (size <= F.col("longest") * factor + 1e-6) & (size * factor + 1e-6 >= F.col("shortest"))
-    ).select("grp", "sorted", "name")
-    cand_blocks = useful.groupBy("grp").agg(F.ceil(F.count("name") / block).alias("n_j"))
-    counts = reach.select("grp", "n_i").join(cand_blocks, "grp")
-    left = spread(_blocks(rest, "i", "j", counts).select("grp", "i", "j", "sorted"), "grp", "i", "j")
-    right = spread(_blocks(useful, "j", "i", counts).select("grp", "i", "j", "sorted", "name"), "grp", "i", "j")
+    left = spread(_blocks(wanted, "i", "j", counts).select("grp", "i", "j", "sorted"), "grp", "i", "j")
+    right = spread(_blocks(offered, "j", "i", counts).select("grp", "i", "j", "sorted", "name"), "grp", "i", "j")
     group_type = items.schema[group].dataType.simpleString()
     scored = (
         left.groupBy("grp", "i", "j")
@@ -274,8 +268,7 @@ def best_match(items, candidates, group, item_name, candidate_name, min_score=MI
         .applyInPandas(_search_block(min_score), f"grp {group_type}, sorted string, score double, name string")
     )
     best = (
-        scored.unionByName(equal)
-        .groupBy("grp", "sorted")
+        scored.groupBy("grp", "sorted")
         .agg(F.min(F.struct((-F.col("score")).alias("neg"), "name")).alias("_b"))
         .select("grp", "sorted", F.col("_b.name").alias("match"), (-F.col("_b.neg")).alias("score"))
     )

@@ -50,13 +50,24 @@ def running_sum(df, group, pos, value, out, span=SPAN):
     return _carried(spans, sums, "_n", F.sum, local, out, _plus)
 
 
-def fill_down(df, group, pos, value, out, span=SPAN):
-    """Last non-null ``value`` at or before each row of the group."""
+def fill_down(df, group, pos, values, span=SPAN):
+    """Last non-null value at or before each row of the group.
+
+    ``values`` maps output columns to the columns that are filled down; all of
+    them share one pass over the rows.
+    """
     spans = _with_span(df, group, pos, span)
-    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(pos)))
-    last_of_span = spans.groupBy(*_KEYS).agg(last.alias("_v"))
-    so_far = Window.partitionBy(*_KEYS).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    local = F.last(value, ignorenulls=True).over(so_far)
-    return _carried(
-        spans, last_of_span, "_v", lambda c: F.last(c, ignorenulls=True), local, out, lambda a, b: F.coalesce(a, b)
+    names = list(values)
+    last = [
+        F.max_by(values[n], F.when(F.col(values[n]).isNotNull(), F.col(pos))).alias(f"_v{i}") for i, n in enumerate(names)
+    ]
+    earlier = Window.partitionBy(_G).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = spans.groupBy(*_KEYS).agg(*last).select(
+        *_KEYS, *[F.last(f"_v{i}", ignorenulls=True).over(earlier).alias(f"_before{i}") for i in range(len(names))]
     )
+    so_far = Window.partitionBy(*_KEYS).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    local = {f"_local{i}": F.last(values[n], ignorenulls=True).over(so_far) for i, n in enumerate(names)}
+    joined = spans.withColumns(local).join(carry, _KEYS, "left")
+    filled = {n: F.coalesce(F.col(f"_local{i}"), F.col(f"_before{i}")) for i, n in enumerate(names)}
+    helpers = [f"{h}{i}" for i in range(len(names)) for h in ("_local", "_before")]
+    return joined.withColumns(filled).drop(*_KEYS, *helpers)

@@ -57,59 +57,96 @@ def last_run(lines, markers=ZH):
     return marked.filter(F.col("_start").isNull() | (F.col("line_no") >= F.col("_start"))).drop("_f", "_start")
 
 
-def _section_items(section, head, is_end, span):
-    """Dash lines whose nearest section event above is a heading."""
+def _rules(markers):
+    """Heading and end test of each list of a run."""
+    blank = F.col("text") == ""
+    return {
+        "listed": (_has(markers.list_head), blank | _has(markers.list_end)),
+        "processed": (_has(markers.processed_head), blank | _starts([markers.failed])),
+        "html": (_has(markers.html_head), blank | _starts(markers.html_end)),
+    }
+
+
+def _with_heads(section, kinds, markers, span):
+    """Per line and list kind: the heading number if the line is an item of it."""
     rows = section.withColumn("text", strip("line"))
     is_item = F.startswith(F.col("text"), F.lit("-"))
-    event = F.when(_has(head), F.col("line_no")).when(~is_item & is_end, F.lit(-1).cast("bigint"))
-    filled = fill_down(rows.withColumn("_e", event), ["file"], "line_no", "_e", "head_no", span)
-    items = filled.filter(is_item & ~_has(head) & (F.col("head_no") >= 0))
-    return items.select("file", "line_no", "head_no", F.substr("text", F.lit(3)).alias("item"))
+    rules = {k: _rules(markers)[k] for k in kinds}
+    events = {
+        f"_e_{k}": F.when(head, F.col("line_no")).when(~is_item & end, F.lit(-1).cast("bigint"))
+        for k, (head, end) in rules.items()
+    }
+    filled = fill_down(rows.withColumns(events), ["file"], "line_no", {f"_f_{k}": f"_e_{k}" for k in kinds}, span)
+    heads = {f"head_{k}": F.when(is_item & ~head & (F.col(f"_f_{k}") >= 0), F.col(f"_f_{k}")) for k, (head, _) in rules.items()}
+    kept = [*section.columns, "text", *heads]
+    return filled.withColumns(heads).withColumn("item", F.substr("text", F.lit(3))).select(*kept, "item")
+
+
+def list_items(section, kind, markers=ZH, span=SPAN):
+    """Dash lines of one kind of list, with the line number of their heading.
+
+    A line belongs to a list when the nearest event of that list above it is
+    its heading.
+    """
+    rows = _with_heads(section, [kind], markers, span)
+    return rows.select("file", "line_no", "item", F.col(f"head_{kind}").alias("head_no")).filter("head_no is not null")
+
+
+def _last_list(items):
+    """Only the items of the last list that has any."""
+    last = items.groupBy("file").agg(F.max("head_no").alias("_last")).withColumnRenamed("file", "_f")
+    return items.join(last, (F.col("file") == F.col("_f")) & (F.col("head_no") == F.col("_last")), "left_semi")
 
 
 def listed_files(section, markers=ZH, span=SPAN):
     """Items of the last non-empty file list of each section."""
-    end = (F.col("text") == "") | _has(markers.list_end)
-    items = _section_items(section, markers.list_head, end, span)
-    last = items.groupBy("file").agg(F.max("head_no").alias("_last")).withColumnRenamed("file", "_f")
-    return items.join(last, (F.col("file") == F.col("_f")) & (F.col("head_no") == F.col("_last"))).select(
-        "file", "line_no", "item"
-    )
+    return _last_list(list_items(section, "listed", markers, span)).select("file", "line_no", "item")
 
 
 def processed_files(section, markers=ZH, span=SPAN):
-    end = _starts([markers.failed]) | (F.col("text") == "")
-    return _section_items(section, markers.processed_head, end, span).select("file", "line_no", "item")
+    return list_items(section, "processed", markers, span).select("file", "line_no", "item")
 
 
-def run_status(section, markers=ZH):
-    """``nothing_new``, ``processed`` with a count, ``ran`` or ``check``."""
+def _status_facts(markers):
     found = F.regexp_extract("line", markers.succeeded_count, 1)
-    flags = section.groupBy("file").agg(
+    return [
         F.max(_has(markers.nothing_new)).alias("_none"),
         F.max(_has(markers.succeeded)).alias("_ok"),
         F.min_by(found, F.when(found != "", F.col("line_no"))).alias("_n"),
-    )
+    ]
+
+
+def _status_columns():
     status = (
         F.when(F.col("_none"), F.lit("nothing_new"))
         .when(F.col("_ok") & F.col("_n").isNotNull(), F.lit("processed"))
         .when(F.col("_ok"), F.lit("ran"))
         .otherwise(F.lit("check"))
     )
-    number = F.when(status == "processed", F.col("_n").try_cast("int"))
-    return flags.select("file", status.alias("status"), number.alias("processed"))
+    return status.alias("status"), F.when(status == "processed", F.col("_n").try_cast("int")).alias("processed")
+
+
+def run_status(section, markers=ZH):
+    """``nothing_new``, ``processed`` with a count, ``ran`` or ``check``."""
+    return section.groupBy("file").agg(*_status_facts(markers)).select("file", *_status_columns())
+
+
+def _made_html(section, markers):
+    """File names of the lines that report one generated page."""
+    after = F.get(F.split("line", markers.html_made), F.lit(1))
+    name = F.get(F.split(strip(after), r"(?U)\s+"), F.lit(0))
+    return section.filter(_has(markers.html_made) & ~_has(markers.html_head)).select("file", "line_no", name.alias("name"))
+
+
+def _first_seen_html(names):
+    pages = names.filter(F.endswith(F.col("name"), F.lit(".html")))
+    return pages.groupBy("file", "name").agg(F.min("line_no").alias("line_no"))
 
 
 def updated_html(section, markers=ZH, span=SPAN):
     """Updated HTML files, first-seen order by ``line_no``."""
-    end = _starts(markers.html_end) | (F.col("text") == "")
-    listed = _section_items(section, markers.html_head, end, span).select("file", "line_no", strip("item").alias("name"))
-    after = F.get(F.split("line", markers.html_made), F.lit(1))
-    made = section.filter(_has(markers.html_made) & ~_has(markers.html_head)).select(
-        "file", "line_no", F.get(F.split(strip(after), r"(?U)\s+"), F.lit(0)).alias("name")
-    )
-    names = listed.unionByName(made).filter(F.endswith(F.col("name"), F.lit(".html")))
-    return names.groupBy("file", "name").agg(F.min("line_no").alias("line_no"))
+    listed = list_items(section, "html", markers, span).select("file", "line_no", strip("item").alias("name"))
+    return _first_seen_html(listed.unionByName(_made_html(section, markers)))
 
 
 def change_stats(section, markers=ZH):
@@ -117,20 +154,16 @@ def change_stats(section, markers=ZH):
     return rows.filter(_starts(markers.stats)).select("file", "line_no", F.col("text").alias("item"))
 
 
-def publish_status(section, markers=ZH):
-    """Commit and push outcome of each run by precedence of its messages."""
-    def seen(*needles):
-        out = F.lit(False)
-        for n in needles:
-            out = out | _has(n)
-        return F.max(out)
-
-    flags = section.groupBy("file").agg(
-        seen(markers.commit_done).alias("c_done"), seen(markers.commit_failed).alias("c_failed"),
-        seen(markers.commit_none).alias("c_none"), seen(markers.push_start).alias("p_start"),
-        seen(*markers.push_done).alias("p_done"), seen(*markers.push_current).alias("p_current"),
-        seen(*markers.push_failed).alias("p_failed"),
-    )
+def _publish_facts(markers):
+    needles = {
+        "c_done": [markers.commit_done], "c_failed": [markers.commit_failed], "c_none": [markers.commit_none],
+        "p_start": [markers.push_start], "p_done": markers.push_done, "p_current": markers.push_current,
+        "p_failed": markers.push_failed,
+    }
+    return [F.max(F.array_max(F.array(*[_has(n) for n in words]))).alias(name) for name, words in needles.items()]
+
+
+def _publish_columns():
     commit = (
         F.when(F.col("c_done"), F.lit("committed"))
         .when(F.col("c_failed"), F.lit("failed"))
@@ -143,29 +176,57 @@ def publish_status(section, markers=ZH):
         .when(F.col("p_failed"), F.lit("failed"))
         .otherwise(F.lit("check")),
     )
-    return flags.select("file", commit.alias("commit"), push.alias("push"))
+    return commit.alias("commit"), push.alias("push")
 
 
-def summary_lines(lines, markers=ZH, span=SPAN):
-    """The run report as ordered rows ``(file, part, line_no, item)``."""
-    section = last_run(lines, markers)
+def publish_status(section, markers=ZH):
+    """Commit and push outcome of each run by precedence of its messages."""
+    return section.groupBy("file").agg(*_publish_facts(markers)).select("file", *_publish_columns())
 
-    def part(df, number, item):
-        return df.select("file", F.lit(number).alias("part"), "line_no", item.alias("item"))
 
-    zero = F.lit(0).cast("bigint")
-    status = run_status(section, markers).withColumn("line_no", zero)
+def summary_lines(lines, markers=ZH, span=SPAN):
+    """The run report as ordered rows ``(file, part, line_no, item)``.
+
+    Parts: 1 listed files, 2 status, 3 processed files, 4 updated pages,
+    5 change counts, 6 commit and push. The log is passed over once for the
+    lists and once for the facts of each run.
+    """
+    section = _with_heads(last_run(lines, markers), ["listed", "processed", "html"], markers, span)
+    facts = section.groupBy("file").agg(
+        *_status_facts(markers), *_publish_facts(markers), F.max("head_listed").alias("_last")
+    ).select("file", "_last", *_status_columns(), *_publish_columns())
+
+    made = F.get(F.split(strip(F.get(F.split("line", markers.html_made), F.lit(1))), r"(?U)\s+"), F.lit(0))
+    is_made = _has(markers.html_made) & ~_has(markers.html_head)
+    per_run = section.join(facts.select(F.col("file").alias("_f"), "_last", "status"), F.col("file") == F.col("_f"))
+
+    def entry(number, when, item):
+        return F.when(when, F.struct(F.lit(number).alias("part"), item.alias("item")))
+
+    def page(when, name):
+        return entry(4, when & F.endswith(name, F.lit(".html")), name)
+
+    entries = F.array(
+        entry(1, F.col("head_listed") == F.col("_last"), F.col("item")),
+        entry(3, F.col("head_processed").isNotNull() & (F.col("status") == "processed"), F.col("item")),
+        page(F.col("head_html").isNotNull(), strip("item")),
+        page(is_made, made),
+        entry(5, _starts(markers.stats), F.col("text")),
+    )
+    found = per_run.select("file", "line_no", F.explode(entries).alias("e")).filter("e is not null")
+    found = found.select("file", "line_no", "e.part", "e.item")
+    # a page counts once, at its first line; all other entries stay as they are
+    place = F.when(F.col("part") != 4, F.col("line_no"))
+    listed = found.groupBy("file", "part", "item", place.alias("_p")).agg(F.min("line_no").alias("line_no")).drop("_p")
     label = F.concat_ws(" ", "status", F.col("processed").cast("string"))
-    ok = status.filter("status = 'processed'").select(F.col("file").alias("_f"))
-    done = processed_files(section, markers, span).join(ok, F.col("file") == F.col("_f"), "left_semi")
-    publish = publish_status(section, markers).withColumn("line_no", zero)
     notes = F.concat_ws(", ", F.concat(F.lit("commit "), F.col("commit")), F.concat(F.lit("push "), F.col("push")))
-    out = part(listed_files(section, markers, span), 1, F.col("item"))
-    out = out.unionByName(part(status, 2, label))
-    out = out.unionByName(part(done, 3, F.col("item")))
-    out = out.unionByName(part(updated_html(section, markers, span), 4, F.col("name")))
-    out = out.unionByName(part(change_stats(section, markers), 5, F.col("item")))
-    return out.unionByName(part(publish, 6, notes).filter("item <> ''"))
+    summary = F.array(
+        F.struct(F.lit(2).alias("part"), label.alias("item")), F.struct(F.lit(6).alias("part"), notes.alias("item"))
+    )
+    single = facts.select("file", F.explode(summary).alias("e")).select(
+        "file", "e.part", "e.item", F.lit(0).cast("bigint").alias("line_no")
+    )
+    return listed.unionByName(single.filter("item <> ''"))
 
 
 def summary_message(lines, markers=ZH, span=SPAN):

@@ -157,7 +157,7 @@ def test_ordered_columns_match_windows(spark, rows):
     w = Window.partitionBy("g").orderBy("s")
     want = df.withColumn("n", F.row_number().over(w)).withColumn("f", F.last("v", ignorenulls=True).over(w))
     got = ordered.running_index(df, ["g"], "s", "n", span=100)
-    got = ordered.fill_down(got, ["g"], "s", "v", "f", span=100)
+    got = ordered.fill_down(got, ["g"], "s", {"f": "v"}, span=100)
     got = ordered.running_sum(got, ["g"], "s", "n", "t", span=100)
     want = want.withColumn("t", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     assert rows(got, "s", "g", "v", "n", "f", "t") == rows(want, "s", "g", "v", "n", "f", "t")
