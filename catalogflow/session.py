@@ -30,13 +30,13 @@ def build_session(app="catalogflow", cores="*", shuffle_partitions=None, memory=
 def scratch_path(spark, label):
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where the cluster
-    names none (tests, single machine) is a local temporary folder used.
+    ``spark.checkpoint.dir`` is read from the session. Only a local session
+    that names none (tests) gets a temporary folder of the machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="catalogflow-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
