@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import col
 from ..functions.text import clean_title, has_clean_title, squeeze, strip_quotes
-from ..session import spread
+from ..session import materialize, spread
 
 THRESHOLD = 0.90
 MIN_SCORE = 30.0
 BUCKET = 16  # width of a position bucket in the join key
+KEY = ["q", "gram", "bucket"]
+CROWD = 2000  # titles per join key above which the key is searched in blocks
 BLOCK = 1000  # rows of one side in one search block
 
 
@@ -94,25 +96,67 @@ def _near_lengths(items, titles, threshold):
     low, high = _length_band(F.col("len"), threshold)
     lengths = items.select(F.length("title").alias("len")).distinct()
     wanted = lengths.select(F.explode(F.sequence(low, high)).alias("_near")).distinct()
-    return titles.join(wanted, F.col("len") == F.col("_near"), "left_semi").select("title")
+    return titles.join(wanted, F.length("title") == F.col("_near"), "left_semi")
 
 
-def candidate_pairs(items, titles, threshold=THRESHOLD):
-    """Title pairs (a, b) that may reach the threshold; none of those is missed.
-
-    Both tables hold distinct, non-empty titles in a column ``title``.
-    """
+def _possible(threshold):
+    """Row test: lengths and shift allow the pair to reach the threshold."""
     p, q = _edit_bounds(threshold)
-    la, lb, n = F.col("la"), F.col("lb"), F.col("n")
+    la, lb = F.col("la"), F.col("lb")
     half = F.ceil((la + lb) * F.lit(p) / F.lit(2 * q) - F.lit(1e-9))  # least M
     shift = F.col("at") - F.col("p")
     low, high = _length_band(la, threshold)
-    grams = _title_grams(spread(titles, "title"), threshold)
-    joined = _item_segments(items, threshold).join(grams, ["q", "gram", "bucket"])
-    close = joined.filter(lb.between(low, high) & shift.between(half - la, lb - half))
+    return lb.between(low, high) & shift.between(half - la, lb - half)
+
+
+def _crowded_keys(grams, crowd):
+    """Join keys with more than ``crowd`` titles."""
+    counts = grams.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_titles"))
+    return counts.filter(F.col("n_titles") > crowd)
+
+
+def _samples(grams, crowded):
+    """A few titles of each crowded key."""
+    mixed = F.xxhash64("b")
+    few = F.array(F.min("b"), F.max("b"), F.min_by("b", mixed), F.max_by("b", mixed))
+    return grams.join(crowded.select(*KEY), KEY, "left_semi").groupBy(*KEY).agg(few.alias("samples"))
+
+
+def _mark_crowded(segments, crowded):
+    """Number of crowded segments per item, and whether each segment is one."""
+    hot = segments.join(crowded.select(*KEY), KEY, "left_semi").groupBy("a").agg(F.collect_set("p").alias("_hot"))
+    joined = segments.join(hot.withColumnRenamed("a", "_a"), F.col("a") == F.col("_a"), "left")
+    flag = F.coalesce(F.array_contains("_hot", F.col("p")), F.lit(False))
+    return joined.select(
+        *segments.columns, flag.alias("is_crowded"), F.coalesce(F.size("_hot"), F.lit(0)).alias("n_crowded")
+    )
+
+
+def _sparse_pairs(segments, grams, threshold):
+    """Pairs that share enough of the item's other segments."""
+    cold = segments.filter(~F.col("is_crowded"))
+    close = cold.join(grams, KEY).filter(_possible(threshold))
     # a segment found twice counts twice, which only lets more pairs through
-    hits = close.groupBy("a", "b", "la", "lb", "n").agg(F.count(F.lit(1)).alias("hits"))
-    return hits.filter(F.col("hits") >= F.greatest(n - _max_edits(la, lb, threshold), F.lit(1))).select("a", "b")
+    hits = close.groupBy("a", "b", "la", "lb", "n", "n_crowded").agg(F.count(F.lit(1)).alias("hits"))
+    edits = _max_edits(F.col("la"), F.col("lb"), threshold)
+    needed = F.greatest(F.col("n") - edits - F.col("n_crowded"), F.lit(1))
+    return hits.filter(F.col("hits") >= needed).select("a", "b")
+
+
+def _dense_items(segments, threshold):
+    """Crowded segments of the items that may match through these alone."""
+    _, high = _length_band(F.col("la"), threshold)
+    edits = _max_edits(F.col("la"), high, threshold)
+    return segments.filter(F.col("is_crowded") & (F.col("n_crowded") >= F.col("n") - edits))
+
+
+def candidate_pairs(items, titles, threshold=THRESHOLD):
+    """Title pairs (a, b) that may reach the threshold; none of those is missed.
+
+    Both tables hold distinct, non-empty titles in a column ``title``.
+    """
+    segments = _item_segments(items, threshold).withColumns({"is_crowded": F.lit(False), "n_crowded": F.lit(0)})
+    return _sparse_pairs(segments, _title_grams(titles, threshold), threshold)
 
 
 def _reaching(threshold):
@@ -128,29 +172,87 @@ def _reaches(a, b, threshold):
     return m.quick_ratio() >= threshold and m.ratio() >= threshold
 
 
-def similar_titles(items, titles, threshold=THRESHOLD):
-    """Item titles with at least one title at or above the threshold."""
-    pairs = spread(candidate_pairs(items, titles, threshold), "a", "b")
+def _any_in_block(threshold):
+    """Items of a block that resemble any title of it; stops at the first."""
+
+    def search(items: pd.DataFrame, titles: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(items) and len(titles):
+            texts = titles["b"].to_numpy()
+            counts = _letter_counts(texts)
+            sizes = counts.sum(axis=1)
+            for a, mine in zip(items["a"], _letter_counts(items["a"])):
+                bound = 2.0 * np.minimum(counts, mine).sum(axis=1) / (sizes + len(a))
+                order = np.argsort(-bound, kind="stable")
+                near = order[bound[order] >= threshold - 1e-9]
+                if any(_reaches(a, texts[j], threshold) for j in near):
+                    found.append(a)
+        return pd.DataFrame({"a": found}, dtype=object)
+
+    return search
+
+
+def _similar_in_crowds(dense, crowded, grams, threshold, block):
+    """Items that resemble a title with which they share a crowded segment.
+
+    First each item meets the sample titles of its keys; what is left searches
+    the keys in blocks of bounded size. No pair of a crowd becomes a row.
+    """
+    sampled = dense.join(_samples(grams, crowded), KEY).select("a", F.explode("samples").alias("b")).distinct()
+    quick = spread(sampled, "a", "b").mapInPandas(_reaching(threshold), "a string").distinct()
+    rest = dense.select(*KEY, "a").join(quick.withColumnRenamed("a", "_a"), F.col("a") == F.col("_a"), "left_anti")
+    sizes = rest.groupBy(*KEY).agg(F.ceil(F.count(F.lit(1)) / block).alias("n_i")).join(
+        crowded.select(*KEY, F.ceil(F.col("n_titles") / block).alias("n_j")), KEY
+    )
+    left = _in_blocks(rest, "a", "i", "j", sizes)
+    right = _in_blocks(grams.select(*KEY, "b"), "b", "j", "i", sizes)
+    keys = [*KEY, "i", "j"]
+    hits = spread(left, *keys).groupBy(*keys).cogroup(spread(right, *keys).groupBy(*keys)).applyInPandas(
+        _any_in_block(threshold), "a string"
+    )
+    return quick.unionByName(hits)
+
+
+def _in_blocks(df, text, own, other, sizes):
+    placed = df.join(sizes, KEY).withColumn(own, F.pmod(F.xxhash64(text), F.col(f"n_{own}")))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"n_{other}") - 1))
+    return placed.select(*KEY, text, own, copies.alias(other))
+
+
+def similar_titles(items, titles, threshold=THRESHOLD, crowd=CROWD, block=BLOCK):
+    """Item titles with at least one title at or above the threshold.
+
+    Segments found in more than ``crowd`` titles are left out of the pair join;
+    the number of shared segments an item needs drops by as many. Items that
+    could then be missed search the crowds in blocks.
+    """
+    grams = _title_grams(spread(titles, "title"), threshold)
+    # the crowded keys are found first: usually there are none
+    crowded = materialize(_crowded_keys(grams, crowd), "crowded")
+    segments = _mark_crowded(_item_segments(items, threshold), crowded)
+    pairs = spread(_sparse_pairs(segments, grams, threshold), "a", "b")
     # not a filter: the planner would move that below the pair aggregation
     hits = pairs.mapInPandas(_reaching(threshold), "a string")
+    if not crowded.isEmpty():
+        dense = _dense_items(segments, threshold)
+        hits = hits.unionByName(_similar_in_crowds(dense, crowded, grams, threshold, block))
     return hits.select(F.col("a").alias("title")).distinct()
 
 
-def exclude_issued(items, issued, title, issued_title="Title", threshold=THRESHOLD):
+def exclude_issued(items, issued, title, issued_title="Title", threshold=THRESHOLD, crowd=CROWD, block=BLOCK):
     """Items whose title is neither issued nor similar to an issued one.
 
-    Items with an empty title go too; the quote marks of kept titles go.
+    Items with an empty title go too; the quote marks of kept titles go. The
+    distinct issued titles are written to scratch storage first, because three
+    steps read them.
     """
     known = issued.filter(has_clean_title(issued_title)).select(clean_title(issued_title).alias("title"))
-    # the length is an aggregate used by both joins below, so that they share
-    # one shuffle of the issued titles
-    known = known.groupBy("title").agg(F.max(F.length("title")).alias("len"))
+    known = materialize(known.distinct(), "issued")
     keyed = items.filter(has_clean_title(title)).withColumn("_t", clean_title(title))
-    open_items = keyed.alias("i").join(known.alias("k"), (F.col("i._t") == F.col("k.title")) & (
-        F.length("i._t") == F.col("k.len")), "left_anti")
+    open_items = keyed.join(known.select(F.col("title").alias("_k")), F.col("_t") == F.col("_k"), "left_anti")
     open_titles = open_items.select(F.col("_t").alias("title")).distinct()
     all_titles = keyed.select(F.col("_t").alias("title")).distinct()
-    similar = similar_titles(open_titles, _near_lengths(all_titles, known, threshold), threshold)
+    similar = similar_titles(open_titles, _near_lengths(all_titles, known, threshold), threshold, crowd, block)
     kept = open_items.join(similar.withColumnRenamed("title", "_k"), F.col("_t") == F.col("_k"), "left_anti")
     return kept.drop("_t").withColumn(title, strip_quotes(title))
 

@@ -48,3 +48,13 @@ def spread(df, *columns):
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(parts, *columns)
+
+
+def materialize(df, label):
+    """Write a table that several later steps read, and read it back.
+
+    Cuts the lineage and survives lost executors; the planner knows its size.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -41,10 +41,10 @@ def brute_force(items, issued, threshold=0.90):
     )
 
 
-def run(spark, items, issued):
+def run(spark, items, issued, **options):
     left = spark.createDataFrame([(t,) for t in items], "Title string")
     right = spark.createDataFrame([(t,) for t in issued], "Title string")
-    return sorted(r.Title for r in matching.exclude_issued(left, right, "Title").collect())
+    return sorted(r.Title for r in matching.exclude_issued(left, right, "Title", **options).collect())
 
 
 def test_exclude_issued_equals_brute_force(spark):
@@ -52,9 +52,12 @@ def test_exclude_issued_equals_brute_force(spark):
     issued = titles(rng, 300) + ["", None, "abcde", "maps", "abcdefg", "x"]
     items = titles(rng, 40) + [damage(rng, t) for t in rng.choices(issued[:300], k=260)]
     items += [None, '""', "abcdef", "abcdeg", "map", "abcdefgh", "x"]
-    want = [t for t in brute_force(items, issued)]
+    want = sorted(t.replace('"', "").strip() for t in brute_force(items, issued))
     got = run(spark, items, issued)
-    assert got == sorted(" ".join(t.split(" ")).replace('"', "").strip() for t in want)
+    assert got == want
+    # with tiny crowds nearly all keys take the block search
+    assert run(spark, items, issued, crowd=1, block=20) == want
+    assert run(spark, items, issued, crowd=5, block=1000) == want
     assert 20 < len(got) < len(items) - 60
 
 
@@ -66,6 +69,14 @@ def test_long_titles_use_the_matchers_own_rules(spark):
     assert run(spark, items, issued) == sorted(t.strip() for t in brute_force(items, issued))
 
 
+def test_a_crowd_of_one_pattern(spark):
+    rng = random.Random(9)
+    issued = [f"annual report number {rng.randrange(10**7):07d} of the land survey office" for _ in range(400)]
+    items = [f"annual report number {rng.randrange(10**7):07d} of the land survey office" for _ in range(20)]
+    items += [damage(rng, damage(rng, t)) for t in issued[:20]] + titles(rng, 10)
+    assert run(spark, items, issued, crowd=50, block=64) == sorted(t.strip() for t in brute_force(items, issued))
+
+
 def test_candidate_join_misses_no_pair(spark):
     rng = random.Random(11)
     pool = ["".join(rng.choices("ab ", k=rng.randint(1, 40))).strip() or "a" for _ in range(150)]
