@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import text as S
 from ..operators import dedupe, filters, generators, incremental, joins, ranking
+from . import views
 from .registry import EVENTS_AS_OF, ORDERS_AS_OF, query, table
 
 USAGE_TIES = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
@@ -424,6 +425,37 @@ def invalidate_seen(spark, folder):
     return out.select("o_orderkey", "line", F.coalesce("_kept", F.lit(False)).alias("exact_rule"))
 
 
+@query("""
+with l as (select 'Order of ' || o_orderpriority as title, o_custkey as url, strftime(o_orderdate, '%Y%m') as k,
+    o_orderkey as seq, case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end as gen from orders),
+r as (select *, row_number() over (partition by title, url order by gen desc, seq desc) as rn,
+    max(gen) over (partition by k) as newest from l)
+select title as "Title", url as "URL", k as "IssueKey", seq as ingest_seq from r where rn = 1 and gen = newest
+""")
+def logged_upserts(spark, folder):
+    """Three batches upserted one after another, derived from their log."""
+    status = F.col("o_orderstatus")
+    log = table(spark, folder, "orders").select(
+        F.concat(F.lit("Order of "), "o_orderpriority").alias("Title"), F.col("o_custkey").alias("URL"),
+        _month_key("o_orderdate").alias("IssueKey"), F.col("o_orderkey").alias("ingest_seq"),
+        F.when(status == "F", 0).when(status == "O", 1).otherwise(2).alias("gen"),
+    )
+    return dedupe.catalog_from_batches(log).drop("gen")
+
+
+@query("""
+with s as (select text, source, max(case when quality is not null then 1 else 0 end) as n,
+    max(case when quality is null then 1 else 0 end) as o
+  from documents left join labels using (doc_id) group by 1, 2)
+select md5(text) as title, source as "URL", case when o = 0 then 'added' else 'removed' end as change from s where n + o = 1
+""")
+def diff_rows(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", F.col("text").alias("Title"), F.col("source").alias("URL"))
+    known = table(spark, folder, "labels").select("doc_id")
+    rows = dedupe.diff_keys(docs.join(known, "doc_id", "left_semi"), docs.join(known, "doc_id", "left_anti"))
+    return rows.select(F.md5("Title").alias("title"), "URL", "change")
+
+
 # --- aggregates and views --------------------------------------------------
 
 
@@ -567,3 +599,103 @@ def daily_pick(spark, folder):
     # 2001-08-15 is day 227 of the year
     picks = generators.daily_pick(docs, "pool", "doc_id", 3, 2001 * 1000 + 227, span=100_000)
     return picks.select("doc_id", "pool", F.round("draw", 9).alias("draw"), "pick")
+
+
+# --- entry points ----------------------------------------------------------
+
+
+def _raw_metadata(spark, folder):
+    """Metadata rows in workbook form, one per order."""
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    p = F.col("o_orderpriority")
+    category = F.when(p == "1-URGENT", "In-Press").when(p == "5-LOW", "Book Review").otherwise("Research Article")
+    return table(spark, folder, "orders").select(
+        F.concat(F.lit("Order of "), "o_orderpriority", F.lit(" "), F.col("o_custkey")).alias("Title"),
+        F.concat(F.lit("Clerk 1; Buyer "), F.col("o_custkey")).alias("Authors"),
+        category.alias("Article Category"),
+        F.col("o_orderdate").cast("date").alias("Date MMDDYY"),
+        F.concat(F.month("o_orderdate"), F.lit(".0")).alias("Issue Number"),
+        (F.year("o_orderdate") - 1934).cast("string").alias("Volume"),
+        F.concat(F.lit("1-"), key).alias("Page Numbers"),
+        F.when(status == "O", "OA").when(status == "F", "SUB").alias("Access Status"),
+        F.concat(F.lit("https://doi.org/10.9/"), key).alias("DOI"),
+        F.when(status == "P", F.lit("No Abstract")).otherwise(p).alias("Abstract"),
+        F.when(status != "F", F.concat(F.lit("https://files.example/d/"), key, F.lit("/view"))).alias("Graphical Abstract"),
+        key.alias("ingest_seq"),
+    )
+
+
+CATALOG_SQL = """
+c as (select 'Order of ' || o_orderpriority || ' ' || o_custkey as title, o_orderkey as seq, o_orderdate as d,
+    strftime(o_orderdate, '%Y%m') as k, o_orderstatus as st, o_orderpriority as p from orders),
+cat as (select *, case p when '1-URGENT' then 'in_press' when '5-LOW' then 'other' else 'research' end as class from c)
+"""
+
+
+@query(f"""
+with {CATALOG_SQL}
+select seq as ingest_seq, title as "Title", class, k as "IssueKey", 'https://doi.org/10.9/' || seq as "URL",
+  case when class = 'in_press' then strftime(d, '%B ') || day(d) || strftime(d, ', %Y') else 'pp. 1-' || seq end as "Pages",
+  case st when 'O' then 'Open Access content' else 'Subscribed content' end as "Access", strftime(d, '%B %Y') as "PubDate",
+  'Clerk; Buyer' as "Authors",
+  case when st <> 'F' then 'img/' || year(d) || '/' || strftime(d, '%m') || '/' || seq || '.png' end as "GA_Path"
+from cat
+""")
+def catalog_rows(spark, folder):
+    rows = views.catalog_rows(_raw_metadata(spark, folder))
+    return rows.select("ingest_seq", "Title", "class", "IssueKey", "URL", "Pages", "Access", "PubDate", "Authors", "GA_Path")
+
+
+def _ingested(spark, folder):
+    """The older orders as catalog, the orders of the last year as batch."""
+    raw = _raw_metadata(spark, folder)
+    late = F.col("Date MMDDYY") >= F.lit("2000-09-01").cast("date")
+    old = views.catalog_rows(raw.filter(~late)).filter("class = 'research'").drop("class")
+    return views.ingest_batch(old, raw.filter(late))
+
+
+@query(f"""
+with {CATALOG_SQL}
+select k as "IssueKey", count(*) as added, 0 as removed, count(*) as current_keys
+from cat where class = 'research' and d >= timestamp '2000-09-01' group by 1
+""")
+def ingest_changes(spark, folder):
+    return _ingested(spark, folder)["changes"]
+
+
+@query(f"""
+with {CATALOG_SQL}
+select seq as ingest_seq, title as "Title", strftime(d, '%B %Y') as "PubDate" from cat
+where class = 'research' and date_trunc('month', d) >= timestamp '2001-02-15 12:00:00'
+""")
+def recent_catalog_view(spark, folder):
+    view = views.recent_view(_ingested(spark, folder)["catalog"], ORDERS_AS_OF)
+    return view.select("ingest_seq", "Title", "PubDate")
+
+
+@query(f"""
+with {CATALOG_SQL},
+m as (select l_orderkey, cast(count(*) as int) as citations from lineitem group by 1)
+select seq as ingest_seq, title as "Title", coalesce(citations, 0) as citations
+from cat left join m on l_orderkey = seq
+where class = 'research' and date_trunc('month', d) >= timestamp '1999-08-16 12:00:00' and st <> 'P'
+order by coalesce(citations, 0) desc, seq limit 6
+""")
+def most_cited_catalog_view(spark, folder):
+    counts = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("int").alias("citations"))
+    metric = counts.select(
+        F.concat(F.lit("10.9/"), F.col("l_orderkey")).alias("doi"), F.lit(None).cast("string").alias("title"), "citations"
+    )
+    view = views.most_cited_view(_ingested(spark, folder)["catalog"], metric, ORDERS_AS_OF, n=6)
+    return view.select("ingest_seq", "Title", "citations")
+
+
+@query("""
+select p_partkey, cast(coalesce(n, 0) as int) as citations from part
+left join (select l_partkey, count(*) as n from lineitem where l_quantity > 45 group by 1) on l_partkey = p_partkey
+""")
+def citations_sorted(spark, folder):
+    lines = table(spark, folder, "lineitem").filter("l_quantity > 45")
+    counts = lines.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("citations"))
+    rows = table(spark, folder, "part").select("p_partkey").join(counts, "p_partkey", "left")
+    return ranking.by_metric(rows, "citations", "p_partkey")

@@ -6,7 +6,7 @@ from ..functions import dates as D
 from ..functions import text as S
 from ..operators import audit, extraction, generators, matching, ranking, rendering, runlog
 from ..session import scratch_path
-from ..sources.readers import number_lines
+from ..sources.readers import number_lines, parse_listing, parse_state, scan_issue_keys
 from ..streaming import ingest
 from .registry import ORDERS_AS_OF, query, table
 
@@ -145,7 +145,7 @@ def article_blocks(spark, folder):
     return pages.select("page_id", "pos", F.md5("block").alias("block"))
 
 
-@query("""
+SECTION_SQL = """
 with l as (select doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[A-Za-z]')) as lines
   from documents),
 j as (select doc_id, string_split(array_to_string(list_transform(lines, lambda x: trim(x) ||
@@ -154,7 +154,20 @@ e as (select doc_id, trim(unnest(parts)) as entry, unnest(range(0, len(parts)))
 c as (select doc_id, pos, entry, position('. ' in entry) as cut from e)
 select doc_id, pos, md5(trim(entry[1:cut - 1])) as title, md5(trim(entry[cut + 2:])) as authors
 from c where cut > 1 and trim(entry[1:cut - 1]) <> '' and trim(entry[cut + 2:]) <> ''
-""")
+"""
+
+
+@query(SECTION_SQL)
+def section_entries_paged(spark, folder):
+    """One row per page: a front page, then a page with the whole text."""
+    docs = table(spark, folder, "documents")
+    text = F.concat(F.lit("Cover page.\nIn-Press Articles\n"), "text")
+    pages = docs.select("doc_id", F.posexplode_outer(F.array(F.lit("Front matter."), text)).alias("page", "text"))
+    rows = extraction.extract_section_pages(pages, "doc_id", "page", "text", "In-Press Articles", "RUNNING FOOTER")
+    return rows.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.md5("Title").alias("title"), F.md5("Authors").alias("authors"))
+
+
+@query(SECTION_SQL)
 def section_entries(spark, folder):
     text = F.concat(F.lit("Cover page.\nIn-Press Articles\n"), "text")
     docs = table(spark, folder, "documents").select("doc_id", F.array(F.lit("Front matter."), text).alias("pages"))
@@ -496,11 +509,68 @@ def log_updated_html(spark, folder):
     return runlog.updated_html(runlog.last_run(_log(spark, folder)), span=1000)
 
 
-@query()
+@query(f"""
+with {LOG_LINES},
+e as (select *, trim(line) as t, starts_with(trim(line), '-') as is_item from run),
+v as (select *, case when event_type = 'click' then line_no when t = '' or contains(line, '📌') then -1 end as e1,
+    case when line = '已处理的文件:' then line_no when t = '' then -1 end as e3,
+    case when event_type = 'purchase' then line_no when t = '' or starts_with(t, '✅') then -1 end as e4 from e),
+f as (select *, last_value(e1 ignore nulls) over w as h1, last_value(e3 ignore nulls) over w as h3,
+    last_value(e4 ignore nulls) over w as h4 from v window w as (partition by file order by line_no
+    rows between unbounded preceding and current row)),
+l as (select file, line_no, t[3:] as item, h1, max(h1) over (partition by file) as last from f where is_item and h1 >= 0),
+s as (select file, bool_or(contains(line, '成功处理:')) as ok, min_by(regexp_extract(line, '成功处理: (\\d+) 个文件', 1), line_no)
+    filter (contains(line, '成功处理:')) as n, bool_or(contains(line, 'Pushing')) as pushed,
+    bool_or(contains(line, 'fatal:')) as fatal from run group by 1),
+h as (select file, line_no, trim(t[3:]) as name from f where is_item and h4 >= 0
+  union all select file, line_no, string_split(trim(string_split(line, '已生成:')[2]), ' ')[1] from f where contains(line, '已生成:'))
+select file, 1 as part, line_no, item from l where h1 = last
+union all select file, 2, 0, case when ok then 'processed ' || n else 'check' end from s
+union all select file, 3, line_no, t[3:] from f where is_item and h3 >= 0 and file in (select file from s where ok)
+union all select file, 4, min(line_no), name from h where ends_with(name, '.html') group by file, name
+union all select file, 6, 0, case when fatal then 'push failed' else 'push check' end from s where pushed
+""")
 def log_summary(spark, folder):
     return runlog.summary_lines(_log(spark, folder), span=1000)
 
 
+@query("""
+with b as (select 'batch_' || user_id || '.xlsx' as filename, cast(floor(value) as bigint) as size_bytes, event_id,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') as ts, event_type from events),
+s as (select filename, max_by(case when event_type = 'error' then -1 else size_bytes end, event_id) as stored from b
+  where event_type in ('view', 'error') group by 1)
+select filename, size_bytes, ts, nullif(stored, -1) as stored from b left join s using (filename) where event_type = 'click'
+""")
+def listing_and_state(spark, folder):
+    """Text listings and state logs of an object store, written from the events."""
+    events = table(spark, folder, "events").withColumn("name", F.concat(F.lit("batch_"), F.col("user_id"), F.lit(".xlsx")))
+    kind, size = F.col("event_type"), F.floor("value")
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    listed = (
+        F.when(kind == "click", F.concat_ws("   ", stamp, size, "name"))
+        .when(kind == "signup", F.concat_ws(" ", stamp, size, F.lit("notes.txt"))).otherwise(F.lit("PRE folder/"))
+    )
+    logged = (
+        F.when(kind == "view", F.concat_ws(" ", "name", size, F.lit("# Processed at"), stamp))
+        .when(kind == "error", F.concat_ws(" ", "name", F.lit("# Processed at"), stamp))
+        .when(kind == "click", F.lit("# comment")).otherwise(F.lit(" "))
+    )
+    listing = parse_listing(events.select(listed.alias("value")))
+    state = parse_state(events.select(F.col("event_id").alias("line_no"), logged.alias("line")))
+    joined = listing.join(state.withColumnRenamed("size_bytes", "stored"), "filename", "left")
+    return joined.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("""
+select distinct strftime(o_orderdate, '%Y%m') as issue_key, year(o_orderdate) as year, month(o_orderdate) as issue
+from orders where o_orderstatus <> 'P'
+""")
+def issue_keys_of_paths(spark, folder):
+    name = F.concat(F.lit("out/html/"), F.date_format("o_orderdate", "yyyyMM"),
+                    F.when(F.col("o_orderstatus") == "P", F.lit("x.html")).otherwise(F.lit(".html")))
+    return scan_issue_keys(table(spark, folder, "orders").select(name.alias("path")))
+
+
 @query("""
 with l as (select doc_id, unnest(string_split(text, chr(10))) as line,
     unnest(range(0, len(string_split(text, chr(10))))) as line_no from documents)
@@ -532,6 +602,19 @@ def stream_upsert(spark, folder):
     return ingest.upserted(spark, log, rows.schema).select("Title", "URL", "ingest_seq")
 
 
+@query("""
+select user_id, event_type, event_id from events where user_id not in (select o_custkey from orders where o_orderstatus = 'F')
+""")
+def stream_skip_seen(spark, folder):
+    base = scratch_path(spark, "stream-seen")
+    # keys handled before the stream starts: generation -1 of the seen table
+    known = table(spark, folder, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("key")).distinct()
+    known.write.parquet(f"{base}/seen/gen=-1")
+    rows = _stream(spark, folder, "events").select("user_id", "event_type", "event_id")
+    out = ingest.stream_skip_seen(rows, "user_id", f"{base}/seen", f"{base}/out", f"{base}/checkpoint")
+    return spark.read.schema(rows.schema).parquet(f"{out}/*")
+
+
 @query("select user_id, event_type from events group by 1, 2")
 def stream_dedupe(spark, folder):
     base = scratch_path(spark, "stream-dedupe")
