@@ -294,17 +294,6 @@ def extract_details(pages, title=("h1", None, None), authors=(None, "contributio
     return _extract(pages, rule, ["Title", "Authors", "Affiliations", "Abstract"])
 
 
-def extract_links(pages, container="nav", item="a"):
-    """Text and target of the links inside a container tag."""
-
-    def rule(page):
-        for box in page.all(container):
-            for a in box.all(item):
-                yield (a.raw().strip(), a.attrs.get("href"))
-
-    return _extract(pages, rule, ["label", "href"])
-
-
 # --- section text ----------------------------------------------------------
 
 

@@ -12,7 +12,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..functions.nulls import col
 from ..functions.text import clean_title, has_clean_title, squeeze, strip_quotes
 from ..session import materialize, spread
 

@@ -477,7 +477,7 @@ def issue_rollup(spark, folder):
 
 @query("""
 select user_id, count(*) filter (event_type = 'purchase') as succeeded,
-  count(*) filter (event_type = 'error') as failed, count(distinct event_type) as n_kinds,
+  count(*) filter (event_type = 'error') as failed, cast(count(distinct event_type) as int) as n_kinds,
   array_to_string(list_sort(list(distinct event_type))[1:3], ', ')
     || case when count(distinct event_type) > 3 then ' and ' || (count(distinct event_type) - 3) || ' more' else '' end as kinds
 from events group by user_id
@@ -499,7 +499,7 @@ def run_success_summary(spark, folder):
 with months as (select unnest(generate_series(timestamp '1990-01-01',
     (select date_trunc('month', max(o_orderdate)) from orders), interval 1 month)) as m),
 n as (select date_trunc('month', o_orderdate) as m, count(*) as articles from orders group by 1)
-select year(m) as year, month(m) as issue, year(m) - 1934 as volume,
+select cast(year(m) as int) as year, cast(month(m) as int) as issue, cast(year(m) - 1934 as int) as volume,
   'No. ' || month(m) || ', ' || strftime(m, '%b %Y') as label,
   case when m = (select max(m) from months) then 'NEW' when m <= timestamp '2000-08-15 12:00:00' then 'Full access'
     else '' end as access_flag, coalesce(articles, 0) as articles
@@ -575,8 +575,8 @@ def group_positions(spark, folder):
 
 @query("""
 select doc_id, lang = 'en' as is_open, pick from (
-  select doc_id, lang, row_number() over (partition by lang = 'en'
-    order by md5(doc_id || ':17'), doc_id) as pick from documents) where pick <= 3
+  select doc_id, lang, cast(row_number() over (partition by lang = 'en'
+    order by md5(doc_id || ':17'), doc_id) as int) as pick from documents) where pick <= 3
 """)
 def random_pick(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", (F.col("lang") == "en").alias("is_open"))
@@ -591,7 +591,7 @@ m as (select *, cast((cast(xor(a, a >> 15) as hugeint) * (a | 1)) % 4294967296 a
 x as (select *, xor(t, (t + cast((cast(xor(t, t >> 7) as hugeint) * (t | 61)) % 4294967296 as bigint)) & 4294967295) as u from m),
 d as (select doc_id, pool, xor(u, u >> 14) / 4294967296.0 as draw, n from x)
 select doc_id, pool, round(draw, 9) as draw, pick from (
-  select *, row_number() over (partition by pool order by draw, n) as pick from d) where pick <= 3
+  select *, cast(row_number() over (partition by pool order by draw, n) as int) as pick from d) where pick <= 3
 """)
 def daily_pick(spark, folder):
     pool = F.when(F.col("lang") == "en", F.lit(0)).otherwise(F.lit(1))
@@ -656,7 +656,7 @@ def _ingested(spark, folder):
 
 @query(f"""
 with {CATALOG_SQL}
-select k as "IssueKey", count(*) as added, 0 as removed, count(*) as current_keys
+select k as "IssueKey", count(*) as added, cast(0 as bigint) as removed, count(*) as current_keys
 from cat where class = 'research' and d >= timestamp '2000-09-01' group by 1
 """)
 def ingest_changes(spark, folder):

@@ -136,7 +136,7 @@ def journal_detail_extract(spark, folder):
 
 
 @query("""
-select page_id, pos - 1 as pos, md5(block) as block from (
+select page_id, cast(pos - 1 as int) as pos, md5(block) as block from (
   select page_id, unnest(b) as block, unnest(range(1, len(b) + 1)) as pos from (
     select page_id, regexp_extract_all(html, '(?is)<article\\b.*?</article>') as b from pages))
 """)
@@ -152,7 +152,7 @@ j as (select doc_id, string_split(array_to_string(list_transform(lines, lambda x
     case when regexp_matches(x, '\\.$') or contains(x, ', and ') then chr(1) else '' end), ' '), chr(1)) as parts from l),
 e as (select doc_id, trim(unnest(parts)) as entry, unnest(range(0, len(parts))) as pos from j),
 c as (select doc_id, pos, entry, position('. ' in entry) as cut from e)
-select doc_id, pos, md5(trim(entry[1:cut - 1])) as title, md5(trim(entry[cut + 2:])) as authors
+select doc_id, cast(pos as int) as pos, md5(trim(entry[1:cut - 1])) as title, md5(trim(entry[cut + 2:])) as authors
 from c where cut > 1 and trim(entry[1:cut - 1]) <> '' and trim(entry[cut + 2:]) <> ''
 """
 
@@ -164,7 +164,7 @@ def section_entries_paged(spark, folder):
     text = F.concat(F.lit("Cover page.\nIn-Press Articles\n"), "text")
     pages = docs.select("doc_id", F.posexplode_outer(F.array(F.lit("Front matter."), text)).alias("page", "text"))
     rows = extraction.extract_section_pages(pages, "doc_id", "page", "text", "In-Press Articles", "RUNNING FOOTER")
-    return rows.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.md5("Title").alias("title"), F.md5("Authors").alias("authors"))
+    return rows.select("doc_id", F.col("pos").cast("int").alias("pos"), F.md5("Title").alias("title"), F.md5("Authors").alias("authors"))
 
 
 @query(SECTION_SQL)
@@ -178,7 +178,7 @@ def section_entries(spark, folder):
 @query("""
 with l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(0, len(string_split(text, chr(10))))) as pos
   from documents)
-select doc_id, pos, md5(trim(regexp_extract(line, '(?s)^(.*?)\\.\\s+(.*)$', 1))) as title,
+select doc_id, cast(pos as int) as pos, md5(trim(regexp_extract(line, '(?s)^(.*?)\\.\\s+(.*)$', 1))) as title,
   md5(trim(regexp_extract(line, '(?s)^(.*?)\\.\\s+(.*)$', 2))) as authors
 from l where regexp_matches(line, '(?s)^(.*?)\\.\\s+(.*)$')
 """)
@@ -303,7 +303,7 @@ with months as (select unnest(generate_series(timestamp '2003-01-01' - interval
 f as (select year(m) as year, month(m) as issue, '<li><a href="issues/' || strftime(m, '%Y%m') || '.html">No. ' || month(m)
     || ', ' || strftime(m, '%b %Y') || '</a>' || case when m = (select max(m) from months) then ' <strong>NEW</strong>'
     when m <= timestamp '2000-08-15 12:00:00' then ' <strong>Full access</strong>' else '' end || '</li>' as item from months)
-select year, year - 1934 as volume, '<ul><li>Volume ' || (year - 1934) || '</li>'
+select cast(year as int) as year, cast(year - 1934 as int) as volume, '<ul><li>Volume ' || (year - 1934) || '</li>'
   || string_agg(item, '' order by issue desc) || '</ul>' as html from f group by year
 """)
 def issue_index_pages(spark, folder):
@@ -562,7 +562,7 @@ def listing_and_state(spark, folder):
 
 
 @query("""
-select distinct strftime(o_orderdate, '%Y%m') as issue_key, year(o_orderdate) as year, month(o_orderdate) as issue
+select distinct strftime(o_orderdate, '%Y%m') as issue_key, cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as issue
 from orders where o_orderstatus <> 'P'
 """)
 def issue_keys_of_paths(spark, folder):

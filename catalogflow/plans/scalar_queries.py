@@ -52,7 +52,7 @@ l as (select doc_id, list_filter(list_transform(string_split(regexp_replace(raw,
         lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') as names from v)
 select doc_id, md5(regexp_replace(cleaned, '^\\s+|\\s+$', '', 'g')) as authors,
   md5(array_to_string(names, '; ')) as linked, md5(array_to_string(names, ' | ')) as joined,
-  len(names) as n_names
+  cast(len(names) as int) as n_names
 from c join l using (doc_id)
 """)
 def norm_contributors(spark, folder):
@@ -183,10 +183,10 @@ select o_orderkey,
     when 1 then lpad(cast(o_orderkey % 13 as varchar), 2, '0') when 2 then 'S' || (o_orderkey % 13) else '' end as issue,
   case o_orderkey % 4 when 2 then 'y' || year(o_orderdate) when 3 then ''
     else cast(year(o_orderdate) as varchar) end as year_text,
-  year(o_orderdate) - 1934 as volume_of_year,
+  cast(year(o_orderdate) - 1934 as int) as volume_of_year,
   case o_orderkey % 4 when 0 then cast(o_orderkey % 13 as varchar) when 1 then cast(o_orderkey % 13 as varchar)
     when 2 then 'S' || (o_orderkey % 13) else '0' end as issue_display,
-  year(o_orderdate) * 1000 + dayofyear(o_orderdate) as day_seed
+  cast(year(o_orderdate) * 1000 + dayofyear(o_orderdate) as int) as day_seed
 from orders
 """)
 def volume_issue_numbers(spark, folder):

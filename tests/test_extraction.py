@@ -94,8 +94,3 @@ def test_references(spark, rows):
     assert rows(X.extract_references(df, "doc", "t"), "Authors", "Title", "Publication Info") == [
         ("Lee, A., Deep maps of forests", "Journal of Tests, B., 2001", " Volume/Issue: 12(3), Pages: 45–67")
     ]
-
-
-def test_links(spark, rows):
-    got = rows(X.extract_links(pages(spark, '<nav><a href="/a">A</a></nav><a href="/b">B</a>')), "label", "href")
-    assert got == [("A", "/a")]
