@@ -45,7 +45,7 @@ def sniff_format(df, path="path", content="content"):
 
 
 def page_references(pages, url, html, base_dir="", known_prefixes=(), tag="img", attribute="src"):
-    """Distinct local references of each page, external ones left out."""
+    """Local references of each page, one row each; external ones are left out."""
     # outer, so that the planner adds no filter that scans the page again
     refs = pages.select(url, F.explode_outer(image_sources(html, tag, attribute)).alias("src")).filter("src is not null")
     return refs.withColumn("path", resolve_asset_path("src", base_dir, known_prefixes)).filter("path is not null")

@@ -8,6 +8,7 @@ from ..operators import audit, extraction, generators, matching, ranking, render
 from ..session import scratch_path
 from ..sources.readers import number_lines, parse_listing, parse_state, scan_issue_keys
 from ..streaming import ingest
+from . import views
 from .registry import ORDERS_AS_OF, query, table
 
 HEADING = "<h1>(.*?)</h1>"
@@ -49,15 +50,19 @@ select url as page_url, trim({UNESCAPE.format("regexp_extract(html, '<h1>(.*?)</
 from pages
 """)
 def toc_extract(spark, folder):
+    rows = extraction.extract_toc(_toc_pages(spark, folder), "https://base.example")
+    return rows.drop("pos")
+
+
+def _toc_pages(spark, folder):
+    """Each page with one article block in the journal's layout in front of it."""
     block = F.concat(
         F.lit('<p class="heading">Original Articles</p><div class="data"><strong>'), "heading",
         F.lit('</strong><a href="/p'), F.col("page_id"), F.lit('">link</a><br>note<br> pp. '), F.col("page_id"),
         F.lit('<br><em>A. Writer</em><span class="access-icon"><img title="Open Access content"></span></div>'
               '<p class="heading">In-Press Articles</p><div class="data"><strong>Other</strong></div>'),
     )
-    pages = _heading(table(spark, folder, "pages")).select("url", F.concat(block, "html").alias("html"))
-    rows = extraction.extract_toc(pages, "https://base.example")
-    return rows.drop("pos")
+    return _heading(table(spark, folder, "pages")).select("url", F.concat(block, "html").alias("html"))
 
 
 @query(f"""
@@ -67,13 +72,38 @@ select url as page_url, regexp_extract(html, '<html lang="(..)"', 1) || '; Ann O
 from pages
 """)
 def article_extract(spark, folder):
+    rows = extraction.extract_article(_article_pages(spark, folder).select("url", "html"))
+    return rows.select("page_url", "Authors", F.md5("Abstract").alias("abstract"))
+
+
+def _article_pages(spark, folder):
+    """Each page's article as the abstract of an article page."""
     body = F.concat(
         F.lit('<p><strong>Authors:</strong> <a>'), F.regexp_extract("html", '<html lang="(..)"', 1),
         F.lit('</a><sup><a>1</a></sup>; <a>Ann Other</a><a> 2 </a></p><div id="Abst">'),
         F.regexp_extract("html", "(?s)<article>.*</article>", 0), F.lit("</div>"),
     )
-    pages = table(spark, folder, "pages").select("url", body.alias("html"))
-    return extraction.extract_article(pages).select("page_url", "Authors", F.md5("Abstract").alias("abstract"))
+    return table(spark, folder, "pages").select("page_id", "url", body.alias("html"))
+
+
+@query(f"""
+with p as (select page_id, url, trim({UNESCAPE.format("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}) as title,
+  replace(trim({UNESCAPE.format("regexp_replace(regexp_extract(html, '(?s)<article>.*</article>', 0), '\\s*<[^>]*>\\s*', '', 'g')")}),
+    chr(10), ' ') as abstract from pages),
+k as (select * from p where url not in (select url from pages where page_id in (select user_id from events where value > 400))
+  and abstract not ilike '%no abstract%'),
+r as (select *, row_number() over (partition by title order by url) as rn from k)
+select title as "Title", 'pp. ' || page_id as "Pages", 'https://base.example/p' || page_id as "URL", md5(abstract) as abstract
+from r where rn = 1
+""")
+def scraped_catalog(spark, folder):
+    """Issue and article pages to cleaned catalog rows, pages seen before left out."""
+    seen_ids = table(spark, folder, "events").filter("value > 400").select(F.col("user_id").alias("page_id")).distinct()
+    seen = table(spark, folder, "pages").join(seen_ids, "page_id").select(F.col("url").alias("key"))
+    link = F.concat(F.lit("https://base.example/p"), F.col("page_id"))
+    articles = _article_pages(spark, folder).select(link.alias("url"), "html")
+    rows = views.scraped_articles(_toc_pages(spark, folder), articles, seen, "https://base.example")
+    return rows.select("Title", "Pages", "URL", F.md5("Abstract").alias("abstract"))
 
 
 @query(f"""

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as S
-from ..operators import dedupe, filters, incremental, joins, ranking
+from ..operators import dedupe, extraction, filters, incremental, joins, matching, ranking
 
 
 def catalog_rows(raw, rule="pattern"):
@@ -78,5 +78,39 @@ def most_downloaded_view(usage, details, metric="Total Downloads", n=6):
     """Usage report to the top articles: rank, fill details, clean, cut."""
     ranked = ranking.usage_ranking(usage, "DOI", metric, [F.col("Month"), F.col("`Item Title`")], 20)
     blank = ranked.withColumns({c: F.lit(None).cast("string") for c in ("Authors", "Abstract")})
-    filled = joins.update_by_key(blank, details, "DOI", ["Authors", "Abstract"], ["DOI"])
+    filled = joins.update_by_key(blank, details, "DOI", ["Authors", "Abstract"], ["Authors", "Abstract"])
     return ranking.two_step_top(filled, metric, "Authors", "Abstract", [F.col("DOI")], 20, n)
+
+
+COLUMNS = ("Title", "Authors", "Pages", "Access", "URL", "Abstract")
+
+
+def scraped_articles(toc_pages, article_pages, seen=None, base=""):
+    """Issue pages and article pages to cleaned catalog rows.
+
+    Skips issue pages seen before, takes each abstract from the page of the
+    article's link, drops column titles and rows without authors or abstract,
+    and keeps the first row of each title (by page link and position).
+    """
+    fresh = toc_pages if seen is None else joins.skip_seen(toc_pages, seen, "url")
+    rows = extraction.extract_toc(fresh, base)
+    details = extraction.extract_article(article_pages).select(F.col("page_url").alias("_url"), "Abstract")
+    rows = rows.join(details, F.col("URL") == F.col("_url"), "left").drop("_url")
+    rows = filters.drop_column_titles(rows, "Title")
+    rows = filters.drop_no_abstract(filters.drop_missing(rows, ["Abstract", "Authors"]), "Abstract", "contains")
+    return dedupe.dedupe_first(rows, ["Title"], ["page_url", "pos"]).select(*COLUMNS)
+
+
+def in_press_articles(listing_pages, article_pages, catalog, base=""):
+    """Fast-track items that are not yet issued, with authors and abstract."""
+    items = extraction.extract_fast_track(listing_pages, base)
+    kept = matching.exclude_issued(items, catalog, "Title")
+    details = extraction.extract_article(article_pages).select(F.col("page_url").alias("_url"), "Authors", "Abstract")
+    rows = kept.join(details, F.col("Link") == F.col("_url"), "left")
+    rows = rows.select(
+        "Title", "Authors", F.col("Date").alias("Pages"), F.col("Access Status").alias("Access"),
+        F.col("Link").alias("URL"), "Abstract",
+    )
+    # newest first; dates that cannot be read go last
+    dated_rows = filters.drop_no_abstract(rows, "Abstract").withColumn("_day", D.parse_online_date("Pages"))
+    return ranking.by_date(dated_rows, "_day", "Title", "URL").drop("_day")

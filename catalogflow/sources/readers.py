@@ -1,10 +1,12 @@
 """Readers with declared schemas; none of them infers types."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.text import strip
+from ..operators.dedupe import union_all
 from ..operators.filters import add_missing_columns
 from ..operators.incremental import last_state
 
@@ -16,7 +18,8 @@ ISSUE_FILE = r"(?:^|/)(\d{6})\.html$"
 def read_catalog_csv(spark, path, schema=schemas.CATALOG, null_value=None):
     """Header CSV with doubled quotes and line breaks inside quoted fields.
 
-    Columns are matched by name, so a file may lack some or order them freely.
+    ``path`` is a file, a folder or a list of files with one header. Columns
+    are matched by name, so the files may lack some or order them freely.
     """
     header = _header(spark, path)
     wanted = {f.name: f.dataType for f in schema.fields}
@@ -37,23 +40,27 @@ def _string_schema(names):
 
 
 def _header(spark, path):
-    """Column names of a CSV file or folder: one header record is read."""
+    """Column names of CSV files: one header record is read."""
     sample = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return sample.columns
 
 
 def read_many_optional(spark, paths, required, schema):
-    """Union of the files that can be read and hold the required columns."""
-    out = None
+    """Union of the files that can be read and hold the required columns.
+
+    Files with the same header are read together, so the plan grows with the
+    number of layouts, not of files.
+    """
+    layouts = {}
     for path in paths:
         try:
-            header = _header(spark, path)
-        except Exception:  # an unreadable file is left out, as documented
+            header = tuple(_header(spark, path))
+        except AnalysisException:  # an unreadable file is left out, as documented
             continue
         if all(c in header for c in required):
-            part = read_catalog_csv(spark, path, schema)
-            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out if out is not None else spark.createDataFrame([], schema)
+            layouts.setdefault(header, []).append(path)
+    parts = [read_catalog_csv(spark, group, schema) for group in layouts.values()]
+    return union_all(*parts) if parts else spark.createDataFrame([], schema)
 
 
 def list_objects(spark, folder, suffix=".xlsx"):

@@ -51,11 +51,12 @@ def overwrite_partitions(spark, df, path, partition):
 
 
 def write_documents(df, group, pos, fragment, path, files=None):
-    """One folder per group holding its fragments in order.
+    """One folder per group holding its fragments in order of ``pos`` columns.
 
     Rows are range-partitioned by group and position, so a large group spans
     several files; files in name order, lines in file order, are the document.
     """
-    keys = [group, pos] if files is None else [files, group, pos]
-    ordered = df.select(group, pos, fragment).repartitionByRange(*keys).sortWithinPartitions(group, pos)
+    order = [group, *([pos] if isinstance(pos, str) else pos)]
+    placed = df.repartitionByRange(*order) if files is None else df.repartitionByRange(files, *order)
+    ordered = placed.sortWithinPartitions(*order)
     ordered.select(group, fragment).write.mode("overwrite").partitionBy(group).text(path)

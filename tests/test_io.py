@@ -34,10 +34,12 @@ def test_catalog_csv_round_trip(spark, tmp_path, rows):
 def test_read_many_optional(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text("Title,Access Status\nA,OA\n")
     (tmp_path / "b.csv").write_text("Title\nB\n")
-    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv", "gone.csv")]
+    (tmp_path / "c.csv").write_text("Title,Access Status\nC,SUB\n")
+    (tmp_path / "d.csv").write_text("Access Status,DOI,Title\nOA,10.1/d,D\n")
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv", "gone.csv", "c.csv", "d.csv")]
     df = readers.read_many_optional(spark, paths, ["Title", "Access Status"], schemas.RAW_METADATA)
-    assert rows(df, "Title", "`Access Status`") == [("A", "OA")]
-    assert readers.read_many_optional(spark, paths[2:], ["Title"], schemas.RAW_METADATA).count() == 0
+    assert rows(df, "Title", "`Access Status`", "DOI") == [("A", "OA", None), ("C", "SUB", None), ("D", "OA", "10.1/d")]
+    assert readers.read_many_optional(spark, paths[2:3], ["Title"], schemas.RAW_METADATA).count() == 0
 
 
 def test_listing_and_state(spark, tmp_path, rows):
