@@ -94,7 +94,8 @@ def catalog_from_batches(log, issue_key="IssueKey", unique=("Title", "URL"), seq
 
     Equal to repeated ``replace_issue``, without rewriting the catalog for each
     batch: a row stands if it is the last of its unique key in the whole log
-    and no later batch holds its issue.
+    and no later batch holds its issue. ``gen`` is any column that orders the
+    batches. The result keeps it, so it can replace the log it came from.
     """
     keyed = log.withColumn("_key", canonical_issue_key(issue_key))
     newest = keyed.groupBy(F.col("_key").alias("_k")).agg(F.max(gen).alias("_newest"))

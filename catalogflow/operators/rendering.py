@@ -13,7 +13,7 @@ from ..functions.text import escape_html, strip
 
 @dataclass(frozen=True)
 class Theme:
-    """Labels and class names of a fragment."""
+    """Labels (fixed values, spelled as published) and class names of a fragment."""
 
     kind: str = "Research Articles"
     open_badge: str = "Open Access"

@@ -28,7 +28,7 @@ def catalog_rows(raw, rule="pattern"):
         F.col("Article Category").alias("Category"),
         S.asset_path("Graphical Abstract", year, issue).alias("GA_Path"),
         filters.classify("Article Category", rule).alias("class"),
-        *[c for c in ("ingest_seq",) if c in raw.columns],
+        *[c for c in ("ingest_seq", "file") if c in raw.columns],
     )
 
 
@@ -37,6 +37,21 @@ def changed_files(listing, state):
     return incremental.detect_changes(listing, state)
 
 
+def ingest_files(log, raw, changes):
+    """Catalog log after all changed files, the oldest file first.
+
+    ``raw`` holds the metadata rows of the files with their ``file`` name,
+    ``changes`` the work list of ``changed_files``. Each file is one batch, its
+    order is its time and name, and ``dedupe.catalog_from_batches`` of the
+    result equals upserting the files one by one.
+    """
+    moment = F.concat_ws(" ", F.date_format("ts", "yyyyMMddHHmmss"), "filename")
+    order = changes.select(F.col("filename").alias("_file"), moment.alias("gen"))
+    rows = catalog_rows(raw).filter("class = 'research'").drop("class")
+    batches = rows.join(order, F.col("file") == F.col("_file")).drop("file", "_file")
+    return dedupe.union_all(log, batches)
+
+
 def ingest_batch(catalog, raw, keys="all"):
     """New catalog, in-press view and change counts of one metadata batch."""
     rows = catalog_rows(raw)

@@ -88,7 +88,7 @@ def test_issue_keys(column, spark):
     assert column(given, D.canonical_issue_key) == [
         "202604", "202604", "202606", "202604", "202613", "abc", "", "", "202604", "202604", "202604"
     ]
-    url = "https://h.example/pers/2024/00000090/00000009/art00007"
+    url = "https://h.example/xy/2024/00000090/00000009/art00007"
     df = spark.createDataFrame(
         [("202604.0", None), ("bad", url), (None, url), (None, "https://doi.org/1"), ("2026.006", url)], "k string, u string"
     )
@@ -97,7 +97,7 @@ def test_issue_keys(column, spark):
 
 
 def test_issue_dates(spark, column):
-    url = "https://h.example/content/pers/2024/00000090/00000009/art00007"
+    url = "https://h.example/content/xy/2024/00000090/00000009/art00007"
     data = [("202604", None), ("202613", url), ("2026.006", None), (None, url), (None, url.rsplit("/", 1)[0]), ("abc", "x")]
     df = spark.createDataFrame(data, "k string, u string")
     day = dt.date

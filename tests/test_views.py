@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from catalogflow import schemas
-from catalogflow.operators import rendering
+from catalogflow.operators import dedupe, rendering
 from catalogflow.plans import views
 from catalogflow.sources import writers
 
@@ -74,6 +74,31 @@ def test_recent_pools_to_documents(spark, tmp_path):
     assert text.count("<article") == 15 and text.index("June 2026") < text.index("March 2026")
 
 
+def test_files_are_ingested_oldest_first(spark, rows):
+    stamp = dt.datetime
+    listing = spark.createDataFrame(
+        [("b.xlsx", 9, stamp(2026, 4, 1)), ("a.xlsx", 9, stamp(2026, 4, 2)), ("done.xlsx", 5, stamp(2026, 3, 1))], schemas.MANIFEST
+    )
+    state = spark.createDataFrame([("done.xlsx", 5), ("a.xlsx", 4)], schemas.STATE)
+    changes = views.changed_files(listing, state)
+    assert [r.filename for r in changes.collect()] == ["b.xlsx", "a.xlsx"]
+
+    def raw(file, seq, title, doi, month):
+        return (title, "A", "Research Article", dt.date(2026, month, 1), str(month), "92", "1", "OA", doi, "x", None, seq, file)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.RAW_METADATA.fields) + ", ingest_seq bigint, file string"
+    data = [
+        raw("b.xlsx", 1, "One", "1", 4), raw("b.xlsx", 2, "Two", "2", 4), raw("b.xlsx", 3, "May", "3", 5),
+        raw("a.xlsx", 1, "One revised", "1", 4), raw("a.xlsx", 2, "Two", "2", 4), raw("done.xlsx", 1, "No", "9", 6),
+    ]
+    log = spark.createDataFrame([("Old", "u", "202604", 1, "0"), ("Kept", "u", "202601", 2, "0")],
+                                "Title string, URL string, IssueKey string, ingest_seq bigint, gen string")
+    after = dedupe.catalog_from_batches(views.ingest_files(log, spark.createDataFrame(data, schema), changes))
+    assert rows(after, "Title", "IssueKey") == [("Kept", "202601"), ("May", "202605"), ("One revised", "202604"), ("Two", "202604")]
+    # the result can stand for its log
+    assert rows(dedupe.catalog_from_batches(after), "Title") == rows(after, "Title")
+
+
 def test_declared_schemas_are_complete():
     assert len(schemas.USAGE) == 27 and schemas.USAGE["Total Downloads"].dataType.simpleString() == "bigint"
     assert schemas.CATALOG.fieldNames()[-1] == "ingest_seq" and len(schemas.RAW_METADATA) == 11
