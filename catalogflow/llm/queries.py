@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogflow.llm import cover_dedup
+from catalogflow.llm import archive, cover_dedup, mixture, secrets, toxicity
 from catalogflow.llm.registry import query, table
 
 
@@ -10,3 +10,38 @@ from catalogflow.llm.registry import query, table
 def op1(spark, folder):
     out = cover_dedup.dedup_passages(table(spark, folder, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op3_water_filling", mixture.MIX_SQL)
+def op3(spark, folder):
+    return mixture.mix(table(spark, folder, "documents")).drop("source")
+
+
+@query("op7_content_archive", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS head FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND head <> page_id THEN head END AS refers_to FROM f
+""")
+def op7(spark, folder):
+    path = archive.write_archive(table(spark, folder, "pages"))
+    return archive.resolved(archive.parse_records(archive.read_archive(spark, path)))
+
+
+@query("op4_secret_owners")
+def op4(spark, folder):
+    out = secrets.scan_secrets(table(spark, folder, "documents"))
+    kinds = [secrets.spans_of("spans", kind=k).alias(f"n_{k}") for k in secrets.BASE]
+    verdicts = [secrets.spans_of("spans", verdict=v).alias(f"n_{v}") for v in ("live", "copied", "weak")]
+    base = F.sha2(secrets.span_text(F.col("spans"), len(secrets.BASE)), 256)
+    return out.select("doc_id", *kinds, base.alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans"), *verdicts)
+
+
+@query("op5_subword_toxicity")
+def op5(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
