@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogflow.llm import archive, cover_dedup, mixture, secrets, toxicity
+from catalogflow.llm import archive, cover_dedup, mixture, odd_sketch, secrets, toxicity
 from catalogflow.llm.registry import query, table
 
 
@@ -45,3 +45,8 @@ def op5(spark, folder):
     model = toxicity.fit(docs, table(spark, folder, "labels"))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query("op9_odd_sketch")
+def op9(spark, folder):
+    return odd_sketch.near_duplicates(table(spark, folder, "documents"))
