@@ -17,7 +17,7 @@ from catalogflow.llm.common import LAST_ID, Rolling, mixed, slices, word_hashes
 from catalogflow.llm.components import components
 from catalogflow.session import materialize
 
-BANDS, ROWS, SKETCH_BITS = 26, 5, 1024
+BANDS, ROWS, SKETCH_BITS = 36, 7, 1024
 BASE = 0xBF58476D1CE4E5B9
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 
@@ -37,22 +37,23 @@ class Sampler:
     def __init__(self, bands=BANDS, rows=ROWS, bits=SKETCH_BITS, seed=11):
         n = bands * rows
         rng = np.random.default_rng(seed)
-        self.a = (rng.integers(0, 2**63, n, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-        self.b = rng.integers(0, 2**63, n, dtype=np.uint64)
+        self.a = rng.integers(0, 2**32, n, dtype=np.uint32) | np.uint32(1)
+        self.b = rng.integers(0, 2**32, n, dtype=np.uint32)
         self.bands, self.rows, self.bits = bands, rows, bits
         self.slot = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
     def __call__(self, items):
-        low = np.full(len(self.a), np.iinfo(np.uint64).max)
-        for at in range(0, len(items), 1024):
-            part = items[at : at + 1024, None] * self.a + self.b
+        low = np.full(len(self.a), np.iinfo(np.uint32).max, np.uint32)
+        short = (mixed(items) >> np.uint64(32)).astype(np.uint32)
+        for at in range(0, len(items), 512):
+            part = short[at : at + 512, None] * self.a + self.b
             np.minimum(low, part.min(0), out=low)
-        marks = mixed(low ^ self.slot)
+        marks = mixed(low.astype(np.uint64) ^ self.slot)
         keys = np.zeros(self.bands, np.uint64)
         for r in range(self.rows):
             keys = mixed(keys * np.uint64(31) + marks.reshape(self.bands, self.rows)[:, r])
         flips = np.bincount((marks % np.uint64(self.bits)).astype(np.int64), minlength=self.bits) & 1
-        return keys, np.packbits(flips.astype(np.uint8)).tobytes()
+        return keys, np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
 def likeness(popcount, samples=BANDS * ROWS, bits=SKETCH_BITS):
@@ -74,32 +75,29 @@ def _signed(k, bands, rows, bits):
                     key, sketch = sampler(items)
                     same.append(np.bitwise_xor.reduce(mixed(items)).tobytes() + np.sum(items * items, dtype=np.uint64).tobytes())
                     keys.append(key.view(np.int64).tolist())
-                    odd.append(sketch)
+                    odd.append(sketch.tolist())
                 else:
                     same.append(None), keys.append([]), odd.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(n, pa.int64()), pa.array(same, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(odd, pa.binary())],
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))],
                 names=["_id", "n_shingles", "same", "keys", "odd"])
 
     return run
 
 
-def _screened(least, samples, bits):
-    """Pairs (a, b) whose sketches leave ``least`` percent possible: five deviations of slack, nothing lost."""
-    floor = least / 100 - 5 * np.sqrt(least / 100 * (1 - least / 100) / samples) - 0.03
-
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                    for c in ("odd_a", "odd_b"))
-            ones = np.bitwise_count(x ^ y).sum(1)
-            keep = pa.array(likeness(ones, samples, bits) >= floor)
-            yield batch.select(["a", "b"]).filter(keep)
+def _possible(x, y, least, samples, bits):
+    """Whether two members (structs with n_shingles and odd) can be ``least`` percent alike.
 
-    return run
+    Their sizes must allow it and so must their sketches, with five deviations
+    of slack, so that nothing is lost.
+    """
+    floor = least / 100 - 5 * np.sqrt(least / 100 * (1 - least / 100) / samples) - 0.03
+    most = int(np.flatnonzero(likeness(np.arange(bits // 2), samples, bits) >= floor).max())
+    a, b = x["odd"], y["odd"]
+    ones = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, bits // 64)), F.bit_count(a[0].bitwiseXOR(b[0])))
+    small, large = F.least(x["n_shingles"], y["n_shingles"]), F.greatest(x["n_shingles"], y["n_shingles"])
+    return (F.lit(100) * small >= F.lit(least) * large) & (ones <= most)
 
 
 def _confirmed(least, k):
@@ -118,15 +116,9 @@ def _confirmed(least, k):
     return run
 
 
-def _links(pairs, members, texts, least, k, samples, bits):
-    """Confirmed links among candidate pairs; only pairs whose sizes allow it are compared."""
-    one = members.select(F.col("_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("odd").alias("odd_a"))
-    two = members.select(F.col("_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("odd").alias("odd_b"))
-    near = pairs.join(one, "a").join(two, "b").filter(
-        (F.lit(100) * F.least("n_a", "n_b") >= F.lit(least) * F.greatest("n_a", "n_b")))
-    near = near.mapInArrow(_screened(least, samples, bits), "a long, b long")
-    first, second = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
-    both = near.join(first, "a").join(second, "b")
+def _links(pairs, texts, least, k):
+    """Confirmed links among candidate pairs (a, b)."""
+    both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return both.mapInArrow(_confirmed(least, k), "a long, b long")
 
 
@@ -140,13 +132,13 @@ def near_duplicates(docs, least=85, k=5, bands=BANDS, rows=ROWS, bits=SKETCH_BIT
     shingles and are linked with nothing. Rows that share an id are one node of
     the link graph and each confirms by its own text; a null id counts as the
     largest and its component is null unless a smaller id is linked. With the
-    standard bands a link of similarity 0.85 has a chance of 2e-7 to share no
+    standard bands a link of similarity 0.85 has a chance of 1e-6 to share no
     band. Documents with equal sets meet as one class before any pair is made.
     """
     rows_in = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"),
                           F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     signed = rows_in.mapInArrow(_signed(k, bands, rows, bits),
-                                "_id long, n_shingles long, same binary, keys array<long>, odd binary")
+                                "_id long, n_shingles long, same binary, keys array<long>, odd array<long>")
     signed = materialize(signed, "signed")
     full = signed.filter("n_shingles > 0")
     # one member stands for all documents of one and the same set
@@ -155,31 +147,33 @@ def near_duplicates(docs, least=85, k=5, bands=BANDS, rows=ROWS, bits=SKETCH_BIT
     copies = materialize(equal.select(F.col("first").alias("a"), F.col("_id").alias("b")).distinct(), "copies")
     alone = full.join(copies.filter("a <> b").select(F.col("b").alias("_id")).distinct(), "_id", "left_anti")
     # buckets of at least two members
-    bucket = alone.select("_id", F.posexplode("keys").alias("band", "key"))
-    lead = bucket.groupBy("band", "key").agg(F.min("_id").alias("lead"), F.max("_id").alias("last")).filter("lead < last")
-    bucket = materialize(bucket.join(lead.drop("last"), ["band", "key"]), "buckets")
-    members = bucket.select("_id").distinct()
-    members = materialize(
-        alone.select("_id", "n_shingles", "odd", "same").join(members, "_id").dropDuplicates(["_id", "same"]).drop("same"),
-        "members")
-    texts = materialize(rows_in.join(members.select("_id").distinct(), "_id").distinct(), "texts")
-    settings = (least, k, bands * rows, bits)
-    stars = bucket.filter("_id <> lead").select(F.col("lead").alias("a"), F.col("_id").alias("b")).distinct()
-    star_links = materialize(_links(stars, members, texts, *settings), "stars")
-    label = components(star_links.select("a", "b"), "round")
+    member = F.struct("_id", "n_shingles", "odd").alias("m")
+    bucket = alone.select(member, F.posexplode("keys").alias("band", "key"))
+    lead = bucket.groupBy("band", "key").agg(F.min("m._id").alias("lead"), F.max("m._id").alias("last"))
+    bucket = materialize(bucket.join(lead.filter("lead < last").drop("last"), ["band", "key"]), "buckets")
+    members = bucket.select(F.col("m._id").alias("_id")).distinct()
+    # both sides grow with the corpus: never a broadcast
+    texts = materialize(rows_in.join(members.hint("merge"), "_id").distinct(), "texts")
+    heads = bucket.filter("m._id = lead").select("band", "key", F.col("m").alias("head")).distinct()
+    settings = (least, bands * rows, bits)
+    stars = bucket.filter("m._id <> lead").join(heads, ["band", "key"]).filter(
+        _possible(F.col("head"), F.col("m"), *settings)).select(F.col("head._id").alias("a"), F.col("m._id").alias("b"))
+    star_links = materialize(_links(stars.distinct(), texts, least, k), "stars")
+    label = components(star_links, "round")
     # members outside the largest component of their bucket meet all others
-    parts = bucket.select("band", "key", "_id").distinct().join(label, "_id", "left").withColumn(
+    parts = bucket.select("band", "key", "lead", "m", F.col("m._id").alias("_id")).join(label, "_id", "left").withColumn(
         "component", F.coalesce("component", "_id"))
     sizes = parts.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("band", "key").agg(
         F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
     split = parts.join(largest.select("band", "key", F.col("top.component").alias("top")), ["band", "key"])
-    outside = split.filter("component <> top").select("band", "key", F.col("_id").alias("x"), F.col("component").alias("c"))
-    meet = outside.join(split.select("band", "key", "_id", "component", "top"), ["band", "key"]).filter(
-        "c <> component and (component = top or x < _id)")
-    rest = meet.select(F.least("x", "_id").alias("a"), F.greatest("x", "_id").alias("b")).distinct()
-    rest = rest.join(stars, ["a", "b"], "left_anti")
-    more = materialize(_links(rest, members, texts, *settings), "rest")
+    outside = split.filter("component <> top").select("band", "key", F.col("m").alias("x"), F.col("component").alias("c"))
+    # the lead has met them all
+    meet = outside.join(split, ["band", "key"]).filter(
+        "c <> component and (component = top or x._id < m._id) and x._id <> lead and m._id <> lead"
+    ).filter(_possible(F.col("x"), F.col("m"), *settings))
+    rest = meet.select(F.least("x._id", "m._id").alias("a"), F.greatest("x._id", "m._id").alias("b")).distinct()
+    more = materialize(_links(rest, texts, least, k), "rest")
     final = components(star_links.unionByName(more).unionByName(copies), "final")
     out = signed.select("_id", "n_shingles").join(final, "_id", "left")
     doc, comp = F.col("_id"), F.coalesce("component", "_id")
