@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogflow.llm import archive, cover_dedup, mixture, odd_sketch, secrets, toxicity
+from catalogflow.llm import archive, cover_dedup, decontaminate, mixture, odd_sketch, secrets, toxicity
 from catalogflow.llm.registry import query, table
 
 
@@ -50,3 +50,8 @@ def op5(spark, folder):
 @query("op9_odd_sketch")
 def op9(spark, folder):
     return odd_sketch.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op10_templates")
+def op10(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
