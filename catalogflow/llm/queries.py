@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogflow.llm import archive, cover_dedup, decontaminate, mixture, odd_sketch, secrets, toxicity
+from catalogflow.llm import archive, cover_dedup, decontaminate, line_dedup, mixture, odd_sketch, secrets, toxicity
 from catalogflow.llm.registry import query, table
 
 
@@ -55,3 +55,9 @@ def op9(spark, folder):
 @query("op10_templates")
 def op10(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op6_segment_lines")
+def op6(spark, folder):
+    out = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2("kept_text", 256).alias("kept_sha256"))
