@@ -9,38 +9,54 @@ meets is verified by a banded bit-parallel edit distance.
 from pyspark.sql import functions as F
 
 from catalogflow.llm.common import LAST_ID
-from catalogflow.session import materialize
 
 DISTANCE, SHORTEST = 2, 20
 PAD = "￿"
 
 
+def _let(value, then):
+    """Evaluate a column once and use it several times."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _trimmed(a, b):
+    """Both strings without their common beginning and end, found by halving steps."""
+
+    def common(x, y):
+        steps = F.array(*[F.lit(2**i) for i in range(20, -1, -1)])
+        room = F.least(F.length(x), F.length(y))
+        # long common parts take several of the largest steps
+        steps = F.concat(F.array_repeat(F.lit(2**20), F.floor(room / F.lit(2**20)).cast("int")), steps)
+        return F.aggregate(steps, F.lit(0), lambda n, s: F.when(
+            (n + s <= room) & (x.substr(n + 1, s) == y.substr(n + 1, s)), n + s).otherwise(n))
+
+    return _let(common(a, b), lambda head: _let(
+        F.struct(a.substr(head + 1, F.length(a)).alias("x"), b.substr(head + 1, F.length(b)).alias("y")), lambda r:
+        _let(common(F.reverse(r["x"]), F.reverse(r["y"])), lambda tail: F.struct(
+            r["x"].substr(F.lit(1), F.length(r["x"]) - tail).alias("x"),
+            r["y"].substr(F.lit(1), F.length(r["y"]) - tail).alias("y")))))
+
+
+def _within(a, b, most, part=48):
+    """The distance if it is at most ``most``, else null or more.
+
+    Lines that agree within ``most`` edits agree within twice as many in their
+    first characters, so most others are left after a few steps.
+    """
+    return _let(_trimmed(a, b), lambda r: F.when(
+        banded_distance(r["x"].substr(1, part), r["y"].substr(1, part), 2 * most) <= 2 * most,
+        banded_distance(r["x"], r["y"], most)))
+
+
 def banded_distance(a, b, most):
     """Edit distance of two strings whose lengths differ by at most ``most``; any larger value means more.
 
     Bit vectors of 2 * most + 2 places slide along the diagonal (Hyyrö's banded
-    form of Myers' algorithm); one step of ``aggregate`` per character. Equal
-    outer parts are cut off first, found by halving steps.
+    form of Myers' algorithm); one step of ``aggregate`` per character.
     """
     width = 2 * most + 2
     full, top, next_top = 2**width - 1, 2 ** (width - 1), 2 ** (width - 2)
 
-    def let(value, then):
-        return F.transform(F.array(value), then)[0]
-
-    def common(x, y):
-        """Length of the common prefix: steps of falling powers of two."""
-        steps = F.transform(F.sequence(F.lit(20), F.lit(0)), lambda i: F.lit(1).cast("int") * F.pow(F.lit(2), i).cast("int"))
-        return F.aggregate(steps, F.lit(0), lambda n, s: F.when(
-            (n + s <= F.least(F.length(x), F.length(y))) & (x.substr(n + 1, s) == y.substr(n + 1, s)), n + s).otherwise(n))
-
-    def middle(x, y):
-        head = common(x, y)
-        return let(F.struct(x.substr(head + 1, F.length(x)).alias("x"), y.substr(head + 1, F.length(y)).alias("y")), lambda r:
-                   let(common(F.reverse(r["x"]), F.reverse(r["y"])), lambda tail: F.struct(
-                       r["x"].substr(F.lit(1), F.length(r["x"]) - tail).alias("x"),
-                       r["y"].substr(F.lit(1), F.length(r["y"]) - tail).alias("y"))))
-
     def chars(x):
         # an equal end of threshold + 1 signs changes no distance and keeps the first text long enough
         return F.split(F.concat(x, F.lit(PAD * (most + 1))), "")
@@ -70,15 +86,14 @@ def banded_distance(a, b, most):
                 return F.struct(hn.bitwiseOR(flipped(down.bitwiseOR(hp))).bitwiseAND(F.lit(full).cast("long")).alias("vp"),
                                 down.bitwiseAND(hp).alias("vn"), dist.cast("int").alias("dist"))
 
-            return let(d0, rest)
+            return _let(d0, rest)
 
         first = F.struct(F.lit(((2 ** (most + 1) - 1) << (width - most - 1)) & full).cast("long").alias("vp"),
                          F.lit(0).cast("long").alias("vn"), F.lit(most).cast("int").alias("dist"))
         masks = F.transform(F.sequence(F.lit(0), F.size(y) - 1), mask)
         return F.aggregate(masks, first, step, lambda s: s["dist"])
 
-    return let(middle(a, b), lambda r: let(
-        F.struct(chars(r["x"]).alias("x"), chars(r["y"]).alias("y")), lambda c: run(c["x"], c["y"])))
+    return _let(F.struct(chars(a).alias("x"), chars(b).alias("y")), lambda c: run(c["x"], c["y"]))
 
 
 def _segment(length, i, most):
@@ -90,7 +105,8 @@ def _segment(length, i, most):
 
 
 def _key(length, i, part):
-    return F.xxhash64(length.cast("int"), F.lit(i), part)
+    # 48 bits: what meets by chance is verified
+    return F.shiftrightunsigned(F.xxhash64(length.cast("int"), F.lit(i), part), 16)
 
 
 def _index(line, length, most):
@@ -102,7 +118,7 @@ def _index(line, length, most):
 
 
 def _probes(line, length, most):
-    """Keys of the substrings at which a line that is equally long or shorter by up to ``most`` can share a segment."""
+    """Keys of the substrings at which a line that is shorter by 0 to ``most`` can share a segment, each with whether it is by 0."""
     keys = []
     for gap in range(most + 1):
         other = (length - gap).cast("int")
@@ -111,41 +127,63 @@ def _probes(line, length, most):
             for shift in range(max(-i, gap - (most - i)), min(i, gap + (most - i)) + 1):
                 at = start + shift
                 fits = (at >= 1) & (at + size - 1 <= length)
-                keys.append(F.when(fits, _key(other, i, line.substr(at, size))))
+                keys.append(F.when(fits, F.struct(_key(other, i, line.substr(at, size)).alias("key"), F.lit(gap == 0).alias("equal"))))
     return F.array_compact(F.array_distinct(F.array(*keys)))
 
 
+ROW = ["_id", "_row"]
+PLACE = [*ROW, "no"]
+
+
 def line_table(docs, shortest=SHORTEST, id_col="doc_id", text_col="text"):
-    """(_id, _row, no, line, chars, h): every line, its number, length and MD5."""
+    """(rows, lines): the texts by row, and (_id, _row, no, h), the MD5 of each line."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"),
-        F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFF)).alias("_row"), text.alias("_text"))
-    lines = rows.select("_id", "_row", F.posexplode(F.split("_text", "\n", -1)).alias("no", "line"))
-    return rows, lines.withColumn("chars", F.length("line")).filter(F.col("chars") >= shortest).withColumn("h", F.unhex(F.md5("line")))
+        F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).alias("_row"), text.alias("_text"))
+    lines = rows.select(*ROW, F.posexplode(F.split("_text", "\n", -1)).alias("no", "line"))
+    return rows, lines.filter(F.length("line") >= shortest).select(*PLACE, F.unhex(F.md5("line")).alias("h"))
 
 
-def similar_lines(docs, most=DISTANCE, shortest=SHORTEST, **columns):
-    """Distinct lines and links between them: (lines, links).
+def _at(rows, places):
+    """The lines at given places, as (place columns, line, other columns of ``places``).
 
-    lines: (h, line, chars, first) with the first place (_id, _row, no) that
-    holds the line; links: (h, other, distance) for every ordered pair of
-    distinct lines within ``most`` edits. Lines of fewer than ``shortest`` code
-    points are left out.
+    Places are gathered per row first, so the texts are shuffled by row only;
+    every use of the texts shares that one shuffle.
+    """
+    more = [c for c in places.columns if c not in PLACE]
+    per_row = places.groupBy(*ROW).agg(F.collect_list(F.struct("no", *more)).alias("_at"))
+    # the lines are taken out before rows multiply
+    taken = F.transform(F.array(F.split("_text", "\n", -1)), lambda lines: F.transform("_at", lambda p: F.struct(
+        p.alias("p"), F.get(lines, p["no"]).alias("line"))))[0]
+    joined = rows.join(per_row.hint("merge"), ROW).select(*ROW, F.explode(taken).alias("_l"))
+    return joined.select(*ROW, "_l.p.no", "_l.line", *[F.col(f"_l.p.{c}") for c in more])
+
+
+def similar_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_col="text"):
+    """Distinct lines and links between them: (places, links).
+
+    places: (h, first), the first place (_id, _row, no) that holds the line;
+    links: (place, other, distance) for every ordered pair of distinct lines
+    within ``most`` edits, named by their first places. Lines of fewer than
+    ``shortest`` code points are left out. Copies meet in the map tasks.
     """
     shortest = max(shortest, 2 * most + 2)
-    _, lines = line_table(docs, shortest, **columns)
-    distinct = lines.groupBy("h").agg(
-        F.min(F.struct("_id", "_row", "no")).alias("first"), F.min("line").alias("line"), F.min("chars").alias("chars"))
-    index = distinct.select(F.col("h").alias("h_i"), F.col("chars").alias("n_i"), F.explode(_index(F.col("line"), F.col("chars"), most)).alias("key"))
-    probe = distinct.select("h", "chars", F.explode(_probes(F.col("line"), F.col("chars"), most)).alias("key"))
-    met = probe.join(index, "key").filter("h <> h_i and chars >= n_i and (chars > n_i or h < h_i)")
-    pairs = met.select("h", "h_i").distinct()
-    text = distinct.select("h", "line")
-    both = pairs.join(text, "h").join(text.toDF("h_i", "other"), "h_i")
-    close = both.withColumn("distance", banded_distance(F.col("line"), F.col("other"), most)).filter(F.col("distance") <= most)
-    close = materialize(close.select("h", F.col("h_i").alias("other"), "distance"), "line-links")
-    return distinct, close.unionByName(close.select(F.col("other").alias("h"), F.col("h").alias("other"), "distance"))
+    rows, lines = line_table(docs, shortest, id_col, text_col)
+    places = lines.groupBy("h").agg(F.min(F.struct(*PLACE)).alias("first"))
+    line = _at(rows, places.select("first.*")).withColumn("chars", F.length("line"))
+    text, size = F.col("line"), F.col("chars")
+    index = line.select(*[F.col(c).alias(f"{c}_i") for c in PLACE], F.explode(_index(text, size, most)).alias("key"))
+    probe = line.select(*PLACE, F.explode(_probes(text, size, most)).alias("k")).select(*PLACE, "k.*")
+    place, other = F.struct(*PLACE), F.struct(*[F.col(f"{c}_i").alias(c) for c in PLACE])
+    met = probe.join(index, "key").filter(~F.col("equal") | (place < other))
+    pairs = met.select(*PLACE, other.alias("other")).distinct()
+    one = _at(rows, pairs).select(F.struct(*PLACE).alias("place"), F.col("line").alias("text"), "other.*")
+    both = _at(rows, one).select("place", F.struct(*PLACE).alias("other"), _within(
+        F.col("text"), F.col("line"), most).alias("distance"))
+    close = both.filter(F.col("distance") <= most).distinct()
+    each = [F.struct(F.col(a).alias("place"), F.col(b).alias("other"), "distance") for a, b in (("place", "other"), ("other", "place"))]
+    return places, close.select(F.explode(F.array(*each)).alias("l")).select("l.*")
 
 
 def dedup_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_col="text"):
@@ -157,23 +195,19 @@ def dedup_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_co
     n_removed, n_links (links of its lines to other distinct lines) and
     kept_text. A null text is empty (one empty line); a null id counts as the
     largest; rows with an equal id and text share their places, so they do not
-    remove each other's lines. Copies of a line meet in the map tasks first and
-    are one row afterwards.
+    remove each other's lines.
     """
-    names = {"id_col": id_col, "text_col": text_col}
-    rows, lines = line_table(docs, max(shortest, 2 * most + 2), **names)
-    distinct, links = similar_lines(docs, most, shortest, **names)
-    place = distinct.select("h", "first")
-    earlier = links.join(place.toDF("other", "there"), "other").groupBy("h").agg(
-        F.min("there").alias("there"), F.count(F.lit(1)).alias("links"))
-    verdict = place.join(earlier, "h", "left").select("h", F.least("first", "there").alias("first"), "links")
-    own = F.struct("_id", "_row", "no")
-    marked = lines.select("h", "_id", "_row", "no").distinct().join(verdict, "h").withColumn("gone", F.col("first") < own)
-    per_row = marked.filter("gone or links > 0").groupBy("_id", "_row").agg(
-        F.collect_list(F.when(F.col("gone"), F.col("no"))).alias("gone"), F.sum("links").alias("n_links"))
-    out = rows.join(per_row, ["_id", "_row"], "left").withColumns({
+    rows, lines = line_table(docs, max(shortest, 2 * most + 2), id_col, text_col)
+    places, links = similar_lines(docs, most, shortest, id_col, text_col)
+    earlier = links.groupBy(F.col("place").alias("first")).agg(F.min("other").alias("there"), F.count(F.lit(1)).alias("links"))
+    verdict = places.join(earlier, "first", "left").select("h", F.least("first", "there").alias("least"), "links")
+    marked = lines.join(verdict, "h").withColumn("gone", F.col("least") < F.struct(*PLACE))
+    per_row = marked.filter("gone or links > 0").select(*PLACE, "gone", "links").distinct().groupBy(*ROW).agg(
+        F.collect_set(F.when(F.col("gone"), F.col("no"))).alias("gone"), F.sum("links").alias("n_links"))
+    out = rows.join(per_row.hint("merge"), ROW, "left").withColumns({
         "gone": F.coalesce("gone", F.array().cast("array<int>")), "all": F.split("_text", "\n", -1)})
-    kept = F.filter("all", lambda _, i: ~F.array_contains("gone", i))
+    places_kept = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), F.col("gone"))
+    kept = F.transform(places_kept, lambda i: F.get("all", i))
     return out.select(
         F.when(F.col("_id") != LAST_ID, F.col("_id")).alias("doc_id"), F.size("all").cast("long").alias("n_lines"),
         F.size("gone").cast("long").alias("n_removed"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogflow.llm import archive, cover_dedup, decontaminate, line_dedup, mixture, odd_sketch, secrets, toxicity
+from catalogflow.llm import archive, bwt_dedup, cover_dedup, decontaminate, line_dedup, mixture, multi_index, odd_sketch, secrets, toxicity
 from catalogflow.llm.registry import query, table
 
 
@@ -61,3 +61,14 @@ def op10(spark, folder):
 def op6(spark, folder):
     out = line_dedup.dedup_lines(table(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op8_bwt_intervals")
+def op8(spark, folder):
+    out = bwt_dedup.dedup_bytes(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_multi_index")
+def op2(spark, folder):
+    return multi_index.search(table(spark, folder, "embeddings"), "vec_id % 20 = 0")

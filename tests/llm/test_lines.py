@@ -39,10 +39,12 @@ def test_banded_distance(spark, most):
         pairs += [(a, b), (b, a)]
     pairs = [(a, b) for a, b in pairs if abs(len(a) - len(b)) <= most]
     df = spark.createDataFrame(pairs, "a string, b string")
-    got = df.select("a", "b", line_dedup.banded_distance(F.col("a"), F.col("b"), most).alias("d")).collect()
+    got = df.select("a", "b", line_dedup.banded_distance(F.col("a"), F.col("b"), most).alias("d"),
+                    line_dedup._within(F.col("a"), F.col("b"), most, part=7).alias("w")).collect()
     for r in got:
         true = distance(r.a, r.b)
         assert (r.d == true) if true <= most else (r.d > most), (r.a, r.b, r.d, true)
+        assert (r.w == true) if true <= most else (r.w is None or r.w > most), (r.a, r.b, r.w, true)
 
 
 def brute(pairs, most=2, shortest=20):
