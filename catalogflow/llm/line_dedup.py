@@ -135,12 +135,17 @@ ROW = ["_id", "_row"]
 PLACE = [*ROW, "no"]
 
 
+def text_tag(text):
+    """A number of 16 bits that tells texts of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(0xFFFF))
+
+
 def line_table(docs, shortest=SHORTEST, id_col="doc_id", text_col="text"):
     """(rows, lines): the texts by row, and (_id, _row, no, h), the MD5 of each line."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"),
-        F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).alias("_row"), text.alias("_text"))
+        text_tag(text).alias("_row"), text.alias("_text"))
     lines = rows.select(*ROW, F.posexplode(F.split("_text", "\n", -1)).alias("no", "line"))
     return rows, lines.filter(F.length("line") >= shortest).select(*PLACE, F.unhex(F.md5("line")).alias("h"))
 
@@ -189,7 +194,8 @@ def similar_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_
 def dedup_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_col="text"):
     """Remove each line that comes again: a line within ``most`` edits of one at an earlier place.
 
-    Places are ordered by id, then line number. Lines are what stands between
+    Places are ordered by id, then line number; ``text_tag`` (of the input text,
+    see ``text_tag``) tells rows of one id apart. Lines are what stands between
     line feeds; lines of fewer than ``shortest`` code points always stay. They
     are judged on the input. Returns one row per input row: doc_id, n_lines,
     n_removed, n_links (links of its lines to other distinct lines) and
@@ -212,4 +218,5 @@ def dedup_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_co
         F.when(F.col("_id") != LAST_ID, F.col("_id")).alias("doc_id"), F.size("all").cast("long").alias("n_lines"),
         F.size("gone").cast("long").alias("n_removed"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.size("gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("_text")).alias("kept_text"),
+        F.col("_row").alias("text_tag"),
     )

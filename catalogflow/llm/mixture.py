@@ -93,18 +93,22 @@ def mix(docs, weights=(5, 2, 1), share=1.5, cap=2.0, seed=0, id_col="doc_id", te
     )
 
 
-def repetitions(docs, mixed, seed=0, id_col="doc_id", text_col="text"):
+def repetitions(docs, mixed, seed=0, id_col="doc_id", text_col="text", source_col="source"):
     """The mixed corpus: one row per repetition, with the columns of ``docs``.
 
     Whole repetitions carry the text as it is; the fractional one carries a
-    seeded run of its words, joined by one space. docs needs one row per id
-    (as ``mix`` gives it); the columns size, source_size, target, taken and
-    repetition are set here.
+    seeded run of its words, joined by one space. The columns size,
+    source_size, target, taken and repetition are set here; rows that share an
+    id are told apart by their size and source.
     """
     names = ["size", "source_size", "target", "taken"]
-    plan = mixed.select(F.col("doc_id").alias("_mix_id"), *[F.col(n).alias(f"_mix_{n}") for n in names])
+    plan = mixed.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"),
+                        *[F.col(n).alias(f"_mix_{n}") for n in names]).distinct()
     base = docs.drop(*names, "repetition")
-    joined = base.join(plan, base[id_col].eqNullSafe(plan["_mix_id"])).drop("_mix_id")
+    words = F.coalesce(F.regexp_count(base[text_col], F.lit(WORD)), F.lit(0))
+    same = (base[id_col].eqNullSafe(plan["_mix_id"]) & base[source_col].eqNullSafe(plan["_mix_source"])
+            & (words == plan["_mix_size"]))
+    joined = base.join(plan, same).drop("_mix_id", "_mix_source")
     size, taken = F.col("_mix_size"), F.col("_mix_taken")
     rest = taken - F.floor(taken / F.greatest(size, F.lit(1))) * size
     times = F.when(size > 0, F.ceil(taken / F.greatest(size, F.lit(1)))).otherwise(F.lit(0)).cast("int")

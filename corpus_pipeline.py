@@ -1,8 +1,74 @@
-"""The corpus pipeline (stages follow)."""
+"""The corpus pipeline: five stages over documents, each applied to what the one before kept.
 
-STAGES = []
+1. toxicity: documents that the classifier rejects go;
+2. line dedup: each line near an earlier one goes, the documents stay;
+3. near duplicates: one document of each group stays;
+4. decontamination: documents that hold a benchmark item go;
+5. mixing: sources come to their target weights, one row per repetition.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of
+docs (the last one adds its own). Null texts and ids follow the operators.
+"""
+
+from pyspark.sql import functions as F
+
+from catalogflow.llm import decontaminate, line_dedup, mixture, odd_sketch, toxicity
+from catalogflow.llm.registry import table
+from catalogflow.session import materialize
+
+
+def _keep(docs, decided, condition):
+    """The rows of docs whose id has a row that meets the condition."""
+    kept = decided.filter(condition).select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+
+
+def without_toxic(spark, docs, sf_dir):
+    """Fit on the labelled documents of the corpus, score all, drop those at 0.7 or more."""
+    model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return _keep(docs, toxicity.score(docs, model), "predicted = 0")
+
+
+def without_repeated_lines(spark, docs, sf_dir):
+    """Texts without lines that come again; n_chars follows the text."""
+    found = line_dedup.dedup_lines(docs).filter("n_removed > 0")
+    found = found.select(F.col("doc_id").alias("_cut"), F.col("text_tag").alias("_tag"), "kept_text").distinct()
+    same = docs["doc_id"].eqNullSafe(found["_cut"]) & (line_dedup.text_tag(docs["text"]) == found["_tag"])
+    joined = docs.join(found, same, "left")
+    text = F.coalesce("kept_text", "text")
+    changed = joined.withColumns({"n_chars": F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast("long")).otherwise(
+        F.col("n_chars")), "text": text})
+    return changed.select(*docs.columns)
+
+
+def without_near_duplicates(spark, docs, sf_dir):
+    """One document of each class at a similarity of 0.8 or more."""
+    return _keep(docs, odd_sketch.near_duplicates(docs, least=80), "kept")
+
+
+def without_benchmark(spark, docs, sf_dir):
+    """Documents that hold no benchmark item."""
+    return _keep(docs, decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")), "not contaminated")
+
+
+def mixed(spark, docs, sf_dir):
+    """One row per repetition that the mix takes, with its words and the targets."""
+    return mixture.repetitions(docs, mixture.mix(docs))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("line_dedup", without_repeated_lines),
+    ("near_duplicates", without_near_duplicates),
+    ("decontamination", without_benchmark),
+    ("mixing", mixed),
+]
+# the classifier and the sketches have no SQL
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
