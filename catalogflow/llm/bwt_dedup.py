@@ -8,6 +8,8 @@ strings with several occurrences backwards, all intervals of one length at a
 time, until the length is reached. Longer common prefixes are never looked at.
 """
 
+from struct import pack
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -114,14 +116,14 @@ def _segments(least, gram):
                     out.append((name, i, p, seg))
             if out:
                 known = [ids[i] > best[k, seg] for k, i, _, seg in out]
+                names = np.array([o[0] for o in out], np.uint64)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.array([mixed(np.uint64(k ^ i * 7919)) if n else np.uint64(k) for (k, i, _, _), n in zip(out, known)],
-                                      np.uint64).view(np.int64)),
+                    pa.array(np.where(known, mixed(names ^ np.arange(len(out), dtype=np.uint64)), names).view(np.int64)),
                     pa.array([ids[o[1]] for o in out], pa.int64()), pa.array([tags[o[1]] for o in out], pa.int64()),
                     pa.array([o[2] for o in out], pa.int32()),
                     # of a segment that a smaller id of the batch holds, only the removed span goes on
-                    pa.array([np.array([o[2], o[2] + len(o[3])], np.int32).tobytes() if n else o[3] for o, n in zip(out, known)],
-                             pa.binary()), pa.array(known)], schema=SENT_ARROW)
+                    pa.array([pack("<ii", o[2], o[2] + len(o[3])) if n else o[3] for o, n in zip(out, known)], pa.binary()),
+                    pa.array(known)], schema=SENT_ARROW)
 
     return run
 
@@ -225,14 +227,15 @@ def _judged(least):
         segments = list(best)
         number = {s: n for n, s in enumerate(segments)}
         holders = first_holders(segments, np.array([best[s] for s in segments], np.int64), least) if segments else []
+        # most segments go or stay as a whole: for these the bounds of their holders decide
+        bounds = [(best[s], best[s]) if w is None else (int(w.min()), int(w.max())) for s, w in zip(segments, holders)]
         for i, tag, start, seg in rows:
-            who = holders[number[seg]]
-            if who is None:
-                gone = np.arange(len(seg) - least + 1) if best[seg] < i else ()
-            else:
-                gone = np.flatnonzero(who < i)
-            if len(gone):
-                out.append((i, tag, _spans(gone + start, least)))
+            n = number[seg]
+            low, high = bounds[n]
+            if high < i:
+                out.append((i, tag, pack("<ii", start, start + len(seg))))
+            elif low < i:
+                out.append((i, tag, _spans(np.flatnonzero(holders[n] < i) + start, least)))
         if out:
             i, tag, spans = zip(*out)
             yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(tag, pa.int64()), pa.array(spans, pa.binary())],
