@@ -95,6 +95,25 @@ def margins(texts, model):
     return out
 
 
+def word_grams(buffer, part=2_000_000):
+    """(word, bucket) of every n-gram of a buffer of words, sorted by word; a part of the buffer at a time."""
+    words, buckets, at, done = [], [], 0, 0
+    while at < len(buffer) - 1:
+        end = len(buffer) if at + part >= len(buffer) else buffer.rindex(b" ", at + 1, at + part) + 1
+        if end - at < 2:
+            end = buffer.index(b" ", at + part) + 1
+        piece = buffer[at:end]
+        border = (np.cumsum(np.frombuffer(piece, np.uint8) == SPACE) - 1).astype(np.int32)
+        found = [(border[ok], bucket[ok]) for bucket, ok in grams(piece)]
+        word = np.concatenate([f[0] for f in found])
+        order = np.argsort(word, kind="stable")
+        words.append(word[order] + np.int32(done))
+        buckets.append(np.concatenate([f[1] for f in found])[order])
+        done += int(border[-1])
+        at = end - 1
+    return np.concatenate(words), np.concatenate(buckets)
+
+
 def train(samples, rounds=120, rate=0.01, seed=0):
     """Fit on an iterable of (text, label); returns the folded model.
 
@@ -118,11 +137,7 @@ def train(samples, rounds=120, rate=0.01, seed=0):
         return model
     # n-grams of each distinct word, as (word, bucket) pairs sorted by word
     buffer = b" " + b" ".join(vocabulary) + b" "
-    border = np.cumsum(np.frombuffer(buffer, np.uint8) == SPACE) - 1
-    pairs = [(border[ok], bucket[ok]) for bucket, ok in grams(buffer)]
-    word, bucket = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-    order = np.argsort(word, kind="stable")
-    word, bucket = word[order], bucket[order]
+    word, bucket = word_grams(buffer)
     start = np.searchsorted(word, np.arange(len(vocabulary) + 1))
     size = np.diff(start)
     token = np.concatenate(tokens)
@@ -157,8 +172,8 @@ def train(samples, rounds=120, rate=0.01, seed=0):
         at_passage = np.repeat(error, passages) * share
         at_word = np.bincount(token, np.repeat(at_passage, passage_size) * once, len(vocabulary)) / size
         live = np.flatnonzero(at_word)
-        spots = np.concatenate([np.arange(start[w], start[w + 1]) for w in live]) if len(live) < 200_000 else np.arange(len(word))
-        at_gram = np.bincount(bucket[spots], at_word[word[spots]], 2**BUCKET_BITS).astype(np.float32)
+        spots = np.repeat(start[live] - np.r_[0, np.cumsum(size[live])[:-1]], size[live]) + np.arange(size[live].sum())
+        at_gram = np.bincount(bucket[spots], np.repeat(at_word[live], size[live]), 2**BUCKET_BITS).astype(np.float32)
         sum_vector = at_gram @ vectors
         total = at_passage.sum()
         slopes = [np.outer(at_gram, direction), np.stack([-sum_vector, sum_vector], 1), np.array([-total, total])]
@@ -171,7 +186,7 @@ def train(samples, rounds=120, rate=0.01, seed=0):
     return {"weights": vectors @ direction, "bias": float(bias[1] - bias[0]), "prior": prior}
 
 
-def training_rows(docs, labels, most=4000, id_col="doc_id", text_col="text", label_col="toxic", hold_out=True):
+def training_rows(docs, labels, most=1500, id_col="doc_id", text_col="text", label_col="toxic", hold_out=True):
     """A bounded sample of labelled documents: up to ``most`` of each label.
 
     Rows whose crc32 of the id modulo 3 is 1 are held out. A document with
@@ -187,7 +202,7 @@ def training_rows(docs, labels, most=4000, id_col="doc_id", text_col="text", lab
     return chosen[0].unionByName(chosen[1]).join(texts, "_id").select("_id", "_text", (F.col("_y") == 1).cast("int").alias("_y"))
 
 
-def fit(docs, labels, most=4000, **columns):
+def fit(docs, labels, most=1500, **columns):
     """Train on ``training_rows``; the rows come to the driver one partition at a time, in a fixed order."""
     rows = training_rows(docs, labels, most, **columns).orderBy("_id", F.xxhash64("_text"))
     return train((r["_text"], r["_y"]) for r in rows.toLocalIterator())
