@@ -122,13 +122,18 @@ def _samples(grams, crowded):
 
 
 def _mark_crowded(segments, crowded):
-    """Number of crowded segments per item, and whether each segment is one."""
-    hot = segments.join(crowded.select(*KEY), KEY, "left_semi").groupBy("a").agg(F.collect_set("p").alias("_hot"))
-    joined = segments.join(hot.withColumnRenamed("a", "_a"), F.col("a") == F.col("_a"), "left")
-    flag = F.coalesce(F.array_contains("_hot", F.col("p")), F.lit(False))
-    return joined.select(
-        *segments.columns, flag.alias("is_crowded"), F.coalesce(F.size("_hot"), F.lit(0)).alias("n_crowded")
-    )
+    """Whether each join row (segment and position bucket) is crowded, and how many segments of the item have such a row.
+
+    A segment can be crowded in one bucket and sparse in the next: only its
+    crowded rows leave the pair join.
+    """
+    flags = crowded.select(*[F.col(k).alias(f"_{k}") for k in KEY], F.lit(True).alias("_hot"))
+    same = [F.col(k) == F.col(f"_{k}") for k in KEY]
+    marked = segments.join(flags, same, "left").withColumn("is_crowded", F.coalesce("_hot", F.lit(False)))
+    marked = marked.select(*segments.columns, "is_crowded")
+    counts = marked.filter("is_crowded").groupBy(F.col("a").alias("_a")).agg(F.count_distinct("p").alias("_n"))
+    joined = marked.join(counts, F.col("a") == F.col("_a"), "left")
+    return joined.select(*marked.columns, F.coalesce("_n", F.lit(0)).alias("n_crowded"))
 
 
 def _sparse_pairs(segments, grams, threshold):
@@ -143,7 +148,7 @@ def _sparse_pairs(segments, grams, threshold):
 
 
 def _dense_items(segments, threshold):
-    """Crowded segments of the items that may match through these alone."""
+    """Crowded rows of the items that may match through these alone."""
     _, high = _length_band(F.col("la"), threshold)
     edits = _max_edits(F.col("la"), high, threshold)
     return segments.filter(F.col("is_crowded") & (F.col("n_crowded") >= F.col("n") - edits))
@@ -221,8 +226,9 @@ def _in_blocks(df, text, own, other, sizes):
 def similar_titles(items, titles, threshold=THRESHOLD, crowd=CROWD, block=BLOCK):
     """Item titles with at least one title at or above the threshold.
 
-    Segments found in more than ``crowd`` titles are left out of the pair join;
-    the number of shared segments an item needs drops by as many. Items that
+    Keys with more than ``crowd`` titles are left out of the pair join; the
+    number of shared segments an item needs drops by as many segments as have
+    such a key, since each of them may be shared there only. Items that
     could then be missed search the crowds in blocks.
     """
     grams = _title_grams(spread(titles, "title"), threshold)

@@ -129,3 +129,16 @@ def test_best_match_equals_brute_force(spark):
         out = matching.best_match(left, right, "grp2", "title", "name", block=block)
         got = out.select("grp2", "title", "match", F.round("score", 6)).collect()
         assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_a_segment_crowded_in_one_bucket_only(spark):
+    # the issued title shares its last 16 characters one bucket later than the crowd does
+    rng = random.Random(11)
+    tail = "zqxjkvwyzqxjkvwy"
+    letters = "abcdefghilmnoprstu"
+    head = "".join(rng.choices(letters, k=24))
+    item, issued = head + tail, head[:8] + "#" + head[8:14] + "#" + head[14:20] + "#" + head[20:] + "#" + tail
+    crowd = ["".join(rng.choices(letters, k=12)) + tail + "".join(rng.choices(letters, k=12)) for _ in range(40)]
+    for limit in (2, 39, 2000):
+        assert run(spark, [item], [issued, *crowd], crowd=limit) == sorted(t for t in brute_force([item], [issued, *crowd])) == []
+    assert run(spark, [item], crowd, crowd=2) == [item]
