@@ -4,6 +4,7 @@ HTML needs a parser, so pages go through ``mapInPandas`` in Arrow batches, one
 page at a time; text extraction uses array expressions inside one row.
 """
 
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -14,7 +15,6 @@ from ..functions.text import clean_author_links, strip
 from .ordered import running_sum
 
 # fixed values: page vocabulary
-PAGE_LINES = 1_000_000  # positions reserved for the lines of one page
 VOID_TAGS = {"br", "img", "hr", "meta", "link", "input"}
 DATE_PREFIX = "Appeared or available online:"
 HEADING_WORDS = ("Article", "Original", "Columns")
@@ -28,16 +28,26 @@ REFERENCE = (
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "parent", "items")
+    __slots__ = ("tag", "attrs", "parent", "items", "place")
 
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.parent, self.items = tag, attrs, parent, []
+        self.place = len(parent.items) if parent is not None else 0
 
-    def walk(self):
-        for item in self.items:
-            if isinstance(item, _Node):
+    def below(self):
+        """All nodes and texts below, in order; no recursion, as raw pages nest without limit."""
+        stack = [iter(self.items)]
+        while stack:
+            for item in stack[-1]:
                 yield item
-                yield from item.walk()
+                if isinstance(item, _Node):
+                    stack.append(iter(item.items))
+                    break
+            else:
+                stack.pop()
+
+    def walk(self):
+        return (item for item in self.below() if isinstance(item, _Node))
 
     def all(self, tag=None, cls=None, ident=None, title=None):
         for n in self.walk():
@@ -55,11 +65,7 @@ class _Node:
         return next(self.all(*args, **kw), None)
 
     def pieces(self):
-        for item in self.items:
-            if isinstance(item, _Node):
-                yield from item.pieces()
-            else:
-                yield item
+        return (item for item in self.below() if not isinstance(item, _Node))
 
     def text(self):
         """Text pieces stripped one by one and joined."""
@@ -69,8 +75,7 @@ class _Node:
         return "".join(self.pieces())
 
     def next_text(self):
-        at = self.parent.items.index(self) + 1
-        after = self.parent.items[at:at + 1]
+        after = self.parent.items[self.place + 1:self.place + 2]
         return after[0] if after and isinstance(after[0], str) else ""
 
     def up(self, tag):
@@ -84,22 +89,26 @@ class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = _Node("", {}, None)
+        self.open = Counter()
 
     def handle_starttag(self, tag, attrs):
         node = _Node(tag, dict(attrs), self.at)
         self.at.items.append(node)
         if tag not in VOID_TAGS:
             self.at = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.at.items.append(_Node(tag, dict(attrs), self.at))
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.at = node.parent
+        if not self.open[tag]:
+            return
+        while True:
+            closed, self.at = self.at, self.at.parent
+            self.open[closed.tag] -= 1
+            if closed.tag == tag:
+                return
 
     def handle_data(self, data):
         items = self.at.items
@@ -348,21 +357,27 @@ def extract_section(df, doc, pages, heading, footer=None):
 def extract_section_pages(df, doc, page, text, heading, footer=None):
     """The same for one row per page, for documents of any number of pages.
 
-    Lines get a position by page and line; the entry number is the running
-    count of ending lines, so no document is gathered into one row.
+    A line's place is its page and its number there. The entry number is the
+    count of ending lines on the pages before plus that on the page, so pages
+    may have any number of lines and no document is gathered into one row (an
+    entry is one: text without any ending line is one entry).
     """
     first = df.filter(F.contains(F.col(text), F.lit(heading))).groupBy(F.col(doc).alias("_doc")).agg(
         F.min(page).alias("_first")
     )
     inside = df.join(first, (F.col(doc) == F.col("_doc")) & (F.col(page) >= F.col("_first")))
-    lines = inside.select(doc, page, F.posexplode_outer(F.split(_after_heading(F.col(text), heading), "\n")).alias("_n", "_line"))
+    lines = inside.select(doc, F.col(page).cast("bigint").alias("_page"), F.posexplode_outer(
+        F.split(_after_heading(F.col(text), heading), "\n")).alias("_n", "_line"))
     lines = lines.filter(F.col("_line").rlike("[A-Za-z]")).select(
-        doc, (F.col(page).cast("bigint") * PAGE_LINES + F.col("_n")).alias("_pos"), strip("_line").alias("_text"),
-        _ends_entry(F.col("_line")).cast("bigint").alias("_end"),
-    )
-    numbered = running_sum(lines, [doc], "_pos", "_end", "pos", span=PAGE_LINES)
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", "_text")))
-    entries = numbered.groupBy(doc, "pos").agg(F.array_join(F.transform(ordered, lambda x: x["_text"]), " ").alias("entry"))
+        doc, "_page", "_n", strip("_line").alias("_text"), _ends_entry(F.col("_line")).cast("bigint").alias("_end"))
+    ends = lines.groupBy(doc, "_page").agg(F.sum("_end").alias("_ends"))
+    before = running_sum(ends, [doc], "_page", "_ends", "_earlier").select(
+        F.col(doc).alias("_d"), F.col("_page").alias("_p"), "_earlier")
+    numbered = running_sum(lines, [doc, "_page"], "_n", "_end", "_inside")
+    numbered = numbered.join(before, (F.col(doc) == F.col("_d")) & (F.col("_page") == F.col("_p")))
+    ordered = F.array_sort(F.collect_list(F.struct("_page", "_n", "_text")))
+    entries = numbered.groupBy(doc, (F.col("_earlier") + F.col("_inside")).alias("pos")).agg(
+        F.array_join(F.transform(ordered, lambda x: x["_text"]), " ").alias("entry"))
     return _split_entries(entries, [doc, "pos"], footer)
 
 

@@ -94,3 +94,20 @@ def test_references(spark, rows):
     assert rows(X.extract_references(df, "doc", "t"), "Authors", "Title", "Publication Info") == [
         ("Lee, A., Deep maps of forests", "Journal of Tests, B., 2001", " Volume/Issue: 12(3), Pages: 45–67")
     ]
+
+
+def test_pages_of_any_number_of_lines(spark, rows):
+    long_page = "Heading\n" + "x\n" * 1_000_002 + "Ann, and Bob. First\n"
+    data = [("d", 1, long_page), ("d", 2, "Cy, and Di. Second\nEd, and Flo. Third\n")]
+    df = spark.createDataFrame(data, "doc string, page int, text string")
+    got = X.extract_section_pages(df, "doc", "page", "text", "Heading").select("pos").collect()
+    whole = spark.createDataFrame([("d", [t for _, _, t in data])], "doc string, pages array<string>")
+    want = X.extract_section(whole, "doc", "pages", "Heading")
+    assert rows(want.select("pos")) == sorted((r.pos,) for r in got) and len(got) == 3
+
+
+def test_unclosed_and_deep_markup(spark, rows):
+    deep = "<div>" * 100_000 + TOC + "</span>" * 1000
+    unclosed = "<ul>" + "<li>item" * 3_000 + TOC
+    got = rows(X.extract_toc(pages(spark, deep, unclosed), "https://b.example"), "page_url", "Title")
+    assert got == sorted((u, t) for u in ("u0", "u1") for t in ("DeepMaps", "N/A", "GIS Tips"))
