@@ -70,8 +70,8 @@ def diff_counts(new, old, keys=("Title", "URL"), group=()):
 
 
 def except_issues(df, keys, issue_key="IssueKey"):
-    """Rows whose canonical issue key is not in the key table."""
-    gone = keys.select(F.col("issue_key").alias("_gone")).distinct()
+    """Rows whose canonical issue key is not in the key table; a blank key stands for no issue and takes no row out."""
+    gone = keys.select(F.col("issue_key").alias("_gone")).filter("_gone <> ''").distinct()
     return df.join(gone, canonical_issue_key(issue_key) == F.col("_gone"), "left_anti")
 
 
@@ -94,14 +94,15 @@ def catalog_from_batches(log, issue_key="IssueKey", unique=("Title", "URL"), seq
 
     Equal to repeated ``replace_issue``, without rewriting the catalog for each
     batch: a row stands if it is the last of its unique key in the whole log
-    and no later batch holds its issue. ``gen`` is any column that orders the
+    and no later batch holds its issue (rows without an issue key belong to no
+    issue and stand on their own). ``gen`` is any column that orders the
     batches. The result keeps it, so it can replace the log it came from.
     """
     keyed = log.withColumn("_key", canonical_issue_key(issue_key))
-    newest = keyed.groupBy(F.col("_key").alias("_k")).agg(F.max(gen).alias("_newest"))
+    newest = keyed.filter("_key <> ''").groupBy(F.col("_key").alias("_k")).agg(F.max(gen).alias("_newest"))
     last = dedupe_last(keyed, list(unique), [gen, seq])
-    standing = last.join(newest, (F.col("_key") == F.col("_k")) & (F.col(gen) == F.col("_newest")), "left_semi")
-    return standing.drop("_key")
+    joined = last.join(newest, F.col("_key") == F.col("_k"), "left")
+    return joined.filter(F.col("_k").isNull() | (F.col(gen) == F.col("_newest"))).drop("_key", "_k", "_newest")
 
 
 def replace_report(catalog, batch, result, issue_key="IssueKey", seq="ingest_seq", keys="all"):

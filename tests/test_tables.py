@@ -302,3 +302,14 @@ def test_moment_literal_keeps_the_column_type(spark):
     df = spark.sql("select timestamp_ntz'2026-01-01 00:00:00' as t")
     moment = D.moment_like(df, "t", dt.datetime(2026, 1, 1))
     assert df.select(moment.alias("m")).schema["m"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_blank_issue_keys_replace_nothing(spark, rows):
+    names = "Title string, URL string, IssueKey string, ingest_seq int"
+    old = spark.createDataFrame([("T0", "a", None, 1), ("T1", "b", "202401", 1), ("T5", "f", "", 1)], names)
+    batch = spark.createDataFrame([("T2", "c", None, 2), ("T3", "d", "202401", 3), ("T4", "e", " ", 4)], names)
+    for keys in ("all", "first"):
+        titles = {r.Title for r in dedupe.replace_issue(old, batch, keys=keys).collect()}
+        assert titles == {"T0", "T2", "T3", "T4", "T5"} | ({"T1"} if keys == "first" else set())
+    log = old.selectExpr("*", "1 as gen").unionByName(batch.selectExpr("*", "2 as gen"))
+    assert rows(dedupe.catalog_from_batches(log), "Title") == [("T0",), ("T2",), ("T3",), ("T4",), ("T5",)]
