@@ -3,14 +3,19 @@
 A line is cut into threshold + 1 segments. Two lines within the threshold share
 a segment at places whose shift the lengths and the segment's number bound, so
 a line's substrings at those places probe an index of segments by length. What
-meets is verified by a banded bit-parallel edit distance.
+meets is verified by a banded bit-parallel edit distance. A segment that many
+distinct lines hold is crowded: its lines bring character and bigram parities,
+and only pairs whose parities allow so few edits leave the join.
 """
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from catalogflow.llm.common import LAST_ID
+from catalogflow.session import materialize
 
 DISTANCE, SHORTEST = 2, 20
+CROWD, FILTER_BITS = 16, 2**18
 PAD = "￿"
 
 
@@ -109,26 +114,71 @@ def _key(length, i, part):
     return F.shiftrightunsigned(F.xxhash64(length.cast("int"), F.lit(i), part), 16)
 
 
-def _index(line, length, most):
-    keys = []
-    for i in range(most + 1):
-        start, size = _segment(length, i, most)
-        keys.append(_key(length, i, line.substr(start, size)))
-    return F.array(*keys)
+def _segments(most):
+    """The segments of a line itself, as (gap, segment, shift)."""
+    return [(0, i, 0) for i in range(most + 1)]
 
 
-def _probes(line, length, most):
-    """Keys of the substrings at which a line that is shorter by 0 to ``most`` can share a segment, each with whether it is by 0."""
-    keys = []
-    for gap in range(most + 1):
-        other = (length - gap).cast("int")
-        for i in range(most + 1):
-            start, size = _segment(other, i, most)
-            for shift in range(max(-i, gap - (most - i)), min(i, gap + (most - i)) + 1):
-                at = start + shift
-                fits = (at >= 1) & (at + size - 1 <= length)
-                keys.append(F.when(fits, F.struct(_key(other, i, line.substr(at, size)).alias("key"), F.lit(gap == 0).alias("equal"))))
-    return F.array_compact(F.array_distinct(F.array(*keys)))
+def _shifts(most):
+    """Where a line that is longer by a gap of 0 to ``most`` can hold a segment, as (gap, segment, shift)."""
+    return [(gap, i, shift) for gap in range(most + 1) for i in range(most + 1)
+            for shift in range(max(-i, gap - (most - i)), min(i, gap + (most - i)) + 1)]
+
+
+def _keyed(line, steps, most):
+    """One row per line and step: its place, line, key and whether the gap is 0.
+
+    The steps are rows, so that one small expression serves them all.
+    """
+    steps = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("gap", "i", "shift"), step)]) for step in steps])
+    each = line.select(*PLACE, "line", "chars", F.explode(steps).alias("s"))
+    other, i = (F.col("chars") - F.col("s.gap")).cast("int"), F.col("s.i")
+    start, size = _segment(other, i, most)
+    at = start + F.col("s.shift")
+    return each.filter((at >= 1) & (at + size - 1 <= F.col("chars"))).select(
+        *PLACE, "line", _key(other, i, F.col("line").substr(at, size)).alias("key"), (F.col("s.gap") == 0).alias("equal"))
+
+
+def _parities(line):
+    """For each of 64 classes whether a line holds an odd number of its characters; the same of its bigrams."""
+
+    def odd(hashes):
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
+
+    return _let(F.split(line, ""), lambda c: F.struct(
+        odd(F.transform(c, lambda x: F.xxhash64(x))).alias("one"),
+        odd(F.transform(F.sequence(F.lit(1), F.size(c) - 1), lambda i: F.xxhash64(F.get(c, i - 1), F.get(c, i)))).alias("two")))
+
+
+def _alike(a, b, most):
+    """Whether parities allow ``most`` edits: an edit changes at most two characters and four bigrams."""
+    return (F.bit_count(a["one"].bitwiseXOR(b["one"])) <= 2 * most) & (F.bit_count(a["two"].bitwiseXOR(b["two"])) <= 4 * most)
+
+
+def _crowded(rows, crowd, most, shortest, bits=FILTER_BITS):
+    """A test for segments of different lines in more than ``crowd`` places; it may also hold for others.
+
+    Counts meet in the map tasks and no text is shuffled. A bitmap of fixed
+    size, whatever the number of segments, goes to the tasks.
+    """
+    lines = rows.select(*ROW, F.posexplode(F.split("_text", "\n", -1)).alias("no", "line")).withColumn("chars", F.length("line"))
+    held = _keyed(lines.filter(F.col("chars") >= shortest), _segments(most), most).select("key", F.hash("line").alias("line"))
+    counts = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("low"), F.max("line").alias("high"))
+    many = counts.filter((F.col("n") > crowd) & (F.col("low") < F.col("high"))).select(F.pmod("key", F.lit(bits)).alias("at"))
+    words = many.groupBy(F.floor(F.col("at") / 64).cast("int").alias("w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))).alias("bits"))
+    table = np.zeros(bits // 64, np.int64)
+    for w, found in materialize(words, "crowded").collect():
+        table[w] = found
+    words = F.split(F.lit(" ".join(map(str, table.tolist()))), " ").cast("array<long>")  # folded to one literal
+
+    def test(key):
+        at = F.pmod(key, F.lit(bits))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+        return F.get(words, F.floor(at / 64).cast("int")).bitwiseAND(bit) != 0
+
+    return test if table.any() else lambda key: F.lit(False)
 
 
 ROW = ["_id", "_row"]
@@ -165,23 +215,29 @@ def _at(rows, places):
     return joined.select(*ROW, "_l.p.no", "_l.line", *[F.col(f"_l.p.{c}") for c in more])
 
 
-def similar_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_col="text"):
+def similar_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_col="text", crowd=CROWD):
     """Distinct lines and links between them: (places, links).
 
-    places: (h, first), the first place (_id, _row, no) that holds the line;
+    places: (h, first, n), the first place (_id, _row, no) that holds the line
+    and the number of its places;
     links: (place, other, distance) for every ordered pair of distinct lines
     within ``most`` edits, named by their first places. Lines of fewer than
     ``shortest`` code points are left out. Copies meet in the map tasks.
+    Segments in more than ``crowd`` places are screened inside the join;
+    the links are the same for any ``crowd``.
     """
     shortest = max(shortest, 2 * most + 2)
     rows, lines = line_table(docs, shortest, id_col, text_col)
-    places = lines.groupBy("h").agg(F.min(F.struct(*PLACE)).alias("first"))
+    places = lines.groupBy("h").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n"))
     line = _at(rows, places.select("first.*")).withColumn("chars", F.length("line"))
-    text, size = F.col("line"), F.col("chars")
-    index = line.select(*[F.col(c).alias(f"{c}_i") for c in PLACE], F.explode(_index(text, size, most)).alias("key"))
-    probe = line.select(*PLACE, F.explode(_probes(text, size, most)).alias("k")).select(*PLACE, "k.*")
+    index, probe = _keyed(line, _segments(most), most), _keyed(line, _shifts(most), most)
+    crowded = _crowded(rows, crowd, most, shortest)
+    odd = F.when(crowded(F.col("key")), _parities(F.col("line")))
+    index = index.select(*[F.col(c).alias(f"{c}_i") for c in PLACE], "key", odd.alias("odd_i"))
+    probe = probe.select(*PLACE, "key", "equal", odd.alias("odd"))
     place, other = F.struct(*PLACE), F.struct(*[F.col(f"{c}_i").alias(c) for c in PLACE])
-    met = probe.join(index, "key").filter(~F.col("equal") | (place < other))
+    met = probe.join(index, "key").filter(~F.col("equal") | (place < other)).filter(
+        F.col("odd").isNull() | _alike(F.col("odd"), F.col("odd_i"), most))
     pairs = met.select(*PLACE, other.alias("other")).distinct()
     one = _at(rows, pairs).select(F.struct(*PLACE).alias("place"), F.col("line").alias("text"), "other.*")
     both = _at(rows, one).select("place", F.struct(*PLACE).alias("other"), _within(
@@ -191,7 +247,7 @@ def similar_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_
     return places, close.select(F.explode(F.array(*each)).alias("l")).select("l.*")
 
 
-def dedup_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_col="text"):
+def dedup_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_col="text", crowd=CROWD):
     """Remove each line that comes again: a line within ``most`` edits of one at an earlier place.
 
     Places are ordered by id, then line number; ``text_tag`` (of the input text,
@@ -204,9 +260,10 @@ def dedup_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_co
     remove each other's lines.
     """
     rows, lines = line_table(docs, max(shortest, 2 * most + 2), id_col, text_col)
-    places, links = similar_lines(docs, most, shortest, id_col, text_col)
+    places, links = similar_lines(docs, most, shortest, id_col, text_col, crowd)
     earlier = links.groupBy(F.col("place").alias("first")).agg(F.min("other").alias("there"), F.count(F.lit(1)).alias("links"))
-    verdict = places.join(earlier, "first", "left").select("h", F.least("first", "there").alias("least"), "links")
+    verdict = places.join(earlier, "first", "left").filter("n > 1 or links > 0").select(
+        "h", F.least("first", "there").alias("least"), "links")
     marked = lines.join(verdict, "h").withColumn("gone", F.col("least") < F.struct(*PLACE))
     per_row = marked.filter("gone or links > 0").select(*PLACE, "gone", "links").distinct().groupBy(*ROW).agg(
         F.collect_set(F.when(F.col("gone"), F.col("no"))).alias("gone"), F.sum("links").alias("n_links"))

@@ -90,11 +90,23 @@ def test_edges(docs_of, rows):
     df = docs_of(pairs)
     short = [p for p in pairs if p[0] != 53]
     assert rows(line_dedup.dedup_lines(docs_of(short)).drop("text_tag")) == brute(short)
+    assert rows(line_dedup.dedup_lines(docs_of(short), crowd=1).drop("text_tag")) == brute(short)
     got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(df).collect()}
     assert got[53] == 1 and got[50] == got[51] == 0
     assert rows(line_dedup.dedup_lines(df.limit(0))) == []
 
 
+def test_crowded_segment(docs_of, rows):
+    """Many unlike lines share a segment; the join keeps the near ones only."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    tails = [word(rng.choice((28, 29))) for _ in range(80)]
+    tails += [edited(rng, rng.choice(tails), rng.randrange(1, 4)) for _ in range(40)]
+    pairs = [(i, "shared segment" + t) for i, t in enumerate(tails)]
+    assert rows(line_dedup.dedup_lines(docs_of(pairs), crowd=4).drop("text_tag")) == brute(pairs)
+    assert rows(line_dedup.dedup_lines(docs_of(pairs), crowd=10**6).drop("text_tag")) == brute(pairs)
+
+
 def test_documents(documents, rows):
     pairs = [(r.doc_id, r.text) for r in documents.filter("doc_id < 60").collect()]
     assert rows(line_dedup.dedup_lines(documents.filter("doc_id < 60")).drop("text_tag")) == brute(pairs)
