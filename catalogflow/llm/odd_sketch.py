@@ -2,8 +2,10 @@
 
 A document is its set of word shingles. MinHash samples in bands bring possible
 pairs together; the samples folded into a parity bitmap (an odd sketch) let the
-population count of an XOR estimate how alike two documents are; what passes is
-confirmed on the full sets. Inside a bucket all are first compared with one
+population count of an XOR estimate how alike two documents are. A second bitmap
+folds the whole set: its XOR can have no more bits than the sets differ in, so it
+tells close pairs apart and loses none. What passes is confirmed on the full sets.
+Inside a bucket all are first compared with one
 member; after the components of those links are known, only members outside
 the bucket's largest component meet the others, so a group of near copies costs
 its size, not its square, and no link between different components is lost.
@@ -18,6 +20,7 @@ from catalogflow.llm.components import components
 from catalogflow.session import materialize
 
 BANDS, ROWS, SKETCH_BITS = 36, 7, 1024
+SKETCH = ["n_shingles", "odd", "whole", "level"]
 BASE = 0xBF58476D1CE4E5B9
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 
@@ -52,8 +55,15 @@ class Sampler:
         keys = np.zeros(self.bands, np.uint64)
         for r in range(self.rows):
             keys = mixed(keys * np.uint64(31) + marks.reshape(self.bands, self.rows)[:, r])
-        flips = np.bincount((marks % np.uint64(self.bits)).astype(np.int64), minlength=self.bits) & 1
-        return keys, np.packbits(flips.astype(np.uint8)).view(np.int64)
+        # the whole set, or of a large one the share whose hashes end in ``level`` zeros
+        level = max(0, int(len(items) - 1).bit_length() - self.bits.bit_length() + 1)
+        hashes = mixed(items)
+        hashes = hashes[(hashes & np.uint64(2**level - 1)) == 0] >> np.uint64(32)
+        return keys, self._parity(marks), self._parity(hashes), level
+
+    def _parity(self, values):
+        flips = np.bincount((values % np.uint64(self.bits)).astype(np.int64), minlength=self.bits) & 1
+        return np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
 def likeness(popcount, samples=BANDS * ROWS, bits=SKETCH_BITS):
@@ -67,37 +77,47 @@ def _signed(k, bands, rows, bits):
     def run(batches):
         sampler, roll = Sampler(bands, rows, bits), Rolling(BASE)
         for batch in slices(batches, "_text"):
-            n, same, keys, odd = [], [], [], []
+            n, same, keys, odd, whole, level = [], [], [], [], [], []
             for text in batch.column("_text").to_pylist():
                 items = shingles(text, k, roll)
                 n.append(len(items))
                 if len(items):
-                    key, sketch = sampler(items)
+                    key, sketch, full, zeros = sampler(items)
                     same.append(np.bitwise_xor.reduce(mixed(items)).tobytes() + np.sum(items * items, dtype=np.uint64).tobytes())
                     keys.append(key.view(np.int64).tolist())
-                    odd.append(sketch.tolist())
+                    odd.append(sketch.tolist()), whole.append(full.tolist()), level.append(zeros)
                 else:
-                    same.append(None), keys.append([]), odd.append(None)
+                    same.append(None), keys.append([]), odd.append(None), whole.append(None), level.append(0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(n, pa.int64()), pa.array(same, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))],
-                names=["_id", "n_shingles", "same", "keys", "odd"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64())),
+                 pa.array(whole, pa.list_(pa.int64())), pa.array(level, pa.int32())],
+                names=["_id", "n_shingles", "same", "keys", "odd", "whole", "level"])
 
     return run
 
 
 def _possible(x, y, least, samples, bits):
-    """Whether two members (structs with n_shingles and odd) can be ``least`` percent alike.
+    """Whether two members (structs of ``SKETCH``) can be ``least`` percent alike.
 
-    Their sizes must allow it and so must their sketches, with five deviations
-    of slack, so that nothing is lost.
+    Their sizes must allow it, and so must their sketches of samples, with five
+    deviations of slack, and their bitmaps of whole sets: exactly where these hold
+    all shingles (level 0), with six deviations where they hold a share.
     """
     floor = least / 100 - 5 * np.sqrt(least / 100 * (1 - least / 100) / samples) - 0.03
     most = int(np.flatnonzero(likeness(np.arange(bits // 2), samples, bits) >= floor).max())
-    a, b = x["odd"], y["odd"]
-    ones = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, bits // 64)), F.bit_count(a[0].bitwiseXOR(b[0])))
+
+    def ones(name):
+        a, b = x[name], y[name]
+        return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, bits // 64)), F.bit_count(a[0].bitwiseXOR(b[0])))
+
     small, large = F.least(x["n_shingles"], y["n_shingles"]), F.greatest(x["n_shingles"], y["n_shingles"])
-    return (F.lit(100) * small >= F.lit(least) * large) & (ones <= most)
+    # sets so much alike differ in at most this many shingles
+    differ = (small + large) * F.lit((100 - least) / (100 + least))
+    share = differ / F.pow(F.lit(2.0), x["level"])
+    slack = F.when(x["level"] > 0, 6 * F.sqrt(share) + 6).otherwise(F.lit(1e-6))
+    return (F.lit(100) * small >= F.lit(least) * large) & (ones("odd") <= most) & (
+        (x["level"] != y["level"]) | (ones("whole") <= share + slack))
 
 
 def _confirmed(least, k):
@@ -138,7 +158,7 @@ def near_duplicates(docs, least=85, k=5, bands=BANDS, rows=ROWS, bits=SKETCH_BIT
     rows_in = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"),
                           F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     signed = rows_in.mapInArrow(_signed(k, bands, rows, bits),
-                                "_id long, n_shingles long, same binary, keys array<long>, odd array<long>")
+                                "_id long, n_shingles long, same binary, keys array<long>, odd array<long>, whole array<long>, level int")
     signed = materialize(signed, "signed")
     full = signed.filter("n_shingles > 0")
     # one member stands for all documents of one and the same set
@@ -146,33 +166,34 @@ def near_duplicates(docs, least=85, k=5, bands=BANDS, rows=ROWS, bits=SKETCH_BIT
     equal = full.select("_id", "same", "n_shingles").join(first.filter("n > 1"), ["same", "n_shingles"])
     copies = materialize(equal.select(F.col("first").alias("a"), F.col("_id").alias("b")).distinct(), "copies")
     alone = full.join(copies.filter("a <> b").select(F.col("b").alias("_id")).distinct(), "_id", "left_anti")
-    # buckets of at least two members
-    member = F.struct("_id", "n_shingles", "odd").alias("m")
-    bucket = alone.select(member, F.posexplode("keys").alias("band", "key"))
-    lead = bucket.groupBy("band", "key").agg(F.min("m._id").alias("lead"), F.max("m._id").alias("last"))
-    bucket = materialize(bucket.join(lead.filter("lead < last").drop("last"), ["band", "key"]), "buckets")
-    members = bucket.select(F.col("m._id").alias("_id")).distinct()
+    # buckets of at least two members; the key of a band is of that band only, sketches stay behind
+    bucket = alone.select("_id", F.explode("keys").alias("key"))
+    lead = bucket.groupBy("key").agg(F.min("_id").alias("lead"), F.max("_id").alias("last"))
+    bucket = materialize(bucket.join(lead.filter("lead < last").drop("last"), "key"), "buckets")
+    members = materialize(bucket.select("_id").distinct(), "members")
     # both sides grow with the corpus: never a broadcast
     texts = materialize(rows_in.join(members.hint("merge"), "_id").distinct(), "texts")
-    heads = bucket.filter("m._id = lead").select("band", "key", F.col("m").alias("head")).distinct()
+    sketches = materialize(alone.join(members.hint("merge"), "_id").select("_id", F.struct(*SKETCH).alias("m")), "sketches")
     settings = (least, bands * rows, bits)
-    stars = bucket.filter("m._id <> lead").join(heads, ["band", "key"]).filter(
-        _possible(F.col("head"), F.col("m"), *settings)).select(F.col("head._id").alias("a"), F.col("m._id").alias("b"))
+    near = bucket.filter("_id <> lead").select("lead", "_id").distinct()
+    near = near.join(sketches, "_id").join(sketches.select(F.col("_id").alias("lead"), F.col("m").alias("head")), "lead")
+    stars = near.filter(_possible(F.col("head"), F.col("m"), *settings)).select(F.col("lead").alias("a"), F.col("_id").alias("b"))
     star_links = materialize(_links(stars.distinct(), texts, least, k), "stars")
     label = components(star_links, "round")
     # members outside the largest component of their bucket meet all others
-    parts = bucket.select("band", "key", "lead", "m", F.col("m._id").alias("_id")).join(label, "_id", "left").withColumn(
-        "component", F.coalesce("component", "_id"))
-    sizes = parts.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("band", "key").agg(
+    parts = materialize(bucket.join(label, "_id", "left").select(
+        "key", "lead", "_id", F.coalesce("component", "_id").alias("component")), "parts")
+    sizes = parts.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("key").agg(
         F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    split = parts.join(largest.select("band", "key", F.col("top.component").alias("top")), ["band", "key"])
-    outside = split.filter("component <> top").select("band", "key", F.col("m").alias("x"), F.col("component").alias("c"))
     # the lead has met them all
-    meet = outside.join(split, ["band", "key"]).filter(
-        "c <> component and (component = top or x._id < m._id) and x._id <> lead and m._id <> lead"
-    ).filter(_possible(F.col("x"), F.col("m"), *settings))
-    rest = meet.select(F.least("x._id", "m._id").alias("a"), F.greatest("x._id", "m._id").alias("b")).distinct()
+    split = parts.filter("_id <> lead").join(largest.select("key", F.col("top.component").alias("top")), "key").drop("lead")
+    split = split.join(sketches, "_id")
+    outside = split.filter("component <> top").select(
+        "key", F.col("_id").alias("x_id"), F.col("m").alias("x"), F.col("component").alias("c"))
+    meet = outside.join(split, "key").filter("c <> component and (component = top or x_id < _id)").filter(
+        _possible(F.col("x"), F.col("m"), *settings))
+    rest = meet.select(F.least("x_id", "_id").alias("a"), F.greatest("x_id", "_id").alias("b")).distinct()
     more = materialize(_links(rest, texts, least, k), "rest")
     final = components(star_links.unionByName(more).unionByName(copies), "final")
     out = signed.select("_id", "n_shingles").join(final, "_id", "left")

@@ -57,6 +57,8 @@ def test_groups(docs_of, rows):
     pairs += [(200, "One two three"), (201, "one TWO three"), (202, "one two"), (203, None), (204, ""), (205, " \n"),
               (206, "a " * 30_000), (207, "A " * 400), (None, " ".join(base)), (5, pairs[5][1]), (5, pairs[5][1]),
               (300, "É x y z w"), (301, "é x y z w")]
+    long = [rng.choice(words) for _ in range(3000)]  # bitmaps of these hold a share of the shingles
+    pairs += [(i, changed(n, long)) for i, n in zip(range(400, 412), (0, 20, 30, 40, 45, 50, 50, 55, 60, 70, 90, 120))]
     df = docs_of(pairs)
     assert rows(odd_sketch.near_duplicates(df)) == brute(pairs)
     assert rows(odd_sketch.near_duplicates(df.limit(0))) == []
@@ -78,3 +80,16 @@ def test_sketch_estimates():
             a, b = (sampler(np.concatenate([both, e]))[1].view(np.uint64) for e in extra)
             errors.append(float(odd_sketch.likeness(np.bitwise_count(a ^ b).sum())) - share)
         assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.07
+
+
+def test_whole_set_bitmaps_lose_nothing():
+    rng = np.random.default_rng(1)
+    sampler = odd_sketch.Sampler()
+    for size in (40, 700, 1024, 1025, 30_000):
+        for _ in range(10):
+            both = rng.integers(0, 2**63, size, dtype=np.uint64)
+            cut = max(1, size // 15)
+            a, b = both[cut:], both[:-cut]
+            (_, _, x, i), (_, _, y, j) = sampler(a), sampler(b)
+            ones, most = int(np.bitwise_count((x ^ y).view(np.uint64)).sum()), 2 * cut
+            assert i != j or ones <= (most if i == 0 else most / 2**i + 6 * (most / 2**i) ** 0.5 + 6)
