@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from catalogflow.llm import archive, bwt_dedup, cover_dedup, decontaminate, line_dedup, mixture, multi_index, odd_sketch, secrets, toxicity
+from catalogflow.llm import (
+    archive, burst_trie, bwt_dedup, cover_dedup, cuckoo_dedup, decontaminate, line_dedup, mixture, multi_index, odd_sketch, oracles, secrets,
+    spelling, toxicity,
+)
 from catalogflow.llm.registry import query, table
 
 
@@ -72,3 +75,19 @@ def op8(spark, folder):
 @query("op2_multi_index")
 def op2(spark, folder):
     return multi_index.search(table(spark, folder, "embeddings"), "vec_id % 20 = 0")
+
+
+@query("op11_cuckoo_index", oracles.CUCKOO)
+def op11(spark, folder):
+    out = cuckoo_dedup.deduplicate(table(spark, folder, "documents"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op12_burst_trie", oracles.TRIE)
+def op12(spark, folder):
+    return burst_trie.conversation_trie(table(spark, folder, "conversations"))
+
+
+@query("op13_partenum_spelling", oracles.SPELLING)
+def op13(spark, folder):
+    return spelling.variants(table(spark, folder, "documents"))
