@@ -1,36 +1,43 @@
 """Fuzzy title joins.
 
-``exclude_issued`` finds its candidate pairs with a lossless segment join and
-scores only those; ``best_match`` searches blocks of a group with an exact
-upper bound and returns one row per item, never the pairs of a group.
+``exclude_issued`` probes a stored segment index of the issued titles, finds
+its candidate pairs without loss and scores only those. ``best_match`` scores
+the candidates that share rare words, then visits only those blocks of a group
+whose upper bound reaches the best score so far. Neither emits the pairs of a
+group.
 """
 
+import uuid
 from difflib import SequenceMatcher
 from fractions import Fraction
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_title, has_clean_title, squeeze, strip_quotes
-from ..session import materialize, spread
+from ..session import materialize, scratch_path, spread
 
 THRESHOLD = 0.90
 MIN_SCORE = 30.0
 BUCKET = 16  # width of a position bucket in the join key
-KEY = ["q", "gram", "bucket"]
-CROWD = 2000  # titles per join key above which the key is searched in blocks
+CROWD = 2000  # titles per segment above which the segment is searched in blocks
 BLOCK = 1000  # rows of one side in one search block
+RARE = 200  # candidates of a group that share a word, at most, for the word to be a probe
+PROBES = 3  # rarest words of an item that are looked up
+LETTERS = 32  # classes of letters in the bounds
 
 
 # --- fuzzy anti join -------------------------------------------------------
 #
-# With ratio = 2M/(la+lb) >= t an item of length la loses la-M of its
-# characters and the other title adds lb-M. Together these are at most
-# (1-t)(la+lb) edits and each edit breaks at most one of the item's disjoint
-# segments, so at least (segments - edits) of them occur unchanged in the other
-# title, shifted by at most the number of deletions or insertions. The bound
-# uses M <= longest common subsequence, so it holds for the matcher's blocks.
+# With ratio = 2M/(la+lb) >= t a title of length lb loses lb-M of its
+# characters and the item adds la-M. Together these are at most (1-t)(la+lb)
+# edits and each edit breaks at most one of the title's disjoint segments, so
+# at least (segments - edits) of them occur unchanged in the item, shifted by
+# at most the number of deletions or insertions. The bound uses M <= longest
+# common subsequence, so it holds for the matcher's blocks.
 
 
 def _edit_bounds(threshold):
@@ -58,44 +65,93 @@ def _segment_size(length, threshold):
     return F.greatest(F.floor(length / (edits + 1)).cast("int"), F.lit(1))
 
 
-def _item_segments(items, threshold):
-    q = F.col("q")
+class TitleIndex(NamedTuple):
+    """A stored index of titles.
+
+    titles: (id, title, lb), bucketed by id, the digest of the title.
+    segments: (key, id, p, lb, n, n_hot, is_hot), bucketed by the hashed segment.
+    crowded: keys that more than ``crowd`` titles have, with their number.
+    """
+
+    titles: DataFrame
+    segments: DataFrame
+    crowded: DataFrame
+    threshold: float
+
+
+def _title_id(title):
+    return F.unhex(F.md5(title))
+
+
+def _bucketed(df, key, label):
+    """Write a table bucketed by a key and read it back; joins on the key do not shuffle it.
+
+    The catalog forgets the name at once, the files stay in the shared folder.
+    """
+    spark, name = df.sparkSession, f"catalogflow_{label}_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(parts, key).write.format("parquet").bucketBy(parts, key).sortBy(key).option(
+        "path", scratch_path(spark, label)).saveAsTable(name)
+    stored = spark.table(name)
+    # the relation is resolved: files and buckets are known without the name
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+def _key(q, gram, bucket):
+    return F.xxhash64(q.cast("int"), gram, bucket.cast("long"))
+
+
+def _title_segments(titles, threshold):
+    """Disjoint segments of each title: more than it can have edits."""
+    _, high = _length_band(F.col("lb"), threshold)
+    edits = _max_edits(F.col("lb"), high, threshold)
+    q = F.greatest(F.floor(F.col("lb") / (edits + 1)).cast("int"), F.lit(1))
+    sized = titles.withColumn("q", q).withColumn("n", F.floor(F.col("lb") / F.col("q")).cast("int"))
+    places = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (i * F.col("q")).cast("int"))
+    rows = sized.select("id", "title", "lb", "q", "n", F.explode(places).alias("p"))
+    key = _key(F.col("q"), F.substr("title", F.col("p") + 1, F.col("q")), F.floor(F.col("p") / BUCKET))
+    return rows.select(key.alias("key"), "id", "p", "lb", "n")
+
+
+def _item_grams(items, threshold):
+    """Substrings of each item that can be a segment of a title it resembles, one row per position bucket."""
     la = F.col("la")
     low, high = _length_band(la, threshold)
-    sized = items.select(F.col("title").alias("a"), F.length("title").alias("la"))
-    sized = sized.withColumn("q", _segment_size(la, threshold)).withColumn("n", F.floor(la / q).cast("int"))
-    segments = F.transform(
-        F.sequence(F.lit(0), F.col("n") - 1),
-        lambda i: F.struct((i * q).alias("p"), F.substr("a", i * q + 1, q).alias("gram")),
-    )
-    rows = sized.select(
-        "a", "la", "q", "n", (la - low).alias("back"), (high - la).alias("ahead"), F.explode_outer(segments).alias("s")
-    )
-    first = F.greatest(F.floor((F.col("s.p") - F.col("back")) / BUCKET), F.lit(0))
-    last = F.floor((F.col("s.p") + F.col("ahead")) / BUCKET)
-    return rows.select("a", "la", "q", "n", "s.p", "s.gram", F.explode_outer(F.sequence(first, last)).alias("bucket"))
-
-
-def _title_grams(titles, threshold):
-    lb = F.col("lb")
-    low, high = _length_band(lb, threshold)
     sizes = F.array_distinct(F.transform(F.sequence(low, high), lambda x: _segment_size(x, threshold)))
-    sized = titles.select(F.col("title").alias("b"), F.length("title").alias("lb"))
-    sized = sized.select("b", "lb", F.explode_outer(sizes).alias("q"))
-    grams = F.transform(
-        F.sequence(F.lit(0), F.col("lb") - F.col("q")),
-        lambda p: F.struct(p.alias("at"), F.substr("b", p + 1, F.col("q")).alias("gram")),
-    )
-    rows = sized.filter("lb >= q").select("b", "lb", "q", F.explode_outer(grams).alias("g"))
-    return rows.select("b", "lb", "q", "g.at", "g.gram", F.floor(F.col("g.at") / BUCKET).alias("bucket"))
-
-
-def _near_lengths(items, titles, threshold):
-    """Titles of a length that some item can match (one row per length)."""
-    low, high = _length_band(F.col("len"), threshold)
-    lengths = items.select(F.length("title").alias("len")).distinct()
-    wanted = lengths.select(F.explode(F.sequence(low, high)).alias("_near")).distinct()
-    return titles.join(wanted, F.length("title") == F.col("_near"), "left_semi")
+    sized = items.select("a_id", "a", F.length("a").alias("la")).select(
+        "a_id", "a", "la", (la - low).alias("back"), (high - la).alias("ahead"), F.explode(sizes).alias("q"))
+    rows = sized.filter("la >= q").select("*", F.explode(F.sequence(F.lit(0), la - F.col("q"))).alias("at"))
+    first = F.greatest(F.floor((F.col("at") - F.col("back")) / BUCKET), F.lit(0))
+    last = F.floor((F.col("at") + F.col("ahead")) / BUCKET)
+    rows = rows.select("a_id", "la", "at", "q", F.substr("a", F.col("at") + 1, F.col("q")).alias("gram"),
+                       F.explode(F.sequence(first, last)).alias("bucket"))
+    return rows.select(_key(F.col("q"), F.col("gram"), F.col("bucket")).alias("key"), "a_id", "la", "at")
+
+
+def build_title_index(issued, title="Title", threshold=THRESHOLD, crowd=CROWD, lengths=None):
+    """Store the distinct non-empty titles and their segments for ``exclude_issued``.
+
+    The segments of a title number about one per possible edit (13 for 60
+    letters); the substrings of items, which are many, are never stored.
+    ``lengths``: shortest and longest title that is of use (default: all).
+    """
+    known = issued.filter(has_clean_title(title)).select(clean_title(title).alias("title"))
+    if lengths:
+        known = known.filter(F.length("title").between(*lengths))
+    known = known.groupBy(_title_id(F.col("title")).alias("id")).agg(F.first("title").alias("title"))
+    titles = _bucketed(known.select("id", "title", F.length("title").alias("lb")), "id", "titles")
+    segments = _title_segments(titles, threshold)
+    counts = segments.groupBy(F.col("key").alias("_key")).agg(F.count_distinct("id").alias("n_titles"))
+    crowded = materialize(counts.filter(F.col("n_titles") > crowd), "crowded")
+    if crowded.isEmpty():
+        marked = segments.withColumns({"is_hot": F.lit(False), "n_hot": F.lit(0).cast("long")})
+    else:
+        flagged = segments.join(crowded, F.col("key") == F.col("_key"), "left").withColumn("is_hot", F.col("_key").isNotNull())
+        flagged = flagged.drop("_key", "n_titles")
+        hot = flagged.filter("is_hot").groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+        marked = flagged.join(hot, F.col("id") == F.col("_id"), "left").withColumn("n_hot", F.coalesce("_n", F.lit(0))).drop("_id", "_n")
+    return TitleIndex(titles, _bucketed(marked, "key", "segments"), crowded, threshold)
 
 
 def _possible(threshold):
@@ -103,64 +159,24 @@ def _possible(threshold):
     p, q = _edit_bounds(threshold)
     la, lb = F.col("la"), F.col("lb")
     half = F.ceil((la + lb) * F.lit(p) / F.lit(2 * q) - F.lit(1e-9))  # least M
-    shift = F.col("at") - F.col("p")
+    shift = F.col("p") - F.col("at")
     low, high = _length_band(la, threshold)
     return lb.between(low, high) & shift.between(half - la, lb - half)
 
 
-def _crowded_keys(grams, crowd):
-    """Join keys with more than ``crowd`` titles."""
-    counts = grams.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_titles"))
-    return counts.filter(F.col("n_titles") > crowd)
+def candidate_pairs(items, index):
+    """(a_id, id) of items and titles that share enough of the title's sparse segments.
 
-
-def _samples(grams, crowded):
-    """A few titles of each crowded key."""
-    mixed = F.xxhash64("b")
-    few = F.array(F.min("b"), F.max("b"), F.min_by("b", mixed), F.max_by("b", mixed))
-    return grams.join(crowded.select(*KEY), KEY, "left_semi").groupBy(*KEY).agg(few.alias("samples"))
-
-
-def _mark_crowded(segments, crowded):
-    """Whether each join row (segment and position bucket) is crowded, and how many segments of the item have such a row.
-
-    A segment can be crowded in one bucket and sparse in the next: only its
-    crowded rows leave the pair join.
+    items: (a_id, a), distinct. Only pairs that could also match through
+    crowded segments alone are missing.
     """
-    flags = crowded.select(*[F.col(k).alias(f"_{k}") for k in KEY], F.lit(True).alias("_hot"))
-    same = [F.col(k) == F.col(f"_{k}") for k in KEY]
-    marked = segments.join(flags, same, "left").withColumn("is_crowded", F.coalesce("_hot", F.lit(False)))
-    marked = marked.select(*segments.columns, "is_crowded")
-    counts = marked.filter("is_crowded").groupBy(F.col("a").alias("_a")).agg(F.count_distinct("p").alias("_n"))
-    joined = marked.join(counts, F.col("a") == F.col("_a"), "left")
-    return joined.select(*marked.columns, F.coalesce("_n", F.lit(0)).alias("n_crowded"))
-
-
-def _sparse_pairs(segments, grams, threshold):
-    """Pairs that share enough of the item's other segments."""
-    cold = segments.filter(~F.col("is_crowded"))
-    close = cold.join(grams, KEY).filter(_possible(threshold))
+    grams = _item_grams(items, index.threshold)
+    cold = index.segments.filter(~F.col("is_hot"))
+    close = grams.join(cold, "key").filter(_possible(index.threshold))
     # a segment found twice counts twice, which only lets more pairs through
-    hits = close.groupBy("a", "b", "la", "lb", "n", "n_crowded").agg(F.count(F.lit(1)).alias("hits"))
-    edits = _max_edits(F.col("la"), F.col("lb"), threshold)
-    needed = F.greatest(F.col("n") - edits - F.col("n_crowded"), F.lit(1))
-    return hits.filter(F.col("hits") >= needed).select("a", "b")
-
-
-def _dense_items(segments, threshold):
-    """Crowded rows of the items that may match through these alone."""
-    _, high = _length_band(F.col("la"), threshold)
-    edits = _max_edits(F.col("la"), high, threshold)
-    return segments.filter(F.col("is_crowded") & (F.col("n_crowded") >= F.col("n") - edits))
-
-
-def candidate_pairs(items, titles, threshold=THRESHOLD):
-    """Title pairs (a, b) that may reach the threshold; none of those is missed.
-
-    Both tables hold distinct, non-empty titles in a column ``title``.
-    """
-    segments = _item_segments(items, threshold).withColumns({"is_crowded": F.lit(False), "n_crowded": F.lit(0)})
-    return _sparse_pairs(segments, _title_grams(titles, threshold), threshold)
+    hits = close.groupBy("a_id", "id", "la", "lb", "n", "n_hot").agg(F.count(F.lit(1)).alias("hits"))
+    needed = F.greatest(F.col("n") - _max_edits(F.col("la"), F.col("lb"), index.threshold) - F.col("n_hot"), F.lit(1))
+    return hits.filter(F.col("hits") >= needed).select("a_id", "id")
 
 
 def _reaching(threshold):
@@ -196,70 +212,79 @@ def _any_in_block(threshold):
     return search
 
 
-def _similar_in_crowds(dense, crowded, grams, threshold, block):
-    """Items that resemble a title with which they share a crowded segment.
+def _with_titles(pairs, items, index):
+    """The texts of pairs, dealt by item; both text tables are bucketed already."""
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = pairs.join(index.titles.select("id", F.col("title").alias("b")), "id")
+    return named.repartition(parts, "a_id").join(items, "a_id")
+
+
+def _in_crowds(items, index, block):
+    """Texts of items that resemble a title with which they share a crowded segment.
 
-    First each item meets the sample titles of its keys; what is left searches
-    the keys in blocks of bounded size. No pair of a crowd becomes a row.
+    Needed only for titles so much of which is crowded that their sparse
+    segments may all be lost. An item first meets four of them per segment; what is left
+    searches the segments in blocks of bounded size. No pair of a crowd becomes a row.
     """
-    sampled = dense.join(_samples(grams, crowded), KEY).select("a", F.explode("samples").alias("b")).distinct()
-    quick = spread(sampled, "a", "b").mapInPandas(_reaching(threshold), "a string").distinct()
-    rest = dense.select(*KEY, "a").join(quick.withColumnRenamed("a", "_a"), F.col("a") == F.col("_a"), "left_anti")
-    sizes = rest.groupBy(*KEY).agg(F.ceil(F.count(F.lit(1)) / block).alias("n_i")).join(
-        crowded.select(*KEY, F.ceil(F.col("n_titles") / block).alias("n_j")), KEY
-    )
-    left = _in_blocks(rest, "a", "i", "j", sizes)
-    right = _in_blocks(grams.select(*KEY, "b"), "b", "j", "i", sizes)
-    keys = [*KEY, "i", "j"]
-    hits = spread(left, *keys).groupBy(*keys).cogroup(spread(right, *keys).groupBy(*keys)).applyInPandas(
-        _any_in_block(threshold), "a string"
-    )
+    threshold = index.threshold
+    _, high = _length_band(F.col("lb"), threshold)
+    edits = _max_edits(F.col("lb"), high, threshold)
+    dense = index.segments.filter(F.col("is_hot") & (F.col("n_hot") >= F.col("n") - edits)).select("key", "id").distinct()
+    keys = dense.groupBy("key").agg(F.count(F.lit(1)).alias("n_titles"), *[
+        f("id").alias(n) for f, n in ((F.min, "s1"), (F.max, "s2"))], *[
+        f("id", F.xxhash64("id")).alias(n) for f, n in ((F.min_by, "s3"), (F.max_by, "s4"))])
+    keys = materialize(keys, "crowds")
+    probes = _item_grams(items, threshold).select("key", "a_id").distinct()
+    met = materialize(probes.join(keys.select("key", "s1", "s2", "s3", "s4"), "key"), "met")
+    few = met.select("a_id", F.explode(F.array("s1", "s2", "s3", "s4")).alias("id")).distinct()
+    quick = materialize(_with_titles(few, items, index).mapInPandas(_reaching(threshold), "a string").distinct(), "quick")
+    rest = met.select("key", "a_id").join(items, "a_id").join(quick.withColumnRenamed("a", "_a"), F.col("a") == F.col("_a"), "left_anti")
+    sizes = rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).alias("n_i")).join(
+        keys.select("key", F.ceil(F.col("n_titles") / block).alias("n_j")), "key")
+    titles = dense.join(index.titles.select("id", F.col("title").alias("b")), "id")
+    left, right = _in_blocks(rest, "a", "i", "j", sizes), _in_blocks(titles, "b", "j", "i", sizes)
+    by = ["key", "i", "j"]
+    hits = spread(left, *by).groupBy(*by).cogroup(spread(right, *by).groupBy(*by)).applyInPandas(_any_in_block(threshold), "a string")
     return quick.unionByName(hits)
 
 
 def _in_blocks(df, text, own, other, sizes):
-    placed = df.join(sizes, KEY).withColumn(own, F.pmod(F.xxhash64(text), F.col(f"n_{own}")))
+    placed = df.join(sizes, "key").withColumn(own, F.pmod(F.xxhash64(text), F.col(f"n_{own}")))
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"n_{other}") - 1))
-    return placed.select(*KEY, text, own, copies.alias(other))
+    return placed.select("key", text, own, copies.alias(other))
 
 
-def similar_titles(items, titles, threshold=THRESHOLD, crowd=CROWD, block=BLOCK):
-    """Item titles with at least one title at or above the threshold.
-
-    Keys with more than ``crowd`` titles are left out of the pair join; the
-    number of shared segments an item needs drops by as many segments as have
-    such a key, since each of them may be shared there only. Items that
-    could then be missed search the crowds in blocks.
-    """
-    grams = _title_grams(spread(titles, "title"), threshold)
-    # the crowded keys are found first: usually there are none
-    crowded = materialize(_crowded_keys(grams, crowd), "crowded")
-    segments = _mark_crowded(_item_segments(items, threshold), crowded)
-    pairs = spread(_sparse_pairs(segments, grams, threshold), "a", "b")
+def similar_titles(items, index, block=BLOCK):
+    """Texts ``a`` of the items (a_id, a) with at least one title at or above the threshold."""
+    pairs = _with_titles(candidate_pairs(items, index), items, index)
     # not a filter: the planner would move that below the pair aggregation
-    hits = pairs.mapInPandas(_reaching(threshold), "a string")
-    if not crowded.isEmpty():
-        dense = _dense_items(segments, threshold)
-        hits = hits.unionByName(_similar_in_crowds(dense, crowded, grams, threshold, block))
-    return hits.select(F.col("a").alias("title")).distinct()
+    hits = pairs.mapInPandas(_reaching(index.threshold), "a string")
+    if not index.crowded.isEmpty():
+        hits = hits.unionByName(_in_crowds(items, index, block))
+    return hits
 
 
 def exclude_issued(items, issued, title, issued_title="Title", threshold=THRESHOLD, crowd=CROWD, block=BLOCK):
     """Items whose title is neither issued nor similar to an issued one.
 
-    Items with an empty title go too; the quote marks of kept titles go. The
-    distinct issued titles are written to scratch storage first, because three
-    steps read them.
+    ``issued`` is a table or a ``TitleIndex`` that several batches probe. Items
+    with an empty title go too; the quote marks of kept titles go.
     """
-    known = issued.filter(has_clean_title(issued_title)).select(clean_title(issued_title).alias("title"))
-    known = materialize(known.distinct(), "issued")
-    keyed = items.filter(has_clean_title(title)).withColumn("_t", clean_title(title))
-    open_items = keyed.join(known.select(F.col("title").alias("_k")), F.col("_t") == F.col("_k"), "left_anti")
-    open_titles = open_items.select(F.col("_t").alias("title")).distinct()
-    all_titles = keyed.select(F.col("_t").alias("title")).distinct()
-    similar = similar_titles(open_titles, _near_lengths(all_titles, known, threshold), threshold, crowd, block)
-    kept = open_items.join(similar.withColumnRenamed("title", "_k"), F.col("_t") == F.col("_k"), "left_anti")
-    return kept.drop("_t").withColumn(title, strip_quotes(title))
+    keyed = items.filter(has_clean_title(title)).withColumn("_t", clean_title(title)).withColumn("_id", _title_id(F.col("_t")))
+    index = issued
+    if not isinstance(issued, TitleIndex):
+        # an index for these items only holds titles of the lengths that they can match
+        p, q = _edit_bounds(threshold)
+        size = keyed.agg(F.min(F.length("_t")).alias("low"), F.max(F.length("_t")).alias("high")).first()
+        lengths = ((size["low"] or 0) * p // (2 * q - p), -(-(size["high"] or 0) * (2 * q - p) // p))
+        index = build_title_index(issued, issued_title, threshold, crowd, lengths)
+    known = index.titles.select(F.col("id").alias("_k"), F.col("title").alias("_kt"))
+    # digests meet first, and only then the texts are compared
+    open_items = keyed.join(known, (F.col("_id") == F.col("_k")) & (F.col("_t") == F.col("_kt")), "left_anti")
+    texts = open_items.groupBy(F.col("_id").alias("a_id")).agg(F.first("_t").alias("a"))
+    similar = similar_titles(_bucketed(texts, "a_id", "items"), index, block).select(_title_id(F.col("a")).alias("_s"))
+    kept = open_items.join(similar, F.col("_id") == F.col("_s"), "left_anti")
+    return kept.drop("_t", "_id").withColumn(title, strip_quotes(title))
 
 
 # --- best match inside a group --------------------------------------------
@@ -302,83 +327,157 @@ def _letter_counts(texts, width=64):
     return out
 
 
-def _search_block(min_score):
-    def search(items: pd.DataFrame, cands: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(items) and len(cands):
-            names, texts = cands["name"].to_numpy(), cands["sorted"].to_numpy()
-            counts = _letter_counts(texts)
-            sizes = counts.sum(axis=1)
-            for group, text, mine in zip(items["grp"], items["sorted"], _letter_counts(items["sorted"])):
-                total = np.maximum(sizes + len(text), 1)
-                bound = 200.0 * np.minimum(counts, mine).sum(axis=1) / total
-                best, masks = None, _positions(text)
-                for j in np.argsort(-bound, kind="stable"):
-                    if bound[j] < (best[0] if best else min_score):
-                        break
-                    score = token_ratio(text, texts[j], masks)
-                    if score >= min_score and (
-                        best is None or score > best[0] or (score == best[0] and names[j] < best[1])
-                    ):
-                        best = (score, names[j])
-                if best:
-                    found.append((group, text, best[0], best[1]))
-        return pd.DataFrame(found, columns=["grp", "sorted", "score", "name"])
+def _profile(batches):
+    for pdf in batches:
+        counts = _letter_counts(pdf["sorted"], LETTERS)
+        yield pdf.assign(letters=list(counts), size=counts.sum(axis=1))
+
+
+def _profiled(df):
+    """Adds the length and the number of letters of each class."""
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInPandas(_profile, f"{kinds}, letters array<int>, size int")
+
+
+def _words(df):
+    return df.select("*", F.explode(F.array_distinct(F.split("sorted", " "))).alias("word")).filter("word <> ''")
+
+
+def _score(batches):
+    """Score pairs; a pair below the best of its item so far is dropped by its bound."""
+    for pdf in batches:
+        pdf = pdf.sort_values("sorted", kind="stable")
+        kept, text, masks = [], None, None
+        for row in zip(pdf["grp"], pdf["sorted"], pdf["other"], pdf["name"]):
+            if row[1] != text:
+                text, best = row[1], -1.0
+                masks = _positions(text)
+            total = len(text) + len(row[2])
+            if 200.0 * min(len(text), len(row[2])) < best * total:
+                continue
+            score = token_ratio(text, row[2], masks)
+            if score >= best:
+                best = score
+                kept.append((row[0], text, score, row[3]))
+        yield pd.DataFrame(kept, columns=["grp", "sorted", "score", "name"])
 
-    return search
 
+def _best(scored):
+    best = F.min(F.struct((-F.col("score")).alias("neg"), "name")).alias("_b")
+    return scored.groupBy("grp", "sorted").agg(best).select("grp", "sorted", (-F.col("_b.neg")).alias("score"), F.col("_b.name").alias("name"))
 
-def _blocks(df, own, other, counts):
-    """Give each row its own block and copy it to each block of the other side."""
-    placed = df.join(counts, "grp").withColumn(own, F.pmod(F.xxhash64("sorted"), F.col(f"n_{own}")))
-    return placed.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"n_{other}") - 1)))
+
+def _by_rare_words(wanted, offered, kind):
+    """Best candidate among those that share one of an item's rarest words: a score to beat.
+
+    The words of a group are an inverted index; words of more than ``RARE``
+    candidates are no probes, so an item meets at most PROBES * RARE candidates.
+    """
+    words = _words(offered.select("grp", "sorted", "name"))
+    counts = words.groupBy("grp", "word").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") <= RARE)
+    found = _words(wanted.select("grp", "sorted")).join(counts, ["grp", "word"])
+    rarest = F.slice(F.array_sort(F.collect_list(F.struct("df", "word"))), 1, PROBES)
+    probes = found.groupBy("grp", "sorted").agg(rarest.alias("few")).select("grp", "sorted", F.explode("few.word").alias("word"))
+    index = words.select("grp", "word", F.col("sorted").alias("other"), "name")
+    pairs = probes.join(index, ["grp", "word"]).select("grp", "sorted", "other", "name").distinct()
+    return _best(spread(pairs, "grp", "sorted").mapInPandas(_score, f"grp {kind}, sorted string, score double, name string"))
+
+
+def _blocks(offered, block):
+    """Candidates in blocks of neighbours: of one group, near lengths and alphabetic order.
+
+    Blocks are cut from a range partitioning, so a group of any size is dealt to
+    many tasks and no block has more than ``block`` rows.
+    """
+    near = F.floor(F.log(F.col("size") + 1) * 8)
+    parts = int(offered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = offered.withColumn("near", near).repartitionByRange(parts, "grp", "near", "sorted").sortWithinPartitions("grp", "near", "sorted")
+    row = F.monotonically_increasing_id()
+    return materialize(dealt.withColumn("block", F.floor(row / F.lit(block))), "blocks")
+
+
+def _visits(items, blocks):
+    """Which blocks can still hold a match at least as good as the item's best: (grp, block, sorted, least).
+
+    M, the common letters, is at most what both have of each class, so a
+    block's largest counts and shortest length bound the score of all its rows.
+    """
+    most = [F.max(F.element_at("letters", i + 1)).alias(f"l{i}") for i in range(LETTERS)]
+    limits = blocks.groupBy("grp", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"), *most)
+    limits = limits.select(F.col("grp").alias("_grp"), "block", "low", "high", F.array(*[f"l{i}" for i in range(LETTERS)]).alias("most"))
+    common = F.aggregate(F.zip_with("letters", "most", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
+    m = F.least(common, F.col("size"), F.col("high"))
+    bound = F.lit(200.0) * m / F.greatest(F.col("size") + F.greatest(F.col("low"), m), F.lit(1))
+    reach = F.when(F.col("size") + F.col("low") == 0, F.lit(100.0)).otherwise(bound) >= F.col("least") - F.lit(1e-9)
+    return items.join(limits, (F.col("grp") == F.col("_grp")) & reach).select("grp", "block", "sorted", "least")
+
+
+def _search_block(items: pd.DataFrame, cands: pd.DataFrame) -> pd.DataFrame:
+    found = []
+    if len(items) and len(cands):
+        names, texts = cands["name"].to_numpy(), cands["sorted"].to_numpy()
+        counts = _letter_counts(texts)
+        sizes = counts.sum(axis=1)
+        for group, text, least, mine in zip(items["grp"], items["sorted"], items["least"], _letter_counts(items["sorted"])):
+            total = np.maximum(sizes + len(text), 1)
+            bound = 200.0 * np.minimum(counts, mine).sum(axis=1) / total
+            if not text:
+                bound[sizes == 0] = 100.0
+            best, masks = None, _positions(text)
+            for j in np.argsort(-bound, kind="stable"):
+                if bound[j] < (best[0] if best else least) - 1e-9:
+                    break
+                score = token_ratio(text, texts[j], masks)
+                if score >= least - 1e-9 and (best is None or score > best[0] or (score == best[0] and names[j] < best[1])):
+                    best = (score, names[j])
+            if best:
+                found.append((group, text, best[0], best[1]))
+    return pd.DataFrame(found, columns=["grp", "sorted", "score", "name"])
 
 
 def best_match(items, candidates, group, item_name, candidate_name, min_score=MIN_SCORE, block=BLOCK,
                candidate_group=None):
     """Best candidate per item inside its group, if it scores high enough.
 
-    Adds ``match`` and ``score``; ties go to the smallest name. Both sides are
-    reduced to distinct token strings and searched in blocks of bounded size,
-    so that a large group spreads over many tasks.
+    Adds ``match`` and ``score``; ties go to the smallest name. An equal token
+    string is the best possible match; other items look up their rarest words
+    in an index of the group, which gives a score to beat, and then visit only the
+    blocks of candidates whose upper bound reaches it. The result is exact.
     """
+    kind = items.schema[group].dataType.simpleString()
     wanted = items.filter(F.col(group).isNotNull() & F.col(item_name).isNotNull())
     wanted = wanted.select(F.col(group).alias("grp"), sorted_tokens(item_name).alias("sorted")).distinct()
-    # a length ratio beyond ``factor`` cannot reach the least score; the sizes
-    # of all items bound the candidates before their tokens are sorted
-    factor = (200.0 - min_score) / min_score
-    size, plain = F.length("sorted"), F.length(squeeze(candidate_name))
-    limits = wanted.agg(F.struct(F.min(size).alias("low"), F.max(size).alias("high")).alias("s")).scalar()
-    offered = (
-        candidates.filter(
-            F.col(candidate_group or group).isNotNull()
-            & (plain <= limits["high"] * factor + 1e-6) & (plain * factor + 1e-6 >= limits["low"])
-        )
-        .select(
-            F.col(candidate_group or group).alias("grp"),
-            sorted_tokens(candidate_name).alias("sorted"),
-            F.col(candidate_name).alias("name"),
-        )
-        .groupBy("grp", "sorted")
-        .agg(F.min("name").alias("name"))
-    )
-    blocks = F.ceil(F.count("sorted") / block)
-    counts = wanted.groupBy("grp").agg(blocks.alias("n_i")).join(
-        offered.groupBy("grp").agg(blocks.alias("n_j")), "grp"
-    )
-    left = spread(_blocks(wanted, "i", "j", counts).select("grp", "i", "j", "sorted"), "grp", "i", "j")
-    right = spread(_blocks(offered, "j", "i", counts).select("grp", "i", "j", "sorted", "name"), "grp", "i", "j")
-    group_type = items.schema[group].dataType.simpleString()
-    scored = (
-        left.groupBy("grp", "i", "j")
-        .cogroup(right.groupBy("grp", "i", "j"))
-        .applyInPandas(_search_block(min_score), f"grp {group_type}, sorted string, score double, name string")
-    )
-    best = (
-        scored.groupBy("grp", "sorted")
-        .agg(F.min(F.struct((-F.col("score")).alias("neg"), "name")).alias("_b"))
-        .select("grp", "sorted", F.col("_b.name").alias("match"), (-F.col("_b.neg")).alias("score"))
-    )
+    offered = candidates.filter(F.col(candidate_group or group).isNotNull() & F.col(candidate_name).isNotNull())
+    if min_score > 0:
+        # a length ratio beyond ``factor`` cannot reach the least score; the sizes
+        # of all items bound the candidates before their tokens are sorted
+        factor = (200.0 - min_score) / min_score
+        size, plain = F.length("sorted"), F.length(squeeze(candidate_name))
+        limits = wanted.agg(F.struct(F.min(size).alias("low"), F.max(size).alias("high")).alias("s")).scalar()
+        offered = offered.filter((plain <= limits["high"] * factor + 1e-6) & (plain * factor + 1e-6 >= limits["low"]))
+    offered = offered.select(
+        F.col(candidate_group or group).alias("grp"), sorted_tokens(candidate_name).alias("sorted"),
+        F.col(candidate_name).alias("name")).groupBy("grp", "sorted").agg(F.min("name").alias("name"))
+    stored = _blocks(_profiled(offered), block)
+    equal = wanted.join(stored.select("grp", "sorted", "name"), ["grp", "sorted"], "left")
+    equal = materialize(equal, "wanted")
+    done = equal.filter("name is not null").select("grp", "sorted", F.lit(100.0).alias("score"), "name")
+    rest = equal.filter("name is null").select("grp", "sorted")
+    first = materialize(_by_rare_words(rest, stored, kind), "first")
+    known = first.select(F.col("grp").alias("_g"), F.col("sorted").alias("_s"), F.col("score").alias("_score"))
+    open_items = rest.join(known, (F.col("grp") == F.col("_g")) & (F.col("sorted") == F.col("_s")), "left")
+    least = F.greatest(F.coalesce("_score", F.lit(0.0)), F.lit(float(min_score)))
+    met = materialize(_visits(_profiled(open_items.select("grp", "sorted", least.alias("least"))), stored), "visits")
+    sizes = met.groupBy(F.col("grp").alias("_g"), F.col("block").alias("_b")).agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
+    same = (F.col("grp") == F.col("_g")) & (F.col("block") == F.col("_b"))
+    left = met.join(sizes, same).withColumn("part", F.pmod(F.xxhash64("sorted"), F.col("parts")))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
+    right = stored.join(sizes, same).select("grp", "block", copies, "sorted", "name")
+    keys = ["grp", "block", "part"]
+    scored = spread(left.select(*keys, "sorted", "least"), *keys).groupBy(*keys).cogroup(
+        spread(right, *keys).groupBy(*keys)).applyInPandas(_search_block, f"grp {kind}, sorted string, score double, name string")
+    found = _best(scored.unionByName(first.filter(F.col("score") >= min_score)))
+    best = done.unionByName(found).select(
+        F.col("grp").alias("_g"), F.col("sorted").alias("_c"), F.col("name").alias("match"), "score")
     keyed = items.withColumn("_s", sorted_tokens(item_name))
-    on = (F.col(group) == F.col("grp")) & (F.col("_s") == F.col("sorted"))
-    return keyed.join(best, on, "left").drop("_s", "grp", "sorted")
+    return keyed.join(best, (F.col(group) == F.col("_g")) & (F.col("_s") == F.col("_c")), "left").drop("_s", "_g", "_c")

@@ -19,18 +19,70 @@ def _heading(pages):
     return pages.select("page_id", "url", "html", F.regexp_extract("html", HEADING, 1).alias("heading"))
 
 
-# --- fuzzy matching: no SQL counterpart, tested against brute force ---------
+# --- fuzzy matching ---------------------------------------------------------
 
 
 @query()
 def exclude_issued_fuzzy(spark, folder):
-    """Page headings that no line of any document equals or resembles."""
+    """Page headings that no line of any document equals or resembles (no SQL for the similarity: brute force in tests)."""
     items = _heading(table(spark, folder, "pages")).select("page_id", "heading")
     lines = table(spark, folder, "documents").select(F.explode(F.split("text", "\n")).alias("Title"))
     return matching.exclude_issued(items, lines, "heading")
 
 
-@query()
+@query(r"""
+with first_line as (select doc_id, lower(trim(regexp_replace(replace(substr(string_split(coalesce(text, ''), chr(10))[1], 1, 120), '"', ''),
+  '\s+', ' ', 'g'))) as title from documents),
+t as (select * from first_line where length(title) between 20 and 120
+  and len(list_distinct(string_split(title, ' '))) = len(string_split(title, ' '))),
+issued as (select distinct title from t),
+items as (select doc_id, title, case doc_id % 4 when 0 then '"' || replace(title, ' ', '  ') || '"'
+  when 1 then substr(title, 1, (doc_id % length(title))::int) || substr(title, (doc_id % length(title))::int + 2)
+  when 2 then regexp_replace(title, '(..).', '\1', 'g') else reverse(title) end as heading from t),
+keyed as (select doc_id, trim(replace(heading, '"', '')) as heading,
+  lower(trim(regexp_replace(replace(heading, '"', ''), '\s+', ' ', 'g'))) as k from items),
+cut as (select trim(regexp_replace(substr(title, 1, i::int) || substr(title, i::int + 2), '\s+', ' ', 'g')) as k
+  from issued, unnest(range(length(title))) as u(i))
+select doc_id, heading from keyed where k <> '' and k not in (select title from issued) and k not in (select k from cut)
+""")
+def exclude_issued_edits(spark, folder):
+    """First lines written again, with one letter lost, with every third letter lost, or backwards: the last two are new.
+
+    Only lines without a repeated word: there one lost letter is one edit for the matcher too.
+    """
+    first = F.substring(F.element_at(F.split(F.coalesce("text", F.lit("")), "\n"), 1), 1, 120)
+    titles = table(spark, folder, "documents").select("doc_id", S.clean_title(first).alias("title"))
+    words = F.split("title", " ")
+    titles = titles.filter(F.length("title").between(20, 120) & (F.size(F.array_distinct(words)) == F.size(words)))
+    at = (F.col("doc_id") % F.length("title")).cast("int")
+    less = F.concat(F.substr("title", F.lit(1), at), F.substr("title", at + 2))
+    kind = F.col("doc_id") % 4
+    heading = F.when(kind == 0, F.concat(F.lit('"'), F.replace("title", F.lit(" "), F.lit("  ")), F.lit('"'))).when(kind == 1, less).when(
+        kind == 2, F.regexp_replace("title", "(..).", "$1")).otherwise(F.reverse("title"))
+    return matching.exclude_issued(titles.select("doc_id", heading.alias("heading")), titles, "heading", "title")
+
+
+@query(r"""
+with item as (select page_id, lang, list_aggregate(list_sort(list_filter(regexp_split_to_array(heading, '\s+'), lambda w: w <> '')),
+    'string_agg', ' ') as a from (select page_id, regexp_extract(html, '<html lang="(..)"', 1) as lang,
+    regexp_extract(html, '<h1>(.*?)</h1>', 1) as heading from pages)),
+keyed as (select page_id, lang, coalesce(a, '') as a from item),
+cand as (select lang, coalesce(b, '') as b, min(name) as name from (select lang, text as name,
+  list_aggregate(list_sort(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')), 'string_agg', ' ') as b
+  from documents where text is not null and length(text) <= 2000) group by all),
+letter as (select a, substr(a, i::int + 1, 1) as ch, sum(1::hugeint << i::int)::hugeint as bits
+  from (select distinct a from keyed), unnest(range(length(a))) as u(i) group by all),
+mask as (select a, map(list(ch), list(bits)) as m from letter group by a),
+pair as (select k.lang, k.a, c.b, c.name, mask.m, ((1::hugeint << length(k.a)) - 1)::hugeint as ones
+  from (select distinct lang, a from keyed) k join mask on mask.a = k.a join cand c on c.lang = k.lang
+  where 30 * length(c.b) <= 170 * length(k.a) and 30 * length(k.a) <= 170 * length(c.b)),
+row_of as (select *, list_reduce(list_prepend(ones, list_transform(string_split(b, ''), lambda c: coalesce(m[c], 0::hugeint))),
+  lambda v, k: ((v + (v & k)) | (v - (v & k))) & ones) as v from pair),
+scored as (select lang, a, name, 200.0 * (length(a) - bit_count(v)) / (length(a) + length(b)) as score from row_of),
+best as (select lang, a, first(name order by score desc, name) as name, max(score) as score from scored where score >= 30 group by lang, a)
+select k.page_id, k.lang, md5(b.name) as match, round(b.score, 6) as score
+from keyed k left join best b on b.lang = k.lang and b.a = k.a
+""")
 def best_match_in_group(spark, folder):
     """Best document text of the page's own language for each page heading."""
     pages = _heading(table(spark, folder, "pages")).withColumn("lang", F.regexp_extract("html", '<html lang="(..)"', 1))

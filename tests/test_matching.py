@@ -80,17 +80,47 @@ def test_a_crowd_of_one_pattern(spark):
 def test_candidate_join_misses_no_pair(spark):
     rng = random.Random(11)
     pool = ["".join(rng.choices("ab ", k=rng.randint(1, 40))).strip() or "a" for _ in range(150)]
-    left, right = sorted(set(pool[:75])), sorted(set(pool[75:]) | {damage(rng, t) or "b" for t in pool[:75]})
-    a = spark.createDataFrame([(t,) for t in left], "title string")
-    b = spark.createDataFrame([(t,) for t in right], "title string")
+    pool = [" ".join(t.split()) for t in pool]
+    left, right = sorted(set(pool[:75])), sorted({" ".join(t.split()) for t in pool[75:]} | {
+        " ".join((damage(rng, t) or "b").split()) or "b" for t in pool[:75]})
+    a = spark.createDataFrame([(str(i), t) for i, t in enumerate(left)], "a_id string, a string").withColumn("a_id", F.col("a_id").cast("binary"))
+    b = spark.createDataFrame([(t,) for t in right], "Title string")
     for threshold in (0.8, 0.9):
-        found = {(r.a, r.b) for r in matching.candidate_pairs(a, b, threshold).collect()}
+        index = matching.build_title_index(b, threshold=threshold)
+        pairs = matching.candidate_pairs(a, index).join(index.titles, "id").join(a, "a_id")
+        found = {(r.a, r.title) for r in pairs.collect()}
         for x in left:
             for y in right:
                 if x != y and SequenceMatcher(None, x, y).ratio() >= threshold:
                     assert (x, y) in found, (x, y, threshold)
 
 
+def test_one_index_for_several_batches(spark):
+    rng = random.Random(4)
+    issued = titles(rng, 120)
+    index = matching.build_title_index(spark.createDataFrame([(t,) for t in issued], "Title string"))
+    for seed in (1, 2):
+        items = [damage(random.Random(seed), t) for t in issued[:40]] + titles(random.Random(seed), 10)
+        df = spark.createDataFrame([(t,) for t in items], "Title string")
+        got = sorted(r.Title for r in matching.exclude_issued(df, index, "Title").collect())
+        assert got == sorted(t.replace('"', "").strip() for t in brute_force(items, issued))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("catalogflow_")]
+
+
+def test_the_index_is_not_shuffled_again(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    try:
+        rng = random.Random(6)
+        issued = spark.createDataFrame([(t,) for t in titles(rng, 50)], "Title string")
+        items = spark.createDataFrame([(t,) for t in titles(rng, 20)], "Title string")
+        plan = matching.exclude_issued(items, issued, "Title")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 8, plan
+        assert "Bucketed: true" in plan
+    finally:
+        spark.conf.unset(key)
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
@@ -107,30 +137,39 @@ def test_token_ratio_is_the_lcs_ratio(a, b):
     assert abs(matching.token_ratio(a, b) - want) < 1e-9
 
 
-def test_best_match_equals_brute_force(spark):
+def test_best_match_equals_brute_force(spark, monkeypatch):
     rng = random.Random(7)
     items = [(rng.choice("ppppq"), t) for t in titles(rng, 60)] + [("r", "alone"), (None, "x"), ("p", None)]
     cands = [(rng.choice("ppppq"), damage(rng, t)) for t in titles(rng, 80)]
     cands += [("p", "of map deep"), ("p", "deep map of"), ("q", "z" * 400)]
-    items += [("p", "map of deep")]
+    items += [("p", "map of deep"), ("q", ""), ("q", "  ")]
+    cands += [("q", " "), ("q", None)]
 
     def norm(t):
         return " ".join(sorted(t.split()))
 
     want = []
     for grp, title in items:
-        scored = [(-matching.token_ratio(norm(title), norm(n)), n) for g, n in cands if g == grp] if grp and title else []
+        scored = [(-matching.token_ratio(norm(title), norm(n)), n) for g, n in cands if g == grp and n is not None] if grp and title is not None else []
         best = min(scored, default=None)
         hit = best is not None and -best[0] >= 30
         want.append((grp, title, best[1] if hit else None, round(-best[0], 6) if hit else None))
     left = spark.createDataFrame(items, "grp2 string, title string")
     right = spark.createDataFrame(cands, "grp2 string, name string")
-    for block in (1000, 7):
+    for block, rare in ((1000, 200), (7, 200), (16, 2)):
+        monkeypatch.setattr(matching, "RARE", rare)
         out = matching.best_match(left, right, "grp2", "title", "name", block=block)
         got = out.select("grp2", "title", "match", F.round("score", 6)).collect()
         assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
+def test_best_match_without_a_least_score(spark):
+    left = spark.createDataFrame([("g", "abc"), ("h", "abc")], "grp string, title string")
+    right = spark.createDataFrame([("g", "xyz"), ("g", "xy")], "grp string, name string")
+    out = matching.best_match(left, right, "grp", "title", "name", min_score=0).collect()
+    assert sorted((r.grp, r.match, r.score) for r in out) == [("g", "xy", 0.0), ("h", None, None)]
+
+
 def test_a_segment_crowded_in_one_bucket_only(spark):
     # the issued title shares its last 16 characters one bucket later than the crowd does
     rng = random.Random(11)

@@ -27,7 +27,7 @@ def con():
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
-    assert set(QUERIES) - set(SQL) <= {"exclude_issued_fuzzy", "best_match_in_group"}
+    assert set(QUERIES) - set(SQL) <= {"exclude_issued_fuzzy"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
