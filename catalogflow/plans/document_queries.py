@@ -671,17 +671,45 @@ def _stream(spark, folder, name):
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
-@query("""
-select 'Order of ' || o_orderpriority as "Title", o_custkey as "URL", max(o_orderkey) as ingest_seq from orders group by 1, 2
+def _arrivals(parts, base, run):
+    """Run a stream after each part has arrived, as daily runs do: the stream reads the files of all parts so far once."""
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{base}/in/{i}")
+        run(part.sparkSession.readStream.schema(parts[0].schema).parquet(f"{base}/in/*"), i)
+
+
+# the older orders, the newer ones (which share an issue), and the issues of 1995 once more
+UPSERT_PARTS = ("o_orderdate < '1998-01-15'", "o_orderdate >= '1998-01-15'", "year(o_orderdate) = 1995 and o_orderstatus = 'F'")
+
+
+@query(f"""
+with o as (select 'Order of ' || o_orderpriority as t, o_custkey as u, strftime(o_orderdate, '%Y%m') as k, o_orderkey as seq, * from orders),
+b0 as (select t, u, k, seq from o where {UPSERT_PARTS[0]}),
+b1 as (select t, u, k, seq from o where {UPSERT_PARTS[1]}),
+b2 as (select 'Revised o' || substr(t, 2), u, k, seq from o where {UPSERT_PARTS[2]}),
+c0 as (select * from b0 qualify row_number() over (partition by t, u order by seq desc) = 1),
+m1 as (select *, 0 as g from c0 where k not in (select k from b1) union all select *, 1 from b1),
+c1 as (select t, u, k, seq from m1 qualify row_number() over (partition by t, u order by g desc, seq desc) = 1),
+m2 as (select *, 0 as g from c1 where k not in (select k from b2) union all select *, 1 from b2),
+c2 as (select t, u, k, seq from m2 qualify row_number() over (partition by t, u order by g desc, seq desc) = 1)
+select t as "Title", u as "URL", k as "IssueKey", seq as ingest_seq from c2
 """)
 def stream_upsert(spark, folder):
+    """Three batches, the log folded after the second, and some issues replaced by the third."""
     base = scratch_path(spark, "stream-upsert")
-    rows = _stream(spark, folder, "orders").select(
-        F.concat(F.lit("Order of "), "o_orderpriority").alias("Title"), F.col("o_custkey").alias("URL"),
-        F.date_format("o_orderdate", "yyyyMM").alias("IssueKey"), F.col("o_orderkey").alias("ingest_seq"),
-    )
-    log = ingest.stream_upsert(rows, f"{base}/catalog", f"{base}/checkpoint")
-    return ingest.upserted(spark, log, rows.schema).select("Title", "URL", "ingest_seq")
+    orders = table(spark, folder, "orders")
+    rows = [orders.filter(p).select(
+        F.concat(F.lit("Revised order of " if i == 2 else "Order of "), "o_orderpriority").alias("Title"),
+        F.col("o_custkey").alias("URL"), F.date_format("o_orderdate", "yyyyMM").alias("IssueKey"), F.col("o_orderkey").alias("ingest_seq"))
+        for i, p in enumerate(UPSERT_PARTS)]
+
+    def run(stream, i):
+        ingest.stream_upsert(stream, f"{base}/catalog", f"{base}/checkpoint")
+        if i == 1:
+            ingest.fold(spark, f"{base}/catalog", rows[0].schema)
+
+    _arrivals(rows, base, run)
+    return ingest.upserted(spark, f"{base}/catalog", rows[0].schema)
 
 
 @query("""
@@ -690,8 +718,8 @@ select user_id, event_type, event_id from events where user_id not in (select o_
 def stream_skip_seen(spark, folder):
     base = scratch_path(spark, "stream-seen")
     # keys handled before the stream starts: generation -1 of the seen table
-    known = table(spark, folder, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("key")).distinct()
-    known.write.parquet(f"{base}/seen/gen=-1")
+    known = table(spark, folder, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("key"))
+    ingest.write_seen(known, f"{base}/seen", -1)
     rows = _stream(spark, folder, "events").select("user_id", "event_type", "event_id")
     out = ingest.stream_skip_seen(rows, "user_id", f"{base}/seen", f"{base}/out", f"{base}/checkpoint")
     return spark.read.schema(rows.schema).parquet(f"{out}/*")
@@ -705,15 +733,34 @@ def stream_dedupe(spark, folder):
 
 
 @query("""
-select 'batch_' || user_id || '.xlsx' as filename, max_by(cast(floor(value) as bigint), (ts, floor(value))) as size_bytes
-from events group by 1
+with m as (select 'batch_' || user_id || '.xlsx' as f, cast(floor(value) as bigint) as s, ts, user_id,
+  case when ts < timestamp '2024-01-11' then 0 when ts < timestamp '2024-01-21' then 1 else 2 end as g from events where value is not null),
+listed as (select n.g, f, max_by(s, (ts, s)) as s, max(ts) as ts from m, (select unnest([0, 1, 2]) as g) n where m.g <= n.g group by n.g, f),
+l0 as (select * from listed where g = 0),
+c0 as (select 0 as gen, f, s, null::bigint as old, 'new' as change, true as done from l0),
+s0 as (select f, s from c0 where done),
+c1 as (select 1 as gen, l.f, l.s, s0.s as old, case when s0.f is null then 'new' else 'changed' end as change,
+  l.s % 2 = 0 as done from listed l left join s0 on s0.f = l.f where l.g = 1 and (s0.f is null or (s0.s <> 0 and s0.s <> l.s))),
+s1 as (select s0.f, coalesce(c.s, s0.s) as s from s0 left join c1 c on c.f = s0.f and c.done
+  union all select f, s from c1 where done and f not in (select f from s0)),
+c2 as (select 2 as gen, l.f, l.s, s1.s as old, case when s1.f is null then 'new' else 'changed' end as change, true as done
+  from listed l left join s1 on s1.f = l.f where l.g = 2 and (s1.f is null or (s1.s <> 0 and s1.s <> l.s)))
+select gen, f as filename, s as size_bytes, old as old_size, change, done from (from c0 union all from c1 union all from c2)
 """)
 def stream_reupload(spark, folder):
+    """Changes of three runs; in the second one, files of an odd size fail and stay due."""
     base = scratch_path(spark, "stream-reupload")
-    rows = _stream(spark, folder, "events").select(
-        F.concat(F.lit("batch_"), "user_id", F.lit(".xlsx")).alias("filename"), F.floor("value").alias("size_bytes"), "ts"
-    )
-    return ingest.logged_sizes(spark, ingest.stream_reuploads(rows, base, f"{base}/checkpoint"))
+    rows = table(spark, folder, "events").filter("value is not null").select(
+        F.concat(F.lit("batch_"), "user_id", F.lit(".xlsx")).alias("filename"), F.floor("value").alias("size_bytes"),
+        F.col("ts").cast("timestamp").alias("ts"))
+    days = ("ts < '2024-01-11'", "ts >= '2024-01-11' and ts < '2024-01-21'", "ts >= '2024-01-21'")
+
+    def process(changes, batch_id):
+        return changes.filter("size_bytes % 2 = 0") if batch_id == 1 else changes
+
+    _arrivals([rows.filter(d) for d in days], base,
+              lambda stream, i: ingest.stream_reuploads(stream, f"{base}/files", f"{base}/checkpoint", process))
+    return ingest.detected_changes(spark, f"{base}/files").select("gen", "filename", "size_bytes", "old_size", "change", "done")
 
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogflow import schemas
+from catalogflow.operators import dedupe
 from catalogflow.operators.ordered import running_index
 from catalogflow.sources import readers, workbook, writers
 from catalogflow.streaming import ingest
@@ -136,11 +137,88 @@ def test_stream_sees_a_reupload_under_the_same_name(spark, tmp_path, rows):
     day = dt.datetime(2026, 3, 1)
     stream = batches(spark, str(tmp_path / "m"), [[("a.xlsx", 10, day), ("b.xlsx", 5, day)], [("a.xlsx", 12, day + dt.timedelta(1))]], schema)
     base = ingest.stream_reuploads(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert rows(ingest.logged_sizes(spark, base)) == [("a.xlsx", 12), ("b.xlsx", 5)]
+    assert rows(ingest.processed_sizes(spark, base)) == [("a.xlsx", 12), ("b.xlsx", 5)]
     changes = spark.read.parquet(str(tmp_path / "out" / "changes"))
     assert rows(changes, "filename", "change") == [("a.xlsx", "changed"), ("a.xlsx", "new"), ("b.xlsx", "new")]
 
 
+def test_a_failed_file_stays_due(spark, tmp_path, rows):
+    day = dt.datetime(2026, 3, 1)
+    data = [[("a.xlsx", 10, day), ("b.xlsx", 5, day)], [("a.xlsx", 12, day + dt.timedelta(1))], [("c.xlsx", 1, day)], [("c.xlsx", 1, day)]]
+    stream = batches(spark, str(tmp_path / "m"), data, ingest.MANIFEST)
+
+    def process(changes, batch_id):
+        return changes.filter("filename <> 'b.xlsx'" if batch_id == 0 else "false" if batch_id == 1 else "true")
+
+    base = ingest.stream_reuploads(stream, str(tmp_path / "out"), str(tmp_path / "cp"), process)
+    got = rows(ingest.detected_changes(spark, base), "gen", "filename", "change", "old_size", "done")
+    assert got == [
+        (0, "a.xlsx", "new", None, True), (0, "b.xlsx", "new", None, False), (1, "a.xlsx", "changed", 10, False),
+        (1, "b.xlsx", "new", None, False), (2, "a.xlsx", "changed", 10, True), (2, "b.xlsx", "new", None, True), (2, "c.xlsx", "new", None, True),
+    ]
+    assert rows(ingest.processed_sizes(spark, base)) == [("a.xlsx", 12), ("b.xlsx", 5), ("c.xlsx", 1)]
+
+
+def test_folding_changes_nothing(spark, tmp_path, rows):
+    data = [[("A", "u", "202601", 1), ("B", "u", "202602", 2)], [("C", "u", "202602", 3), ("A", "u", "202603", 4)], [("D", "v", "202603", 5)]]
+    results = []
+    for when in ((), (0,), (0, 1), (0, 1, 2)):
+        base = str(tmp_path / f"c{len(when)}")
+        for i in range(3):
+            spark.createDataFrame(data[i], SCHEMA).write.parquet(f"{base}/in/{i}")
+            ingest.stream_upsert(spark.readStream.schema(SCHEMA).parquet(f"{base}/in/*"), base, f"{base}/cp")
+            if i in when:
+                assert ingest.fold(spark, base, SCHEMA) == f"{i:010d}" == ingest.folded_upto(spark, base)
+        results.append(rows(ingest.upserted(spark, base, SCHEMA)))
+    assert results == [[("C", "u", "202602", 3), ("D", "v", "202603", 5)]] * 4
+    # a fold without its mark does not exist; covered generations are not read
+    spark.createDataFrame([("Z", "z", "202699", 9, "x")], SCHEMA + ", gen string").write.parquet(f"{base}/folded/upto=0000000009")
+    assert rows(ingest.upserted(spark, base, SCHEMA)) == results[0]
+    plan = ingest.logged(spark, base, SCHEMA)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(gen" in plan and "> 0000000002" in plan
+
+
+def test_state_is_bounded_by_the_delay(spark, tmp_path, rows):
+    schema = "url string, day timestamp"
+    first = dt.datetime(2026, 1, 1)
+    data = [[(f"u{i % 3}" if k else f"d{d}n{i}", first + dt.timedelta(d)) for i in range(20) for k in (0, 1)] for d in range(12)]
+    stream = batches(spark, str(tmp_path / "in"), data, schema)
+    seen = []
+    run = ingest._run
+
+    def watched(writer, checkpoint):
+        query = run(writer, checkpoint)
+        seen.extend(p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators)
+
+    ingest._run = watched
+    try:
+        out = ingest.stream_distinct(stream, ["url"], str(tmp_path / "o"), str(tmp_path / "cp"), "day", "2 days")
+    finally:
+        ingest._run = run
+    got = [r.url for r in spark.read.parquet(out).collect()]
+    assert len([u for u in got if u.startswith("d")]) == 240 and 3 <= len([u for u in got if u.startswith("u")]) < 36
+    assert len(seen) >= 12 and max(seen) <= 110  # 240 keys came
+
+
+def test_only_touched_buckets_are_read(spark, tmp_path, rows):
+    path = str(tmp_path / "seen")
+    ingest.write_seen(spark.range(500).select(F.concat(F.lit("k"), "id").alias("key")), path, 0)
+    bucket = spark.range(1).select(ingest.seen_bucket(F.lit("k7"))).first()[0]
+    one = ingest.seen_keys(spark, path, "string", 5, [bucket])
+    assert ("k7",) in rows(one, "key") and one.count() < 30
+    assert "PartitionFilters: [isnotnull(gen" in one._jdf.queryExecution().executedPlan().toString()
+    assert ingest.seen_keys(spark, path, "string", 0).count() == 0
+
+
+def test_one_kind_of_generation(spark, tmp_path, rows):
+    """Batches of a stream and of files lie in one log."""
+    spark.createDataFrame([("A", "u", "202601", 1)], SCHEMA).write.parquet(str(tmp_path / "in"))
+    ingest.stream_upsert(spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in")), str(tmp_path / "c"), str(tmp_path / "cp"))
+    files = spark.createDataFrame([("B", "u", "202601", 2, "20260301000000 b.xlsx")], SCHEMA + ", gen string")
+    both = ingest.logged(spark, str(tmp_path / "c"), SCHEMA).unionByName(files)
+    assert rows(dedupe.catalog_from_batches(both), "Title") == [("B",)]
+
+
 def test_stream_dedupe_and_skip_seen(spark, tmp_path, rows):
     schema = "url string, n int"
     stream = batches(spark, str(tmp_path / "in"), [[("a", 1), ("b", 1)], [("a", 2), ("c", 2)]], schema)
