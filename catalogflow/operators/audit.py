@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import col, is_missing, matches
 from ..functions.text import image_sources, resolve_asset_path
+from .dedupe import digest
 
 # fixed values: file signatures (hex) and what each extension promises
 SIGNATURES = [
@@ -78,12 +79,13 @@ def raise_on_failures(failures):
 
 def catalog_checks(df, title="Title", authors="Authors", pages="Pages", url="URL", date="IssueDate"):
     """Rule and number of violating rows, one row per rule."""
+    by = digest(df, [title, url])  # digests travel, texts do not
     rules = {
         "authors_without_digits": F.count_if(matches(authors, r"\d")),
         "pages_prefix": F.count_if(~F.coalesce(F.startswith(col(pages), F.lit("pp. ")), F.lit(False))),
         "known_date": F.count_if(col(date).isNull()),
         "has_title": F.count_if(is_missing(title)),
-        "no_duplicates": F.count(F.lit(1)) - F.count_distinct(F.struct(title, url)),
+        "no_duplicates": F.count(F.lit(1)) - F.count_distinct(F.struct(title, url) if by is None else by),
     }
     totals = df.agg(*[value.alias(name) for name, value in rules.items()])
     pairs = ", ".join(f"'{name}', `{name}`" for name in rules)

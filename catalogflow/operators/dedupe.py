@@ -11,11 +11,37 @@ def exact_distinct(df):
     return df.distinct()
 
 
+def digest(df, keys):
+    """A key of at most 32 bytes for key columns of any size: SHA-256 of their values, null told from empty.
+
+    Null if none of the keys is a text. Texts are dealt, sorted and compared
+    by digest, so that no text is a shuffle key.
+    """
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    if not any(kinds.get(k, "string") == "string" for k in keys):
+        return None
+    parts = []
+    for k in keys:
+        text = F.col(k).cast("string")
+        # the length in front keeps neighbouring values apart
+        parts.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
+def distinct_texts(df, text, name):
+    """The distinct values of a text column; copies meet by digest and are combined in the map tasks."""
+    rows = df.select(text.alias(name))
+    return rows.groupBy(F.unhex(F.sha2(F.col(name), 256)).alias("_digest")).agg(F.first(name).alias(name)).drop("_digest")
+
+
 def _keep_one(df, keys, order):
     # the rank limit is applied inside each map task before the shuffle
     # (WindowGroupLimit), so copies of a hot key do not travel
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    by, names = digest(df, keys), list(keys)
+    if by is not None:
+        df, names = df.withColumn("_digest", by), ["_digest"]
+    w = Window.partitionBy(*names).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_digest")
 
 
 def dedupe_first(df, keys, seq):
@@ -47,7 +73,12 @@ def _tagged_sides(new, old, keys):
     sides = new.select(*keys, F.lit(1).alias("_new"), F.lit(0).alias("_old")).unionAll(
         old.select(*keys, F.lit(0).alias("_new"), F.lit(1).alias("_old"))
     )
-    return sides.groupBy(*keys).agg(F.max("_new").alias("_new"), F.max("_old").alias("_old"))
+    by = digest(sides, keys)
+    if by is None:
+        return sides.groupBy(*keys).agg(F.max("_new").alias("_new"), F.max("_old").alias("_old"))
+    found = sides.groupBy(by.alias("_digest")).agg(
+        *[F.first(k).alias(k) for k in keys], F.max("_new").alias("_new"), F.max("_old").alias("_old"))
+    return found.drop("_digest")
 
 
 def diff_keys(new, old, keys=("Title", "URL")):

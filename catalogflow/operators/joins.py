@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import col
 from ..functions.text import normalize_title
+from .dedupe import distinct_texts
 from .filters import is_open_access
 
 
@@ -43,28 +44,31 @@ def attach_metric(df, metric, doi, title, metric_doi="doi", metric_title="title"
 
 def access_overrides(metadata, title="Title", status="Access Status"):
     """Titles that any source row declares open."""
-    return (
-        metadata.filter(F.lower(F.trim(col(status))) == "oa")
-        .select(normalize_title(title).alias("title_norm"))
-        .filter(F.col("title_norm").isNotNull())
-        .distinct()
-    )
+    is_open = metadata.filter(F.lower(F.trim(col(status))) == "oa")
+    return distinct_texts(is_open, normalize_title(title), "title_norm").filter(F.col("title_norm").isNotNull())
 
 
 def apply_overrides(df, overrides, title, access, out="is_open"):
     """Open-access flag from the access text or the override titles."""
-    flags = overrides.select(F.col("title_norm").alias("_t"), F.lit(True).alias("_hit"))
-    keyed = df.withColumn("_norm", normalize_title(title))
-    joined = keyed.join(flags, F.col("_norm") == F.col("_t"), "left")
-    return joined.withColumn(out, is_open_access(access, "_hit")).drop("_norm", "_t", "_hit")
+    joined = _flagged(df, overrides.select(F.col("title_norm").alias("_t")), title)
+    return joined.withColumn(out, is_open_access(access, "_hit")).drop("_hit")
+
+
+def _flagged(df, texts, title):
+    """Adds ``_hit``, true where the normalised title is in ``texts`` (distinct, column ``_t``).
+
+    Rows are dealt and sorted by a digest of 16 bytes; texts are compared only where digests meet.
+    """
+    flags = texts.select("_t", F.unhex(F.md5("_t")).alias("_digest"), F.lit(True).alias("_hit"))
+    keyed = df.withColumn("_key", F.unhex(F.md5(normalize_title(title))))
+    same = (F.col("_key") == F.col("_digest")) & (normalize_title(title) == F.col("_t"))
+    return keyed.join(flags, same, "left").drop("_key", "_digest", "_t")
 
 
 def mark_members(df, members, title, members_title="title", out="is_choice"):
     """Flag the rows whose normalised title is in a member table."""
-    keys = members.select(normalize_title(members_title).alias("_t")).distinct().withColumn("_hit", F.lit(True))
-    keyed = df.withColumn("_norm", normalize_title(title))
-    joined = keyed.join(keys, F.col("_norm") == F.col("_t"), "left")
-    return joined.withColumn(out, F.coalesce("_hit", F.lit(False))).drop("_norm", "_t", "_hit")
+    joined = _flagged(df, distinct_texts(members, normalize_title(members_title), "_t"), title)
+    return joined.withColumn(out, F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
 def skip_seen(df, seen, key, seen_key="key"):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import col, is_missing
 from ..functions.text import escape_html, strip
+from .ordered import running_sum
 
 
 @dataclass(frozen=True)
@@ -130,31 +131,40 @@ def issue_header(issue_key, url):
     return _wrap("header", F.concat(_wrap("h1", name), link))
 
 
-def assemble(df, group, pos, fragment, span=None, out="html"):
+PART_BYTES = 1_000_000
+
+
+def assemble(df, group, pos, fragment, most=None, out="html"):
     """Fragments of a group in order, joined to documents.
 
-    With ``span`` a document comes in numbered parts of at most ``span``
-    positions each, so that a group of any size stays spread out; the parts in
-    order are the document. Without it each group becomes one text: only for
-    groups that are small by construction, such as the issues of a year.
+    With ``most`` a document comes in numbered parts that are cut by bytes: a
+    fragment belongs to part ``offset // most`` of its offset in the document, so a
+    part has at most ``most`` bytes and one fragment, a group of any size stays
+    spread out, and the parts in order are the document. Without it each group
+    becomes one text: only for groups that are small by construction, such as the
+    issues of a year. ``pos`` is an integer, unique in the group; null fragments are left out.
     """
     group = list(group)
-    keyed = df if span is None else df.withColumn("part", F.floor(F.col(pos) / F.lit(span)))
-    keys = group if span is None else [*group, "part"]
+    keyed, keys = df, group
+    if most is not None:
+        sized = df.filter(F.col(fragment).isNotNull()).withColumn("_bytes", F.octet_length(fragment).cast("long"))
+        keyed = running_sum(sized, group, pos, "_bytes", "_offset").withColumn("part", F.floor(F.col("_offset") / F.lit(most)))
+        keys = [*group, "part"]
     ordered = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(fragment).alias("f"))))
     return keyed.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["f"]), "").alias(out))
 
 
-def issue_pages(df, group, pos, fragment, header, footer="", span=5000, out="html"):
-    """Issue pages in parts: the head opens the first part, the foot ends the last."""
-    parts = assemble(df, [group], pos, fragment, span, "_body")
-    ends = df.groupBy(F.col(group).alias("_g")).agg(
-        F.floor(F.min(pos) / span).alias("_first"), F.floor(F.max(pos) / span).alias("_last")
-    )
-    joined = parts.join(ends, F.col(group) == F.col("_g"))
-    head = F.when(F.col("part") == F.col("_first"), col(header)).otherwise("")
-    foot = F.when(F.col("part") == F.col("_last"), F.lit(footer)).otherwise("")
-    return joined.select(group, "part", F.concat(head, F.col("_body"), foot).alias(out))
+def issue_pages(df, group, pos, fragment, header, footer="", most=PART_BYTES, out="html"):
+    """One document per issue, in parts cut by bytes (one part up to ``most`` bytes).
+
+    Head and foot are the fragments before the first and after the last one.
+    """
+    ends = df.groupBy(group).agg(F.min(pos).alias("_low"), F.max(pos).alias("_high"), F.first(col(header)).alias("_head"))
+    both = ends.select(group, F.explode(F.array(
+        F.struct((F.col("_low") - 1).alias(pos), F.col("_head").alias(fragment)),
+        F.struct((F.col("_high") + 1).alias(pos), F.lit(footer).alias(fragment)))).alias("_e"))
+    rows = df.select(group, pos, fragment).unionByName(both.select(group, "_e.*"))
+    return assemble(rows, [group], pos, fragment, most, out)
 
 
 def index_fragment(label, url, flag):

@@ -347,16 +347,18 @@ def fragment_render(spark, folder):
 
 
 @query(f"""
-with a as ({ARTICLES}), f as (select doc_id, source, {FRAGMENT.format(first="false")} as fragment from a)
-select source, doc_id // 5000 as part, md5(string_agg(fragment, '' order by doc_id)) as html, count(*) as articles
-from f group by 1, 2
+with a as ({ARTICLES}), f as (select doc_id, source, {FRAGMENT.format(first="false")} as fragment from a),
+p as (select *, coalesce(sum(strlen(fragment)) over (partition by source order by doc_id rows between unbounded preceding and 1 preceding), 0)
+  // 200000 as part from f)
+select source, cast(part as bigint) as part, md5(string_agg(fragment, '' order by doc_id)) as html, sum(strlen(fragment))::bigint as bytes
+from p group by 1, 2
 """)
 def issue_documents(spark, folder):
     rows = _articles(spark, folder)
     fragment = rendering.article_fragment("title", "url", "source", "text", "info", "is_open")
-    parts = rendering.assemble(rows.withColumn("fragment", fragment), ["source"], "doc_id", "fragment", span=5000)
-    counts = rows.groupBy("source", F.floor(F.col("doc_id") / 5000).alias("part")).agg(F.count(F.lit(1)).alias("articles"))
-    return parts.join(counts, ["source", "part"]).select("source", "part", F.md5("html").alias("html"), "articles")
+    parts = rendering.assemble(rows.withColumn("fragment", fragment), ["source"], "doc_id", "fragment", most=200_000)
+    return parts.select("source", "part", F.md5("html").alias("html"), F.octet_length("html").cast("long").alias("bytes"))
+
 
 
 @query("""
@@ -397,24 +399,34 @@ def issue_index_pages(spark, folder):
 
 
 @query("""
-with g as (select strftime(o_orderdate, '%Y%m') as k, o_orderkey // 5000 as part, o_orderkey, '<article class="entry"><h3>Order '
-    || o_orderkey || '</h3><div class="authors">Authors: ' || o_custkey || '</div></article>' as f from orders),
-p as (select k, part, string_agg(f, '' order by o_orderkey) as body from g group by k, part)
-select k as issue_key, part, md5(case when part = min(part) over (partition by k) then '<header><h1>Issue ' || k[5:6]
+with big as (select distinct l_orderkey as n from lineitem where l_quantity >= 50),
+a as (select o_orderkey as seq, strftime(o_orderdate, '%Y%m') as k, '<article class="entry"><div class="kind">Research Articles '
+    || case when o_orderpriority = '1-URGENT' or o_orderstatus = 'P' then '<span class="open">Open Access</span>' else '' end || '</div>'
+    || case when big.n is not null then '<span class="choice">Editor’s Choice</span>' else '' end
+    || '<h3><a href="' || case when o_custkey % 7 = 0 then '#' else 'https://doi.org/10.5/' || o_orderkey end || '">Order  No. ' || o_orderkey
+    || '</a></h3><div class="info">Pages: ' || o_custkey || '</div><div class="authors">Authors: Customer ' || o_custkey
+    || '</div><div class="abstract">Abstract:<details><summary>Read more...</summary>' || o_orderpriority || '</details></div>'
+    || case when p_partkey is not null then '<img src="img/' || o_orderkey || '.png">' else '' end || '</article>' as f
+  from orders left join big on big.n = o_orderkey left join part on p_partkey = o_orderkey)
+select k as "IssueKey", cast(0 as bigint) as part, md5('<header><h1>Issue ' || k[5:6]
   || ' - Year ' || k[1:4] || '</h1><p><a href="https://base.example/' || k[1:4] || '/000000' || (cast(k[1:4] as int) - 1934)
-  || '/000000' || k[5:6] || '">View Full Issue</a></p></header>' else '' end || body
-  || case when part = max(part) over (partition by k) then '<footer></footer>' else '' end) as html
-from p
+  || '/000000' || k[5:6] || '">View Full Issue</a></p></header>' || string_agg(f, '' order by seq) || '<footer></footer>') as html
+from a group by k
 """)
 def issue_page_render(spark, folder):
+    """One document per month of orders, with access badges, choice badges and the images that exist."""
     orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("issue_key"),
-        F.concat(F.lit("Order "), F.col("o_orderkey")).alias("title"),
-    )
-    rows = orders.withColumn("fragment", rendering.minimal_fragment("title", "o_custkey"))
-    link = S.issue_url(F.lit("https://doi.org/x"), "issue_key", "/content/", "https://base.example")
-    header = rendering.issue_header("issue_key", link)
-    pages = rendering.issue_pages(rows, "issue_key", "o_orderkey", "fragment", header, "<footer></footer>", span=5000)
+        F.col("o_orderkey").alias("ingest_seq"), F.date_format("o_orderdate", "yyyyMM.0").alias("IssueKey"),
+        F.concat(F.lit("Order  No. "), "o_orderkey").alias("Title"), F.concat(F.lit("Customer "), "o_custkey").alias("Authors"),
+        F.col("o_custkey").cast("string").alias("Pages"), F.when(F.col("o_orderpriority") == "1-URGENT", " OA").otherwise("SUB").alias("Access"),
+        F.when(F.col("o_custkey") % 7 != 0, F.concat(F.lit("https://doi.org/10.5/"), "o_orderkey")).alias("URL"),
+        F.col("o_orderpriority").alias("Abstract"), F.concat(F.lit("img/"), "o_orderkey", F.lit(".png")).alias("GA_Path"), "o_orderstatus")
+    status = F.when(F.col("o_orderstatus") == "P", " oa ").otherwise("SUB")
+    metadata = orders.select(F.upper("Title").alias("Title"), status.alias("Access Status"))
+    choices = table(spark, folder, "lineitem").filter("l_quantity >= 50").select(F.concat(F.lit(" order no. "), "l_orderkey").alias("title"))
+    assets = table(spark, folder, "part").select(F.concat(F.lit("img/"), "p_partkey", F.lit(".png")).alias("path"))
+    # an issue has one part up to 100 MB
+    pages = views.issue_documents(orders, metadata, choices, assets, "https://base.example", most=100_000_000)
     return pages.withColumn("html", F.md5("html"))
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as S
-from ..operators import dedupe, extraction, filters, incremental, joins, matching, ranking
+from ..operators import dedupe, extraction, filters, incremental, joins, matching, ranking, rendering
 
 
 def catalog_rows(raw, rule="pattern"):
@@ -70,6 +70,25 @@ def ingest_batch(catalog, raw, keys="all"):
     }
 
 
+def issue_documents(catalog, metadata, choices, assets=None, base="", seq="ingest_seq", most=rendering.PART_BYTES, footer="<footer></footer>"):
+    """The full page of each issue: one document per issue key, in parts cut by bytes.
+
+    Articles by ``seq``, each with its access badge (own text, or declared open by any row of
+    ``metadata``), the editors' choice badge (title among ``choices``) and
+    its image (``GA_Path``; with ``assets``, a table of paths, only if it exists).
+    """
+    rows = joins.apply_overrides(catalog, joins.access_overrides(metadata), "Title", "Access")
+    rows = joins.mark_members(rows, choices, "Title")
+    if assets is not None:
+        there = assets.select(F.col("path").alias("_path")).distinct()
+        rows = rows.join(there, F.col("GA_Path") == F.col("_path"), "left").withColumn("GA_Path", F.col("_path")).drop("_path")
+    info = F.concat(F.lit("Pages: "), F.coalesce("Pages", F.lit("")))
+    page = rendering.article_fragment("Title", "URL", "Authors", "Abstract", info, "is_open", is_choice="is_choice", image="GA_Path")
+    rows = rows.withColumns({"IssueKey": D.canonical_issue_key("IssueKey"), "fragment": page}).filter("IssueKey <> ''")
+    header = rendering.issue_header("IssueKey", S.issue_url(F.lit("https://doi.org/x"), "IssueKey", "/content/", base))
+    return rendering.issue_pages(rows, "IssueKey", seq, "fragment", header, footer, most)
+
+
 def dated(catalog, host=None, strict=False, out="IssueDate"):
     return catalog.withColumn(out, D.issue_date("IssueKey", "URL", host=host, strict=strict))
 

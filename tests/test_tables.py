@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -220,8 +221,36 @@ def test_fragments(spark):
 def test_assemble_keeps_order_across_parts(spark):
     df = spark.range(95).select("id", F.lit("g").alias("k"), F.format_string("<%d>", "id").alias("f")).repartition(7)
     whole = rendering.assemble(df, ["k"], "id", "f").first().html
-    parts = rendering.assemble(df, ["k"], "id", "f", span=10).orderBy("part").collect()
-    assert len(parts) == 10 and "".join(p.html for p in parts) == whole == "".join(f"<{i}>" for i in range(95))
+    parts = rendering.assemble(df, ["k"], "id", "f", most=20).orderBy("part").collect()
+    assert len(parts) == 19 and "".join(p.html for p in parts) == whole == "".join(f"<{i}>" for i in range(95))
+
+
+def test_parts_are_cut_by_bytes(spark):
+    data = [("g", i, "é" * (i % 7) + "x") for i in range(300)] + [("h", 5, "only"), ("h", 9, None)]
+    df = frame(spark, data, "k string, id long, f string").repartition(5)
+    for most in (1, 10, 64, 10_000):
+        parts = rendering.assemble(df, ["k"], "id", "f", most=most).orderBy("k", "part").collect()
+        assert "".join(p.html for p in parts) == "".join(f for _, _, f in data if f)
+        assert all(len(p.html.encode()) < most + 13 for p in parts)
+        assert (len(parts) == 2) == (most == 10_000)
+    pages = rendering.issue_pages(df, "k", "id", "f", F.concat(F.lit("<head>"), "k"), "<foot>", most=50).orderBy("k", "part").collect()
+    assert "".join(p.html for p in pages if p.k == "g") == "<head>g" + "".join(f for k, _, f in data if k == "g") + "<foot>"
+    assert [p.html for p in pages if p.k == "h"] == ["<head>honly<foot>"]
+
+
+def test_texts_are_no_shuffle_keys(spark, rows):
+    data = [("A  title", None, 1), ("a title", "", 2), ("A  title", None, 3), (None, "u", 4), (None, "u", 5), ("1", "2:x", 6), ("12", ":x", 7)]
+    df = frame(spark, data, "Title string, URL string, n int")
+    first = dedupe.dedupe_first(df, ["Title", "URL"], ["n"])
+    assert rows(first, "n") == [(1,), (2,), (4,), (6,), (7,)]
+    flagged = joins.mark_members(df, frame(spark, [(" A TITLE",), ("a title",), (None,)], "title string"), "Title")
+    assert rows(flagged, "n", "is_choice") == [(1, True), (2, True), (3, True), (4, False), (5, False), (6, False), (7, False)]
+    sides = dedupe.diff_keys(df, df.filter("n > 3").unionByName(frame(spark, [("gone", None, 9)], df.schema)))
+    assert rows(sides, "Title", "change") == [("A  title", "added"), ("a title", "added"), ("gone", "removed")]
+    for frame_ in (first, flagged, sides):
+        plan = frame_._jdf.queryExecution().executedPlan().toString()
+        keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+        assert keys and all("Title" not in k and "URL" not in k and "_t#" not in k for k in keys), keys
 
 
 def test_formats(spark):
