@@ -61,7 +61,9 @@ def _flagged(df, texts, title):
     """
     flags = texts.select("_t", F.unhex(F.md5("_t")).alias("_digest"), F.lit(True).alias("_hit"))
     keyed = df.withColumn("_key", F.unhex(F.md5(normalize_title(title))))
-    same = (F.col("_key") == F.col("_digest")) & (normalize_title(title) == F.col("_t"))
+    # equal lengths and one a prefix of the other: not an equality that would become a shuffle key
+    mine = normalize_title(title)
+    same = (F.col("_key") == F.col("_digest")) & (F.octet_length(mine) == F.octet_length("_t")) & F.startswith(mine, F.col("_t"))
     return keyed.join(flags, same, "left").drop("_key", "_digest", "_t")
 
 

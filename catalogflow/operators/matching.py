@@ -7,7 +7,6 @@ whose upper bound reaches the best score so far. Neither emits the pairs of a
 group.
 """
 
-import uuid
 from difflib import SequenceMatcher
 from fractions import Fraction
 from typing import NamedTuple
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_title, has_clean_title, squeeze, strip_quotes
-from ..session import materialize, scratch_path, spread
+from ..session import bucketed, materialize, spread
 
 THRESHOLD = 0.90
 MIN_SCORE = 30.0
@@ -83,21 +82,6 @@ def _title_id(title):
     return F.unhex(F.md5(title))
 
 
-def _bucketed(df, key, label):
-    """Write a table bucketed by a key and read it back; joins on the key do not shuffle it.
-
-    The catalog forgets the name at once, the files stay in the shared folder.
-    """
-    spark, name = df.sparkSession, f"catalogflow_{label}_{uuid.uuid4().hex}"
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(parts, key).write.format("parquet").bucketBy(parts, key).sortBy(key).option(
-        "path", scratch_path(spark, label)).saveAsTable(name)
-    stored = spark.table(name)
-    # the relation is resolved: files and buckets are known without the name
-    spark.sql(f"DROP TABLE {name}")
-    return stored
-
-
 def _key(q, gram, bucket):
     return F.xxhash64(q.cast("int"), gram, bucket.cast("long"))
 
@@ -140,7 +124,7 @@ def build_title_index(issued, title="Title", threshold=THRESHOLD, crowd=CROWD, l
     if lengths:
         known = known.filter(F.length("title").between(*lengths))
     known = known.groupBy(_title_id(F.col("title")).alias("id")).agg(F.first("title").alias("title"))
-    titles = _bucketed(known.select("id", "title", F.length("title").alias("lb")), "id", "titles")
+    titles = bucketed(known.select("id", "title", F.length("title").alias("lb")), "id", "titles")
     segments = _title_segments(titles, threshold)
     counts = segments.groupBy(F.col("key").alias("_key")).agg(F.count_distinct("id").alias("n_titles"))
     crowded = materialize(counts.filter(F.col("n_titles") > crowd), "crowded")
@@ -151,7 +135,7 @@ def build_title_index(issued, title="Title", threshold=THRESHOLD, crowd=CROWD, l
         flagged = flagged.drop("_key", "n_titles")
         hot = flagged.filter("is_hot").groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
         marked = flagged.join(hot, F.col("id") == F.col("_id"), "left").withColumn("n_hot", F.coalesce("_n", F.lit(0))).drop("_id", "_n")
-    return TitleIndex(titles, _bucketed(marked, "key", "segments"), crowded, threshold)
+    return TitleIndex(titles, bucketed(marked, "key", "segments"), crowded, threshold)
 
 
 def _possible(threshold):
@@ -282,7 +266,7 @@ def exclude_issued(items, issued, title, issued_title="Title", threshold=THRESHO
     # digests meet first, and only then the texts are compared
     open_items = keyed.join(known, (F.col("_id") == F.col("_k")) & (F.col("_t") == F.col("_kt")), "left_anti")
     texts = open_items.groupBy(F.col("_id").alias("a_id")).agg(F.first("_t").alias("a"))
-    similar = similar_titles(_bucketed(texts, "a_id", "items"), index, block).select(_title_id(F.col("a")).alias("_s"))
+    similar = similar_titles(bucketed(texts, "a_id", "items"), index, block).select(_title_id(F.col("a")).alias("_s"))
     kept = open_items.join(similar, F.col("_id") == F.col("_s"), "left_anti")
     return kept.drop("_t", "_id").withColumn(title, strip_quotes(title))
 

@@ -12,6 +12,8 @@ the join with the span table share one hash partitioning of the rows.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..session import bucketed
+
 SPAN = 100_000
 _G, _B = "_grp", "_span"
 _KEYS = [_G, _B]
@@ -50,24 +52,53 @@ def running_sum(df, group, pos, value, out, span=SPAN):
     return _carried(spans, sums, "_n", F.sum, local, out, _plus)
 
 
+def stored_spans(df, group, pos, columns, span=SPAN):
+    """Write each group's rows in spans of ``pos``, with columns computed inside the span.
+
+    ``columns(window)`` gives them over a window (a span's rows by ``pos``). The
+    input is planned and shuffled once; the table is bucketed by ``_cell`` (the hash of
+    group and ``_span``), so summaries of spans, and joins with them, do not shuffle it again.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spans = df.withColumn(_B, F.floor(F.col(pos) / F.lit(span)))
+    spans = spans.withColumn("_cell", F.xxhash64(*group, _B)).repartition(parts, "_cell")
+    window = Window.partitionBy("_cell", *group, _B).orderBy(pos)
+    return bucketed(spans.withColumns(columns(window)), "_cell", "spans", dealt=True)
+
+
+def span_summaries(stored, group, *facts):
+    """One row per span with its facts; combined where the span lies."""
+    return stored.groupBy("_cell", *group, _B).agg(*facts)
+
+
+def earlier_spans(group):
+    """The spans of the group before this one, for windows over ``span_summaries``."""
+    return Window.partitionBy(*group).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def with_spans(stored, group, summaries):
+    """Rows with the columns of their span's summary."""
+    renamed = summaries.select("_cell", F.struct(*group, _B).alias("_id"), *[c for c in summaries.columns if c not in ("_cell", *group, _B)])
+    joined = stored.join(renamed.withColumnRenamed("_cell", "_c"), (F.col("_cell") == F.col("_c")) & (F.struct(*group, _B) == F.col("_id")))
+    return joined.drop("_c", "_id", "_cell", _B)
+
+
+def last_so_far(value, window):
+    return F.last(value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))
+
+
 def fill_down(df, group, pos, values, span=SPAN):
     """Last non-null value at or before each row of the group.
 
     ``values`` maps output columns to the columns that are filled down; all of
     them share one pass over the rows.
     """
-    spans = _with_span(df, group, pos, span)
     names = list(values)
-    last = [
-        F.max_by(values[n], F.when(F.col(values[n]).isNotNull(), F.col(pos))).alias(f"_v{i}") for i, n in enumerate(names)
-    ]
-    earlier = Window.partitionBy(_G).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = spans.groupBy(*_KEYS).agg(*last).select(
-        *_KEYS, *[F.last(f"_v{i}", ignorenulls=True).over(earlier).alias(f"_before{i}") for i in range(len(names))]
-    )
-    so_far = Window.partitionBy(*_KEYS).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    local = {f"_local{i}": F.last(values[n], ignorenulls=True).over(so_far) for i, n in enumerate(names)}
-    joined = spans.withColumns(local).join(carry, _KEYS, "left")
+    stored = stored_spans(df, group, pos, lambda w: {f"_local{i}": last_so_far(values[n], w) for i, n in enumerate(names)}, span)
+    last = [F.max_by(values[n], F.when(F.col(values[n]).isNotNull(), F.col(pos))).alias(f"_v{i}") for i, n in enumerate(names)]
+    before = earlier_spans(group)
+    carry = span_summaries(stored, group, *last).select("_cell", *group, _B, *[
+        F.last(f"_v{i}", ignorenulls=True).over(before).alias(f"_before{i}") for i in range(len(names))])
+    joined = with_spans(stored, group, carry)
     filled = {n: F.coalesce(F.col(f"_local{i}"), F.col(f"_before{i}")) for i, n in enumerate(names)}
-    helpers = [f"{h}{i}" for i in range(len(names)) for h in ("_local", "_before")]
-    return joined.withColumns(filled).drop(*_KEYS, *helpers)
+    return joined.withColumns(filled).drop(*[f"{h}{i}" for i in range(len(names)) for h in ("_local", "_before")])

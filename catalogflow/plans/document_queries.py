@@ -535,7 +535,10 @@ log as (select cast(user_id as varchar) as file, event_id as line_no, cast(json_
     when 'click' then '📊 S3 文件列表:' when 'signup' then '   - page_' || (event_id // 3) || '.html'
     when 'purchase' then '📋 生成的文件:' else case k when 0 then '✅ 成功处理: ' || event_id || ' 个文件'
       when 1 then '已处理的文件:' when 2 then '📌 done' when 3 then '   ✅ 已生成: made_' || (event_id // 9) || '.html (new)'
-      when 4 then '📤 Pushing to GitHub...' else 'fatal: no' end end as line from events),
+      when 4 then case event_id % 3 when 0 then '📤 Pushing to GitHub...' when 1 then '  📊 In-Press 统计: +' || event_id || ' / -0'
+        else '✅ Git commit 完成' end
+      else case event_id % 3 when 0 then 'fatal: no' when 1 then '📊 Issue 202604: +' || event_id else 'ℹ️  没有变化需要提交' end
+      end end as line from events),
 run as (select l.* from log l join (select file, max(case when contains(line, '全自动更新') then line_no end) as s from log
   group by 1) m using (file) where s is null or line_no >= s)
 """
@@ -549,7 +552,10 @@ def _log(spark, folder):
         F.when(k == 0, F.concat(F.lit("✅ 成功处理: "), n, F.lit(" 个文件"))).when(k == 1, F.lit("已处理的文件:"))
         .when(k == 2, F.lit("📌 done"))
         .when(k == 3, F.concat(F.lit("   ✅ 已生成: made_"), F.floor(n / 9), F.lit(".html (new)")))
-        .when(k == 4, F.lit("📤 Pushing to GitHub...")).otherwise(F.lit("fatal: no"))
+        .when(k == 4, F.when(n % 3 == 0, F.lit("📤 Pushing to GitHub...")).when(
+            n % 3 == 1, F.concat(F.lit("  📊 In-Press 统计: +"), n, F.lit(" / -0"))).otherwise(F.lit("✅ Git commit 完成")))
+        .when(n % 3 == 0, F.lit("fatal: no")).when(n % 3 == 1, F.concat(F.lit("📊 Issue 202604: +"), n))
+        .otherwise(F.lit("ℹ️  没有变化需要提交"))
     )
     line = (
         F.when(kind == "view", F.when(F.col("value") > 300, F.lit("== 全自动更新 ==")).otherwise(F.lit("  ")))
@@ -572,20 +578,21 @@ i as (select *, max(head) over (partition by file) as last_head from f where is_
 select file, line_no, trim(line)[3:] as item from i where head = last_head
 """)
 def log_listed_files(spark, folder):
-    return runlog.listed_files(runlog.last_run(_log(spark, folder)), span=1000)
+    return runlog.listed_files(_log(spark, folder), span=1000)
 
 
 @query(f"""
 with {LOG_LINES},
 s as (select file, bool_or(contains(line, '成功处理:')) as ok, min_by(regexp_extract(line, '成功处理: (\\d+) 个文件', 1), line_no)
     filter (contains(line, '成功处理:')) as n, bool_or(contains(line, 'Pushing')) as pushed,
-    bool_or(contains(line, 'fatal:')) as fatal from run group by 1)
-select file, case when ok then 'processed' else 'check' end as status, cast(n as int) as processed, null::varchar as commit,
+    bool_or(contains(line, 'fatal:')) as fatal, bool_or(contains(line, 'Git commit')) as done,
+    bool_or(contains(line, '没有变化需要提交')) as same from run group by 1)
+select file, case when ok then 'processed' else 'check' end as status, cast(n as int) as processed,
+  case when done then 'committed' when same then 'no_change' end as commit,
   case when pushed then case when fatal then 'failed' else 'check' end end as push from s
 """)
 def log_run_status(spark, folder):
-    section = runlog.last_run(_log(spark, folder))
-    return runlog.run_status(section).join(runlog.publish_status(section), "file")
+    return runlog.scan(_log(spark, folder), span=1000).facts
 
 
 @query(f"""
@@ -600,7 +607,7 @@ n as (select file, line_no, trim(trim(line)[3:]) as name from f where is_item an
 select file, name, min(line_no) as line_no from n where ends_with(name, '.html') group by 1, 2
 """)
 def log_updated_html(spark, folder):
-    return runlog.updated_html(runlog.last_run(_log(spark, folder)), span=1000)
+    return runlog.updated_html(_log(spark, folder), span=1000)
 
 
 @query(f"""
@@ -615,14 +622,17 @@ f as (select *, last_value(e1 ignore nulls) over w as h1, last_value(e3 ignore n
 l as (select file, line_no, t[3:] as item, h1, max(h1) over (partition by file) as last from f where is_item and h1 >= 0),
 s as (select file, bool_or(contains(line, '成功处理:')) as ok, min_by(regexp_extract(line, '成功处理: (\\d+) 个文件', 1), line_no)
     filter (contains(line, '成功处理:')) as n, bool_or(contains(line, 'Pushing')) as pushed,
-    bool_or(contains(line, 'fatal:')) as fatal from run group by 1),
+    bool_or(contains(line, 'fatal:')) as fatal, bool_or(contains(line, 'Git commit')) as done,
+    bool_or(contains(line, '没有变化需要提交')) as same from run group by 1),
 h as (select file, line_no, trim(t[3:]) as name from f where is_item and h4 >= 0
   union all select file, line_no, string_split(trim(string_split(line, '已生成:')[2]), ' ')[1] from f where contains(line, '已生成:'))
 select file, 1 as part, line_no, item from l where h1 = last
 union all select file, 2, 0, case when ok then 'processed ' || n else 'check' end from s
 union all select file, 3, line_no, t[3:] from f where is_item and h3 >= 0 and file in (select file from s where ok)
 union all select file, 4, min(line_no), name from h where ends_with(name, '.html') group by file, name
-union all select file, 6, 0, case when fatal then 'push failed' else 'push check' end from s where pushed
+union all select file, 5, line_no, t from f where starts_with(t, '📊 In-Press 统计:') or starts_with(t, '📊 Issue ')
+union all select file, 6, 0, concat_ws(', ', case when done then 'commit committed' when same then 'commit no_change' end,
+  case when pushed then case when fatal then 'push failed' else 'push check' end end) from s where pushed or done or same
 """)
 def log_summary(spark, folder):
     return runlog.summary_lines(_log(spark, folder), span=1000)
