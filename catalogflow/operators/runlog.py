@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..session import materialize
 from .ordered import SPAN, earlier_spans, last_so_far, span_summaries, stored_spans, with_spans
 
 
@@ -136,6 +137,7 @@ def scan(lines, markers=ZH, span=SPAN):
         "last_listed": F.max(F.when(counts & in_run, last)).over(whole), "n": F.min(F.when(counts, F.col("n"))).over(whole)["n"],
         **{f"m_{k}": F.max(F.when(counts, F.col(f"m_{k}"))).over(whole) for k in _needles(markers)}})
     told = known.select("_cell", "file", "_span", "start", "last_listed", *_status_columns(), *_publish_columns(), *[f"b_{k}" for k in KINDS])
+    told = materialize(told, "told")  # one row per span, read for the lines and for the facts
     joined = with_spans(stored, ["file"], told)
     run = joined.filter(F.col("start").isNull() | (F.col("line_no") >= F.col("start")))
     heads = {}

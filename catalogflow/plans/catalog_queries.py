@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import text as S
 from ..operators import dedupe, filters, generators, incremental, joins, ranking
-from . import views
+from ..session import scratch_path
+from . import daily, views
 from .registry import EVENTS_AS_OF, ORDERS_AS_OF, query, table
 
 USAGE_TIES = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
@@ -646,23 +647,39 @@ def catalog_rows(spark, folder):
     return rows.select("ingest_seq", "Title", "class", "IssueKey", "URL", "Pages", "Access", "PubDate", "Authors", "GA_Path")
 
 
+LATE, LOST = "`Date MMDDYY` >= date '2000-09-01'", "Abstract = 'No Abstract'"
+
+
 def _ingested(spark, folder):
-    """The older orders as catalog, the orders of the last year as batch."""
+    """The older orders as catalog, the orders of the last year as batch; the catalog holds rows of these issues that the batch lacks."""
     raw = _raw_metadata(spark, folder)
-    late = F.col("Date MMDDYY") >= F.lit("2000-09-01").cast("date")
-    old = views.catalog_rows(raw.filter(~late)).filter("class = 'research'").drop("class")
-    return views.ingest_batch(old, raw.filter(late))
+    rows = views.catalog_rows(raw.filter(f"not ({LATE}) or {LOST}"))
+    old = rows.filter("class = 'research'").drop("class")
+    waiting = rows.filter("class = 'in_press'").drop("class")
+    return views.ingest_batch(old, raw.filter(f"{LATE} and not ({LOST})"), in_press=waiting)
 
 
 @query(f"""
 with {CATALOG_SQL}
-select k as "IssueKey", count(*) as added, cast(0 as bigint) as removed, count(*) as current_keys
-from cat where class = 'research' and d >= timestamp '2000-09-01' group by 1
+select k as "IssueKey", count(*) filter (where st <> 'P') as added, count(*) filter (where st = 'P') as removed,
+  count(*) filter (where st <> 'P') as current_keys
+from cat where class = 'research' and d >= timestamp '2000-09-01' group by 1 having count(*) filter (where st <> 'P') > 0
 """)
 def ingest_changes(spark, folder):
     return _ingested(spark, folder)["changes"]
 
 
+@query(f"""
+with {CATALOG_SQL}
+select count(*) filter (where st <> 'P' and d >= timestamp '2000-09-01') as added,
+  count(*) filter (where st = 'P' or d < timestamp '2000-09-01') as removed,
+  count(*) filter (where st <> 'P' and d >= timestamp '2000-09-01') as current_keys
+from cat where class = 'in_press'
+""")
+def ingest_in_press_changes(spark, folder):
+    return _ingested(spark, folder)["in_press_changes"]
+
+
 @query(f"""
 with {CATALOG_SQL}
 select seq as ingest_seq, title as "Title", strftime(d, '%B %Y') as "PubDate" from cat
@@ -699,3 +716,50 @@ def citations_sorted(spark, folder):
     counts = lines.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("citations"))
     rows = table(spark, folder, "part").select("p_partkey").join(counts, "p_partkey", "left")
     return ranking.by_metric(rows, "citations", "p_partkey")
+
+
+# --- the daily run ---------------------------------------------------------
+
+
+def _daily_runs(spark, folder):
+    """Two runs over yearly files of orders.
+
+    The first one finds files without the orders in progress, and the images of 1996 are missing;
+    the second one finds whole files and all images.
+    """
+    base = scratch_path(spark, "daily")
+    raw = _raw_metadata(spark, folder).withColumn("file", F.concat(F.lit("y"), F.year("Date MMDDYY"), F.lit(".xlsx")))
+    paths = views.catalog_rows(raw).select(F.col("GA_Path").alias("path")).filter("path is not null")
+    choices = table(spark, folder, "benchmark").select(F.col("text").alias("title"))
+    for run, rows, assets in (
+        ("2026-03-01", raw.filter(f"not ({LOST})"), paths.filter("path not like 'img/1996/%'")), ("2026-03-02", raw, paths),
+    ):
+        stamp = F.to_timestamp(F.concat(F.min(F.year("Date MMDDYY")).cast("string"), F.lit("-12-31")))
+        listing = rows.groupBy(F.col("file").alias("filename")).agg(F.count(F.lit(1)).alias("size_bytes"), stamp.alias("ts"))
+        out = daily.daily_run(spark, base, run, listing, rows, assets, choices, "https://base.example")
+    return base, out
+
+
+@query("""
+with o as (select 'y' || year(o_orderdate) || '.xlsx' as f, * from orders),
+v1 as (select f, count(*) as s, count(*) filter (o_orderstatus <> 'F') as images from o where o_orderstatus <> 'P' group by f),
+r1 as (select '2026-03-01' as run, f, s, null::bigint as old, 'new' as change,
+  case when f = 'y1996.xlsx' and images > 0 then images || ' images missing' end as reason from v1),
+done as (select f, s from r1 where reason is null),
+v2 as (select f, count(*) as s from o group by f),
+r2 as (select '2026-03-02' as run, v2.f, v2.s, done.s as old, case when done.f is null then 'new' else 'changed' end as change,
+  null as reason from v2 left join done on done.f = v2.f where done.f is null or done.s <> v2.s)
+select run, f as filename, s as size_bytes, old as old_size, change, reason from (from r1 union all from r2)
+""")
+def daily_run_outcomes(spark, folder):
+    base, _ = _daily_runs(spark, folder)
+    return daily.outcomes(spark, base).select("run", "filename", "size_bytes", "old_size", "change", "reason")
+
+
+@query(f"""
+with {CATALOG_SQL}
+select title as "Title", 'https://doi.org/10.9/' || seq as "URL", k as "IssueKey", seq as ingest_seq from cat where class = 'research'
+""")
+def daily_run_catalog(spark, folder):
+    _, out = _daily_runs(spark, folder)
+    return out["catalog"].select("Title", "URL", "IssueKey", "ingest_seq")

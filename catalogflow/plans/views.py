@@ -52,11 +52,15 @@ def ingest_files(log, raw, changes):
     return dedupe.union_all(log, batches)
 
 
-def ingest_batch(catalog, raw, keys="all"):
-    """New catalog, in-press view and change counts of one metadata batch."""
+def ingest_batch(catalog, raw, keys="all", in_press=None):
+    """New catalog, in-press view and change counts of one metadata batch.
+
+    ``changes`` counts research rows per issue; with the previous in-press view,
+    ``in_press_changes`` is one row with what came, went and stands.
+    """
     rows = catalog_rows(raw)
     research = rows.filter("class = 'research'").drop("class")
-    return {
+    out = {
         "catalog": dedupe.replace_issue(catalog, research, keys=keys),
         "in_press": rows.filter("class = 'in_press'").drop("class"),
         "changes": dedupe.diff_counts(
@@ -68,6 +72,9 @@ def ingest_batch(catalog, raw, keys="all"):
             group=("IssueKey",),
         ),
     }
+    if in_press is not None:
+        out["in_press_changes"] = dedupe.diff_counts(out["in_press"], in_press)
+    return out
 
 
 def issue_documents(catalog, metadata, choices, assets=None, base="", seq="ingest_seq", most=rendering.PART_BYTES, footer="<footer></footer>"):

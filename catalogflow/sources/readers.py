@@ -1,6 +1,9 @@
 """Readers with declared schemas; none of them infers types."""
 
+import csv
+
 from pyspark.errors import AnalysisException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,6 +12,7 @@ from ..functions.text import strip
 from ..operators.dedupe import union_all
 from ..operators.filters import add_missing_columns
 from ..operators.incremental import last_state
+from ..session import materialize
 
 # fixed values: formats of listings and state lines
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -40,26 +44,48 @@ def _string_schema(names):
 
 
 def _header(spark, path):
-    """Column names of CSV files: one header record is read."""
+    """Column names of one CSV file whose header spans lines."""
     sample = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return sample.columns
 
 
+def _first_lines(spark, paths):
+    """(file name, folder, first line) of the files that exist: one job, whatever the number of files."""
+    folders = {}
+    for path in paths:
+        folder, _, name = path.rpartition("/")
+        folders.setdefault(folder, set()).add(name)
+    parts = []
+    for folder, names in folders.items():
+        try:
+            lines = spark.read.option("lineSep", "\n").text(folder or ".")
+        except AnalysisException:  # no such folder: its files are left out, as documented
+            continue
+        meta = lines.select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("block"),
+                            F.monotonically_increasing_id().alias("row"), "value")
+        parts.append(meta.filter(F.col("name").isin(sorted(names)) & (F.col("block") == 0)).withColumn("folder", F.lit(folder)))
+    if not parts:
+        return []
+    first = union_all(*parts).groupBy("folder", "name").agg(F.min_by("value", "row").alias("line"))
+    return first.collect()  # one row per file name that the caller gave
+
+
 def read_many_optional(spark, paths, required, schema):
-    """Union of the files that can be read and hold the required columns.
+    """Union of the files that exist and hold the required columns.
 
-    Files with the same header are read together, so the plan grows with the
-    number of layouts, not of files.
+    One distributed job reads the first line of all files; files with the same
+    header are read together, so the plan grows with the number of layouts, not of
+    files. An empty file has no columns and is left out.
     """
     layouts = {}
-    for path in paths:
-        try:
-            header = tuple(_header(spark, path))
-        except AnalysisException:  # an unreadable file is left out, as documented
-            continue
+    for found in _first_lines(spark, paths):
+        path = f"{found['folder']}/{found['name']}" if found["folder"] else found["name"]
+        line = (found["line"] or "").removeprefix("\ufeff").rstrip("\r")
+        # a quoted name with a line break: only then the file is opened on its own
+        header = tuple(_header(spark, path)) if line.count('"') % 2 else tuple(next(csv.reader([line]), ()))
         if all(c in header for c in required):
             layouts.setdefault(header, []).append(path)
-    parts = [read_catalog_csv(spark, group, schema) for group in layouts.values()]
+    parts = [read_catalog_csv(spark, sorted(group), schema) for group in layouts.values()]
     return union_all(*parts) if parts else spark.createDataFrame([], schema)
 
 
@@ -96,9 +122,23 @@ def parse_state(lines, line="line", order="line_no"):
 
 
 def read_numbered_lines(spark, path):
-    """``(file, line_no, line)`` of text files; one log file is one row before the split."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return number_lines(whole, "file", "value")
+    """``(file, line_no, line)`` of text files, numbered from 0.
+
+    A large file is read in many splits. Lines are numbered inside a split as they
+    are read, and a sum over the earlier splits of the file (one row each) gives the
+    number of the first. A line break at the end of a file opens no further line.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"), F.col("value").alias("line"))
+    # written once: the row numbers of a second reading could differ
+    lines = materialize(lines, "lines")
+    earlier = Window.partitionBy("_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy(F.col("file").alias("_file"), F.col("_block").alias("_at")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    blocks = blocks.select("_file", "_at", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    joined = lines.join(blocks, (F.col("file") == F.col("_file")) & (F.col("_block") == F.col("_at")))
+    return joined.select("file", (F.col("_before") + F.col("_row") - F.col("_first")).alias("line_no"), "line")
 
 
 def number_lines(df, doc, text, line="line"):

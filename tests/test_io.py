@@ -43,6 +43,43 @@ def test_read_many_optional(spark, tmp_path, rows):
     assert readers.read_many_optional(spark, paths[2:3], ["Title"], schemas.RAW_METADATA).count() == 0
 
 
+def test_headers_of_many_files_in_one_job(spark, tmp_path, rows):
+    layouts = ["Title,DOI", "DOI,Title", "Title", "\ufeffTitle,DOI", '"Title","a ""b"", c",DOI', '"two\nlines",Title,DOI', ""]
+    for i in range(300):
+        header = layouts[i % len(layouts)]
+        cells = {"Title": f"T{i}", "DOI": f"10.1/{i}"}
+        (tmp_path / f"f{i}.csv").write_text(header + "\n" + ",".join(
+            cells.get(c.strip('"\ufeff'), "x") for c in ([*(header.split(",")[:1]), "x", "DOI"] if "a " in header else header.split(","))) + "\n")
+    (tmp_path / "notes.txt").write_text("Title,DOI\n")
+    paths = [str(tmp_path / f"f{i}.csv") for i in range(310)] + [str(tmp_path / "nowhere" / "f1.csv")]
+    seen = []
+    real = readers.read_catalog_csv
+    readers.read_catalog_csv = lambda s, p, k: (seen.append(p), real(s, p, k))[1]
+    try:
+        df = readers.read_many_optional(spark, paths, ["Title", "DOI"], schemas.RAW_METADATA)
+    finally:
+        readers.read_catalog_csv = real
+    assert len(seen) == 4  # one read per layout
+    want = sorted((f"T{i}", f"10.1/{i}") for i in range(300) if i % 7 in (0, 1, 3, 4, 5))
+    assert sorted((r.Title, r.DOI) for r in df.collect()) == want
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path, rows):
+    files = {"a.log": [f"line {i} " + "x" * (i % 90) for i in range(2000)], "b.log": ["one", "", "three\r", ""], "c.log": ["only"]}
+    for name, lines in files.items():
+        (tmp_path / name).write_text("\n".join(lines) + ("\n" if name != "c.log" else ""))
+    (tmp_path / "empty.log").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = readers.read_numbered_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+        got = rows(df.withColumn("file", F.regexp_extract("file", "[^/]+$", 0)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [(name, i, line) for name, lines in files.items() for i, line in enumerate(lines)]
+    assert got == sorted(want, key=repr)
+
+
 def test_listing_and_state(spark, tmp_path, rows):
     listing = ["2026-03-21 00:21:45      17998 26-04_April_metadata.xlsx", "2026-03-21 00:21:45  5 notes.txt", "PRE  x/", ""]
     df = spark.createDataFrame([(x,) for x in listing], "value string")

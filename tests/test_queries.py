@@ -13,7 +13,7 @@ QUERIES, SQL = all_queries(), all_oracles()
 # global aggregates and scalar lookups of one row; nothing else meets in one task
 ONE_ROW = {
     "recent_days_metric", "replace_issue_report", "issue_rollup", "issue_index", "issue_index_pages", "catalog_audit",
-    "best_match_in_group",
+    "best_match_in_group", "ingest_in_press_changes",
 }
 
 

@@ -1,3 +1,5 @@
+import random
+
 from catalogflow.operators import runlog
 
 LOG = """== 全自动更新 ==
@@ -75,3 +77,61 @@ def test_message(spark):
     parts = runlog.summary_message(lines(spark, a=LOG), span=1000).orderBy("part", "chunk").collect()
     text = "\n".join(p.message for p in parts).split("\n")
     assert text[0].startswith("26-04_April") and "processed 1" in text and text[-1] == "commit committed, push pushed"
+
+
+def brute(text):
+    """The last run of one log, line by line."""
+    m = runlog.ZH
+    lines = list(enumerate(text.split("\n")))
+    start = max((i for i, t in lines if m.run_start in t), default=0)
+    lists, open_list, pages, stats = [], None, {}, []
+    html_open = None
+    for i, line in lines[start:]:
+        t = line.strip()
+        if m.list_head in line:
+            open_list = []
+            lists.append(open_list)
+        elif t.startswith("-"):
+            if open_list is not None:
+                open_list.append((i, t[2:]))
+        elif not t or m.list_end in line:
+            open_list = None
+        if m.html_head in line:
+            html_open = True
+        elif t.startswith("-"):
+            if html_open and t[2:].strip().endswith(".html"):
+                pages.setdefault(t[2:].strip(), i)
+        elif not t or t.startswith(m.html_end):
+            html_open = False
+        if m.html_made in line and m.html_head not in line:
+            name = line.split(m.html_made)[1].strip().split()[0]
+            if name.endswith(".html"):
+                pages.setdefault(name, i)
+        if t.startswith(m.stats):
+            stats.append((i, t))
+    return [x for x in lists if x][-1:], pages, stats
+
+
+def test_random_logs_in_any_spans(spark, rows):
+    m, rng = runlog.ZH, random.Random(2)
+    vocabulary = [m.run_start, m.list_head, "📋 " + m.html_head, "", "📌 n", "   - a.html", "- b.xlsx", "- c.html", "plain", "✅ " + m.html_made + " d.html (2)",
+                  "📊 Issue 202601: +1", m.commit_done, m.push_start, "main -> x"]
+    logs = {f"f{k}": "\n".join(rng.choices(vocabulary, [1, 6, 6, 4, 2, 9, 9, 9, 5, 3, 2, 1, 1, 1], k=rng.randint(1, 60))) for k in range(40)}
+    want = {k: brute(t) for k, t in logs.items()}
+    for span in (2, 7, 1000):
+        found = runlog.scan(lines(spark, **logs), span=span)
+        assert rows(runlog.listed_files(found)) == sorted(
+            ((k, i, t) for k, (lists, _, _) in want.items() for x in lists for i, t in x), key=repr)
+        assert rows(runlog.updated_html(found)) == sorted(((k, n, i) for k, (_, p, _) in want.items() for n, i in p.items()), key=repr)
+        assert rows(runlog.change_stats(found)) == sorted(((k, i, t) for k, (_, _, s) in want.items() for i, t in s), key=repr)
+
+
+def test_one_pass_and_few_shuffles(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for report in (runlog.listed_files, runlog.updated_html, runlog.summary_lines):
+            plan = report(lines(spark, a=LOG), span=5)._jdf.queryExecution().executedPlan().toString()
+            # one more shuffle dealt the lines to the stored spans
+            assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") <= 4, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalogflow import schemas
 from catalogflow.operators import dedupe, rendering
-from catalogflow.plans import views
+from catalogflow.plans import daily, views
 from catalogflow.sources import writers
 
 
@@ -99,6 +99,49 @@ def test_files_are_ingested_oldest_first(spark, rows):
     assert rows(dedupe.catalog_from_batches(after), "Title") == rows(after, "Title")
 
 
+def test_daily_runs(spark, rows, tmp_path):
+    base, stamp = str(tmp_path / "base"), dt.datetime(2026, 4, 1)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.RAW_METADATA.fields) + ", ingest_seq bigint, file string"
+
+    def row(file, seq, title, doi, month, image=None, kind="Research Article"):
+        link = f"https://files.example/d/{image}/view" if image else None
+        return (title, "A", kind, dt.date(2026, month, 1), str(month), "92", "1", "OA", doi, "x", link, seq, file)
+
+    def run(name, sizes, data, images):
+        listing = spark.createDataFrame([(f, n, stamp) for f, n in sizes.items()], schemas.MANIFEST)
+        assets = spark.createDataFrame([(f"img/2026/{i}",) for i in images], "path string")
+        choices = spark.createDataFrame([(" ONE ",)], "title string")
+        return daily.daily_run(spark, base, name, listing, spark.createDataFrame(data, schema), assets, choices, "https://h")
+
+    def result(out):
+        counts = {r.IssueKey: (r.added, r.removed, r.current_keys) for r in out["changes"].collect()}
+        waiting = out["in_press_changes"].collect()
+        return rows(out["catalog"], "Title"), counts, [(r.added, r.removed, r.current_keys) for r in waiting], {
+            r.IssueKey: r.html for r in out["pages"].collect()}
+
+    a = [row("a", 1, "One", "1", 4, "p1"), row("a", 2, "Two", "2", 4), row("a", 3, "Soon", "3", 4, None, "In-Press")]
+    b = [row("b", 1, "May", "5", 5), row("b", 2, None, "6", 5)]
+    for _ in range(2):  # a run that is repeated after a crash replaces itself
+        first = result(run("r1", {"a": 1, "b": 2, "c": 3}, a + b, ["04/p1.png"]))
+    assert first[:3] == ([("One",), ("Two",)], {"202604": (2, 0, 2)}, [(1, 0, 1)])
+    assert "Editor" in first[3]["202604"] and '<img src="img/2026/04/p1.png">' in first[3]["202604"] and len(first[3]) == 1
+    got = {r.filename: r.reason for r in daily.outcomes(spark, base).collect()}
+    assert got == {"a": None, "b": "rows without title or issue", "c": "no rows"}
+    assert rows(daily.state(spark, base)) == [("a", 1)]
+    # b is mended, a came again without an article and with a missing image
+    a = [row("a", 1, "One", "1", 4, "p9"), row("a", 4, "Later", "4", 4, None, "In-Press")]
+    second = result(run("r2", {"a": 7, "b": 2, "c": 3}, a + [row("b", 1, "May", "5", 5)], ["04/p1.png"]))
+    assert second[:2] == ([("May",), ("One",), ("Two",)], {"202605": (1, 0, 1)})
+    assert rows(daily.state(spark, base)) == [("a", 1), ("b", 2)]
+    third = result(run("r3", {"a": 7, "b": 2, "c": 3}, a, ["04/p9.png"]))
+    assert third[:3] == ([("May",), ("One",)], {"202604": (0, 1, 1)}, [(1, 0, 1)])
+    reasons = {(r.run, r.filename): (r.change, r.reason) for r in daily.outcomes(spark, base).collect()}
+    assert reasons["r2", "a"] == ("changed", "1 images missing") and reasons["r3", "a"] == ("changed", None)
+    assert ("r3", "b") not in reasons
+    seen = spark.read.parquet(f"{base}/seen/run=r3")
+    assert rows(seen, "key") == [("202604",), ("202605",)]
+
+
 def test_declared_schemas_are_complete():
     assert len(schemas.USAGE) == 27 and schemas.USAGE["Total Downloads"].dataType.simpleString() == "bigint"
     assert schemas.CATALOG.fieldNames()[-1] == "ingest_seq" and len(schemas.RAW_METADATA) == 11
