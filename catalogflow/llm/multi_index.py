@@ -1,9 +1,11 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
 Each half of a vector is quantised by its own centroids; a pair of centroids is
-a cell. A query visits cells by the sum of its two half distances with a heap,
-until they hold enough entries, and the entries are ranked by their exact inner
-product. Cells are dealt out in blocks of bounded size, a large cell in several,
+a cell. The nearest are those of the largest inner product, so the distance of a half is
+the negative of the product that its centroid promises: with the centroid, and with two
+deviations of what lies around it (long vectors lie far from their centroids). A query
+visits cells by the sum of both with a heap, until they hold enough
+entries, and the entries are ranked by their exact inner product. Cells are dealt out in blocks of bounded size, a large cell in several,
 and queries in chunks, so that a task gets one block of either.
 """
 
@@ -15,10 +17,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalogflow.llm.common import mixed
-from catalogflow.session import materialize
+from catalogflow.session import materialize, spread
 
 # visit: without clusters in the data, 0.9 of the true neighbours lie in about half of the entries
 CENTROIDS, SAMPLE, VISIT, BLOCK, SEED = 64, 20_000, 0.55, 4096, 0
+DEVIATIONS = 2.0
 
 
 def valid(vectors, id_col="vec_id", vector_col="embedding"):
@@ -31,6 +34,8 @@ def valid(vectors, id_col="vec_id", vector_col="embedding"):
 
 def kmeans(points, k, rounds=15, seed=SEED):
     """Lloyd's centroids of a sample, at most k."""
+    if not points.shape[1]:  # the first half of vectors of one component
+        return np.zeros((1, 0))
     rng = np.random.default_rng(seed)
     points = np.unique(points, axis=0)
     centres = points[rng.permutation(len(points))[:k]]
@@ -45,11 +50,26 @@ def kmeans(points, k, rounds=15, seed=SEED):
 
 
 def fit(rows, centroids=CENTROIDS, sample=SAMPLE):
-    """Centroids of both halves, from at most ``sample`` vectors (those of the smallest hashes)."""
+    """(centroids, deviations) of both halves, from at most ``sample`` vectors (those of the smallest hashes)."""
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
     points = np.array([r[0] for r in picked])
     half = points.shape[1] // 2
-    return kmeans(points[:, :half], centroids), kmeans(points[:, half:], centroids)
+    return [_spread_out(part, kmeans(part, centroids)) for part in (points[:, :half], points[:, half:])]
+
+
+def _spread_out(points, centres):
+    """Centroids and, for each, the deviation of a component of what lies around it."""
+    label = _codes(points, centres)
+    squares = ((points - centres[label]) ** 2).sum(1)
+    count = np.bincount(label, minlength=len(centres))
+    mean = np.bincount(label, squares, len(centres)) / np.maximum(count, 1) / max(points.shape[1], 1)
+    return centres, np.sqrt(mean)
+
+
+def promised(queries, centres, deviations):
+    """The distance of each half query to each centroid: the negative of the product to be expected there at best."""
+    length = np.sqrt((queries**2).sum(1, keepdims=True))
+    return -(queries @ centres.T) - DEVIATIONS * length * deviations
 
 
 def _codes(points, centres):
@@ -110,15 +130,14 @@ def visited(first, second, sizes, enough):
 
 def _probing(one, two, sizes, blocks, enough):
     """Each query's cells, gathered by the block that holds them."""
-    half = one.shape[1]
+    half = one[0].shape[1]
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             m = _matrix(batch)
-            first = (one**2).sum(1) - 2 * m[:, :half] @ one.T
-            second = (two**2).sum(1) - 2 * m[:, half:] @ two.T
+            first, second = promised(m[:, :half], *one), promised(m[:, half:], *two)
             at, block, cells = [], [], []
             for i in range(len(m)):
                 mine = {}
@@ -171,10 +190,11 @@ def search(vectors, queries=None, k=20, centroids=CENTROIDS, visit=VISIT, sample
     rows = valid(vectors, id_col, vector_col)
     lengths = rows.groupBy("dims").count().orderBy(F.desc("count"), F.desc("dims")).first()
     out = "query_id long, rank int, vec_id long, score double"
-    if lengths is None or lengths["dims"] < 2:
+    if lengths is None:
         return vectors.sparkSession.createDataFrame([], out)
     rows = rows.filter(F.col("dims") == lengths["dims"]).drop("dims")
-    one, two = fit(rows, centroids, sample)
+    halves = fit(rows, centroids, sample)
+    one, two = halves[0][0], halves[1][0]
     entries = materialize(rows.mapInArrow(_assigned(one, two), "vec_id long, v array<double>, cell int"), "cells")
     # at most centroids squared rows, whatever the size of the corpus
     sizes = np.zeros(len(one) * len(two), np.int64)
@@ -199,8 +219,9 @@ def search(vectors, queries=None, k=20, centroids=CENTROIDS, visit=VISIT, sample
     chunks = -(-n_queries // block)
     dealt = entries.mapInArrow(_dealt(blocks, len(sizes)), "vec_id long, v array<double>, cell int, block int")
     dealt = dealt.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(max(chunks, 1) - 1))))
-    probes = asked.select("vec_id", "v").distinct().mapInArrow(
-        _probing(one, two, sizes, blocks, enough), "query_id long, q array<double>, block int, cells array<int>")
+    # few bytes, much work: the queries are dealt to all tasks
+    probes = spread(asked.select("vec_id", "v").distinct(), "vec_id").mapInArrow(
+        _probing(*halves, sizes, blocks, enough), "query_id long, q array<double>, block int, cells array<int>")
     probes = probes.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(max(chunks, 1))).cast("int"))
     found = dealt.groupBy("block", "chunk").cogroup(probes.groupBy("block", "chunk")).applyInPandas(
         _ranked(k), "query_id long, vec_id long, score double")

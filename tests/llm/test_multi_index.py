@@ -20,6 +20,22 @@ def test_recall(spark):
         assert [m[0] for m in mine] == list(range(1, 21)) and [m[1:] for m in mine] == sorted(m[1:] for m in mine)
 
 
+@pytest.mark.parametrize("sigma", [0.0, 0.3, 1.0])
+def test_recall_of_uneven_lengths(spark, sigma):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 16)) * np.exp(rng.normal(size=(3000, 1)) * sigma)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    # a small share of the entries is enough where lengths differ
+    for visit in (0.15, multi_index.VISIT) if sigma else (multi_index.VISIT,):
+        assert multi_index.recall(multi_index.search(vectors, "vec_id % 20 = 0", visit=visit), vectors) >= 0.9
+
+
+def test_one_component(spark):
+    vectors = spark.createDataFrame([(i, [float(i - 3)]) for i in range(60)], "vec_id long, embedding array<double>")
+    got = [(r.rank, r.vec_id, r.score) for r in multi_index.search(vectors, "vec_id = 40", k=3).collect()]
+    assert sorted(got) == [(1, 59, 37.0 * 56), (2, 58, 37.0 * 55), (3, 57, 37.0 * 54)]
+
+
 def test_blocks_and_chunks_change_nothing(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     many = multi_index.search(vectors, "vec_id % 20 = 0", block=7).collect()
