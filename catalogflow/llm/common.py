@@ -10,6 +10,16 @@ BATCH_BYTES = 16_000_000
 ROW = ["_id", "_row"]
 
 
+def text_tag(text):
+    """A number of 24 bits that tells texts of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(0xFFFFFF))
+
+
+def packed(docs):
+    """All columns of a table in one struct ``row``, so that no helper column can clash with them."""
+    return docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("row"))
+
+
 def keyed(docs, id_col="doc_id", text_col="text"):
     """The id, a tag that tells rows of one id apart, and the text in UTF-8.
 
@@ -19,7 +29,7 @@ def keyed(docs, id_col="doc_id", text_col="text"):
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"),
-        F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFF)).alias("_row"),
+        text_tag(text).alias("_row"),
         text.cast("binary").alias("_text"),
     )
 
@@ -30,11 +40,12 @@ def plain_id(name="doc_id"):
 
 
 def slices(batches, column, limit=BATCH_BYTES):
-    """Arrow batches cut so that one holds few bytes of ``column`` (or one row)."""
+    """Arrow batches cut so that one holds few bytes of ``column`` (or one row); a function gives the values of another place."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        size = np.array([len(x) if x is not None else 0 for x in batch.column(column).to_pylist()], np.int64)
+        values = column(batch) if callable(column) else batch.column(column)
+        size = np.array([len(x) if x is not None else 0 for x in values.to_pylist()], np.int64)
         cut = np.cumsum(size) // limit
         starts = np.flatnonzero(np.r_[True, cut[1:] != cut[:-1]])
         for a, b in zip(starts, np.r_[starts[1:], len(size)]):

@@ -134,6 +134,7 @@ def contamination(docs, benchmark, share=0.5, id_col="doc_id", text_col="text",
     placeholders never match. Null and empty texts hold nothing; equal items
     count each; repeated rows get equal results; null item ids are not listed
     but count. Windows pass a bitmap of fixed size before they are shuffled.
+    ``text_tag`` (``common.text_tag`` of the input text) tells rows of one id apart.
     """
     rows = keyed(docs, id_col, text_col)
     # items are numbered by their text, so that equal ones are matched once
@@ -164,4 +165,5 @@ def contamination(docs, benchmark, share=0.5, id_col="doc_id", text_col="text",
     return out.select(
         plain_id("doc_id"), F.coalesce("items", F.array().cast("array<long>")).alias("items"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.col("n_items").isNotNull().alias("contaminated"),
+        F.col("_row").alias("text_tag"),
     )

@@ -10,6 +10,7 @@ driver, by a few sums over the table of sources.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from catalogflow.llm.common import packed
 from catalogflow.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -102,24 +103,23 @@ def repetitions(docs, mixed, seed=0, id_col="doc_id", text_col="text", source_co
     id are told apart by their size and source.
     """
     names = ["size", "source_size", "target", "taken"]
-    plan = mixed.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"),
-                        *[F.col(n).alias(f"_mix_{n}") for n in names]).distinct()
-    base = docs.drop(*names, "repetition")
-    words = F.coalesce(F.regexp_count(base[text_col], F.lit(WORD)), F.lit(0))
-    same = (base[id_col].eqNullSafe(plan["_mix_id"]) & base[source_col].eqNullSafe(plan["_mix_source"])
-            & (words == plan["_mix_size"]))
-    joined = base.join(plan, same).drop("_mix_id", "_mix_source")
-    size, taken = F.col("_mix_size"), F.col("_mix_taken")
+    plan = mixed.select("doc_id", "source", F.struct(*names).alias("mix")).distinct()
+    rows = packed(docs.drop(*names, "repetition"))
+    text, own = F.col(f"row.`{text_col}`"), F.col(f"row.`{id_col}`")
+    words = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0))
+    same = own.eqNullSafe(F.col("doc_id")) & F.col(f"row.`{source_col}`").eqNullSafe(F.col("source")) & (words == F.col("mix.size"))
+    joined = rows.join(plan, same).select("row", "mix")
+    size, taken = F.col("mix.size"), F.col("mix.taken")
     rest = taken - F.floor(taken / F.greatest(size, F.lit(1))) * size
     times = F.when(size > 0, F.ceil(taken / F.greatest(size, F.lit(1)))).otherwise(F.lit(0)).cast("int")
     each = F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))
     out = joined.withColumn("repetition", F.explode(each))
     partial = (F.col("repetition") == times) & (rest > 0)
-    start = F.floor(seeded(F.col(id_col), f"{seed}/start") * (size - rest + 1)) + 1
-    words = F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0))
-    piece = F.array_join(F.slice(words, start.cast("int"), rest.cast("int")), " ")
-    out = out.withColumn(text_col, F.when(partial, piece).otherwise(F.col(text_col)))
-    return out.withColumnsRenamed({f"_mix_{n}": n for n in names})
+    start = F.floor(seeded(own, f"{seed}/start") * (size - rest + 1)) + 1
+    found = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    piece = F.array_join(F.slice(found, start.cast("int"), rest.cast("int")), " ")
+    final = F.col("row").withField(f"`{text_col}`", F.when(partial, piece).otherwise(text))
+    return out.select(final.alias("row"), "mix", "repetition").select("row.*", "mix.*", "repetition")
 
 
 MIX_SQL = r"""

@@ -57,7 +57,7 @@ def op9(spark, folder):
 
 @query("op10_templates")
 def op10(spark, folder):
-    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_tag")
 
 
 @query("op6_segment_lines")

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from catalogflow.llm.common import slices
+from catalogflow.llm.common import packed, slices
 
 # a passage of one word is the best on held-out rows; larger ones read context
 BUCKET_BITS, DIM, SIZES, PASSAGE = 16, 8, (3, 4, 5, 6), 1
@@ -229,3 +229,21 @@ def score(docs, model, threshold=0.7, id_col="doc_id", text_col="text"):
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     out = rows.mapInArrow(_scored(model), "_id long, score double")
     return out.select(F.col("_id").alias("doc_id"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs, model, threshold=0.7, text_col="text"):
+    """The rows whose text scores below ``threshold``, with all columns, in the pass that reads them.
+
+    Each row is judged by its own text, whatever its id; nothing is shuffled.
+    """
+
+    def texts_of(batch):
+        return batch.column("row").field(text_col)
+
+    def run(batches):
+        for batch in slices(batches, texts_of, 2_000_000):
+            z = margins([(t or "").encode() for t in texts_of(batch).to_pylist()], model).astype(np.float64)
+            yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))) < threshold))
+
+    rows = packed(docs)
+    return rows.mapInArrow(run, rows.schema).select("row.*")

@@ -54,3 +54,41 @@ def test_null_ids_and_texts(spark, docs_of):
         ids = [r.doc_id for r in out.collect()]
         assert 3 in ids or name == "mixing", name
         assert stage(spark, docs.limit(0), FOLDER).collect() == []
+
+
+def test_rows_of_one_id_and_clashing_columns(spark):
+    """Rows with one id are judged by their own texts; columns named like helpers pass."""
+    from pyspark.sql import functions as F
+
+    stages = dict(corpus_pipeline.STAGES)
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    toxic = docs.join(labels.filter("toxic = 1"), "doc_id").orderBy("doc_id").first().text
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").orderBy("item_id").first().text
+    line = "one plain line that two documents hold, long enough"
+    rows_ = [(7, toxic), (7, "a plain text about a river"), (8, f"see: {item} (copied)"), (8, "a plain text about a hill"),
+             (None, toxic), (None, "a plain text about a lake"), (1, line), (9, f"{line}\nand another line of its own here")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows_], "doc_id long, text string, lang string, source string, n_chars long")
+    helpers = ["kept_text", "_cut", "_tag", "_kept", "cut", "tag", "kept", "row", "mix", "_mix_size", "_mix_id", "text_tag", "contaminated", "a.b"]
+    df = df.withColumns({h: F.concat(F.lit(f"{h}:"), "text") for h in helpers})
+
+    clean = stages["toxicity"](spark, df, folder)
+    assert clean.columns == df.columns
+    kept = sorted((r.doc_id or 0, r.text) for r in clean.collect())
+    assert kept == sorted((i or 0, t) for i, t in rows_ if t != toxic)
+    pure = stages["decontamination"](spark, df, folder)
+    assert sorted((r.doc_id or 0, r.text) for r in pure.collect()) == sorted((i or 0, t) for i, t in rows_ if item not in t)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, df, folder)
+        assert set(df.columns) <= set(out.columns), name
+        got = out.collect()
+        assert got and all(r["a.b"].startswith("a.b:") and r["row"].startswith("row:") for r in got), name
+        if name == "line_dedup":
+            assert {r.doc_id: r.text for r in got if r.doc_id in (1, 9)} == {1: line, 9: "and another line of its own here"}
+        assert stage(spark, df.limit(0), folder).collect() == []
+
+
+def test_toxicity_of_null_and_empty_texts(spark):
+    stage = dict(corpus_pipeline.STAGES)["toxicity"]
+    df = spark.createDataFrame([(None, None), (1, None), (1, ""), (2, "x")], "doc_id long, text string")
+    assert len(stage(spark, df, "/root/testdata/sf0.1").collect()) == 4
