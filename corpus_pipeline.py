@@ -7,48 +7,50 @@
 5. mixing: sources come to their target weights, one row per repetition.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of
-docs (the last one adds its own). Null texts and ids follow the operators.
+docs (the last one adds its own). Null texts and ids follow the operators. Rows
+of one id are judged by their own texts, except that near duplicates take
+them for one document. Columns of any name pass through: rows travel as one struct.
 """
 
 from pyspark.sql import functions as F
 
 from catalogflow.llm import decontaminate, line_dedup, mixture, odd_sketch, toxicity
+from catalogflow.llm.common import packed, text_tag
 from catalogflow.llm.registry import table
 from catalogflow.session import materialize
 
-
-def _keep(docs, decided, condition):
-    """The rows of docs whose id has a row that meets the condition."""
-    kept = decided.filter(condition).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+ID, TEXT = "row.doc_id", "row.text"
 
 
 def without_toxic(spark, docs, sf_dir):
-    """Fit on the labelled documents of the corpus, score all, drop those at 0.7 or more."""
+    """Fit on the labelled documents of the corpus, drop rows that score 0.7 or more in the pass that reads them."""
     model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return _keep(docs, toxicity.score(docs, model), "predicted = 0")
+    return toxicity.without_toxic(docs, model)
 
 
 def without_repeated_lines(spark, docs, sf_dir):
     """Texts without lines that come again; n_chars follows the text."""
     found = line_dedup.dedup_lines(docs).filter("n_removed > 0")
-    found = found.select(F.col("doc_id").alias("_cut"), F.col("text_tag").alias("_tag"), "kept_text").distinct()
-    same = docs["doc_id"].eqNullSafe(found["_cut"]) & (line_dedup.text_tag(docs["text"]) == found["_tag"])
-    joined = docs.join(found, same, "left")
-    text = F.coalesce("kept_text", "text")
-    changed = joined.withColumns({"n_chars": F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast("long")).otherwise(
-        F.col("n_chars")), "text": text})
-    return changed.select(*docs.columns)
+    found = found.select(F.col("doc_id").alias("cut"), F.col("text_tag").alias("tag"), "kept_text").distinct()
+    same = F.col(ID).eqNullSafe(F.col("cut")) & (line_dedup.text_tag(F.col(TEXT)) == F.col("tag"))
+    kept = F.col("kept_text")
+    row = F.col("row").withField("text", F.coalesce(kept, F.col(TEXT))).withField(
+        "n_chars", F.when(kept.isNotNull(), F.length(kept).cast("long")).otherwise(F.col("row.n_chars")))
+    return packed(docs).join(found, same, "left").select(row.alias("row")).select("row.*")
 
 
 def without_near_duplicates(spark, docs, sf_dir):
     """One document of each class at a similarity of 0.8 or more."""
-    return _keep(docs, odd_sketch.near_duplicates(docs, least=80), "kept")
+    kept = odd_sketch.near_duplicates(docs, least=80).filter("kept").select("doc_id").distinct()
+    return packed(docs).join(kept, F.col(ID).eqNullSafe(F.col("doc_id")), "left_semi").select("row.*")
 
 
 def without_benchmark(spark, docs, sf_dir):
     """Documents that hold no benchmark item."""
-    return _keep(docs, decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")), "not contaminated")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
+    gone = found.select("doc_id", "text_tag").distinct()
+    same = F.col(ID).eqNullSafe(F.col("doc_id")) & (text_tag(F.col(TEXT)) == F.col("text_tag"))
+    return packed(docs).join(gone, same, "left_anti").select("row.*")
 
 
 def mixed(spark, docs, sf_dir):
