@@ -120,9 +120,13 @@ def _segments(most):
 
 
 def _shifts(most):
-    """Where a line that is longer by a gap of 0 to ``most`` can hold a segment, as (gap, segment, shift)."""
-    return [(gap, i, shift) for gap in range(most + 1) for i in range(most + 1)
-            for shift in range(max(-i, gap - (most - i)), min(i, gap + (most - i)) + 1)]
+    """Where a line that is longer by a gap of 0 to ``most`` can hold a segment, as (gap, segment, shift).
+
+    The segments of lines of one length at equal places are left out: there the index meets itself.
+    """
+    steps = [(gap, i, shift) for gap in range(most + 1) for i in range(most + 1)
+             for shift in range(max(-i, gap - (most - i)), min(i, gap + (most - i)) + 1)]
+    return [step for step in steps if step not in _segments(most)]
 
 
 def _keyed(line, steps, most):
@@ -233,12 +237,15 @@ def similar_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_
     index, probe = _keyed(line, _segments(most), most), _keyed(line, _shifts(most), most)
     crowded = _crowded(rows, crowd, most, shortest)
     odd = F.when(crowded(F.col("key")), _parities(F.col("line")))
-    index = index.select(*[F.col(c).alias(f"{c}_i") for c in PLACE], "key", odd.alias("odd_i"))
+    index = index.select(*PLACE, "key", odd.alias("odd"))
+    own = index.toDF(*[f"{c}_i" for c in PLACE], "key", "odd_i")
     probe = probe.select(*PLACE, "key", "equal", odd.alias("odd"))
     place, other = F.struct(*PLACE), F.struct(*[F.col(f"{c}_i").alias(c) for c in PLACE])
-    met = probe.join(index, "key").filter(~F.col("equal") | (place < other)).filter(
-        F.col("odd").isNull() | _alike(F.col("odd"), F.col("odd_i"), most))
-    pairs = met.select(*PLACE, other.alias("other")).distinct()
+    alike = F.col("odd").isNull() | _alike(F.col("odd"), F.col("odd_i"), most)
+    met = probe.join(own, "key").filter(~F.col("equal") | (place < other)).filter(alike)
+    # the index is shuffled once: it meets the probes and itself
+    same = index.join(own, "key").filter(place < other).filter(alike)
+    pairs = met.select(*PLACE, other.alias("other")).unionByName(same.select(*PLACE, other.alias("other"))).distinct()
     one = _at(rows, pairs).select(F.struct(*PLACE).alias("place"), F.col("line").alias("text"), "other.*")
     both = _at(rows, one).select("place", F.struct(*PLACE).alias("other"), _within(
         F.col("text"), F.col("line"), most).alias("distance"))
