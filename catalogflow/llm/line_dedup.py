@@ -11,7 +11,7 @@ and only pairs whose parities allow so few edits leave the join.
 import numpy as np
 from pyspark.sql import functions as F
 
-from catalogflow.llm.common import LAST_ID
+from catalogflow.llm.common import LAST_ID, packed
 from catalogflow.session import materialize
 
 DISTANCE, SHORTEST = 2, 20
@@ -254,6 +254,42 @@ def similar_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_
     return places, close.select(F.explode(F.array(*each)).alias("l")).select("l.*")
 
 
+def _verdicts(docs, most, shortest, id_col, text_col, crowd):
+    """(rows, per_row): the texts by row, and the numbers of the lines that go and the links of each row that has any."""
+    rows, lines = line_table(docs, max(shortest, 2 * most + 2), id_col, text_col)
+    places, links = similar_lines(docs, most, shortest, id_col, text_col, crowd)
+    earlier = links.groupBy(F.col("place").alias("first")).agg(F.min("other").alias("there"), F.count(F.lit(1)).alias("links"))
+    verdict = places.join(earlier, "first", "left").filter("n > 1 or links > 0").select(
+        "h", F.least("first", "there").alias("least"), "links")
+    marked = lines.join(verdict, "h").withColumn("gone", F.col("least") < F.struct(*PLACE))
+    per_row = marked.filter("gone or links > 0").select(*PLACE, "gone", "links").distinct().groupBy(*ROW).agg(
+        F.collect_set(F.when(F.col("gone"), F.col("no"))).alias("gone"), F.sum("links").alias("n_links"))
+    return rows, per_row
+
+
+def _kept(text, gone):
+    """The text without the lines of these numbers."""
+    return _let(F.split(text, "\n", -1), lambda all_: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), gone), lambda i: F.get(all_, i)), "\n"))
+
+
+def without_repeated_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_col="text", chars_col="n_chars", crowd=CROWD):
+    """The rows of ``docs`` with all columns; the lines that ``dedup_lines`` removes are gone from the texts.
+
+    ``chars_col`` follows the texts that changed. The rows are shuffled once, with the line numbers.
+    """
+    _, per_row = _verdicts(docs, most, shortest, id_col, text_col, crowd)
+    own, text = F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`")
+    rows = packed(docs).select("row", F.coalesce(own.cast("long"), F.lit(LAST_ID)).alias("_id"), text_tag(text).alias("_row"))
+    joined = rows.join(per_row.filter(F.size("gone") > 0).hint("merge"), ROW, "left")
+    changed = F.col("gone").isNotNull()
+    # computed once, and only where lines go
+    joined = joined.withColumn("kept", F.when(changed, _kept(text, F.col("gone"))))
+    row = F.col("row").withField(f"`{text_col}`", F.coalesce("kept", text)).withField(
+        f"`{chars_col}`", F.when(changed, F.length("kept").cast("long")).otherwise(F.col(f"row.`{chars_col}`")))
+    return joined.select(row.alias("row")).select("row.*")
+
+
 def dedup_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_col="text", crowd=CROWD):
     """Remove each line that comes again: a line within ``most`` edits of one at an earlier place.
 
@@ -266,14 +302,7 @@ def dedup_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_co
     largest; rows with an equal id and text share their places, so they do not
     remove each other's lines.
     """
-    rows, lines = line_table(docs, max(shortest, 2 * most + 2), id_col, text_col)
-    places, links = similar_lines(docs, most, shortest, id_col, text_col, crowd)
-    earlier = links.groupBy(F.col("place").alias("first")).agg(F.min("other").alias("there"), F.count(F.lit(1)).alias("links"))
-    verdict = places.join(earlier, "first", "left").filter("n > 1 or links > 0").select(
-        "h", F.least("first", "there").alias("least"), "links")
-    marked = lines.join(verdict, "h").withColumn("gone", F.col("least") < F.struct(*PLACE))
-    per_row = marked.filter("gone or links > 0").select(*PLACE, "gone", "links").distinct().groupBy(*ROW).agg(
-        F.collect_set(F.when(F.col("gone"), F.col("no"))).alias("gone"), F.sum("links").alias("n_links"))
+    rows, per_row = _verdicts(docs, most, shortest, id_col, text_col, crowd)
     out = rows.join(per_row.hint("merge"), ROW, "left").withColumns({
         "gone": F.coalesce("gone", F.array().cast("array<int>")), "all": F.split("_text", "\n", -1)})
     places_kept = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), F.col("gone"))
