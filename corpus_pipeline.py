@@ -30,13 +30,7 @@ def without_toxic(spark, docs, sf_dir):
 
 def without_repeated_lines(spark, docs, sf_dir):
     """Texts without lines that come again; n_chars follows the text."""
-    found = line_dedup.dedup_lines(docs).filter("n_removed > 0")
-    found = found.select(F.col("doc_id").alias("cut"), F.col("text_tag").alias("tag"), "kept_text").distinct()
-    same = F.col(ID).eqNullSafe(F.col("cut")) & (line_dedup.text_tag(F.col(TEXT)) == F.col("tag"))
-    kept = F.col("kept_text")
-    row = F.col("row").withField("text", F.coalesce(kept, F.col(TEXT))).withField(
-        "n_chars", F.when(kept.isNotNull(), F.length(kept).cast("long")).otherwise(F.col("row.n_chars")))
-    return packed(docs).join(found, same, "left").select(row.alias("row")).select("row.*")
+    return line_dedup.without_repeated_lines(docs)
 
 
 def without_near_duplicates(spark, docs, sf_dir):
