@@ -1,9 +1,10 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-A line is cut into threshold + 1 segments. Two lines within the threshold share
-a segment at places whose shift the lengths and the segment's number bound, so
-a line's substrings at those places probe an index of segments by length. What
-meets is verified by a banded bit-parallel edit distance. A segment that many
+A line is cut into threshold + 1 segments, at places that all lengths of a class
+share. Two lines within the threshold share a segment at places whose shift the
+segment's number bounds, so a line's substrings at those places probe an index
+of segments by class of length. What meets is verified by a banded bit-parallel
+edit distance. A segment that many
 distinct lines hold is crowded: its lines bring character and bigram parities,
 and only pairs whose parities allow so few edits leave the join.
 """
@@ -46,10 +47,10 @@ def _within(a, b, most, part=48):
     """The distance if it is at most ``most``, else null or more.
 
     Lines that agree within ``most`` edits agree within twice as many in their
-    first characters, so most others are left after a few steps.
+    first characters, so most others are left after a short comparison.
     """
     return _let(_trimmed(a, b), lambda r: F.when(
-        banded_distance(r["x"].substr(1, part), r["y"].substr(1, part), 2 * most) <= 2 * most,
+        F.levenshtein(r["x"].substr(1, part), r["y"].substr(1, part), 2 * most) >= 0,
         banded_distance(r["x"], r["y"], most)))
 
 
@@ -101,42 +102,62 @@ def banded_distance(a, b, most):
     return _let(F.struct(chars(a).alias("x"), chars(b).alias("y")), lambda c: run(c["x"], c["y"]))
 
 
-def _segment(length, i, most):
-    """Start (1-based) and size of segment i (0-based) of a line of that length."""
-    base = F.floor(length / F.lit(most + 1)).cast("int")
-    plain = F.lit(most + 1) - length % F.lit(most + 1)  # this many segments come first, the others are one longer
-    size = base + F.when(F.lit(i) >= plain, 1).otherwise(0)
-    return (F.lit(i) * base + F.greatest(F.lit(i) - plain, F.lit(0)) + 1).cast("int"), size.cast("int")
+def _steps(most):
+    """Where a line is cut, as (segment, shift, ahead, right, times, plus); see ``_keyed``.
 
+    ``_keyed`` cuts most + 1 segments of equal size, segment i with room for
+    m = min(i, most - i) more characters. The left half is counted from the
+    beginning of the line, the right half from its end.
+    """
+    room = [min(i, most - i) for i in range(most + 1)]
+    steps = []
+    for i, m in enumerate(room):
+        right = i > most - i
+        for shift in range(m + 1):
+            plus = shift + sum(room[:i]) if not right else -(shift + sum(room[i + 1 :]))
+            steps += [(i, shift, ahead, right, i if not right else i - most - 1, plus) for ahead in (0, most)]
+    return steps
 
-def _key(length, i, part):
-    # 48 bits: what meets by chance is verified
-    return F.shiftrightunsigned(F.xxhash64(length.cast("int"), F.lit(i), part), 16)
 
+def _least_length(most):
+    """The shortest line with a character in every segment."""
+    return sum(min(i, most - i) for i in range(most + 1)) + most + 1
 
-def _segments(most):
-    """The segments of a line itself, as (gap, segment, shift)."""
-    return [(0, i, 0) for i in range(most + 1)]
 
+def _class(chars, most, shortest):
+    """The least length of a line that shares the cuts of lines of this length.
 
-def _shifts(most):
-    """Where a line that is longer by a gap of 0 to ``most`` can hold a segment, as (gap, segment, shift)."""
-    return [(gap, i, shift) for gap in range(most + 1) for i in range(most + 1)
-            for shift in range(max(-i, gap - (most - i)), min(i, gap + (most - i)) + 1)]
+    Lengths with the same three leading bits form a class; lines that ``most``
+    more characters would lift into the next class take part there too.
+    """
+    low = F.greatest(F.length(F.bin(chars)) - 3, F.lit(max(2, (most - 1).bit_length())))
+    step = F.call_function("shiftleft", F.lit(1), low)
+    return F.greatest(chars - chars % step - F.lit(most), F.lit(shortest)).cast("int")
 
 
-def _keyed(line, steps, most):
-    """One row per line and step: its place, line, key and whether the gap is 0.
+def _keyed(line, most, shortest):
+    """One row per line, class and step: its place, length, key and shift.
 
+    Two lines within ``most`` edits meet in a class. Let i be the first segment
+    of one of them up to whose end at most i edits lie. Then exactly i edits
+    lie before it, none in it and at most most - i after it, so the other line
+    holds it moved by at most i, counted from the beginning, and by at most
+    most - i, counted from the end. The room of a segment lets either line be
+    the one that probes with its moved substring, so moves in one direction do.
     The steps are rows, so that one small expression serves them all.
     """
-    steps = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("gap", "i", "shift"), step)]) for step in steps])
-    each = line.select(*PLACE, "line", "chars", F.explode(steps).alias("s"))
-    other, i = (F.col("chars") - F.col("s.gap")).cast("int"), F.col("s.i")
-    start, size = _segment(other, i, most)
-    at = start + F.col("s.shift")
-    return each.filter((at >= 1) & (at + size - 1 <= F.col("chars"))).select(
-        *PLACE, "line", _key(other, i, F.col("line").substr(at, size)).alias("key"), (F.col("s.gap") == 0).alias("equal"))
+    names = ("i", "shift", "ahead", "right", "times", "plus")
+    steps = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, step)]) for step in _steps(most)])
+    own, lifted = _class(F.col("chars"), most, shortest), _class(F.col("chars") + F.lit(most), most, shortest)
+    each = line.select(*PLACE, "line", "chars", own.alias("own"), lifted.alias("lifted")).select("*", F.explode(steps).alias("s"))
+    each = each.filter((F.col("s.ahead") == 0) | (F.col("own") != F.col("lifted")))
+    least = F.when(F.col("s.ahead") == 0, F.col("own")).otherwise(F.col("lifted"))
+    each = each.select(*PLACE, "line", "chars", "s", least.alias("least"), F.floor(
+        (F.col("least") - F.lit(_least_length(most) - most - 1)) / F.lit(most + 1)).cast("int").alias("size"))
+    at = F.when(F.col("s.right"), F.col("chars")).otherwise(0) + F.col("s.times") * F.col("size") + F.col("s.plus") + 1
+    # 48 bits: what meets by chance is verified
+    key = F.shiftrightunsigned(F.xxhash64("least", "s.i", F.col("line").substr(at.cast("int"), F.col("size"))), 16)
+    return each.select(*PLACE, "line", "chars", key.alias("key"), F.col("s.shift").alias("shift"))
 
 
 def _parities(line):
@@ -163,7 +184,7 @@ def _crowded(rows, crowd, most, shortest, bits=FILTER_BITS):
     size, whatever the number of segments, goes to the tasks.
     """
     lines = rows.select(*ROW, F.posexplode(F.split("_text", "\n", -1)).alias("no", "line")).withColumn("chars", F.length("line"))
-    held = _keyed(lines.filter(F.col("chars") >= shortest), _segments(most), most).select("key", F.hash("line").alias("line"))
+    held = _keyed(lines.filter(F.col("chars") >= shortest), most, shortest).filter("shift = 0").select("key", F.hash("line").alias("line"))
     counts = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("low"), F.max("line").alias("high"))
     many = counts.filter((F.col("n") > crowd) & (F.col("low") < F.col("high"))).select(F.pmod("key", F.lit(bits)).alias("at"))
     words = many.groupBy(F.floor(F.col("at") / 64).cast("int").alias("w")).agg(
@@ -222,23 +243,23 @@ def similar_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_
     and the number of its places;
     links: (place, other, distance) for every ordered pair of distinct lines
     within ``most`` edits, named by their first places. Lines of fewer than
-    ``shortest`` code points are left out. Copies meet in the map tasks.
+    ``shortest`` code points (at least ``_least_length(most)``) are left out. Copies meet in the map tasks.
     Segments in more than ``crowd`` places are screened inside the join;
     the links are the same for any ``crowd``.
     """
-    shortest = max(shortest, 2 * most + 2)
+    shortest = max(shortest, _least_length(most))
     rows, lines = line_table(docs, shortest, id_col, text_col)
     places = lines.groupBy("h").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n"))
     line = _at(rows, places.select("first.*")).withColumn("chars", F.length("line"))
-    index, probe = _keyed(line, _segments(most), most), _keyed(line, _shifts(most), most)
     crowded = _crowded(rows, crowd, most, shortest)
-    odd = F.when(crowded(F.col("key")), _parities(F.col("line")))
-    index = index.select(*[F.col(c).alias(f"{c}_i") for c in PLACE], "key", odd.alias("odd_i"))
-    probe = probe.select(*PLACE, "key", "equal", odd.alias("odd"))
-    place, other = F.struct(*PLACE), F.struct(*[F.col(f"{c}_i").alias(c) for c in PLACE])
-    met = probe.join(index, "key").filter(~F.col("equal") | (place < other)).filter(
-        F.col("odd").isNull() | _alike(F.col("odd"), F.col("odd_i"), most))
-    pairs = met.select(*PLACE, other.alias("other")).distinct()
+    keyed = _keyed(line, most, shortest).withColumn("odd", F.when(crowded(F.col("key")), _parities(F.col("line")))).drop("line")
+    # the same columns under other names, so that both sides share one shuffle
+    left, right = (keyed.select(*[F.col(c).alias(c + side) for c in keyed.columns]) for side in ("_a", "_b"))
+    place, other = (F.struct(*[F.col(c + side).alias(c) for c in PLACE]) for side in ("_a", "_b"))
+    met = left.join(right, F.col("key_a") == F.col("key_b")).filter(
+        (place < other) & (F.least("shift_a", "shift_b") == 0) & (F.abs(F.col("chars_a") - F.col("chars_b")) <= most)).filter(
+        F.col("odd_a").isNull() | _alike(F.col("odd_a"), F.col("odd_b"), most))
+    pairs = met.select(place.alias("place"), other.alias("other")).distinct().select("place.*", "other")
     one = _at(rows, pairs).select(F.struct(*PLACE).alias("place"), F.col("line").alias("text"), "other.*")
     both = _at(rows, one).select("place", F.struct(*PLACE).alias("other"), _within(
         F.col("text"), F.col("line"), most).alias("distance"))
@@ -249,7 +270,7 @@ def similar_lines(docs, most=DISTANCE, shortest=SHORTEST, id_col="doc_id", text_
 
 def _verdicts(docs, most, shortest, id_col, text_col, crowd):
     """(rows, per_row): the texts by row, and the numbers of the lines that go and the links of each row that has any."""
-    rows, lines = line_table(docs, max(shortest, 2 * most + 2), id_col, text_col)
+    rows, lines = line_table(docs, max(shortest, _least_length(most)), id_col, text_col)
     places, links = similar_lines(docs, most, shortest, id_col, text_col, crowd)
     earlier = links.groupBy(F.col("place").alias("first")).agg(F.min("other").alias("there"), F.count(F.lit(1)).alias("links"))
     verdict = places.join(earlier, "first", "left").filter("n > 1 or links > 0").select(
