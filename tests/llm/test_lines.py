@@ -115,3 +115,14 @@ def test_documents(documents, rows):
 def test_native(documents):
     plan = line_dedup.dedup_lines(documents)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
+@pytest.mark.parametrize("most, shortest", [(1, 4), (3, 9), (4, 12)])
+def test_thresholds(docs_of, rows, most, shortest):
+    """Lengths around the edges of the classes, edits at both ends and between segments."""
+    rng = random.Random(most)
+    base = ["".join(rng.choice("abcd") for _ in range(n)) for n in (7, 8, 11, 12, 15, 16, 20, 23, 31, 32, 33, 39, 40, 63, 64, 80)]
+    pairs = [(i, edited(rng, base[i % len(base)], rng.randrange(most + 2))) for i in range(160)]
+    pairs += [(200 + i, "x" * most + b) for i, b in enumerate(base)] + [(300 + i, b + "y" * most) for i, b in enumerate(base)]
+    got = line_dedup.dedup_lines(docs_of(pairs), most=most, shortest=shortest).drop("text_tag")
+    assert rows(got) == brute(pairs, most, shortest)
