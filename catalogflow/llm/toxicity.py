@@ -17,6 +17,7 @@ from catalogflow.llm.common import packed, slices
 
 # a passage of one word is the best on held-out rows; larger ones read context
 BUCKET_BITS, DIM, SIZES, PASSAGE = 16, 8, (3, 4, 5, 6), 1
+GRAM_BLOCK = 250_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SPACE = 32
 # ASCII letters and digits stay, other ASCII counts as white space
@@ -95,7 +96,7 @@ def margins(texts, model):
     return out
 
 
-def word_grams(buffer, part=2_000_000):
+def word_grams(buffer, part=GRAM_BLOCK):
     """(word, bucket) of every n-gram of a buffer of words, sorted by word; a part of the buffer at a time."""
     words, buckets, at, done = [], [], 0, 0
     while at < len(buffer) - 1:
@@ -122,12 +123,13 @@ def train(samples, rounds=120, rate=0.01, seed=0):
     one Adam step. Memory grows with the distinct words and the number of words
     of the sample.
     """
-    vocabulary, tokens, docs, labels = {}, [], [], []
+    vocabulary, tokens, fresh, labels = {}, [], [], []
     for text, label in samples:
         words = normal(text or b"").split()
         if not words:
             continue
         tokens.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words), np.int32, len(words)))
+        fresh.append(first_of(np.arange(len(words)) // PASSAGE, tokens[-1]))
         labels.append(float(label))
     y = np.array(labels)
     rate_of = float(y.mean()) if len(y) else 0.0
@@ -136,19 +138,24 @@ def train(samples, rounds=120, rate=0.01, seed=0):
     if not len(y) or rate_of in (0.0, 1.0):
         return model
     # n-grams of each distinct word, as (word, bucket) pairs sorted by word
-    buffer = b" " + b" ".join(vocabulary) + b" "
+    buffer, n_words = b" " + b" ".join(vocabulary) + b" ", len(vocabulary)
+    vocabulary.clear()
     word, bucket = word_grams(buffer)
-    start = np.searchsorted(word, np.arange(len(vocabulary) + 1))
+    start = np.searchsorted(word, np.arange(n_words + 1))
     size = np.diff(start)
-    token = np.concatenate(tokens)
+    del word, buffer
+    # words whose n-grams fill a block, so that no step holds a value for each n-gram of all words
+    blocks = np.unique(np.r_[np.searchsorted(start, np.arange(0, len(bucket), GRAM_BLOCK)), n_words])
     lengths = np.array([len(t) for t in tokens])
+    token, once = np.concatenate(tokens), np.concatenate(fresh) / np.float32(PASSAGE)
+    tokens.clear(), fresh.clear()
+    passages = -(-lengths // PASSAGE)
+    of_doc = np.r_[0, np.cumsum(passages)[:-1]]
     first = np.r_[0, np.cumsum(lengths)[:-1]]
-    starts = (np.arange(len(token)) - np.repeat(first, lengths)) % PASSAGE == 0
-    cut = np.flatnonzero(starts)
-    passage_size = np.diff(np.r_[cut, len(token)])
-    once = first_of(np.cumsum(starts), token) / PASSAGE
-    of_doc = np.searchsorted(cut, first)
-    passages = np.diff(np.r_[of_doc, len(cut)])
+    inside = np.arange(passages.sum()) - np.repeat(of_doc, passages)
+    cut = (np.repeat(first, passages) + inside * PASSAGE).astype(np.int32)
+    passage_size = np.diff(np.append(cut, np.int32(len(token))))
+    del inside
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (2**BUCKET_BITS, DIM)).astype(np.float32)
     softmax = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
@@ -157,7 +164,8 @@ def train(samples, rounds=120, rate=0.01, seed=0):
     for step in range(1, rounds + 1):
         direction = softmax[:, 1] - softmax[:, 0]
         folded = vectors @ direction
-        by_word = np.add.reduceat(folded[bucket], start[:-1]) / size
+        by_word = np.concatenate([np.add.reduceat(folded[bucket[start[a] : start[b]]], start[a:b] - start[a])
+                                  for a, b in zip(blocks, blocks[1:])]) / size
         by_passage = np.add.reduceat(by_word[token] * once, cut) + bias[1] - bias[0]
         if step <= rounds // 8:
             share = np.repeat(1 / passages, passages)
@@ -170,10 +178,13 @@ def train(samples, rounds=120, rate=0.01, seed=0):
             share[hit[np.unique(doc, return_index=True)[1]]] = 1
         error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / len(y)
         at_passage = np.repeat(error, passages) * share
-        at_word = np.bincount(token, np.repeat(at_passage, passage_size) * once, len(vocabulary)) / size
-        live = np.flatnonzero(at_word)
-        spots = np.repeat(start[live] - np.r_[0, np.cumsum(size[live])[:-1]], size[live]) + np.arange(size[live].sum())
-        at_gram = np.bincount(bucket[spots], np.repeat(at_word[live], size[live]), 2**BUCKET_BITS).astype(np.float32)
+        at_word = np.bincount(token, np.repeat(at_passage, passage_size) * once, n_words) / size
+        at_gram = np.zeros(2**BUCKET_BITS)
+        for a, b in zip(blocks, blocks[1:]):
+            live = a + np.flatnonzero(at_word[a:b])
+            spots = np.repeat(start[live] - np.r_[0, np.cumsum(size[live])[:-1]], size[live]) + np.arange(size[live].sum()) if len(live) else live
+            at_gram += np.bincount(bucket[spots], np.repeat(at_word[live], size[live]), 2**BUCKET_BITS)
+        at_gram = at_gram.astype(np.float32)
         sum_vector = at_gram @ vectors
         total = at_passage.sum()
         slopes = [np.outer(at_gram, direction), np.stack([-sum_vector, sum_vector], 1), np.array([-total, total])]
