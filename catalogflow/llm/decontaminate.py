@@ -108,6 +108,21 @@ def _windows(widths, bitmap, whole):
     return run
 
 
+def _classed(batches):
+    """Items with the class of their text: its template tokens and which of its slots hold the same value."""
+    cache = Tokens()
+    for batch in slices(batches, "_text"):
+        classes = []
+        for text in batch.column("_text").to_pylist():
+            tokens, slot, cache = template(text.split(), cache)
+            _, first, which = np.unique(slot, return_index=True, return_inverse=True)
+            pattern = np.where(slot == 0, -1, first[which]) if len(slot) else slot
+            classes.append(xxhash.xxh3_64_intdigest(tokens.astype(np.uint64).tobytes() + pattern.astype(np.int64).tobytes()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("item"), pa.array(np.array(classes, np.uint64).view(np.int64)), batch.column("_text")],
+            names=["item", "_id", "_text"])
+
+
 def _hit(bitmap, h):
     place = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
     return (bitmap[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
@@ -132,15 +147,16 @@ def contamination(docs, benchmark, share=0.5, id_col="doc_id", text_col="text",
     tokens on consistent alignments), n_items and contaminated. Items of 4 to 7
     tokens are matched as a whole; shorter ones and windows mostly of
     placeholders never match. Null and empty texts hold nothing; equal items
-    count each; repeated rows get equal results; null item ids are not listed
+    count each (items that differ in values alone are matched once); repeated rows get equal results; null item ids are not listed
     but count. Windows pass a bitmap of fixed size before they are shuffled.
     ``text_tag`` (``common.text_tag`` of the input text) tells rows of one id apart.
     """
     rows = keyed(docs, id_col, text_col)
-    # items are numbered by their text, so that equal ones are matched once
-    item = benchmark.select(F.col(item_col).cast("long").alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("t"))
-    item = item.select("item", F.xxhash64("t").alias("_id"), F.col("t").cast("binary").alias("_text"))
-    texts = item.select("_id", "_text", F.lit(0).cast("long").alias("_row")).distinct()
+    # items of one template whose slots agree alike are consistent with the same documents: one of them is matched for all
+    item = benchmark.select(F.col(item_col).cast("long").alias("item"),
+                            F.coalesce(F.col(item_text_col), F.lit("")).cast("binary").alias("_text"))
+    item = materialize(item.mapInArrow(_classed, "item long, _id long, _text binary"), "items")
+    texts = item.groupBy("_id").agg(F.min("_text").alias("_text")).withColumn("_row", F.lit(0).cast("long"))
     known = materialize(texts.mapInArrow(_windows([WINDOW], None, True), SCHEMA), "benchmark")
     widths = sorted(r[0] for r in known.select("width").distinct().collect()) or [WINDOW]
     found = rows.mapInArrow(_windows(widths, _filter_of(known), False), SCHEMA).withColumnRenamed("slots", "theirs")

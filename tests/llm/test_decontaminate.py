@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 
 from catalogflow.llm import decontaminate as dc
@@ -68,3 +69,21 @@ def test_documents(spark, documents):
     got = {r.doc_id: r.items for r in dc.contamination(documents, bench).collect()}
     want = {r.doc_id: brute(r.text, items) for r in documents.collect()}
     assert got == want and any(want.values())
+
+
+def test_items_that_differ_in_values_alone(spark, docs_of):
+    """Items of one template are matched once for each pattern of equal values, and all of them are named."""
+    names = ["Tom", "Ann", "Joe", "Sue", "Max", "Eva"]
+    ask = "Today {} has {} apples and gives {} apples to {} near the old stone mill before {} goes home"
+    items = [(i, ask.format(names[i % 6], i + 3, i + 3 if i % 3 == 0 else i + 500, names[(i + 1) % 6], names[i % 6])) for i in range(40)]
+    items += [(100, ask.format("Tom", 3, 9, "Tom", "Tom")), (None, items[0][1]), (101, items[1][1])]
+    docs = [(i, "so it was. " + ask.format(*v) + ". the end") for i, v in enumerate([
+        ("Lea", 7, 7, "Kim", "Lea"), ("Lea", 7, 8, "Kim", "Lea"), ("Lea", 7, 8, "Lea", "Lea"), ("Lea", 7, 8, "Kim", "Kim")])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.items, r.n_items) for r in dc.contamination(docs_of(docs), bench).collect()}
+    want = {i: brute(t, items[:41] + items[42:]) for i, t in docs}
+    assert {i: x for i, (x, _) in got.items()} == want
+    assert [len(want[i]) for i in range(4)] == [14, 27, 1, 0] and got[0][1] == 15
+    rows = pa.RecordBatch.from_pylist([{"item": i, "_text": t.encode()} for i, t in items])
+    (out,) = dc._classed(iter([rows]))
+    assert len(set(out.column("_id").to_pylist())) == 3
