@@ -1,7 +1,8 @@
 """Fuzzy title joins.
 
-``exclude_issued`` probes a stored segment index of the issued titles, finds
-its candidate pairs without loss and scores only those. ``best_match`` scores
+``exclude_issued`` meets a stored index of the issued titles in blocks of near
+lengths, where signatures of the letter counts screen all pairs without loss,
+and scores only what they leave. ``best_match`` scores
 the candidates that share rare words, then visits only those blocks of a group
 whose upper bound reaches the best score so far. Neither emits the pairs of a
 group.
@@ -21,22 +22,27 @@ from ..session import bucketed, materialize, spread
 
 THRESHOLD = 0.90
 MIN_SCORE = 30.0
-BUCKET = 16  # width of a position bucket in the join key
-CROWD = 2000  # titles per segment above which the segment is searched in blocks
-BLOCK = 1000  # rows of one side in one search block
+SHELVES = 10.0  # shelves of title lengths per unit of their logarithm
+CROWD = 16384  # titles in one block of a shelf
+ITEMS = 16384  # items in one block of a shelf
+BLOCK = 1000  # candidates in one block of a group
 RARE = 200  # candidates of a group that share a word, at most, for the word to be a probe
 PROBES = 3  # rarest words of an item that are looked up
 LETTERS = 32  # classes of letters in the bounds
+COUNT = 16  # letters of one class that a signature counts
+FIRST = 2  # words of a signature, of the classes that vary most, that all pairs of a block compare
+PAIRS = 512  # classes of neighbouring letters
 
 
 # --- fuzzy anti join -------------------------------------------------------
 #
-# With ratio = 2M/(la+lb) >= t a title of length lb loses lb-M of its
-# characters and the item adds la-M. Together these are at most (1-t)(la+lb)
-# edits and each edit breaks at most one of the title's disjoint segments, so
-# at least (segments - edits) of them occur unchanged in the item, shifted by
-# at most the number of deletions or insertions. The bound uses M <= longest
-# common subsequence, so it holds for the matcher's blocks.
+# With ratio = 2M/(la+lb) >= t the texts have M letters in common, so the counts
+# of their letters differ by la+lb-2M <= (1-t)(la+lb) in sum. Classes of letters
+# and counts cut off at a limit differ by no more. Each count is a row of so many
+# ones, so the sum is the number of bits in which two such signatures differ. As
+# many letters lost or added turn one text into the other, and each changes at
+# most three pairs of neighbours, which bounds the difference of their counts. M is
+# at most the longest common subsequence, which the last screen takes.
 
 
 def _edit_bounds(threshold):
@@ -52,29 +58,20 @@ def _length_band(length, threshold):
     return low.cast("int"), high.cast("int")
 
 
-def _max_edits(la, lb, threshold):
-    p, q = _edit_bounds(threshold)
-    return F.floor(((la + lb) * F.lit(q - p)) / F.lit(q) + F.lit(1e-9)).cast("int")
-
-
-def _segment_size(length, threshold):
-    """Longest equal segments that still outnumber the possible edits."""
-    _, high = _length_band(length, threshold)
-    edits = _max_edits(length, high, threshold)
-    return F.greatest(F.floor(length / (edits + 1)).cast("int"), F.lit(1))
+def _shelf(length):
+    """Number of a shelf of near lengths."""
+    return F.floor(F.log(length) * SHELVES).cast("int")
 
 
 class TitleIndex(NamedTuple):
     """A stored index of titles.
 
     titles: (id, title, lb), bucketed by id, the digest of the title.
-    segments: (key, id, p, lb, n, n_hot, is_hot), bucketed by the hashed segment.
-    crowded: keys that more than ``crowd`` titles have, with their number.
+    blocks: the number of blocks of each shelf of lengths.
     """
 
     titles: DataFrame
-    segments: DataFrame
-    crowded: DataFrame
+    blocks: dict
     threshold: float
 
 
@@ -82,42 +79,14 @@ def _title_id(title):
     return F.unhex(F.md5(title))
 
 
-def _key(q, gram, bucket):
-    return F.xxhash64(q.cast("int"), gram, bucket.cast("long"))
-
-
-def _title_segments(titles, threshold):
-    """Disjoint segments of each title: more than it can have edits."""
-    _, high = _length_band(F.col("lb"), threshold)
-    edits = _max_edits(F.col("lb"), high, threshold)
-    q = F.greatest(F.floor(F.col("lb") / (edits + 1)).cast("int"), F.lit(1))
-    sized = titles.withColumn("q", q).withColumn("n", F.floor(F.col("lb") / F.col("q")).cast("int"))
-    places = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (i * F.col("q")).cast("int"))
-    rows = sized.select("id", "title", "lb", "q", "n", F.explode(places).alias("p"))
-    key = _key(F.col("q"), F.substr("title", F.col("p") + 1, F.col("q")), F.floor(F.col("p") / BUCKET))
-    return rows.select(key.alias("key"), "id", "p", "lb", "n")
-
-
-def _item_grams(items, threshold):
-    """Substrings of each item that can be a segment of a title it resembles, one row per position bucket."""
-    la = F.col("la")
-    low, high = _length_band(la, threshold)
-    sizes = F.array_distinct(F.transform(F.sequence(low, high), lambda x: _segment_size(x, threshold)))
-    sized = items.select("a_id", "a", F.length("a").alias("la")).select(
-        "a_id", "a", "la", (la - low).alias("back"), (high - la).alias("ahead"), F.explode(sizes).alias("q"))
-    rows = sized.filter("la >= q").select("*", F.explode(F.sequence(F.lit(0), la - F.col("q"))).alias("at"))
-    first = F.greatest(F.floor((F.col("at") - F.col("back")) / BUCKET), F.lit(0))
-    last = F.floor((F.col("at") + F.col("ahead")) / BUCKET)
-    rows = rows.select("a_id", "la", "at", "q", F.substr("a", F.col("at") + 1, F.col("q")).alias("gram"),
-                       F.explode(F.sequence(first, last)).alias("bucket"))
-    return rows.select(_key(F.col("q"), F.col("gram"), F.col("bucket")).alias("key"), "a_id", "la", "at")
+def _block_numbers(shelved, block):
+    """How many blocks of at most about ``block`` rows each shelf takes; a row per shelf, of which there are few."""
+    return {r["shelf"]: r["n"] for r in shelved.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / block).alias("n")).collect()}
 
 
 def build_title_index(issued, title="Title", threshold=THRESHOLD, crowd=CROWD, lengths=None):
-    """Store the distinct non-empty titles and their segments for ``exclude_issued``.
+    """Store the distinct non-empty titles for ``exclude_issued``, at most about ``crowd`` in a block.
 
-    The segments of a title number about one per possible edit (13 for 60
-    letters); the substrings of items, which are many, are never stored.
     ``lengths``: shortest and longest title that is of use (default: all).
     """
     known = issued.filter(has_clean_title(title)).select(clean_title(title).alias("title"))
@@ -125,50 +94,43 @@ def build_title_index(issued, title="Title", threshold=THRESHOLD, crowd=CROWD, l
         known = known.filter(F.length("title").between(*lengths))
     known = known.groupBy(_title_id(F.col("title")).alias("id")).agg(F.first("title").alias("title"))
     titles = bucketed(known.select("id", "title", F.length("title").alias("lb")), "id", "titles")
-    segments = _title_segments(titles, threshold)
-    counts = segments.groupBy(F.col("key").alias("_key")).agg(F.count_distinct("id").alias("n_titles"))
-    crowded = materialize(counts.filter(F.col("n_titles") > crowd), "crowded")
-    if crowded.isEmpty():
-        marked = segments.withColumns({"is_hot": F.lit(False), "n_hot": F.lit(0).cast("long")})
-    else:
-        flagged = segments.join(crowded, F.col("key") == F.col("_key"), "left").withColumn("is_hot", F.col("_key").isNotNull())
-        flagged = flagged.drop("_key", "n_titles")
-        hot = flagged.filter("is_hot").groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-        marked = flagged.join(hot, F.col("id") == F.col("_id"), "left").withColumn("n_hot", F.coalesce("_n", F.lit(0))).drop("_id", "_n")
-    return TitleIndex(titles, bucketed(marked, "key", "segments"), crowded, threshold)
-
-
-def _possible(threshold):
-    """Row test: lengths and shift allow the pair to reach the threshold."""
-    p, q = _edit_bounds(threshold)
-    la, lb = F.col("la"), F.col("lb")
-    half = F.ceil((la + lb) * F.lit(p) / F.lit(2 * q) - F.lit(1e-9))  # least M
-    shift = F.col("p") - F.col("at")
-    low, high = _length_band(la, threshold)
-    return lb.between(low, high) & shift.between(half - la, lb - half)
-
-
-def candidate_pairs(items, index):
-    """(a_id, id) of items and titles that share enough of the title's sparse segments.
-
-    items: (a_id, a), distinct. Only pairs that could also match through
-    crowded segments alone are missing.
-    """
-    grams = _item_grams(items, index.threshold)
-    cold = index.segments.filter(~F.col("is_hot"))
-    close = grams.join(cold, "key").filter(_possible(index.threshold))
-    # a segment found twice counts twice, which only lets more pairs through
-    hits = close.groupBy("a_id", "id", "la", "lb", "n", "n_hot").agg(F.count(F.lit(1)).alias("hits"))
-    needed = F.greatest(F.col("n") - _max_edits(F.col("la"), F.col("lb"), index.threshold) - F.col("n_hot"), F.lit(1))
-    return hits.filter(F.col("hits") >= needed).select("a_id", "id")
-
-
-def _reaching(threshold):
-    def keep(batches):
-        for pdf in batches:
-            yield pdf[[_reaches(a, b, threshold) for a, b in zip(pdf["a"], pdf["b"])]][["a"]]
-
-    return keep
+    return TitleIndex(titles, _block_numbers(titles.select(_shelf(F.col("lb")).alias("shelf")), crowd), threshold)
+
+
+def _signatures(counts, order):
+    """Letter counts as rows of ones: (words, texts), ``COUNT`` bits for each class, the classes in the given order."""
+    rows = np.left_shift(np.uint64(1), np.minimum(counts[:, order], COUNT).astype(np.uint64)) - np.uint64(1)
+    each = 64 // COUNT
+    places = np.arange(each, dtype=np.uint64) * np.uint64(COUNT)
+    return np.ascontiguousarray(np.bitwise_or.reduce(rows.reshape(len(counts), -1, each) << places, axis=2).T)
+
+
+def _near(mine, signatures, limits):
+    """Places of the signatures that differ from one in no more bits than their limits, the nearest first."""
+    apart = np.zeros(signatures.shape[1], np.uint16)
+    for word, own in zip(signatures[:FIRST], mine):
+        apart += np.bitwise_count(word ^ own)
+    at = np.flatnonzero(apart <= limits)
+    apart = apart[at]
+    for word, own in zip(signatures[FIRST:], mine[FIRST:]):
+        apart += np.bitwise_count(word[at] ^ own)
+    kept = np.flatnonzero(apart <= limits[at])
+    return at[kept[np.argsort(apart[kept], kind="stable")]]
+
+
+def _pair_counts(texts, step=512):
+    """How often each of ``PAIRS`` classes of neighbouring letters occurs, cut off at 255: (texts, classes)."""
+    out = np.empty((len(texts), PAIRS), np.uint8)
+    for at in range(0, len(texts), step):
+        some = texts[at:at + step]
+        codes = np.frombuffer("".join(some).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+        rows = np.repeat(np.arange(len(some)), [len(t) for t in some])
+        kinds = codes[1:] * np.uint64(0x9E3779B97F4A7C15) + codes[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)
+        kinds = ((kinds >> np.uint64(32)) % np.uint64(PAIRS)).astype(np.int64)
+        inside = rows[1:] == rows[:-1]
+        counts = np.bincount(rows[1:][inside] * PAIRS + kinds[inside], minlength=len(some) * PAIRS)
+        out[at:at + step] = np.minimum(counts, 255).reshape(len(some), PAIRS)
+    return out
 
 
 def _reaches(a, b, threshold):
@@ -176,79 +138,92 @@ def _reaches(a, b, threshold):
     return m.quick_ratio() >= threshold and m.ratio() >= threshold
 
 
-def _any_in_block(threshold):
+def _screened(items, titles, threshold):
+    """For each item the places of the titles that may reach the threshold, the nearest first."""
+    p, q = _edit_bounds(threshold)
+    size = np.array([len(b) for b in titles], np.int64)
+    order = np.argsort(size, kind="stable")
+    size = size[order]
+    placed = [titles[j] for j in order]
+    counts = _letter_counts(placed, LETTERS)
+    telling = np.argsort(-counts.var(axis=0), kind="stable")
+    signatures, own = _signatures(counts, telling), _signatures(_letter_counts(items, LETTERS), telling)
+    pairs, own_pairs = _pair_counts(placed), _pair_counts(items)
+    for k, a in enumerate(items):
+        la = len(a)
+        first, last = np.searchsorted(size, [-(-la * p // (2 * q - p)), la * (2 * q - p) // p + 1])
+        limits = np.minimum((la + size[first:last]) * (q - p) // q, 20_000).astype(np.uint16)
+        found = _near(own[:, k], signatures[:, first:last], limits)
+        theirs = pairs[first + found]
+        apart = (np.maximum(theirs, own_pairs[k]) - np.minimum(theirs, own_pairs[k])).sum(axis=1, dtype=np.uint32)
+        found = found[apart <= 3 * limits[found].astype(np.uint32)]
+        masks = _positions(a) if len(found) else None
+        yield a, (j for j in order[first + found].tolist()
+                  if 2 * q * _common_subsequence(masks, la, titles[j]) >= p * (la + len(titles[j])))
+
+
+def _similar_in_block(threshold):
     """Items of a block that resemble any title of it; stops at the first."""
 
+    def search(items: pd.DataFrame, titles: pd.DataFrame) -> pd.DataFrame:
+        found, texts = [], titles["b"].tolist()
+        if len(items) and texts:
+            found = [a for a, near in _screened(items["a"].tolist(), texts, threshold)
+                     if any(_reaches(a, texts[j], threshold) for j in near)]
+        return pd.DataFrame({"a": found}, dtype=object)
+
+    return search
+
+
+def _pairs_in_block(threshold):
     def search(items: pd.DataFrame, titles: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(items) and len(titles):
-            texts = titles["b"].to_numpy()
-            counts = _letter_counts(texts)
-            sizes = counts.sum(axis=1)
-            for a, mine in zip(items["a"], _letter_counts(items["a"])):
-                bound = 2.0 * np.minimum(counts, mine).sum(axis=1) / (sizes + len(a))
-                order = np.argsort(-bound, kind="stable")
-                near = order[bound[order] >= threshold - 1e-9]
-                if any(_reaches(a, texts[j], threshold) for j in near):
-                    found.append(a)
-        return pd.DataFrame({"a": found}, dtype=object)
+            ids = titles["id"].tolist()
+            screened = _screened(items["a"].tolist(), titles["b"].tolist(), threshold)
+            found = [(i, ids[j]) for i, (_, near) in zip(items["a_id"], screened) for j in near]
+        return pd.DataFrame(found, columns=["a_id", "id"], dtype=object)
 
     return search
 
 
-def _with_titles(pairs, items, index):
-    """The texts of pairs, dealt by item; both text tables are bucketed already."""
-    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    named = pairs.join(index.titles.select("id", F.col("title").alias("b")), "id")
-    return named.repartition(parts, "a_id").join(items, "a_id")
+def _placed(df, text, own, other, n_own, n_other):
+    """One row for each block of the other side in the row's shelf; shelves that one side lacks go."""
+    def number(blocks):
+        wanted = {k: n for k, n in blocks.items() if k in n_own and k in n_other}
+        return F.element_at(F.create_map(*[F.lit(int(x)) for kv in wanted.items() for x in kv]), F.col("shelf")) if wanted else F.lit(None).cast("int")
+
+    here = df.withColumns({"_n": number(n_own), "_m": number(n_other)}).filter("_n is not null")
+    here = here.withColumn(own, F.pmod(F.xxhash64(text), F.col("_n")).cast("int"))
+    return here.withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_m") - 1))).drop("_n", "_m")
 
 
-def _in_crowds(items, index, block):
-    """Texts of items that resemble a title with which they share a crowded segment.
+def _searched(items, index, block, search, schema):
+    """Meet the items (a_id, a) with the titles of all lengths that can reach the threshold, block by block.
 
-    Needed only for titles so much of which is crowded that their sparse
-    segments may all be lost. An item first meets four of them per segment; what is left
-    searches the segments in blocks of bounded size. No pair of a crowd becomes a row.
+    Blocks hold a bounded number of rows, whatever texts are frequent, and a pair is a row only if ``search`` gives it.
     """
-    threshold = index.threshold
-    _, high = _length_band(F.col("lb"), threshold)
-    edits = _max_edits(F.col("lb"), high, threshold)
-    dense = index.segments.filter(F.col("is_hot") & (F.col("n_hot") >= F.col("n") - edits)).select("key", "id").distinct()
-    keys = dense.groupBy("key").agg(F.count(F.lit(1)).alias("n_titles"), *[
-        f("id").alias(n) for f, n in ((F.min, "s1"), (F.max, "s2"))], *[
-        f("id", F.xxhash64("id")).alias(n) for f, n in ((F.min_by, "s3"), (F.max_by, "s4"))])
-    keys = materialize(keys, "crowds")
-    probes = _item_grams(items, threshold).select("key", "a_id").distinct()
-    met = materialize(probes.join(keys.select("key", "s1", "s2", "s3", "s4"), "key"), "met")
-    few = met.select("a_id", F.explode(F.array("s1", "s2", "s3", "s4")).alias("id")).distinct()
-    quick = materialize(_with_titles(few, items, index).mapInPandas(_reaching(threshold), "a string").distinct(), "quick")
-    rest = met.select("key", "a_id").join(items, "a_id").join(quick.withColumnRenamed("a", "_a"), F.col("a") == F.col("_a"), "left_anti")
-    sizes = rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).alias("n_i")).join(
-        keys.select("key", F.ceil(F.col("n_titles") / block).alias("n_j")), "key")
-    titles = dense.join(index.titles.select("id", F.col("title").alias("b")), "id")
-    left, right = _in_blocks(rest, "a", "i", "j", sizes), _in_blocks(titles, "b", "j", "i", sizes)
-    by = ["key", "i", "j"]
-    hits = spread(left, *by).groupBy(*by).cogroup(spread(right, *by).groupBy(*by)).applyInPandas(_any_in_block(threshold), "a string")
-    return quick.unionByName(hits)
-
-
-def _in_blocks(df, text, own, other, sizes):
-    placed = df.join(sizes, "key").withColumn(own, F.pmod(F.xxhash64(text), F.col(f"n_{own}")))
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"n_{other}") - 1))
-    return placed.select("key", text, own, copies.alias(other))
-
-
-def similar_titles(items, index, block=BLOCK):
+    low, high = _length_band(F.length("a"), index.threshold)
+    shelved = items.select("a_id", "a", F.explode(F.sequence(_shelf(F.greatest(low, F.lit(1))), _shelf(high))).alias("shelf"))
+    n_items = _block_numbers(shelved, block)
+    titles = index.titles.select("id", F.col("title").alias("b"), _shelf(F.col("lb")).alias("shelf"))
+    left = _placed(shelved, "a", "i", "j", n_items, index.blocks)
+    right = _placed(titles, "b", "j", "i", index.blocks, n_items)
+    by = ["shelf", "i", "j"]
+    return spread(left, *by).groupBy(*by).cogroup(spread(right, *by).groupBy(*by)).applyInPandas(search(index.threshold), schema)
+
+
+def candidate_pairs(items, index, block=ITEMS):
+    """(a_id, id) of the items (a_id, a), distinct, and titles that pass the screens; no similar pair is missing."""
+    return _searched(items, index, block, _pairs_in_block, "a_id binary, id binary")
+
+
+def similar_titles(items, index, block=ITEMS):
     """Texts ``a`` of the items (a_id, a) with at least one title at or above the threshold."""
-    pairs = _with_titles(candidate_pairs(items, index), items, index)
-    # not a filter: the planner would move that below the pair aggregation
-    hits = pairs.mapInPandas(_reaching(index.threshold), "a string")
-    if not index.crowded.isEmpty():
-        hits = hits.unionByName(_in_crowds(items, index, block))
-    return hits
+    return _searched(items, index, block, _similar_in_block, "a string")
 
 
-def exclude_issued(items, issued, title, issued_title="Title", threshold=THRESHOLD, crowd=CROWD, block=BLOCK):
+def exclude_issued(items, issued, title, issued_title="Title", threshold=THRESHOLD, crowd=CROWD, block=ITEMS):
     """Items whose title is neither issued nor similar to an issued one.
 
     ``issued`` is a table or a ``TitleIndex`` that several batches probe. Items
@@ -304,11 +279,10 @@ def token_ratio(a, b, masks=None):
 
 
 def _letter_counts(texts, width=64):
-    out = np.zeros((len(texts), width), dtype=np.int32)
-    for i, text in enumerate(texts):
-        codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32) % width
-        out[i] = np.bincount(codes, minlength=width)
-    return out
+    """Letters of each class, one row per text."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32) % width
+    rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts]) * width
+    return np.bincount(rows + codes, minlength=len(texts) * width).reshape(len(texts), width).astype(np.int32)
 
 
 def _profile(batches):

@@ -181,3 +181,29 @@ def test_a_segment_crowded_in_one_bucket_only(spark):
     for limit in (2, 39, 2000):
         assert run(spark, [item], [issued, *crowd], crowd=limit) == sorted(t for t in brute_force([item], [issued, *crowd])) == []
     assert run(spark, [item], crowd, crowd=2) == [item]
+
+
+def test_frequent_syllables_make_no_pairs(spark):
+    # short segments of such titles occur in most of them; only near letter counts and pairs of letters make a candidate
+    rng = random.Random(13)
+    syllables = "th in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve".split()
+
+    def text():
+        return " ".join("".join(rng.choices(syllables, k=rng.randint(2, 5))) for _ in range(14))[:118].strip()
+
+    issued = [text() for _ in range(300)]
+    items = [text() for _ in range(150)] + [damage(rng, t)[:118].strip() for t in issued[:50]]
+    left = spark.createDataFrame([(str(i), " ".join(t.split())) for i, t in enumerate(items)], "a_id string, a string").withColumn("a_id", F.col("a_id").cast("binary"))
+    index = matching.build_title_index(spark.createDataFrame([(t,) for t in issued], "Title string"), crowd=64)
+    assert matching.candidate_pairs(left, index, block=32).count() <= 100
+    want = sorted(t.strip() for t in brute_force(items, issued))
+    for crowd, block in ((64, 32), (16384, 16384)):
+        assert run(spark, items, issued, crowd=crowd, block=block) == want
+    assert 150 <= len(want) < 200
+
+
+def test_letters_beyond_the_limits_of_the_screens(spark):
+    # one letter more often than signatures and pair counts can tell, and long texts
+    issued = ["a" * 700, "ab" * 500, "x" * 40 + "y" * 40, "é" * 30]
+    items = ["a" * 640, "a" * 500, "ab" * 460, "x" * 38 + "y" * 40, "y" * 40 + "x" * 40, "é" * 26, "é" * 20]
+    assert run(spark, items, issued) == brute_force(items, issued)
