@@ -27,6 +27,8 @@ CROWD = 16384  # titles in one block of a shelf
 ITEMS = 16384  # items in one block of a shelf
 BLOCK = 1000  # candidates in one block of a group
 RARE = 200  # candidates of a group that share a word, at most, for the word to be a probe
+HEAD = 32  # candidates of a block that are scored first
+TOGETHER = 64  # items of a block that are scored together
 PROBES = 3  # rarest words of an item that are looked up
 LETTERS = 32  # classes of letters in the bounds
 COUNT = 16  # letters of one class that a signature counts
@@ -278,6 +280,54 @@ def token_ratio(a, b, masks=None):
     return 200.0 * _common_subsequence(masks or _positions(a), len(a), b) / (len(a) + len(b))
 
 
+def _encoded(texts):
+    """Texts by falling length as small numbers: (number of each letter, for each step the letters of the texts that long)."""
+    size = np.array([len(t) for t in texts], np.int64)
+    letters, codes = np.unique(np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32), return_inverse=True)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size)
+    steps = np.split(codes[np.argsort(place, kind="stable")].astype(np.int32), np.cumsum(np.bincount(place))[:-1]) if len(codes) else []
+    return {chr(c): k for k, c in enumerate(letters.tolist())}, steps
+
+
+def _ratios(items, texts, who, chosen):
+    """``token_ratio`` of many pairs at once: ``items[who]`` with ``texts[chosen]``, the texts by falling length, ``chosen`` rising.
+
+    texts: (lengths, *_encoded). The rows of ``_common_subsequence`` side by side, in words of 64 bits with a carry.
+    """
+    size, numbers, steps = texts
+    width = np.array([len(t) for t in items], np.int64)
+    words = max(-(-int(width.max(initial=0)) // 64), 1)
+    low = 2**64 - 1
+    table, full = np.zeros((words, len(items), len(numbers)), np.uint64), np.zeros((words, len(items)), np.uint64)
+    for k, text in enumerate(items):
+        for w in range(words):
+            full[w, k] = ((1 << len(text)) - 1) >> (64 * w) & low
+        for ch, mask in _positions(text).items():
+            if ch in numbers:
+                for w in range(words):
+                    table[w, k, numbers[ch]] = mask >> (64 * w) & low
+    table, base, ones = table.reshape(words, -1), who * len(numbers), full[:, who]
+    rows = ones.copy()
+    for step, n in zip(steps, np.searchsorted(chosen, [len(step) for step in steps]).tolist()):
+        if not n:
+            break
+        at = base[:n] + step[chosen[:n]]
+        carry = None
+        for own, row in zip(table, rows):
+            v = row[:n]
+            hit = v & own[at]
+            total = v + hit
+            over = total < v
+            if carry is not None:
+                total += carry
+                over |= total < carry
+            row[:n] = total | (v - hit)
+            carry = over.astype(np.uint64)
+    common = width[who] - np.bitwise_count(rows & ones).sum(axis=0, dtype=np.int64)
+    total = width[who] + size[chosen]
+    return np.where(total == 0, 100.0, 200.0 * common / np.maximum(total, 1))
+
+
 def _letter_counts(texts, width=64):
     """Letters of each class, one row per text."""
     codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32) % width
@@ -301,23 +351,32 @@ def _words(df):
     return df.select("*", F.explode(F.array_distinct(F.split("sorted", " "))).alias("word")).filter("word <> ''")
 
 
+def _ordered(texts):
+    """Order of texts by falling length, and the texts in it for ``_ratios``."""
+    size = np.array([len(t) for t in texts], np.int64)
+    order = np.argsort(-size, kind="stable")
+    return order, (size[order], *_encoded([texts[j] for j in order]))
+
+
+def _tops(who, scores, names):
+    """The best score and the smallest name that has it, for each item that has a pair."""
+    best = {}
+    for k, score, name in zip(who.tolist(), scores.tolist(), names):
+        if k not in best or score > best[k][0] or (score == best[k][0] and name < best[k][1]):
+            best[k] = (score, name)
+    return best
+
+
 def _score(batches):
-    """Score pairs; a pair below the best of its item so far is dropped by its bound."""
+    """Score pairs; of each item the best of the batch goes on."""
     for pdf in batches:
-        pdf = pdf.sort_values("sorted", kind="stable")
-        kept, text, masks = [], None, None
-        for row in zip(pdf["grp"], pdf["sorted"], pdf["other"], pdf["name"]):
-            if row[1] != text:
-                text, best = row[1], -1.0
-                masks = _positions(text)
-            total = len(text) + len(row[2])
-            if 200.0 * min(len(text), len(row[2])) < best * total:
-                continue
-            score = token_ratio(text, row[2], masks)
-            if score >= best:
-                best = score
-                kept.append((row[0], text, score, row[3]))
-        yield pd.DataFrame(kept, columns=["grp", "sorted", "score", "name"])
+        order, texts = _ordered(pdf["other"].tolist())
+        keys = list(zip(pdf["grp"], pdf["sorted"]))
+        number = {key: k for k, key in enumerate(dict.fromkeys(keys))}
+        items, who = list(number), np.array([number[keys[j]] for j in order], np.int64)
+        scores = _ratios([text for _, text in items], texts, who, np.arange(len(order)))
+        best = _tops(who, scores, pdf["name"].to_numpy()[order])
+        yield pd.DataFrame([(*items[k], *found) for k, found in best.items()], columns=["grp", "sorted", "score", "name"])
 
 
 def _best(scored):
@@ -337,8 +396,9 @@ def _by_rare_words(wanted, offered, kind):
     rarest = F.slice(F.array_sort(F.collect_list(F.struct("df", "word"))), 1, PROBES)
     probes = found.groupBy("grp", "sorted").agg(rarest.alias("few")).select("grp", "sorted", F.explode("few.word").alias("word"))
     index = words.select("grp", "word", F.col("sorted").alias("other"), "name")
-    pairs = probes.join(index, ["grp", "word"]).select("grp", "sorted", "other", "name").distinct()
-    return _best(spread(pairs, "grp", "sorted").mapInPandas(_score, f"grp {kind}, sorted string, score double, name string"))
+    # a pair that meets by several words is scored again, which costs less than a shuffle of its texts
+    pairs = spread(probes, "grp", "word", "sorted").join(index, ["grp", "word"]).select("grp", "sorted", "other", "name")
+    return _best(pairs.mapInPandas(_score, f"grp {kind}, sorted string, score double, name string"))
 
 
 def _blocks(offered, block):
@@ -371,25 +431,39 @@ def _visits(items, blocks):
 
 
 def _search_block(items: pd.DataFrame, cands: pd.DataFrame) -> pd.DataFrame:
+    """The best candidate of the block for each item, if it reaches the item's least score.
+
+    The candidates with the highest bounds are scored first, the others only
+    if their bound reaches the best of these; ``TOGETHER`` items at a time.
+    """
     found = []
     if len(items) and len(cands):
-        names, texts = cands["name"].to_numpy(), cands["sorted"].to_numpy()
-        counts = _letter_counts(texts)
-        sizes = counts.sum(axis=1)
-        for group, text, least, mine in zip(items["grp"], items["sorted"], items["least"], _letter_counts(items["sorted"])):
-            total = np.maximum(sizes + len(text), 1)
-            bound = 200.0 * np.minimum(counts, mine).sum(axis=1) / total
-            if not text:
-                bound[sizes == 0] = 100.0
-            best, masks = None, _positions(text)
-            for j in np.argsort(-bound, kind="stable"):
-                if bound[j] < (best[0] if best else least) - 1e-9:
-                    break
-                score = token_ratio(text, texts[j], masks)
-                if score >= least - 1e-9 and (best is None or score > best[0] or (score == best[0] and names[j] < best[1])):
-                    best = (score, names[j])
-            if best:
-                found.append((group, text, best[0], best[1]))
+        order, texts = _ordered(cands["sorted"].tolist())
+        names, size = cands["name"].to_numpy()[order], texts[0]
+        counts = _letter_counts(cands["sorted"].to_numpy()[order])
+        for begin in range(0, len(items), TOGETHER):
+            some = items.iloc[begin:begin + TOGETHER]
+            own, least = some["sorted"].tolist(), some["least"].to_numpy() - 1e-9
+            bounds = np.stack([np.minimum(counts, mine).sum(axis=1) for mine in _letter_counts(own)])
+            total = size + np.array([len(t) for t in own])[:, None]
+            bounds = np.where(total == 0, 100.0, 200.0 * bounds / np.maximum(total, 1))
+            first = np.zeros(bounds.shape, bool)
+            np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :HEAD], True, axis=1)
+            first &= bounds >= least[:, None]
+            best, reach = {}, least.copy()
+            for pairs in (first, None):
+                if pairs is None:
+                    pairs = ~first & (bounds >= reach[:, None])
+                chosen, who = np.nonzero(pairs.T)
+                if not len(who):
+                    continue
+                scores = _ratios(own, texts, who, chosen)
+                np.maximum.at(reach, who, scores - 1e-9)
+                high = scores >= reach[who]
+                for k, top in _tops(who[high], scores[high], names[chosen[high]]).items():
+                    best[k] = min(best.get(k, top), top, key=lambda x: (-x[0], x[1]))
+            groups = some["grp"].tolist()
+            found += [(groups[k], own[k], *top) for k, top in best.items()]
     return pd.DataFrame(found, columns=["grp", "sorted", "score", "name"])
 
 
@@ -425,7 +499,9 @@ def best_match(items, candidates, group, item_name, candidate_name, min_score=MI
     known = first.select(F.col("grp").alias("_g"), F.col("sorted").alias("_s"), F.col("score").alias("_score"))
     open_items = rest.join(known, (F.col("grp") == F.col("_g")) & (F.col("sorted") == F.col("_s")), "left")
     least = F.greatest(F.coalesce("_score", F.lit(0.0)), F.lit(float(min_score)))
-    met = materialize(_visits(_profiled(open_items.select("grp", "sorted", least.alias("least"))), stored), "visits")
+    # few bytes, but each row meets all blocks of its group
+    open_items = spread(open_items.select("grp", "sorted", least.alias("least")), "grp", "sorted")
+    met = materialize(_visits(_profiled(open_items), stored), "visits")
     sizes = met.groupBy(F.col("grp").alias("_g"), F.col("block").alias("_b")).agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
     same = (F.col("grp") == F.col("_g")) & (F.col("block") == F.col("_b"))
     left = met.join(sizes, same).withColumn("part", F.pmod(F.xxhash64("sorted"), F.col("parts")))

@@ -1,6 +1,7 @@
 import random
 from difflib import SequenceMatcher
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -207,3 +208,17 @@ def test_letters_beyond_the_limits_of_the_screens(spark):
     issued = ["a" * 700, "ab" * 500, "x" * 40 + "y" * 40, "é" * 30]
     items = ["a" * 640, "a" * 500, "ab" * 460, "x" * 38 + "y" * 40, "y" * 40 + "x" * 40, "é" * 26, "é" * 20]
     assert run(spark, items, issued) == brute_force(items, issued)
+
+
+def test_many_ratios_at_once(spark):
+    # all widths around the words of 64 bits, and texts of very uneven length
+    rng = random.Random(17)
+    texts = sorted(("".join(rng.choices("abcdé ", k=n)) for n in (0, 1, 5, 63, 64, 65, 128, 200, 200, 3000)), key=len, reverse=True)
+    order, encoded = matching._ordered(texts)
+    assert order.tolist() == list(range(len(texts))) and sum(map(len, encoded[2])) == sum(map(len, texts))
+    for widths in ((0, 1, 30, 63, 64), (65, 0, 127, 128, 129, 300)):
+        items = ["".join(rng.choices("abcdxé ", k=n)) for n in widths]
+        for pairs in ([(j, k) for j in range(len(texts)) for k in range(len(items))], [(1, 2), (4, 0), (4, 3), (9, 0)]):
+            chosen, who = np.array(pairs).T
+            want = [matching.token_ratio(items[k], texts[j]) for j, k in pairs]
+            assert matching._ratios(items, encoded, who, chosen).tolist() == want
