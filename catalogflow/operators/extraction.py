@@ -7,7 +7,7 @@ page at a time; text extraction uses array expressions inside one row.
 from collections import Counter
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions.nulls import SENTINEL, col
@@ -15,6 +15,7 @@ from ..functions.text import clean_author_links, strip
 from .ordered import running_sum
 
 # fixed values: page vocabulary
+PAGES = 64  # pages whose rows leave together
 VOID_TAGS = {"br", "img", "hr", "meta", "link", "input"}
 DATE_PREFIX = "Appeared or available online:"
 HEADING_WORDS = ("Article", "Original", "Columns")
@@ -74,6 +75,11 @@ class _Node:
     def raw(self):
         return "".join(self.pieces())
 
+    def release(self):
+        """Cut parents and children apart; else a tree waits for the collector of reference cycles."""
+        for n in list(self.walk()):
+            n.parent, n.items = None, ()
+
     def next_text(self):
         after = self.parent.items[self.place + 1:self.place + 2]
         return after[0] if after and isinstance(after[0], str) else ""
@@ -132,16 +138,21 @@ def _extract(pages, rule, fields, url="url", html="html"):
     """
     schema = "page_url string, pos int, " + ", ".join(f"`{f}` string" for f in fields)
 
+    kinds = pa.schema([("page_url", pa.string()), ("pos", pa.int32()), *[(f, pa.string()) for f in fields]])
+
     def run(batches):
-        for pdf in batches:
-            rows = [
-                (u, i, *row)
-                for u, h in zip(pdf[url], pdf[html])
-                for i, row in enumerate(rule(_parse(h)))
-            ]
-            yield pd.DataFrame(rows, columns=["page_url", "pos", *fields])
-
-    return pages.select(url, html).mapInPandas(run, schema)
+        # one page is in memory as text and tree at a time, whatever the size of the batch
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAGES):
+                rows = []
+                for u, h in zip(*batch.slice(at, PAGES).columns):
+                    page = _parse(h.as_py())
+                    rows += [(u.as_py(), i, *row) for i, row in enumerate(rule(page))]
+                    page.release()
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kinds)], schema=kinds)
+
+    return pages.select(F.col(url).cast("string"), F.col(html).cast("string")).mapInArrow(run, schema)
 
 
 def _or_sentinel(node):

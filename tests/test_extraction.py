@@ -1,3 +1,5 @@
+import gc
+
 from catalogflow.operators import extraction as X
 
 TOC = """<div><p class="heading">In-Press Articles</p><div class="data"><strong>Skip</strong></div>
@@ -111,3 +113,16 @@ def test_unclosed_and_deep_markup(spark, rows):
     unclosed = "<ul>" + "<li>item" * 3_000 + TOC
     got = rows(X.extract_toc(pages(spark, deep, unclosed), "https://b.example"), "page_url", "Title")
     assert got == sorted((u, t) for u in ("u0", "u1") for t in ("DeepMaps", "N/A", "GIS Tips"))
+
+
+def test_a_parsed_page_leaves_no_cycles():
+    gc.collect()
+    gc.disable()
+    try:
+        page = X._parse("<ul>" + "<li><a href='x'>t</a>" * 200 + "</ul>")
+        assert len(list(page.all("li"))) == 200
+        page.release()
+        del page
+        assert not [o for o in gc.get_objects() if isinstance(o, X._Node)]
+    finally:
+        gc.enable()
