@@ -95,9 +95,14 @@ def decompose(s: pd.Series) -> pd.Series:
 
 
 def normalize_string(c):
-    """Fold accents, drop punctuation, collapse blanks, lower-case."""
-    letters = F.regexp_replace(decompose(col(c)), r"(?U)[^\p{L}\p{N}_\s]", "")
-    return F.lower(squeeze(letters))
+    """Fold accents, drop punctuation, collapse blanks, lower-case.
+
+    Plain texts are decomposed already and do not pass through Python.
+    """
+    text = col(c)
+    other = text.rlike(r"[^\x00-\x7f]")
+    letters = F.coalesce(decompose(F.when(other, text)), text)
+    return F.lower(squeeze(F.regexp_replace(letters, r"(?U)[^\p{L}\p{N}_\s]", "")))
 
 
 def flatten_text(c):

@@ -1,4 +1,5 @@
 import datetime as dt
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +132,18 @@ def test_payloads(column, spark):
     assert [tuple(r) for r in P.explode_articles(df, "t").collect()] == [(0, "A", "B")]
     with pytest.raises(Exception, match="no valid JSON"):
         P.explode_articles(df, "t", "failfast").collect()
+
+
+def test_every_letter_folds_as_by_its_decomposition(spark, column):
+    # five letters between marks, so that each kind of letter is met beside others; surrogates are no letters
+    codes = [chr(c) for c in range(0x20, 0x30000) if not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c)) != "Cn"]
+    texts = ["x".join(codes[i:i + 5]) for i in range(0, len(codes), 5)]
+    by_python = lambda c: F.lower(S.squeeze(F.regexp_replace(S.decompose(F.col(c)), r"(?U)[^\p{L}\p{N}_\s]", "")))
+    assert column(texts, S.normalize_string) == column(texts, by_python)
+
+
+def test_plain_texts_do_not_pass_through_python(spark, monkeypatch):
+    # a decomposition that marks what it sees
+    monkeypatch.setattr(S, "decompose", lambda c: F.concat(c, F.lit("seen")))
+    df = spark.createDataFrame([("Plain, text",), ("é",), (None,)], "c string")
+    assert [r[0] for r in df.select(S.normalize_string("c")).collect()] == ["plain text", "éseen", None]
