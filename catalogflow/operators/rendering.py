@@ -5,11 +5,12 @@ Page themes are the caller's: fragments carry class names, not styles.
 
 from dataclasses import dataclass
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import col, is_missing
 from ..functions.text import escape_html, strip
-from .ordered import running_sum
+from .ordered import earlier_spans, span_summaries, stored_spans, with_spans
 
 
 @dataclass(frozen=True)
@@ -140,16 +141,22 @@ def assemble(df, group, pos, fragment, most=None, out="html"):
     With ``most`` a document comes in numbered parts that are cut by bytes: a
     fragment belongs to part ``offset // most`` of its offset in the document, so a
     part has at most ``most`` bytes and one fragment, a group of any size stays
-    spread out, and the parts in order are the document. Without it each group
+    spread out, and the parts in order are the document; the fragments are
+    stored in between. Without it each group
     becomes one text: only for groups that are small by construction, such as the
     issues of a year. ``pos`` is an integer, unique in the group; null fragments are left out.
     """
     group = list(group)
     keyed, keys = df, group
     if most is not None:
-        sized = df.filter(F.col(fragment).isNotNull()).withColumn("_bytes", F.octet_length(fragment).cast("long"))
-        keyed = running_sum(sized, group, pos, "_bytes", "_offset").withColumn("part", F.floor(F.col("_offset") / F.lit(most)))
-        keys = [*group, "part"]
+        sized = df.select(*group, F.col(pos).alias("_p"), F.col(fragment).alias("_f")).withColumn("_bytes", F.octet_length("_f").cast("long"))
+        # fragments are made once: stored with their offsets in their spans, which the spans before them only shift
+        stored = stored_spans(sized, group, "_p", lambda w: {"_local": F.sum("_bytes").over(w.rowsBetween(Window.unboundedPreceding, -1))})
+        sums = span_summaries(stored, group, F.sum("_bytes").alias("_n"))
+        before = sums.withColumn("_before", F.sum("_n").over(earlier_spans(group))).drop("_n")
+        offset = F.coalesce("_local", F.lit(0)) + F.coalesce("_before", F.lit(0))
+        keyed = with_spans(stored, group, before).filter("_f is not null").withColumn("part", F.floor(offset / F.lit(most)))
+        keys, pos, fragment = [*group, "part"], "_p", "_f"
     ordered = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(fragment).alias("f"))))
     return keyed.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["f"]), "").alias(out))
 

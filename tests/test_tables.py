@@ -238,6 +238,19 @@ def test_parts_are_cut_by_bytes(spark):
     assert [p.html for p in pages if p.k == "h"] == ["<head>honly<foot>"]
 
 
+def test_fragments_of_parts_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def fragment(i):
+        made.add(1)
+        return f"<{i}>" if i % 5 else None
+
+    df = spark.range(0, 60, 1, 3).select("id", F.lit("g").alias("k"), F.udf(fragment)("id").alias("f"))
+    parts = rendering.assemble(df, ["k"], "id", "f", most=9).orderBy("part").collect()
+    assert "".join(p.html for p in parts) == "".join(f"<{i}>" for i in range(60) if i % 5) and all(p.html for p in parts)
+    assert made.value == 60
+
+
 def test_texts_are_no_shuffle_keys(spark, rows):
     data = [("A  title", None, 1), ("a title", "", 2), ("A  title", None, 3), (None, "u", 4), (None, "u", 5), ("1", "2:x", 6), ("12", ":x", 7)]
     df = frame(spark, data, "Title string, URL string, n int")
