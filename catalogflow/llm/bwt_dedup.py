@@ -8,17 +8,20 @@ strings with several occurrences backwards, all intervals of one length at a
 time, until the length is reached. Longer common prefixes are never looked at.
 """
 
-from struct import pack
+from struct import pack, unpack_from
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from catalogflow.llm.common import ROW, exact_copies, keyed, mixed, plain_id, slices, unpacked
-from catalogflow.llm.sharing import SCHEMA, combined, positions
+from catalogflow.llm.common import ROW, arrow, exact_copies, keyed, mixed, packed_runs, plain_id, slices, starts_of
 
-GRAM, HEAT, PIECE, TASK_BYTES, PART_BYTES = 20, 5000, 2000, 2_000_000, 1_000_000
+GRAM, HEAT, PIECE, TASK_BYTES, PART_BYTES = 16, 5000, 2000, 2_000_000, 1_000_000
+FOUND = "key long, _id long, _row long, docs int, pos binary"
+FOUND_ARROW = pa.schema([("key", pa.int64()), ("_id", pa.int64()), ("_row", pa.int64()), ("docs", pa.int32()), ("pos", pa.binary())])
 SENT = "key long, _id long, _row long, start int, seg binary, known boolean"
 SENT_ARROW = pa.schema([("key", pa.int64()), ("_id", pa.int64()), ("_row", pa.int64()), ("start", pa.int32()),
                         ("seg", pa.binary()), ("known", pa.bool_())])
@@ -67,17 +70,9 @@ def _runs(texts, least, gram):
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def _ranked(doc, key):
-    """Distinct (doc, key) pairs, sorted; the place of each pair among its document's; and each run's pair."""
-    order = np.lexsort((key, doc))
-    d, k = doc[order], key[order]
-    new = np.r_[True, (d[1:] != d[:-1]) | (k[1:] != k[:-1])] if len(d) else np.empty(0, bool)
-    pair = np.cumsum(new) - 1
-    d, k = d[new], k[new]
-    begin = np.searchsorted(d, d, side="left")
-    back = np.empty(len(order), np.int64)
-    back[order] = pair
-    return d, k, np.arange(len(d)) - begin, back
+def _short(key):
+    """31 bits of a key, which tell the keys of one document apart well enough: another key marked too only costs work."""
+    return (key & np.uint64(0x7FFFFFFF)).astype(np.int32)
 
 
 def _anchors(least, gram):
@@ -85,49 +80,128 @@ def _anchors(least, gram):
         for batch in slices(batches, "_text"):
             ids, tags = batch.column("_id").to_numpy(), batch.column("_row").to_numpy()
             doc, _, _, key = _runs(batch.column("_text").to_pylist(), least, gram)
-            d, k, place, _ = _ranked(doc, key)
-            yield from combined(k, np.zeros(len(k), np.uint64), ids[d], tags[d], place, strict=False)
+            yield from _combined(key, ids[doc], tags[doc])
 
     return run
 
 
+def _combined(key, ids, tags):
+    """Rows for the shuffle out of one batch's keys, as in ``sharing``: a key that documents of the batch share goes on once."""
+    if not len(key):
+        return
+    order = np.argsort(key)
+    s = starts_of([key[order]])
+    size = np.diff(np.r_[s, len(key)])
+    again = order[np.repeat(size > 1, size)]
+    alone = np.ones(len(key), bool)
+    alone[again] = False
+    sent = [(key[alone], ids[alone], tags[alone], np.ones(int(alone.sum()), np.int32))]
+    if len(again):
+        again = again[np.lexsort((tags[again], ids[again], key[again]))]
+        k, i, t = key[again], ids[again], tags[again]
+        one = starts_of([k, i, t])
+        k, i, t = k[one], i[one], t[one]
+        s = starts_of([k])
+        new = np.zeros(len(k), np.int32)
+        new[starts_of([k, i])] = 1
+        docs = np.add.reduceat(new, s)
+        here = np.repeat(docs > 1, np.diff(np.r_[s, len(k)]))
+        lead = s[docs > 1]
+        sent += [(k[~here], i[~here], t[~here], np.ones(int((~here).sum()), np.int32)), (k[lead], i[lead], t[lead], docs[docs > 1])]
+        if here.any():
+            k, i, t = k[here], i[here], t[here]
+            o = np.lexsort((k, t, i))
+            k, i, t = k[o], i[o], t[o]
+            s = starts_of([i, t])
+            own = mixed(i[s].view(np.uint64) * np.uint64(31) + t[s].view(np.uint64))
+            yield arrow(FOUND_ARROW, own.view(np.int64), i[s], t[s], np.zeros(len(s), np.int32), packed_runs(_short(k), s))
+    # rows of one document stay side by side: they compress better
+    k, i, t, docs = (np.concatenate(x) for x in zip(*sent))
+    yield arrow(FOUND_ARROW, k.view(np.int64), i, t, docs, pa.nulls(len(k), pa.binary()))
+
+
+def _shared(found):
+    """One row per document: its keys that other documents hold, shortened."""
+    over = Window.partitionBy("key")
+    found = found.withColumns({"_lo": F.min("_id").over(over), "_hi": F.max("_id").over(over), "_docs": F.sum("docs").over(over)})
+    # rows with more than one document only tell the other batches
+    kept = found.filter("pos is not null or (docs = 1 and (_lo < _hi or _docs > 1))")
+    short = F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    return kept.groupBy(*ROW).agg(F.collect_list("pos").alias("_pos"), F.collect_list(F.when(F.col("pos").isNull(), short)).alias("_short"))
+
+
+def _shrunk(batches):
+    """Texts compressed one by one for the shuffle."""
+    codec = pa.Codec("zstd", 1)
+    for batch in slices(batches, "_text"):
+        texts = batch.column("_text").to_pylist()
+        small = [pack("<i", len(t)) + codec.compress(t, asbytes=True) if t else b"" for t in texts]
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_row"), pa.array(small, pa.binary())], names=[*ROW, "_small"])
+
+
+def _texts(small):
+    codec = pa.Codec("zstd")
+    return [codec.decompress(memoryview(t)[4:], unpack_from("<i", t)[0], asbytes=True) if t else b"" for t in small.to_pylist()]
+
+
+def _sizes(batch):
+    """Bytes of each text."""
+    return np.array([unpack_from("<i", t)[0] if t else 0 for t in batch.column("_small").to_pylist()], np.int64)
+
+
 def _segments(least, gram):
     def run(batches):
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, _sizes):
             ids, tags = batch.column("_id").to_pylist(), batch.column("_row").to_pylist()
-            texts = batch.column("_text").to_pylist()
+            texts = _texts(batch.column("_small"))
             doc, first, last, key = _runs(texts, least, gram)
-            d, _, place, back = _ranked(doc, key)
-            begin = np.searchsorted(d, np.arange(len(texts)))
-            use = np.zeros(len(d), np.int8)
-            for column, mark in (("_pos", 1), ("_hot", 2)):
-                for i, packed in enumerate(batch.column(column).to_pylist()):
-                    if packed:
-                        use[begin[i] + unpacked(packed)] = mark
-            use = use[back]
-            best, out = {}, []
-            for r in np.flatnonzero(use).tolist():
-                i, a, z, k = int(doc[r]), int(first[r]), int(last[r]), int(key[r])
-                step = PIECE if use[r] == 1 else 1
-                for p in range(a, z + 1, step):
-                    seg = texts[i][p : min(p + step, z + 1) - 1 + least]
-                    name = k if step > 1 else xxhash.xxh3_64_intdigest(seg)
-                    best[name, seg] = min(best.get((name, seg), ids[i]), ids[i])
-                    out.append((name, i, p, seg))
-            if out:
-                known = [ids[i] > best[k, seg] for k, i, _, seg in out]
-                names = np.array([o[0] for o in out], np.uint64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.where(known, mixed(names ^ np.arange(len(out), dtype=np.uint64)), names).view(np.int64)),
-                    pa.array([ids[o[1]] for o in out], pa.int64()), pa.array([tags[o[1]] for o in out], pa.int64()),
-                    pa.array([o[2] for o in out], pa.int32()),
-                    # of a segment that a smaller id of the batch holds, only the removed span goes on
-                    pa.array([pack("<ii", o[2], o[2] + len(o[3])) if n else o[3] for o, n in zip(out, known)], pa.binary()),
-                    pa.array(known)], schema=SENT_ARROW)
+            shorts = batch.column("_short")
+            packed = [b"".join(p or ()) for p in batch.column("_pos").to_pylist()]
+            sizes = pc.fill_null(pc.list_value_length(shorts), 0).to_numpy(zero_copy_only=False)
+            owner = np.r_[np.repeat(np.arange(len(texts)), sizes), np.repeat(np.arange(len(texts)), [len(p) // 4 for p in packed])]
+            wanted = np.r_[shorts.flatten().to_numpy(zero_copy_only=False), np.frombuffer(b"".join(packed), np.int32)].astype(np.int64)
+            use = np.isin(doc << 31 | _short(key), owner << 31 | wanted)
+            out, chosen = [], np.flatnonzero(use)
+            for i, p, z, k in zip(*(x[chosen].tolist() for x in (doc, first, last, key))):
+                text, row, tag = texts[i], ids[i], tags[i]
+                while p <= z:
+                    end = min(p + PIECE, z + 1)
+                    out.append((k, row, tag, p, text[p : end - 1 + least]))
+                    p = end
+            yield from _dealt(out)
+
+    return run
+
+
+def _windows(least):
+    """Each window of the segments of a crowded key, dealt out by its own hash."""
+
+    def run(batches):
+        for batch in slices(batches, "seg", PART_BYTES // least):
+            rows = zip(*(batch.column(c).to_pylist() for c in ("_id", "_row", "start", "seg")))
+            cut = ((i, tag, start + p, seg[p : p + least]) for i, tag, start, seg in rows for p in range(len(seg) - least + 1))
+            yield from _dealt([(xxhash.xxh3_64_intdigest(w), i, tag, at, w) for i, tag, at, w in cut])
 
     return run
 
 
+def _dealt(found):
+    """Rows for the shuffle out of one batch's (key, id, row, start, segment)."""
+    if not found:
+        return
+    best = {}
+    for k, i, _, _, seg in found:
+        if best.get((k, seg), i) >= i:
+            best[k, seg] = i
+    known = [i > best[k, seg] for k, i, _, _, seg in found]
+    names, ids, tags, starts, segments = zip(*found)
+    names = np.array(names, np.uint64)
+    yield arrow(
+        SENT_ARROW, np.where(known, mixed(names ^ np.arange(len(names), dtype=np.uint64)), names).view(np.int64), ids, tags, starts,
+        # of a segment that a smaller id of the batch holds, only the removed span goes on
+        [pack("<ii", p, p + len(seg)) if n else seg for p, seg, n in zip(starts, segments, known)], known)
+
+
 def _sorted_suffixes(sym, depth):
     """Order of all suffixes by their first ``depth`` symbols or more, and their ranks by half of that."""
     n, h = len(sym), 7
@@ -136,7 +210,7 @@ def _sorted_suffixes(sym, depth):
     for k in range(7):
         key = (key << np.uint64(9)) | padded[k : k + n]
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # what ties has more than ``depth`` symbols in common
         ranked = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.r_[0, ranked[1:] != ranked[:-1]])
@@ -219,17 +293,24 @@ def _judged(least):
     """Segments in the order of their keys to removed spans; whole keys, a few MB at a time."""
 
     def judge(rows):
-        out = [(i, tag, span) for i, tag, _, span, known in rows if known]
-        rows = [r[:4] for r in rows if not r[4]]
-        best = {}
-        for i, _, _, seg in rows:
-            best[seg] = min(best.get(seg, i), i)
-        segments = list(best)
-        number = {s: n for n, s in enumerate(segments)}
+        out = [(i, tag, span) for i, tag, _, span, known, _ in rows if known]
+        rows = [r for r in rows if not r[4]]
+        best, kinds = {}, {}
+        for i, _, _, seg, _, key in rows:
+            if seg in best:
+                best[seg] = min(best[seg], i)
+            else:
+                best[seg], kinds[key] = i, kinds.get(key, 0) + 1
+        # equal strings have one key: the only segment of a key shares strings with none but its copies
+        lone = {seg for _, _, _, seg, _, key in rows if kinds[key] == 1}
+        segments = [s for s in best if s not in lone]
         holders = first_holders(segments, np.array([best[s] for s in segments], np.int64), least) if segments else []
+        segments += lone
+        holders += [None] * len(lone)
+        number = {s: n for n, s in enumerate(segments)}
         # most segments go or stay as a whole: for these the bounds of their holders decide
         bounds = [(best[s], best[s]) if w is None else (int(w.min()), int(w.max())) for s, w in zip(segments, holders)]
-        for i, tag, start, seg in rows:
+        for i, tag, start, seg, _, _ in rows:
             n = number[seg]
             low, high = bounds[n]
             if high < i:
@@ -248,7 +329,7 @@ def _judged(least):
                 if size >= TASK_BYTES and key != last:
                     yield from judge(rows)
                     rows, size = [], 0
-                rows.append(row)
+                rows.append((*row, key))
                 size, last = size + len(row[3]), key
         if rows:
             yield from judge(rows)
@@ -258,9 +339,9 @@ def _judged(least):
 
 def _kept(least):
     def run(batches):
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, _sizes):
             out = []
-            for text, spans, first in zip(*(batch.column(c).to_pylist() for c in ("_text", "_spans", "first"))):
+            for text, spans, first in zip(_texts(batch.column("_small")), *(batch.column(c).to_pylist() for c in ("_spans", "first"))):
                 n = len(text)
                 if first is not None and n >= least:
                     out.append((n, n, 1, b""))
@@ -290,17 +371,21 @@ def dedup_bytes(docs, least=50, gram=GRAM, heat=HEAT, id_col="doc_id", text_col=
     character). Strings are judged on the input and never cross documents. A
     null text is empty; texts under ``least`` bytes stay whole; rows that share
     an id remove nothing from each other; a null id counts as the largest.
-    Keys that more than ``heat`` documents hold are dealt out by whole strings
-    instead of segments, so that no task gets all of them; the result is the
-    same. ``gram`` lies between 8 and ``least``.
+    Keys of more than ``heat`` segments are dealt out again by whole strings, all
+    of them, so that no task judges them alone; the result is the same. ``gram`` lies between 8 and ``least``.
     """
     rows = keyed(docs, id_col, text_col)
     copies = exact_copies(rows)
-    shared = positions(rows.mapInArrow(_anchors(least, gram), SCHEMA), strict=False, heat=heat)
-    around = rows.join(shared.hint("merge"), ROW).join(copies, ROW, "left_anti")
+    shared = _shared(rows.mapInArrow(_anchors(least, gram), FOUND))
+    # the filter drops nothing: with it both joins see one plan, and the texts are shuffled once
+    small = rows.mapInArrow(_shrunk, "_id long, _row long, _small binary").filter("_id is not null and _row is not null")
+    around = small.join(shared.hint("merge"), ROW).join(copies, ROW, "left_anti")
     sent = around.mapInArrow(_segments(least, gram), SENT)
-    spans = sent.repartition("key").sortWithinPartitions("key").mapInArrow(_judged(least), SPANS)
+    dealt = sent.repartition("key").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    crowded = dealt.filter(F.col("_n") > heat).drop("_n").mapInArrow(_windows(least), SENT).repartition("key")
+    spans = dealt.filter(F.col("_n") <= heat).drop("_n").sortWithinPartitions("key").mapInArrow(_judged(least), SPANS)
+    spans = spans.unionByName(crowded.sortWithinPartitions("key").mapInArrow(_judged(least), SPANS))
     per_row = spans.groupBy(*ROW).agg(F.collect_list("spans").alias("_spans"))
-    whole = rows.join(per_row.hint("merge"), ROW, "left").join(copies, ROW, "left")
+    whole = small.join(per_row.hint("merge"), ROW, "left").join(copies, ROW, "left")
     out = whole.mapInArrow(_kept(least), "_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select(plain_id("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")

@@ -39,6 +39,18 @@ def test_edges(docs_of, rows, heat):
     assert rows(bwt_dedup.dedup_bytes(df.limit(0))) == []
 
 
+def test_frequent_keys_meet_across_batches(docs_of, rows):
+    """Some batches hold a frequent string once, others several times."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    base = text(120)
+    pairs = [(i, text(40) + base[i : i + 90] + text(40)) for i in range(1, 13)]
+    for parts in (12, 5, 1):
+        for heat in (1, 4, 5000):
+            got = rows(bwt_dedup.dedup_bytes(docs_of(pairs).repartitionByRange(parts, "doc_id"), heat=heat))
+            assert got == brute(pairs, 50)
+
+
 def test_documents(documents, rows):
     pairs = [(r.doc_id, r.text) for r in documents.collect()]
     assert rows(bwt_dedup.dedup_bytes(documents)) == brute(pairs, 50)
