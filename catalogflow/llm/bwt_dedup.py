@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 
 from catalogflow.llm.common import ROW, arrow, exact_copies, keyed, mixed, packed_runs, plain_id, slices, starts_of
 
-GRAM, HEAT, PIECE, TASK_BYTES, PART_BYTES = 16, 5000, 2000, 2_000_000, 1_000_000
+GRAM, HEAT, PIECE, TASK_BYTES, PART_BYTES = 16, 5000, 2000, 250_000, 1_000_000
+KEY = np.uint64(2**48 - 1)  # the bits of a key: fewer bytes are shuffled, and keys that meet by chance only cost work
 FOUND = "key long, _id long, _row long, docs int, pos binary"
 FOUND_ARROW = pa.schema([("key", pa.int64()), ("_id", pa.int64()), ("_row", pa.int64()), ("docs", pa.int32()), ("pos", pa.binary())])
-SENT = "key long, _id long, _row long, start int, seg binary, known boolean"
-SENT_ARROW = pa.schema([("key", pa.int64()), ("_id", pa.int64()), ("_row", pa.int64()), ("start", pa.int32()),
-                        ("seg", pa.binary()), ("known", pa.bool_())])
+# what differs from row to row side by side compresses better
+SENT = "key long, start int, _row long, _id long, known boolean, seg binary"
+SENT_ARROW = pa.schema([("key", pa.int64()), ("start", pa.int32()), ("_row", pa.int64()), ("_id", pa.int64()),
+                        ("known", pa.bool_()), ("seg", pa.binary())])
 SPANS = "_id long, _row long, spans binary"
 
 
@@ -56,7 +58,7 @@ def _runs(texts, least, gram):
         if size >= least:
             lengths = np.array([len(t) for t in texts[at:end]])
             first = np.r_[0, np.cumsum(lengths)[:-1]]
-            key = window_keys(b"".join(texts[at:end]), least, gram)
+            key = window_keys(b"".join(texts[at:end]), least, gram) & KEY
             doc = np.repeat(np.arange(len(lengths)), lengths)[: len(key)]
             place = np.arange(len(key)) - first[doc]
             ok = place <= lengths[doc] - least
@@ -197,9 +199,9 @@ def _dealt(found):
     names, ids, tags, starts, segments = zip(*found)
     names = np.array(names, np.uint64)
     yield arrow(
-        SENT_ARROW, np.where(known, mixed(names ^ np.arange(len(names), dtype=np.uint64)), names).view(np.int64), ids, tags, starts,
+        SENT_ARROW, np.where(known, mixed(names ^ np.arange(len(names), dtype=np.uint64)), names).view(np.int64), starts, tags, ids, known,
         # of a segment that a smaller id of the batch holds, only the removed span goes on
-        [pack("<ii", p, p + len(seg)) if n else seg for p, seg, n in zip(starts, segments, known)], known)
+        [pack("<ii", p, p + len(seg)) if n else seg for p, seg, n in zip(starts, segments, known)])
 
 
 def _sorted_suffixes(sym, depth):
@@ -290,7 +292,7 @@ def _spans(starts, least):
 
 
 def _judged(least):
-    """Segments in the order of their keys to removed spans; whole keys, a few MB at a time."""
+    """Segments in the order of their keys to removed spans; whole keys, as many as caches hold."""
 
     def judge(rows):
         out = [(i, tag, span) for i, tag, _, span, known, _ in rows if known]
