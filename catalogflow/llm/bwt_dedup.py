@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from catalogflow.llm.common import ROW, arrow, exact_copies, keyed, mixed, packed_runs, plain_id, slices, starts_of
 
-GRAM, HEAT, PIECE, TASK_BYTES, PART_BYTES = 16, 5000, 2000, 250_000, 1_000_000
+GRAM, HEAT, PIECE, TASK_BYTES, PART_BYTES = 16, 5000, 2000, 250_000, 250_000
 KEY = np.uint64(2**48 - 1)  # the bits of a key: fewer bytes are shuffled, and keys that meet by chance only cost work
 FOUND = "key long, _id long, _row long, docs int, pos binary"
 FOUND_ARROW = pa.schema([("key", pa.int64()), ("_id", pa.int64()), ("_row", pa.int64()), ("docs", pa.int32()), ("pos", pa.binary())])
@@ -28,6 +28,9 @@ SENT = "key long, start int, _row long, _id long, known boolean, seg binary"
 SENT_ARROW = pa.schema([("key", pa.int64()), ("start", pa.int32()), ("_row", pa.int64()), ("_id", pa.int64()),
                         ("known", pa.bool_()), ("seg", pa.binary())])
 SPANS = "_id long, _row long, spans binary"
+# segments travel in packs, dealt out by their keys: numbers and texts side by side, compressed together
+DEAL, PACK = 2048, "deal int, pack binary"
+PACKED = (("key", np.int64), ("start", np.int32), ("_row", np.int64), ("_id", np.int64), ("known", np.bool_), ("size", np.int32))
 
 
 def window_keys(buffer, least, gram):
@@ -72,6 +75,11 @@ def _runs(texts, least, gram):
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def _sent(key):
+    """The low 40 bits of a key, its random bytes next to those of the id: they compress better."""
+    return (key << np.uint64(24)).view(np.int64)
+
+
 def _short(key):
     """31 bits of a key, which tell the keys of one document apart well enough: another key marked too only costs work."""
     return (key & np.uint64(0x7FFFFFFF)).astype(np.int32)
@@ -119,7 +127,7 @@ def _combined(key, ids, tags):
             yield arrow(FOUND_ARROW, own.view(np.int64), i[s], t[s], np.zeros(len(s), np.int32), packed_runs(_short(k), s))
     # rows of one document stay side by side: they compress better
     k, i, t, docs = (np.concatenate(x) for x in zip(*sent))
-    yield arrow(FOUND_ARROW, k.view(np.int64), i, t, docs, pa.nulls(len(k), pa.binary()))
+    yield arrow(FOUND_ARROW, _sent(k), i, t, docs, pa.nulls(len(k), pa.binary()))
 
 
 def _shared(found):
@@ -128,7 +136,7 @@ def _shared(found):
     found = found.withColumns({"_lo": F.min("_id").over(over), "_hi": F.max("_id").over(over), "_docs": F.sum("docs").over(over)})
     # rows with more than one document only tell the other batches
     kept = found.filter("pos is not null or (docs = 1 and (_lo < _hi or _docs > 1))")
-    short = F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    short = F.shiftright("key", 24).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     return kept.groupBy(*ROW).agg(F.collect_list("pos").alias("_pos"), F.collect_list(F.when(F.col("pos").isNull(), short)).alias("_short"))
 
 
@@ -170,27 +178,101 @@ def _segments(least, gram):
                     end = min(p + PIECE, z + 1)
                     out.append((k, row, tag, p, text[p : end - 1 + least]))
                     p = end
-            yield from _dealt(out)
+            if out:
+                yield _packed(*_dealt(out))
 
     return run
 
 
-def _windows(least):
+def _packed(key, start, tags, ids, known, segments):
+    """Packs of one batch's segments, one for each value that keys are dealt out by."""
+    codec = pa.Codec("zstd", 1)
+    deal = key % DEAL
+    order = np.argsort(deal, kind="stable")
+    s = starts_of([deal[order]])
+    sizes = np.array([len(x) for x in segments], np.int32)
+    packs = []
+    for a, z in zip(s.tolist(), [*s[1:].tolist(), len(order)]):
+        o = order[a:z]
+        columns = (key[o] // DEAL, start[o], tags[o], np.diff(ids[o], prepend=0), known[o], sizes[o])
+        # byte by byte, so that the zeros of small numbers meet
+        raw = b"".join([np.ascontiguousarray(c, t).view(np.uint8).reshape(len(o), -1).T.tobytes() for c, (_, t) in zip(columns, PACKED)]
+                       + [segments[i] for i in o.tolist()])
+        packs.append(pack("<ii", len(raw), len(o)) + codec.compress(raw, asbytes=True))
+    return pa.RecordBatch.from_arrays([pa.array(deal[order][s].astype(np.int32)), pa.array(packs, pa.binary())], names=["deal", "pack"])
+
+
+def _unpacked(batches):
+    """Segments out of their packs, some packs at a time."""
+    codec = pa.Codec("zstd")
+    sizes = lambda batch: np.array([unpack_from("<i", p)[0] for p in batch.column("pack").to_pylist()], np.int64)
+    for batch in slices(batches, sizes, 8 * PART_BYTES):
+        parts, texts = [], []
+        for deal, packed in zip(batch.column("deal").to_pylist(), batch.column("pack").to_pylist()):
+            total, n = unpack_from("<ii", packed)
+            raw, at, part = codec.decompress(memoryview(packed)[8:], total, asbytes=True), 0, {}
+            for name, t in PACKED:
+                width = np.dtype(t).itemsize
+                planes = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
+                part[name], at = np.ascontiguousarray(planes.T).view(t).ravel(), at + n * width
+            part["key"] = part["key"] * DEAL + deal
+            part["_id"] = np.cumsum(part["_id"])
+            parts.append(part)
+            texts.append(memoryview(raw)[at:])
+        whole = {name: np.concatenate([p[name] for p in parts]) for name, _ in PACKED}
+        ends = np.r_[0, np.cumsum(whole.pop("size"), dtype=np.int64)].astype(np.int32)
+        segments = pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(b"".join(texts))])
+        yield pa.RecordBatch.from_arrays([*(pa.array(whole[f.name], f.type) for f in list(SENT_ARROW)[:-1]), segments], schema=SENT_ARROW)
+
+
+def _split(batches, heat):
+    """Rows in the order of their keys, those of one key all crowded (more than ``heat``) or none: (crowded, batch)."""
+    tail, size, last = [], 0, None  # the rows of a key that may go on
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy()
+        s = np.r_[starts_of([key]), len(key)].tolist()
+        at = 0
+        if key[0] == last:
+            at = s.pop(0) or s[0]
+            tail.append(batch.slice(0, at))
+            size += at
+            if size > heat:
+                yield from ((True, t) for t in tail)
+                tail = []
+            if at == len(key):
+                continue
+        yield from ((False, t) for t in tail)
+        for a, z in zip(s[:-2], s[1:-1]):
+            if z - a > heat:
+                if a > at:
+                    yield False, batch.slice(at, a - at)
+                yield True, batch.slice(a, z - a)
+                at = z
+        if s[-2] > at:
+            yield False, batch.slice(at, s[-2] - at)
+        tail, size, last = [batch.slice(s[-2])], len(key) - s[-2], key[-1]
+        if size > heat:
+            yield True, tail.pop()
+    yield from ((False, t) for t in tail)
+
+
+def _windows(least, heat):
     """Each window of the segments of a crowded key, dealt out by its own hash."""
 
     def run(batches):
-        for batch in slices(batches, "seg", PART_BYTES // least):
+        rows = (batch.filter(pc.invert(batch.column("known"))) for batch in batches)
+        for batch in slices((b for crowded, b in _split(rows, heat) if crowded), "seg", 4 * PART_BYTES // least):
             rows = zip(*(batch.column(c).to_pylist() for c in ("_id", "_row", "start", "seg")))
             cut = ((i, tag, start + p, seg[p : p + least]) for i, tag, start, seg in rows for p in range(len(seg) - least + 1))
-            yield from _dealt([(xxhash.xxh3_64_intdigest(w), i, tag, at, w) for i, tag, at, w in cut])
+            yield arrow(SENT_ARROW, *_dealt([(xxhash.xxh3_64_intdigest(w), i, tag, at, w) for i, tag, at, w in cut]))
 
     return run
 
 
 def _dealt(found):
-    """Rows for the shuffle out of one batch's (key, id, row, start, segment)."""
-    if not found:
-        return
+    """Columns to send out of one batch's (key, id, row, start, segment)."""
     best = {}
     for k, i, _, _, seg in found:
         if best.get((k, seg), i) >= i:
@@ -198,31 +280,42 @@ def _dealt(found):
     known = [i > best[k, seg] for k, i, _, _, seg in found]
     names, ids, tags, starts, segments = zip(*found)
     names = np.array(names, np.uint64)
-    yield arrow(
-        SENT_ARROW, np.where(known, mixed(names ^ np.arange(len(names), dtype=np.uint64)), names).view(np.int64), starts, tags, ids, known,
-        # of a segment that a smaller id of the batch holds, only the removed span goes on
-        [pack("<ii", p, p + len(seg)) if n else seg for p, seg, n in zip(starts, segments, known)])
+    key = np.where(known, mixed(names ^ np.arange(len(names), dtype=np.uint64)) & KEY, names).view(np.int64)
+    # of a segment that a smaller id of the batch holds, only the removed span goes on
+    segments = [pack("<ii", p, p + len(seg)) if n else seg for p, seg, n in zip(starts, segments, known)]
+    return key, np.array(starts, np.int32), np.array(tags, np.int64), np.array(ids, np.int64), np.array(known), segments
 
 
 def _sorted_suffixes(sym, depth):
-    """Order of all suffixes by their first ``depth`` symbols or more, and their ranks by half of that."""
-    n, h = len(sym), 7
-    padded = np.concatenate([sym, np.zeros(8, np.uint16)]).astype(np.uint64)
+    """Order of all suffixes by their first ``depth`` symbols or more, and their ranks by the symbols of the round before."""
+    n = len(sym)
+    used = np.zeros(257, bool)
+    used[sym] = True
+    code = np.cumsum(used).astype(np.uint64)  # 0 stands after the end
+    bits = int(code[-1]).bit_length()
+    h = min(64 // bits, depth - 1)
+    padded = np.concatenate([code[sym], np.zeros(h, np.uint64)])
     key = np.zeros(n, np.uint64)
-    for k in range(7):
-        key = (key << np.uint64(9)) | padded[k : k + n]
+    for k in range(h):
+        key = (key << np.uint64(bits)) | padded[k : k + n]
     while True:
         order = np.argsort(key)  # what ties has more than ``depth`` symbols in common
         ranked = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.r_[0, ranked[1:] != ranked[:-1]])
+        place = np.empty(n, np.uint64)
+        place[1:] = np.cumsum(ranked[1:] != ranked[:-1])
+        place[0] = 0
+        rank = np.empty(n, np.uint64)
+        rank[order] = place + np.uint64(1)
         if h >= depth:
             return order, half, half_depth
         half, half_depth = rank, h
-        later = np.zeros(n, np.uint64)
-        later[: n - h] = rank[h:].astype(np.uint64) + np.uint64(1)
-        key = (rank.astype(np.uint64) << np.uint64(32)) | later
-        h *= 2
+        bits = int(place[-1] + np.uint64(1)).bit_length()
+        steps = 2 if 2 * h >= depth or 3 * bits > 64 else 3
+        key = rank.copy()
+        for k in range(1, steps):
+            key <<= np.uint64(bits)
+            key[: max(n - k * h, 0)] |= rank[k * h :]
+        h *= steps
 
 
 def repeated(segments, least):
@@ -232,7 +325,8 @@ def repeated(segments, least):
     followed by one separator.
     """
     text = np.frombuffer(b"\0".join(segments) + b"\0", np.uint8).astype(np.uint16) + np.uint16(1)
-    ends = np.cumsum([len(s) + 1 for s in segments]) - 1
+    sizes = np.array([len(s) + 1 for s in segments])
+    ends = np.cumsum(sizes) - 1
     text[ends] = 0
     order, half, depth = _sorted_suffixes(text, least)
     last = text[order - 1]  # the transform; place -1 is the last separator
@@ -242,7 +336,7 @@ def repeated(segments, least):
     rank = half[order]
     low = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]])
     high = np.r_[low[1:], len(text)]
-    inside = order[low] + depth <= ends[np.searchsorted(ends, order[low])]  # no separator in the string
+    inside = order[low] + depth <= np.repeat(ends, sizes)[order[low]]  # no separator in the string
     low, high = low[inside], high[inside]
     for _ in range(least - depth):
         several = high - low > 1
@@ -268,73 +362,96 @@ def repeated(segments, least):
 
 
 def first_holders(segments, owners, least):
-    """For each segment and each of its windows, the smallest owner of the window's string; None: its own."""
+    """For each place of the segments, each followed by one separator, the smallest owner of the string there; without another holder, its own."""
     order, low, high = repeated(segments, least)
-    if not len(low):
-        return [None] * len(segments)
-    sizes = np.array([len(s) + 1 for s in segments])
-    begin = np.r_[0, np.cumsum(sizes)[:-1]]
-    count = high - low
-    spot = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
-    place = order[spot]
-    seg = np.searchsorted(begin, place, side="right") - 1
-    best = np.minimum.reduceat(owners[seg], np.cumsum(count) - count)
-    holder = np.repeat(owners, sizes)
-    holder[place] = np.repeat(best, count)
-    return [holder[b : b + n - least] for b, n in zip(begin.tolist(), sizes.tolist())]
-
-
-def _spans(starts, least):
-    """Runs of window starts as packed (from, to) byte places."""
-    cut = np.flatnonzero(np.diff(starts) > 1)
-    a, b = starts[np.r_[0, cut + 1]], starts[np.r_[cut, len(starts) - 1]] + least
-    return np.stack([a, b], 1).astype(np.int32).tobytes()
-
-
-def _judged(least):
-    """Segments in the order of their keys to removed spans; whole keys, as many as caches hold."""
-
-    def judge(rows):
-        out = [(i, tag, span) for i, tag, _, span, known, _ in rows if known]
-        rows = [r for r in rows if not r[4]]
-        best, kinds = {}, {}
-        for i, _, _, seg, _, key in rows:
-            if seg in best:
-                best[seg] = min(best[seg], i)
-            else:
-                best[seg], kinds[key] = i, kinds.get(key, 0) + 1
+    holder = np.repeat(owners, [len(s) + 1 for s in segments])
+    if len(low):
+        count = high - low
+        begin = np.cumsum(count) - count
+        place = order[np.arange(count.sum()) + np.repeat(low - begin, count)]
+        holder[place] = np.repeat(np.minimum.reduceat(holder[place], begin), count)
+    return holder
+
+
+def _spans(row, places, start, least):
+    """Window starts, by row and place, as packed (from, to) byte places: the rows that have some, one packed string for each."""
+    s = starts_of([row, places - np.arange(len(row))])
+    row, places, last = row[s], places[s], places[np.r_[s[1:], len(row)] - 1]
+    pairs = np.stack([places + start[row], last + start[row] + least], 1).astype(np.int32)
+    t = starts_of([row])
+    ends = np.r_[t, len(row)].astype(np.int32) * 8
+    return row[t], pa.BinaryArray.from_buffers(pa.binary(), len(t), [None, pa.py_buffer(ends), pa.py_buffer(pairs.tobytes())])
+
+
+def _judged(least, heat=np.inf):
+    """Segments in the order of their keys to removed spans; whole keys, as many as caches hold, none that is crowded."""
+
+    def judge(held):
+        key, ids, tags, start = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("key", "_id", "_row", "start"))
+        number = {}
+        kind = np.array([number.setdefault(s, len(number)) for b in held for s in b.column("seg").to_pylist()])
+        segments = list(number)
+        width = np.array([len(s) for s in segments]) - least + 1
+        best = np.full(len(segments), np.iinfo(np.int64).max)
+        np.minimum.at(best, kind, ids)
+        of = np.empty(len(segments), np.int64)
+        of[kind] = key
         # equal strings have one key: the only segment of a key shares strings with none but its copies
-        lone = {seg for _, _, _, seg, _, key in rows if kinds[key] == 1}
-        segments = [s for s in best if s not in lone]
-        holders = first_holders(segments, np.array([best[s] for s in segments], np.int64), least) if segments else []
-        segments += lone
-        holders += [None] * len(lone)
-        number = {s: n for n, s in enumerate(segments)}
+        _, which, kinds = np.unique(of, return_inverse=True, return_counts=True)
+        met = np.flatnonzero(kinds[which] > 1)
         # most segments go or stay as a whole: for these the bounds of their holders decide
-        bounds = [(best[s], best[s]) if w is None else (int(w.min()), int(w.max())) for s, w in zip(segments, holders)]
-        for i, tag, start, seg, _, _ in rows:
-            n = number[seg]
-            low, high = bounds[n]
-            if high < i:
-                out.append((i, tag, pack("<ii", start, start + len(seg))))
-            elif low < i:
-                out.append((i, tag, _spans(np.flatnonzero(holders[n] < i) + start, least)))
-        if out:
-            i, tag, spans = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(tag, pa.int64()), pa.array(spans, pa.binary())],
-                                             names=["_id", "_row", "spans"])
+        low, high, begin = best.copy(), best.copy(), np.zeros(len(segments), np.int64)
+        if len(met):
+            holder = first_holders([segments[n] for n in met.tolist()], best[met], least)
+            begin[met] = np.cumsum(width[met] + least) - width[met] - least
+            edges = np.stack([begin[met], begin[met] + width[met]], 1).ravel()
+            low[met], high[met] = np.minimum.reduceat(holder, edges)[::2], np.maximum.reduceat(holder, edges)[::2]
+        gone = high[kind] < ids
+        part = np.flatnonzero(~gone & (low[kind] < ids))
+        gone = np.flatnonzero(gone)
+        whole = np.stack([start[gone], start[gone] + width[kind[gone]] + least - 1], 1).astype(np.int32)
+        ends = np.arange(len(gone) + 1, dtype=np.int32) * 8
+        found = [(gone, pa.BinaryArray.from_buffers(pa.binary(), len(gone), [None, pa.py_buffer(ends), pa.py_buffer(whole.tobytes())]))]
+        if len(part):
+            count = width[kind[part]]
+            row = np.repeat(part, count)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            held_before = holder[place + begin[kind[row]]] < ids[row]
+            found.append(_spans(row[held_before], place[held_before], start, least))
+        for row, spans in found:
+            if len(row):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(tags[row]), spans], names=["_id", "_row", "spans"])
 
     def run(batches):
-        rows, size, last = [], 0, None
-        for batch in batches:
-            for key, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "_id", "_row", "start", "seg", "known"))):
-                if size >= TASK_BYTES and key != last:
-                    yield from judge(rows)
-                    rows, size = [], 0
-                rows.append((*row, key))
-                size, last = size + len(row[3]), key
-        if rows:
-            yield from judge(rows)
+        sure, held, size, last = [], [], 0, None
+
+        def open_rows():
+            for batch in batches:
+                known = batch.column("known")
+                sure.append(batch.filter(known))
+                yield batch.filter(pc.invert(known))
+
+        for crowded, batch in _split(open_rows(), heat):
+            if not crowded:
+                key, at = batch.column("key").to_numpy(), 0
+                before = np.r_[0, np.cumsum(pc.binary_length(batch.column("seg")).to_numpy())]
+                new = np.flatnonzero(np.r_[last is not None and key[0] != last, key[1:] != key[:-1]])
+                full = before[new]
+                while (k := np.searchsorted(full, before[at] + TASK_BYTES - size)) < len(new):
+                    held.append(batch.slice(at, new[k] - at))
+                    yield from judge(held)
+                    held, size, at = [], 0, int(new[k])
+                held.append(batch.slice(at))
+                size, last = size + int(before[-1] - before[at]), key[-1]
+            while sure:
+                yield certain(sure.pop())
+        while sure:
+            yield certain(sure.pop())
+        if held:
+            yield from judge(held)
+
+    def certain(batch):
+        return pa.RecordBatch.from_arrays([batch.column(c) for c in ("_id", "_row", "seg")], names=["_id", "_row", "spans"])
 
     return run
 
@@ -382,11 +499,10 @@ def dedup_bytes(docs, least=50, gram=GRAM, heat=HEAT, id_col="doc_id", text_col=
     # the filter drops nothing: with it both joins see one plan, and the texts are shuffled once
     small = rows.mapInArrow(_shrunk, "_id long, _row long, _small binary").filter("_id is not null and _row is not null")
     around = small.join(shared.hint("merge"), ROW).join(copies, ROW, "left_anti")
-    sent = around.mapInArrow(_segments(least, gram), SENT)
-    dealt = sent.repartition("key").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    crowded = dealt.filter(F.col("_n") > heat).drop("_n").mapInArrow(_windows(least), SENT).repartition("key")
-    spans = dealt.filter(F.col("_n") <= heat).drop("_n").sortWithinPartitions("key").mapInArrow(_judged(least), SPANS)
-    spans = spans.unionByName(crowded.sortWithinPartitions("key").mapInArrow(_judged(least), SPANS))
+    packs = around.mapInArrow(_segments(least, gram), PACK).repartition("deal")
+    dealt = packs.mapInArrow(_unpacked, SENT).sortWithinPartitions("key")
+    crowded = dealt.mapInArrow(_windows(least, heat), SENT).repartition("key").sortWithinPartitions("key")
+    spans = dealt.mapInArrow(_judged(least, heat), SPANS).unionByName(crowded.mapInArrow(_judged(least), SPANS))
     per_row = spans.groupBy(*ROW).agg(F.collect_list("spans").alias("_spans"))
     whole = small.join(per_row.hint("merge"), ROW, "left").join(copies, ROW, "left")
     out = whole.mapInArrow(_kept(least), "_id long, n_bytes long, n_removed long, n_spans long, kept binary")
